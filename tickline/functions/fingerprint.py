@@ -70,24 +70,29 @@ def _number_text(msg: Column, field: str) -> Column:
     )
 
 
-def _value_text(msg: Column, field: str) -> Column:
-    kind = variant_type(msg, field)
-    numeric = (kind == "BIGINT") | (kind == "DOUBLE") | (kind == "FLOAT") | kind.startswith("DECIMAL")
-    return (
-        F.when(kind == "VOID", F.lit("null"))
-        .when(kind == "STRING", json_string(F.try_variant_get(msg, f"$.{field}", "string")))
-        .when(numeric, _number_text(msg, field))
-        .otherwise(F.to_json(F.try_variant_get(msg, f"$.{field}", "variant")))
-    )
-
-
 def canonical_text_from_message(msg: Column) -> Column:
-    """Canonical text of a parsed wire message, fingerprint fields present only."""
-    parts = [
-        F.when(variant_type(msg, f).isNotNull(), F.concat(F.lit(f'"{f}":'), _value_text(msg, f)))
-        for f in FINGERPRINT_FIELDS
-    ]
-    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    """Canonical text of a *validated* wire message, fingerprint fields present only.
+
+    After validation symbol, timestamp and source are strings, the ms an integer
+    and price / volume numbers, so only ``conditions`` can hold any JSON value.
+    """
+
+    def present(field: str, text: Column) -> Column:
+        return F.when(variant_type(msg, field).isNotNull(), F.concat(F.lit(f'"{field}":'), text))
+
+    def string(field: str) -> Column:
+        return json_string(F.try_variant_get(msg, f"$.{field}", "string"))
+
+    parts = {
+        "conditions": F.to_json(F.try_variant_get(msg, "$.conditions", "variant")),
+        "price": _number_text(msg, "price"),
+        "source": string("source"),
+        "symbol": string("symbol"),
+        "timestamp": string("timestamp"),
+        "trade_timestamp_ms": F.try_variant_get(msg, "$.trade_timestamp_ms", "bigint").cast("string"),
+        "volume": _number_text(msg, "volume"),
+    }
+    return F.concat(F.lit("{"), F.concat_ws(",", *[present(f, parts[f]) for f in FINGERPRINT_FIELDS]), F.lit("}"))
 
 
 def event_id_for_message(msg: Column) -> Column:

@@ -10,7 +10,8 @@ producer hashes:
 
 Java's ``Double.toString`` (what ``cast(double as string)`` and ``to_json`` print)
 uses the same shortest digits but switches to ``1.0E7`` layout outside
-[1e-3, 1e7); the layout is rebuilt from Java's digits here.
+[1e-3, 1e7); the layout is rebuilt from Java's digits here. Known gap: JDK 17
+prints a few values (e.g. the smallest subnormal) with a non-shortest digit string.
 """
 
 from __future__ import annotations
@@ -18,8 +19,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SCI = r"^(-?)([0-9])\.([0-9]+)E(-?[0-9]+)$"
-
 
 def json_string(text: Column) -> Column:
     """A JSON string literal (quotes and escapes) for ``text``."""
@@ -28,36 +27,24 @@ def json_string(text: Column) -> Column:
 
 
 def python_float_text(x: Column) -> Column:
-    """``repr(float(x))`` for a finite DOUBLE column."""
+    """``repr(float(x))`` for a finite DOUBLE column.
+
+    Java and Python print the same shortest digits; only the layout differs, and
+    only outside [1e-3, 1e7), so the common case is a plain cast.
+    """
     x = x.cast("double")
     java = x.cast("string")
     ax = F.abs(x)
-
-    # Digits and exponent from Java's scientific form d.dddE<exp>.
-    sign = F.regexp_extract(java, _SCI, 1)
-    first = F.regexp_extract(java, _SCI, 2)
-    rest = F.regexp_extract(java, _SCI, 3)
-    rest = F.when(rest == "0", F.lit("")).otherwise(rest)
-    exp = F.regexp_extract(java, _SCI, 4).cast("int")
-    digits = F.concat(first, rest)
-    ndig = F.length(digits)
-    point = exp + 1  # number of digits before the decimal point
-
-    wide = F.when(
-        ndig <= point,
-        F.concat(digits, F.repeat(F.lit("0"), point - ndig), F.lit(".0")),
-    ).otherwise(F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, F.lit(400))))
-    narrow = F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits)
-    plain = F.concat(sign, F.when(point > 0, wide).otherwise(narrow))
-
-    mantissa = F.when(F.length(rest) == 0, first).otherwise(F.concat(first, F.lit("."), rest))
-    exponent = F.concat(F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")), F.lpad(F.abs(exp).cast("string"), 2, "0"))
-    scientific = F.concat(sign, mantissa, F.lit("e"), exponent)
-
+    # [1e-4, 1e-3) and [1e7, 1e16): plain notation from the exact decimal value.
+    plain = F.rtrim(x.cast("decimal(38,22)").cast("string"), F.lit("0"))
+    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+    # Elsewhere: 1.0E16 -> 1e+16, 1.5E-5 -> 1.5e-05.
+    mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", "")
+    exponent = F.substring_index(java, "E", -1).cast("int")
+    sci = F.format_string("%se%s%02d", mantissa, F.when(exponent < 0, F.lit("-")).otherwise(F.lit("+")), F.abs(exponent))
     return (
-        F.when(x.isNull(), F.lit(None).cast("string"))
-        .when((ax >= F.lit(1e-3)) & (ax < F.lit(1e7)), java)  # same layout in both languages
-        .when(ax == 0, java)  # "0.0" / "-0.0"
+        F.when((ax >= F.lit(1e-3)) & (ax < F.lit(1e7)), java)
+        .when(ax == 0, java)
         .when((ax >= F.lit(1e-4)) & (ax < F.lit(1e16)), plain)
-        .otherwise(scientific)
+        .otherwise(sci)
     )

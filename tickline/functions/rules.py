@@ -56,7 +56,7 @@ def parse_message(text: Column) -> Column:
     return F.when(ok, arr[0])
 
 
-def _is_number(kind: Column) -> Column:
+def is_number(kind: Column) -> Column:
     return (kind == "BIGINT") | (kind == "DOUBLE") | (kind == "FLOAT") | kind.startswith("DECIMAL")
 
 
@@ -64,17 +64,24 @@ def _is_true(cond: Column) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
-def error_column(value: Column, msg: Column, table_path: bool = False) -> Column:
+def field_kinds(msg: Column) -> list[Column]:
+    """Per required field, its VARIANT type name (VOID for JSON null), aliased
+    ``_kind_<field>``; NULL when the message has no such field."""
+    return [variant_type(msg, f).alias(f"_kind_{f}") for f in REQUIRED_FIELDS]
+
+
+def error_column(value: Column, msg: Column, keys: Column, table_path: bool = False) -> Column:
     """First failing rule for a record, NULL when valid.
 
-    ``value`` is the raw body, ``msg`` its :func:`parse_message` result.
+    ``value`` is the raw body, ``msg`` its :func:`parse_message` result, ``keys``
+    the object's keys (``json_object_keys``), and the ``_kind_<field>`` columns of
+    :func:`field_kinds` must be present.
     """
     text = message_text(value)
-    keys = F.json_object_keys(text)
     missing = F.array_sort(F.array_except(F.array(*[F.lit(f) for f in REQUIRED_FIELDS]), F.coalesce(keys, F.array().cast("array<string>"))))
 
     def kind(field: str) -> Column:
-        return F.coalesce(variant_type(msg, field), F.lit("VOID"))
+        return F.coalesce(F.col(f"_kind_{field}"), F.lit("VOID"))
 
     def num(field: str) -> Column:
         return F.try_variant_get(msg, f"$.{field}", "double")
@@ -83,8 +90,8 @@ def error_column(value: Column, msg: Column, table_path: bool = False) -> Column
         return F.try_variant_get(msg, f"$.{field}", "string")
 
     symbol_ok = (kind("symbol") == "STRING") & txt("symbol").rlike(r"(?U)\S")
-    price_ok = _is_number(kind("price")) & (num("price") > 0)
-    volume_ok = _is_number(kind("volume")) & (num("volume") >= 0)
+    price_ok = is_number(kind("price")) & (num("price") > 0)
+    volume_ok = is_number(kind("volume")) & (num("volume") >= 0)
     timestamp_ok = (kind("timestamp") == "STRING") & (F.length(txt("timestamp")) > 0)
     ms_ok = kind("trade_timestamp_ms") == "BIGINT"
     source_ok = (kind("source") == "STRING") & (txt("source") == F.lit(SOURCE_NAME))

@@ -13,10 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.operators import audit, bars, serve
+from tickline.functions.fingerprint import event_id_for_message
+from tickline.operators import audit, bars, dedup, ingest, serve, validate
 from tickline.plans import oracle_sql as O
 from tickline.session import configure
-from tickline.sources.events import read_events, trades_from_events
+from tickline.sinks import archive
+from tickline.sources.events import log_from_events, read_events, trades_from_events, vendor_frames_from_events
+from tickline.sources.layout import balance
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -314,3 +317,207 @@ def q_ohlcv(spark, sf_dir):
 def q_table_counts(spark, sf_dir):
     t = _trades(spark, sf_dir)
     return audit.table_counts({"trades": t, "metrics": bars.one_minute_metrics(t)})
+
+
+# ---------------------------------------------------------------- ingest: log, validation, routing
+
+
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return balance(log_from_events(read_events(spark, sf_dir)))
+
+
+def _validated(spark: SparkSession, sf_dir: str, table_path: bool = False) -> DataFrame:
+    return validate.validate(_log(spark, sf_dir), table_path=table_path)
+
+
+@register(
+    "validate_trades",
+    O.L + "SELECT partition, \"offset\", error, CASE WHEN error IS NULL THEN eid END AS event_id FROM checked",
+)
+def q_validate(spark, sf_dir):
+    v = _validated(spark, sf_dir)
+    # event_id only where valid: derived ids need a valid message.
+    ids = validate.route(v, F.lit(True), F.col("partition"), F.col("offset"), F.col("error"),
+                         F.when(F.col("error").isNull(), event_id_for_message(F.col("msg"))).alias("event_id"))
+    return ids
+
+
+@register(
+    "validate_trades_table_path",
+    O.L + "SELECT partition, \"offset\", table_error AS error FROM checked_table",
+)
+def q_validate_table(spark, sf_dir):
+    return _validated(spark, sf_dir, table_path=True).select("partition", "offset", "error")
+
+
+@register(
+    "dead_letters",
+    O.L
+    + """SELECT error, topic AS source_topic, partition AS source_partition, "offset" AS source_offset,
+       CASE WHEN k = 11 THEN '�' || text ELSE text END AS original_value
+FROM checked WHERE error IS NOT NULL""",
+)
+def q_dead_letters(spark, sf_dir):
+    return validate.dead_letters(_validated(spark, sf_dir)).drop("key")
+
+
+@register(
+    "rejection_summary",
+    O.L + "SELECT error, count(*) AS records FROM checked WHERE error IS NOT NULL GROUP BY error",
+)
+def q_rejections(spark, sf_dir):
+    return validate.rejection_summary(_validated(spark, sf_dir))
+
+
+_TABLE_ROWS_SQL = (
+    O.L
+    + """, tr AS (
+  SELECT eid AS event_id, json_extract_string(text, '$.symbol') AS symbol,
+         CAST(json_extract(text, '$.price') AS DOUBLE) AS price, CAST(json_extract(text, '$.volume') AS DOUBLE) AS volume,
+         CAST(CAST(json_extract_string(text, '$.timestamp') AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) AS trade_time,
+         CAST(json_extract(text, '$.trade_timestamp_ms') AS BIGINT) AS trade_timestamp_ms,
+         coalesce(CAST(json_extract(text, '$.conditions') AS VARCHAR), '[]') AS conditions_json,
+         json_extract_string(text, '$.source') AS source, partition, "offset", batch_id
+  FROM checked_table WHERE table_error IS NULL)
+"""
+)
+
+
+def _table_rows(spark, sf_dir) -> DataFrame:
+    v = _validated(spark, sf_dir, table_path=True)
+    rows = validate.valid_messages(v, extra=(F.col("batch_id"),))
+    return validate.to_table_rows(rows)
+
+
+@register(
+    "valid_trades",
+    _TABLE_ROWS_SQL
+    + "SELECT event_id, symbol, price, volume, trade_time, trade_timestamp_ms, conditions_json, source, partition, \"offset\" FROM tr",
+)
+def q_valid_trades(spark, sf_dir):
+    t = _table_rows(spark, sf_dir)
+    return t.select(
+        "event_id", "symbol", "price", "volume", ntz("trade_time"), "trade_timestamp_ms",
+        F.to_json("conditions").alias("conditions_json"), "source", "partition", "offset",
+    )
+
+
+@register(
+    "dedup_first",
+    _TABLE_ROWS_SQL
+    + """SELECT event_id, min(partition) AS partition, arg_min("offset", (partition, "offset")) AS "offset", count(*) AS copies
+FROM tr GROUP BY event_id""",
+)
+def q_dedup_first(spark, sf_dir):
+    t = _table_rows(spark, sf_dir)
+    first = dedup.dedup_first(t, key="event_id", order=("partition", "offset"), count_as="copies")
+    return first.select("event_id", "partition", "offset", "copies")
+
+
+@register(
+    "upsert_counts",
+    _TABLE_ROWS_SQL
+    + """, firsts AS (SELECT event_id, min(batch_id) AS first_batch FROM tr GROUP BY event_id),
+received AS (SELECT batch_id, count(*) AS received FROM tr GROUP BY batch_id),
+ins AS (SELECT first_batch AS batch_id, count(*) AS inserted FROM firsts GROUP BY first_batch)
+SELECT r.batch_id, r.received, coalesce(i.inserted, 0) AS inserted, r.received - coalesce(i.inserted, 0) AS duplicates
+FROM received r LEFT JOIN ins i USING (batch_id)""",
+)
+def q_upsert_counts(spark, sf_dir):
+    return dedup.replay_counts(_table_rows(spark, sf_dir), batch="batch_id")
+
+
+@register(
+    "archive_partition_counts",
+    O.L
+    + """SELECT json_extract_string(text, '$.symbol') AS symbol, substr(json_extract_string(text, '$.timestamp'), 1, 10) AS date,
+       batch_id, count(*) AS rows
+FROM checked WHERE error IS NULL GROUP BY ALL""",
+)
+def q_archive_counts(spark, sf_dir):
+    v = _validated(spark, sf_dir)
+    rows = archive.archive_rows(validate.valid_messages(v, extra=(F.col("batch_id"),)))
+    return rows.groupBy("symbol", "date", "batch_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register(
+    "offset_spans",
+    O.L
+    + """, spans AS (SELECT batch_id, partition, min("offset") AS first_offset, max("offset") AS last_offset FROM log GROUP BY ALL)
+SELECT batch_id, string_agg('p' || partition || '-' || first_offset || '-' || last_offset, '_' ORDER BY partition) AS offset_span,
+       sum(last_offset - first_offset + 1) AS span_width
+FROM spans GROUP BY batch_id""",
+)
+def q_offset_spans(spark, sf_dir):
+    return archive.offset_spans(_log(spark, sf_dir), batch="batch_id")
+
+
+# ---------------------------------------------------------------- frames → normalized trades
+
+
+_FRAMES_SQL = """WITH n AS (
+  SELECT upper(event_type) AS symbol, value AS price, CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) AS DOUBLE) AS volume,
+         1704067200000 + (epoch_us(ts)//1000 - 1704067200000)//60 AS trade_timestamp_ms
+  FROM events WHERE event_type <> 'error'),
+n2 AS (
+  SELECT *, strftime(make_timestamp(trade_timestamp_ms * 1000), '%Y-%m-%dT%H:%M:%S')
+            || CASE WHEN trade_timestamp_ms % 1000 = 0 THEN '' ELSE '.' || lpad(CAST((trade_timestamp_ms % 1000) * 1000 AS VARCHAR), 6, '0') END
+            || '+00:00' AS timestamp
+  FROM n)
+"""
+
+
+@register(
+    "normalize_trades",
+    _FRAMES_SQL
+    + """SELECT sha256('{"conditions":["@"],"price":' || CAST(price AS VARCHAR) || ',"source":"finnhub","symbol":"' || symbol
+       || '","timestamp":"' || timestamp || '","trade_timestamp_ms":' || CAST(trade_timestamp_ms AS VARCHAR)
+       || ',"volume":' || CAST(volume AS VARCHAR) || '}') AS event_id,
+       symbol, price, volume, timestamp, trade_timestamp_ms, 'finnhub' AS source
+FROM n2""",
+)
+def q_normalize(spark, sf_dir):
+    configure(spark)
+    frames = balance(vendor_frames_from_events(read_events(spark, sf_dir)))
+    n = ingest.normalize_trades(ingest.decode_frames(frames))
+    return n.select("event_id", "symbol", "price", "volume", "timestamp", "trade_timestamp_ms", "source")
+
+
+@register(
+    "decode_frames",
+    "SELECT upper(event_type) AS s, count(*) AS trades FROM events WHERE event_type <> 'error' GROUP BY 1",
+)
+def q_decode(spark, sf_dir):
+    configure(spark)
+    v = ingest.decode_frames(vendor_frames_from_events(read_events(spark, sf_dir)))
+    return v.groupBy("s").agg(F.count(F.lit(1)).alias("trades"))
+
+
+SUBSCRIPTION = " click, view,, "
+
+
+@register(
+    "symbol_subscription",
+    O.T
+    + f""", subs AS (SELECT list_transform(list_filter(string_split('{SUBSCRIPTION}', ','), lambda x: trim(x) <> ''), lambda x: upper(trim(x))) AS l)
+SELECT symbol, count(*) AS trades FROM trades, subs WHERE list_contains(l, symbol) GROUP BY symbol""",
+)
+def q_subscription(spark, sf_dir):
+    t = _trades(spark, sf_dir)
+    symbols = ingest.configured_symbols(SUBSCRIPTION)
+    return ingest.subscribe(t, symbols).groupBy("symbol").agg(F.count(F.lit(1)).alias("trades"))
+
+
+@register(
+    "symbol_list_parse",
+    f"SELECT list_transform(list_filter(string_split('{SUBSCRIPTION}', ','), lambda x: trim(x) <> ''), lambda x: upper(trim(x)))::VARCHAR AS symbols, "
+    "count(DISTINCT upper(event_type)) AS known_symbols FROM events",
+)
+def q_symbol_list(spark, sf_dir):
+    configure(spark)
+    ev = read_events(spark, sf_dir)
+    parsed = F.to_json(ingest.parse_symbols(F.lit(SUBSCRIPTION)))
+    # DuckDB prints a list as [CLICK, VIEW]; render the same text.
+    text = F.regexp_replace(F.regexp_replace(parsed, '"', ""), ",", ", ")
+    return ev.agg(F.countDistinct(F.upper("event_type")).alias("known_symbols")).select(text.alias("symbols"), "known_symbols")

@@ -52,6 +52,7 @@ def get_session(
     shuffle_partitions: int = 8,
     app_name: str = "tickline",
     extra: dict[str, str] | None = None,
+    driver_memory: str = "8g",
 ) -> SparkSession:
     """Build a session for tests and local runs (UI off, UTC, AQE on).
 
@@ -62,6 +63,7 @@ def get_session(
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", driver_memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )

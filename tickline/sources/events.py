@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickline.functions.fingerprint import canonical_text, sha256_hex
+from tickline.functions.jsontext import json_string, python_float_text
 from tickline.functions.timefmt import iso_from_millis
 from tickline.schemas import SOURCE_NAME
 
@@ -89,37 +91,130 @@ def vendor_frames_from_events(events: DataFrame, squeeze: int = DEFAULT_SQUEEZE)
     )
 
 
+# Fixed values of the test log: fault class per record is ``event_id % FAULT_CYCLE``.
+FAULT_CYCLE = 40
+DUPLICATE_EVERY = 10
+DUPLICATE_OFFSET_BASE = 1_000_000_000
+
+
+def _kv(key: str, value: Column) -> Column:
+    return F.concat(F.lit(f'"{key}": '), value)
+
+
+def _wire_parts(events: DataFrame, squeeze: int) -> DataFrame:
+    """Per-event pieces, projected once so the text builder can reuse them."""
+    staged = events.select(
+        "event_id",
+        "ts",
+        "event_type",
+        F.upper("event_type").alias("_sym"),
+        F.col("value").alias("_price"),
+        F.get_json_object("props", "$.k").cast("double").alias("_vol"),
+        squeezed_ms("ts", squeeze).alias("_ms"),
+        F.pmod(F.col("event_id"), F.lit(FAULT_CYCLE)).alias("_fault"),
+    ).withColumn("_iso", iso_from_millis(F.col("_ms")))
+    canon = canonical_text(
+        F.col("_sym"), F.col("_price"), F.col("_vol"), F.col("_iso"), F.col("_ms"), F.array(F.lit("@")), F.lit(SOURCE_NAME)
+    )
+    staged = staged.withColumn("_eid", sha256_hex(canon))
+    # Text pieces used by several fault branches: projected once, not per branch.
+    return staged.select(
+        "*",
+        _kv("symbol", json_string(F.col("_sym"))).alias("_symbol_kv"),
+        _kv("price", python_float_text(F.col("_price"))).alias("_price_kv"),
+        _kv("volume", python_float_text(F.col("_vol"))).alias("_volume_kv"),
+        _kv("timestamp", json_string(F.col("_iso"))).alias("_ts_kv"),
+    )
+
+
+def _slots(parts: DataFrame) -> DataFrame:
+    """Each key/value slot of the message, with the fault of its class applied."""
+    k = F.col("_fault")
+
+    def quoted(kv: str) -> Column:  # '"price": 12.5' -> '"price": "12.5"'
+        return F.regexp_replace(F.col(kv), r": (.*)$", ': "$1"')
+
+    return parts.select(
+        "*",
+        F.when(k == 2, F.lit('"symbol": "  "')).when(k == 17, F.lit('"symbol": 5')).otherwise(F.col("_symbol_kv")).alias("_s1"),
+        F.when(k.isin(3, 16), F.lit('"price": 0')).when(k == 4, quoted("_price_kv")).when(k == 18, F.lit('"price": null'))
+        .otherwise(F.col("_price_kv")).alias("_s2"),
+        F.when(k == 5, F.lit('"volume": -1')).when(k == 19, quoted("_volume_kv")).otherwise(F.col("_volume_kv")).alias("_s3"),
+        F.when(k == 6, F.lit('"timestamp": ""')).when(k == 14, F.lit('"timestamp": "garbage"')).otherwise(F.col("_ts_kv")).alias("_s4"),
+        _kv("trade_timestamp_ms", F.concat(F.col("_ms").cast("string"), F.when(k == 7, F.lit(".0")).otherwise(F.lit("")))).alias("_s5"),
+        F.when(k == 20, F.lit('"venue": "X"')).otherwise(F.lit('"conditions": ["@"]')).alias("_s6"),
+        F.when(k.isin(8, 16), F.lit('"source": "other"')).otherwise(F.lit(f'"source": "{SOURCE_NAME}"')).alias("_s7"),
+        F.when(k != 13, _kv("event_id", json_string(F.col("_eid")))).alias("_s8"),
+    )
+
+
+def wire_text() -> Column:
+    """Wire JSON per event, written the way the producer's ``json.dumps`` writes
+    it (insertion order, ``", "`` and ``": "`` separators), with a fault injected
+    according to the record's fault class. Every event yields one record.
+
+    Fault classes: 1 only a symbol, 2 blank symbol, 3 zero price, 4 price as text,
+    5 negative volume, 6 empty timestamp, 7 fractional ms, 8 other source,
+    9 trailing text, 10 not an object, 11 invalid UTF-8 (see :func:`log_from_events`),
+    12 empty body, 13 no event_id (consumer derives it), 14 unparseable
+    timestamp, 15 empty object, 16 zero price and other source, 17 numeric
+    symbol, 18 null price, 19 volume as text, 20 extra field and no conditions.
+    Everything else is a valid trade. Reads the columns of :func:`_slots`.
+    """
+    k = F.col("_fault")
+    full = F.concat(F.lit("{"), F.concat_ws(", ", *[F.col(f"_s{i}") for i in range(1, 9)]), F.lit("}"))
+    return (
+        F.when(k == 1, F.concat(F.lit("{"), F.col("_symbol_kv"), F.lit("}")))
+        .when(k == 9, F.concat(full, F.lit(" x")))
+        .when(k == 10, F.lit("[1]"))
+        .when(k == 12, F.lit(None).cast("string"))
+        .when(k == 15, F.lit("{}"))
+        .otherwise(full)
+    )
+
+
 def log_from_events(
     events: DataFrame,
     squeeze: int = DEFAULT_SQUEEZE,
     topic: str = LOG_TOPIC,
     partitions: int = LOG_PARTITIONS,
 ) -> DataFrame:
-    """Kafka-shaped log of normalized trade messages, one record per event.
-
-    ``partition = event_id % partitions`` and ``offset = event_id div partitions``
-    give every record unique coordinates. The message is the normalized wire JSON
-    without ``event_id`` (so the consumer derives it) and with ``conditions``.
-    Faults are injected over the whole table by :func:`inject_faults`.
+    """Kafka-shaped test log built from every event, plus duplicate deliveries.
+
+    Columns: key, value (BINARY), topic, partition, offset, timestamp, batch_id.
+    ``partition = event_id % partitions``, ``offset = event_id div partitions``;
+    arrival ``timestamp`` is the original event time and ``batch_id`` its day
+    (0..29), which stands for the micro-batch the record arrives in. Events whose
+    id is a multiple of 10 are delivered a second time one day later (same
+    partition, offset shifted by 10^9), capped at the last day, so duplicates
+    occur both across and inside batches.
     """
-    ms = squeezed_ms("ts", squeeze)
-    wire = F.to_json(
-        F.struct(
-            F.upper("event_type").alias("symbol"),
-            F.col("value").alias("price"),
-            F.get_json_object("props", "$.k").cast("double").alias("volume"),
-            iso_from_millis(ms).alias("timestamp"),
-            ms.alias("trade_timestamp_ms"),
-            F.array(F.lit("@")).alias("conditions"),
-            F.lit(SOURCE_NAME).alias("source"),
-        )
-    )
-    return events.select(
+    parts = _slots(_wire_parts(events, squeeze)).withColumn("_text", wire_text())
+    text = F.col("_text")
+    k = F.col("_fault")
+    body = F.when(k == 11, F.concat(F.unhex(F.lit("FF")), text.cast("binary"))).otherwise(text.cast("binary"))
+    arrival = F.to_timestamp(F.col("ts").cast("string"))
+    first_day = F.to_timestamp(F.lit("2024-01-01 00:00:00"))
+    day = F.floor((F.unix_seconds(arrival) - F.unix_seconds(first_day)) / 86400).cast("long")
+    base = parts.select(
         F.upper("event_type").cast("binary").alias("key"),
-        wire.alias("text"),
+        body.alias("value"),
         F.lit(topic).alias("topic"),
         F.pmod(F.col("event_id"), F.lit(partitions)).cast("int").alias("partition"),
         F.expr(f"event_id div {partitions}").alias("offset"),
-        F.to_timestamp(F.col("ts").cast("string")).alias("timestamp"),
-        F.col("event_id").alias("source_event_id"),
+        arrival.alias("timestamp"),
+        day.alias("batch_id"),
+        F.col("event_id").alias("_eid"),
+    )
+    last_day = F.lit(29)
+    dups = base.where(F.pmod(F.col("_eid"), F.lit(DUPLICATE_EVERY)) == 0).select(
+        "key",
+        "value",
+        "topic",
+        "partition",
+        (F.col("offset") + F.lit(DUPLICATE_OFFSET_BASE)).alias("offset"),
+        (F.col("timestamp") + F.expr("INTERVAL 1 DAY")).alias("timestamp"),
+        F.least(F.col("batch_id") + 1, last_day).alias("batch_id"),
+        "_eid",
     )
+    return base.unionByName(dups).drop("_eid")
