@@ -53,6 +53,33 @@ def latest_day_metrics(metrics: DataFrame, symbol: str, limit: int = 120) -> Dat
     )
 
 
+def latest_day_metrics_from_bars(
+    bars: DataFrame, symbol: str, limit: int = 120, warmup: int = 14, **indicator_args
+) -> DataFrame:
+    """Same result as ``latest_day_metrics(indicators(bars), symbol)`` with the
+    Window run over the latest day plus ``warmup`` earlier bars instead of the
+    symbol's whole history (``warmup`` = longest frame - 1).
+
+    The earlier bars are found by a top-k on minute (TakeOrderedAndProject), so the
+    work outside the latest day is one pass over the symbol's bar minutes.
+    """
+    from tickline.operators.bars import indicators
+
+    one = bars.where(F.col("symbol") == F.lit(symbol))
+    day_start = one.select(F.date_trunc("day", F.max("minute"))).scalar()
+    day = one.where(F.col("minute") >= day_start)
+    before = one.where(F.col("minute") < day_start).orderBy(F.col("minute").desc()).limit(warmup)
+    window_input = day.unionByName(before)
+    return (
+        indicators(window_input, **indicator_args)
+        .where(F.col("minute") >= day_start)
+        .orderBy(F.col("minute").desc())
+        .limit(limit)
+        .drop("symbol")
+        .orderBy("minute")
+    )
+
+
 def gap_segments(bars: DataFrame, max_gap_seconds: int = 60, by: tuple[str, ...] = ()) -> DataFrame:
     """Number runs of bars without a gap: ``segment`` grows by one each time the
     distance to the previous bar exceeds ``max_gap_seconds``; first bar is 0.
