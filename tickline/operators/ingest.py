@@ -21,8 +21,10 @@ def decode_frames(frames: DataFrame, column: str = "value") -> DataFrame:
 
     Frames that are not JSON, of another type, or without ``data`` yield no rows.
     """
+    # One parse per frame: the type test sits inside the generator instead of a
+    # Filter, which the optimizer would push below the parse and so parse twice.
     parsed = frames.select(F.from_json(F.col(column).cast("string"), FRAME).alias("f"))
-    return parsed.where(F.col("f.type") == "trade").select(F.inline(F.col("f.data")))
+    return parsed.select(F.inline(F.when(F.col("f.type") == "trade", F.col("f.data"))))
 
 
 def normalize_trades(vendor: DataFrame, source: str = SOURCE_NAME, keep_invalid: bool = False) -> DataFrame:

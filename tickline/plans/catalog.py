@@ -324,7 +324,9 @@ def q_table_counts(spark, sf_dir):
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return balance(log_from_events(read_events(spark, sf_dir)))
+    # Spread the scan first: the per-record work (message text, SHA-256, parsing)
+    # then runs on every core even when the table is a single row group.
+    return log_from_events(balance(read_events(spark, sf_dir)))
 
 
 def _validated(spark: SparkSession, sf_dir: str, table_path: bool = False) -> DataFrame:
@@ -479,7 +481,7 @@ FROM n2""",
 )
 def q_normalize(spark, sf_dir):
     configure(spark)
-    frames = balance(vendor_frames_from_events(read_events(spark, sf_dir)))
+    frames = vendor_frames_from_events(balance(read_events(spark, sf_dir)))
     n = ingest.normalize_trades(ingest.decode_frames(frames))
     return n.select("event_id", "symbol", "price", "volume", "timestamp", "trade_timestamp_ms", "source")
 
