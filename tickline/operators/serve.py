@@ -125,6 +125,19 @@ def feed_summary(trades: DataFrame, symbol: str | None = None, limit: int = 200)
     )
 
 
+def latest_bar_summary(latest_day: DataFrame) -> DataFrame:
+    """The caption row of the metrics page: the last bar of a latest-day result
+    (the running minute included, as on the page)."""
+    return latest_day.orderBy(F.col("minute").desc()).limit(1).select(
+        "minute", "close_price", "price_change", "high_price", "low_price", "volume", "vwap", "trade_count"
+    )
+
+
+def query_dataframe(spark, query: str, **params) -> DataFrame:
+    """Run a parameterized SQL text (``:name`` markers) as a DataFrame."""
+    return spark.sql(query, args=params or None)
+
+
 def freshness(trades: DataFrame, column: str = "received_at") -> DataFrame:
     """One row: whether the table has data and its latest arrival time."""
     return trades.agg(

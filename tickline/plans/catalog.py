@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from tickline.functions.fingerprint import event_id_for_message
 from tickline.operators import audit, bars, dedup, ingest, serve, validate
 from tickline.plans import oracle_sql as O
-from tickline.session import configure
+from tickline import streaming
+from tickline.session import configure, scratch_path
 from tickline.sinks import archive
 from tickline.sources.events import log_from_events, read_events, trades_from_events, vendor_frames_from_events
 from tickline.sources.layout import balance
@@ -523,3 +524,94 @@ def q_symbol_list(spark, sf_dir):
     # DuckDB prints a list as [CLICK, VIEW]; render the same text.
     text = F.regexp_replace(F.regexp_replace(parsed, '"', ""), ",", ", ")
     return ev.agg(F.countDistinct(F.upper("event_type")).alias("known_symbols")).select(text.alias("symbols"), "known_symbols")
+
+
+# ---------------------------------------------------------------- latest-bar summary (dashboard caption)
+
+
+@register(
+    "latest_bar_summary",
+    _LATEST_DAY_SQL.format(s=SYMBOL)
+    + """SELECT minute, close_price, price_change, high_price, low_price, volume, round(vwap, 8) AS vwap, trade_count
+FROM latest ORDER BY minute DESC LIMIT 1""",
+)
+def q_latest_bar_summary(spark, sf_dir):
+    return serve.latest_bar_summary(_latest_day(spark, sf_dir)).select(
+        ntz("minute"), "close_price", "price_change", "high_price", "low_price", "volume", rnd("vwap"), "trade_count"
+    )
+
+
+# ---------------------------------------------------------------- streaming = batch
+#
+# These run the real streaming queries (file source with the log's record
+# columns, several micro-batches, availableNow trigger) into a fresh folder
+# under the shared checkpoint root, then read the sink back. Their oracles are
+# the batch answers.
+
+LOG_COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp"]
+STREAM_FILES = 4
+
+
+def _stream_folder(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    return scratch_path(spark, f"stream-checks/{name}-{uuid.uuid4().hex}")
+
+
+def _stage_log(spark: SparkSession, sf_dir: str, root: str) -> str:
+    incoming = f"{root}/incoming"
+    _log(spark, sf_dir).select(*LOG_COLUMNS).repartition(STREAM_FILES).write.parquet(incoming)
+    return incoming
+
+
+def _run(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+@register(
+    "stream_upsert",
+    _TABLE_ROWS_SQL + "SELECT DISTINCT event_id, symbol, price, volume, trade_time, trade_timestamp_ms, source FROM tr",
+)
+def q_stream_upsert(spark, sf_dir):
+    root = _stream_folder(spark, "upsert")
+    incoming = _stage_log(spark, sf_dir, root)
+    stream = streaming.read_log_stream(spark, incoming, max_files_per_trigger=1)
+    _run(streaming.start_table_query(stream, f"{root}/trades", f"{root}/ck", {"availableNow": True}))
+    stored = spark.read.parquet(f"{root}/trades")
+    return stored.select("event_id", "symbol", "price", "volume", ntz("trade_time"), "trade_timestamp_ms", "source")
+
+
+def _archive_run(spark, sf_dir) -> str:
+    root = _stream_folder(spark, "archive")
+    incoming = _stage_log(spark, sf_dir, root)
+    stream = streaming.read_log_stream(spark, incoming, max_files_per_trigger=1)
+    _run(streaming.start_archive_query(stream, f"{root}/archive", f"{root}/dead_letters", f"{root}/ck", {"availableNow": True}))
+    return root
+
+
+@register(
+    "stream_dead_letters",
+    O.L
+    + """SELECT error, partition AS source_partition, "offset" AS source_offset,
+       CASE WHEN k = 11 THEN '�' || text ELSE text END AS original_value
+FROM checked WHERE error IS NOT NULL""",
+)
+def q_stream_dead_letters(spark, sf_dir):
+    root = _archive_run(spark, sf_dir)
+    dl = spark.read.parquet(f"{root}/dead_letters")
+    return dl.select("error", "source_partition", "source_offset", "original_value")
+
+
+@register(
+    "stream_archive",
+    O.L
+    + """SELECT json_extract_string(text, '$.symbol') AS symbol, substr(json_extract_string(text, '$.timestamp'), 1, 10) AS date,
+       count(*) AS rows, count(DISTINCT eid) AS ids
+FROM checked WHERE error IS NULL GROUP BY ALL""",
+)
+def q_stream_archive(spark, sf_dir):
+    root = _archive_run(spark, sf_dir)
+    a = archive.read_archive(spark, f"{root}/archive")
+    return a.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("event_id").alias("ids"))

@@ -1 +1,21 @@
-"""streaming"""
+"""Structured Streaming entry points (see ``queries``)."""
+
+from tickline.streaming.queries import (
+    kafka_options,
+    read_log_stream,
+    start_archive_query,
+    start_bars_query,
+    start_publish_query,
+    start_table_query,
+    watermarked_bars,
+)
+
+__all__ = [
+    "kafka_options",
+    "read_log_stream",
+    "start_archive_query",
+    "start_bars_query",
+    "start_publish_query",
+    "start_table_query",
+    "watermarked_bars",
+]
