@@ -47,11 +47,12 @@ def archive_rows(valid: DataFrame, batch_id: int | Column | None = None) -> Data
 def write_archive(rows: DataFrame, root: str, fmt: str = "csv") -> None:
     """Write archive rows; folders of the batches present are replaced, others kept.
 
-    Rows are clustered by the partition columns first so each task writes few
-    files (one per folder it holds) instead of one per folder per input split.
+    Rows are clustered by the partition columns (``rebalance``) so each task writes
+    few files; AQE splits a folder that holds a large share of the batch (a hot
+    symbol) over several tasks instead of sending it to one writer.
     """
     writer = (
-        rows.repartition(*PARTITION_COLUMNS)
+        rows.hint("rebalance", *PARTITION_COLUMNS)
         .sortWithinPartitions("symbol", "trade_timestamp_ms")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -16,7 +16,7 @@ from tickline.schemas import DEAD_LETTER
 def write_dead_letters(rejected: DataFrame, root: str, batch_id: int) -> None:
     (
         rejected.select(*[f.name for f in DEAD_LETTER.fields], F.lit(batch_id).cast("long").alias("batch_id"))
-        .coalesce(1)  # one micro-batch of rejects is small; one file per batch
+        .hint("rebalance")  # few files per batch; a flood of rejects still spreads over tasks
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id")
