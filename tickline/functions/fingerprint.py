@@ -18,7 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tickline.functions.jsontext import json_string, python_float_text
-from tickline.schemas import FINGERPRINT_FIELDS
+from tickline.schemas import SOURCE_NAME
 
 
 def canonical_text(
@@ -61,38 +61,41 @@ def variant_type(msg: Column, field: str) -> Column:
 
 
 def _number_text(msg: Column, field: str) -> Column:
-    kind = variant_type(msg, field)
-    as_int = (kind == "BIGINT") | (
-        kind.startswith("DECIMAL(") & kind.endswith(",0)") & (F.regexp_extract(kind, r"DECIMAL\((\d+),", 1).cast("int") > 18)
-    )
-    return F.when(as_int, F.try_variant_get(msg, f"$.{field}", "decimal(38,0)").cast("string")).otherwise(
-        python_float_text(F.try_variant_get(msg, f"$.{field}", "double"))
-    )
+    # An integer on the wire prints as an integer, anything else as a float.
+    return F.when(
+        variant_type(msg, field) == "BIGINT",
+        F.try_variant_get(msg, f"$.{field}", "bigint").cast("string"),
+    ).otherwise(python_float_text(F.try_variant_get(msg, f"$.{field}", "double")))
 
 
 def canonical_text_from_message(msg: Column) -> Column:
-    """Canonical text of a *validated* wire message, fingerprint fields present only.
+    """Canonical text of a *validated* wire message.
 
-    After validation symbol, timestamp and source are strings, the ms an integer
-    and price / volume numbers, so only ``conditions`` can hold any JSON value.
+    After validation the six required fields are present, symbol and timestamp
+    are strings, source is the fixed source name, the ms an integer and price /
+    volume numbers; only the optional ``conditions`` may be absent or hold any
+    JSON value.
     """
-
-    def present(field: str, text: Column) -> Column:
-        return F.when(variant_type(msg, field).isNotNull(), F.concat(F.lit(f'"{field}":'), text))
-
-    def string(field: str) -> Column:
-        return json_string(F.try_variant_get(msg, f"$.{field}", "string"))
-
-    parts = {
-        "conditions": F.to_json(F.try_variant_get(msg, "$.conditions", "variant")),
-        "price": _number_text(msg, "price"),
-        "source": string("source"),
-        "symbol": string("symbol"),
-        "timestamp": string("timestamp"),
-        "trade_timestamp_ms": F.try_variant_get(msg, "$.trade_timestamp_ms", "bigint").cast("string"),
-        "volume": _number_text(msg, "volume"),
-    }
-    return F.concat(F.lit("{"), F.concat_ws(",", *[present(f, parts[f]) for f in FINGERPRINT_FIELDS]), F.lit("}"))
+    conditions = F.try_variant_get(msg, "$.conditions", "variant")
+    cond_part = F.when(
+        variant_type(msg, "conditions").isNotNull(),
+        F.concat(F.lit('"conditions":'), F.to_json(conditions), F.lit(",")),
+    ).otherwise(F.lit(""))
+    return F.concat(
+        F.lit("{"),
+        cond_part,
+        F.lit('"price":'),
+        _number_text(msg, "price"),
+        F.lit(f',"source":"{SOURCE_NAME}","symbol":'),
+        json_string(F.try_variant_get(msg, "$.symbol", "string")),
+        F.lit(',"timestamp":'),
+        json_string(F.try_variant_get(msg, "$.timestamp", "string")),
+        F.lit(',"trade_timestamp_ms":'),
+        F.try_variant_get(msg, "$.trade_timestamp_ms", "bigint").cast("string"),
+        F.lit(',"volume":'),
+        _number_text(msg, "volume"),
+        F.lit("}"),
+    )
 
 
 def event_id_for_message(msg: Column) -> Column:

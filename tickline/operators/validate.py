@@ -42,11 +42,14 @@ def route(df: DataFrame, keep: Column, *cols: Column) -> DataFrame:
 def valid_messages(validated: DataFrame, extra: tuple[Column, ...] = ()) -> DataFrame:
     """Wire fields of valid records, with ``event_id`` kept or derived.
 
-    ``extra`` columns of the log (e.g. ``batch_id``) are carried along."""
+    ``extra`` columns of the log (e.g. ``batch_id``) are carried along. The
+    routing step carries only the parsed message; the fields are read from it in
+    the projection after, which keeps each generated method small."""
+    carried = [F.col("msg"), F.col("topic"), F.col("partition"), F.col("offset"), *extra]
+    valid = route(validated, F.col("error").isNull(), *carried)
     m = F.col("msg")
-    return route(
-        validated,
-        F.col("error").isNull(),
+    extra_names = [c for c in valid.columns if c not in ("msg", "topic", "partition", "offset")]
+    return valid.select(
         event_id_for_message(m).alias("event_id"),
         F.try_variant_get(m, "$.symbol", "string").alias("symbol"),
         F.try_variant_get(m, "$.price", "double").alias("price"),
@@ -55,10 +58,10 @@ def valid_messages(validated: DataFrame, extra: tuple[Column, ...] = ()) -> Data
         F.try_variant_get(m, "$.trade_timestamp_ms", "bigint").alias("trade_timestamp_ms"),
         F.try_variant_get(m, "$.conditions", "array<string>").alias("conditions"),
         F.try_variant_get(m, "$.source", "string").alias("source"),
-        F.col("topic"),
-        F.col("partition"),
-        F.col("offset"),
-        *extra,
+        "topic",
+        "partition",
+        "offset",
+        *extra_names,
     )
 
 

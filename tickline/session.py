@@ -33,6 +33,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # HotSpot does not JIT-compile methods above 8000 bytes of bytecode; a
+    # whole-stage-codegen method that large would run interpreted. At this limit
+    # Spark falls back to per-operator codegen for such a subtree instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
