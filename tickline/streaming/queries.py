@@ -107,8 +107,13 @@ def table_batch(
     progress_path: str | None = None,
     bars_path: str | None = None,
     prune_by_date: bool = False,
+    bars_mode: str = "touched",
 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body of the table query."""
+    """``foreachBatch`` body of the table query.
+
+    ``bars_mode``: ``"touched"`` re-aggregates only the (symbol, minute) bars the
+    batch touched; ``"dates"`` recomputes whole touched dates.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -116,7 +121,9 @@ def table_batch(
         try:
             rows = validate.to_table_rows(validate.valid_messages(checked)).persist()
             result = trades_table.upsert_trades(rows, trades_path, prune_by_date=prune_by_date)
-            if bars_path:
+            if bars_path and bars_mode == "touched":
+                bars_table.refresh_touched_bars(spark, trades_path, bars_path, rows)
+            elif bars_path:
                 bars_table.refresh_bars(spark, trades_path, bars_path, bars_table.touched_dates(rows))
             if progress_path:
                 rejected = checked.agg(F.count_if(F.col("error").isNotNull())).first()[0]
@@ -146,9 +153,10 @@ def start_table_query(
     progress_path: str | None = None,
     bars_path: str | None = None,
     prune_by_date: bool = False,
+    bars_mode: str = "touched",
 ) -> StreamingQuery:
     spark = log_stream.sparkSession
-    body = table_batch(trades_path, progress_path, bars_path, prune_by_date)
+    body = table_batch(trades_path, progress_path, bars_path, prune_by_date, bars_mode)
     writer = log_stream.writeStream.foreachBatch(body)
     writer = writer.option("checkpointLocation", _checkpoint(spark, checkpoint, "table"))
     return _trigger(writer, trigger).queryName("trade_table").start()
