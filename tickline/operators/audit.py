@@ -48,6 +48,13 @@ def ohlcv_violations(metrics: DataFrame) -> DataFrame:
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row with the row count of each named table (non-empty audit)."""
-    counts = [df.agg(F.count(F.lit(1)).alias(name)) for name, df in tables.items()]
-    return reduce(lambda a, b: a.crossJoin(b), counts)
+    """One row with the row count of each named table (non-empty audit).
+
+    The first count is an aggregate; the others are scalar subqueries on it, so
+    every table is scanned once and nothing is joined.
+    """
+    (first_name, first), *rest = tables.items()
+    out = first.agg(F.count(F.lit(1)).alias(first_name))
+    return out.select(
+        first_name, *[df.agg(F.count(F.lit(1))).scalar().alias(name) for name, df in rest]
+    )

@@ -558,10 +558,14 @@ def _stream_folder(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"stream-checks/{name}-{uuid.uuid4().hex}")
 
 
-def _stage_log(spark: SparkSession, sf_dir: str, root: str) -> str:
+def _stage_log(spark: SparkSession, sf_dir: str, root: str) -> tuple[str, int]:
+    """Write the log as it is partitioned (no funnel into a few writers) and
+    return the files-per-trigger that splits it into about STREAM_FILES batches."""
     incoming = f"{root}/incoming"
-    _log(spark, sf_dir).select(*LOG_COLUMNS).repartition(STREAM_FILES).write.parquet(incoming)
-    return incoming
+    log = _log(spark, sf_dir).select(*LOG_COLUMNS)
+    files = log.rdd.getNumPartitions()
+    log.write.parquet(incoming)
+    return incoming, max(1, -(-files // STREAM_FILES))
 
 
 def _run(query) -> None:
@@ -576,8 +580,8 @@ def _run(query) -> None:
 )
 def q_stream_upsert(spark, sf_dir):
     root = _stream_folder(spark, "upsert")
-    incoming = _stage_log(spark, sf_dir, root)
-    stream = streaming.read_log_stream(spark, incoming, max_files_per_trigger=1)
+    incoming, per_trigger = _stage_log(spark, sf_dir, root)
+    stream = streaming.read_log_stream(spark, incoming, max_files_per_trigger=per_trigger)
     _run(streaming.start_table_query(stream, f"{root}/trades", f"{root}/ck", {"availableNow": True}))
     stored = spark.read.parquet(f"{root}/trades")
     return stored.select("event_id", "symbol", "price", "volume", ntz("trade_time"), "trade_timestamp_ms", "source")
@@ -585,8 +589,8 @@ def q_stream_upsert(spark, sf_dir):
 
 def _archive_run(spark, sf_dir) -> str:
     root = _stream_folder(spark, "archive")
-    incoming = _stage_log(spark, sf_dir, root)
-    stream = streaming.read_log_stream(spark, incoming, max_files_per_trigger=1)
+    incoming, per_trigger = _stage_log(spark, sf_dir, root)
+    stream = streaming.read_log_stream(spark, incoming, max_files_per_trigger=per_trigger)
     _run(streaming.start_archive_query(stream, f"{root}/archive", f"{root}/dead_letters", f"{root}/ck", {"availableNow": True}))
     return root
 
