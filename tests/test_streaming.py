@@ -171,3 +171,16 @@ def test_watermarked_bars_stream(spark, workdir):
     # append mode emits closed windows only: all but the last bar of the stream
     total = minute_bars(t).count()
     assert 0 < got.count() <= total
+
+
+def test_kafka_options_and_reader(spark):
+    opts = Q.kafka_options("broker:9092", "trades", maxOffsetsPerTrigger="100")
+    assert opts["kafka.acks"] == "all" and opts["kafka.enable.idempotence"] == "true"
+    assert opts["subscribe"] == "trades" and opts["maxOffsetsPerTrigger"] == "100"
+    # the file source has the Kafka record columns
+    import tempfile
+
+    d = tempfile.mkdtemp(prefix="tickline-log-")
+    s = Q.read_log_stream(spark, d, max_files_per_trigger=2)
+    assert s.isStreaming
+    assert s.columns == ["key", "value", "topic", "partition", "offset", "timestamp"]

@@ -619,3 +619,9 @@ def q_stream_archive(spark, sf_dir):
     root = _archive_run(spark, sf_dir)
     a = archive.read_archive(spark, f"{root}/archive")
     return a.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("event_id").alias("ids"))
+
+
+@register("latest_day_metrics_from_bars", _LATEST_DAY_SQL.format(s=SYMBOL) + "SELECT " + O.METRIC_SELECT + " FROM latest")
+def q_latest_day_from_bars(spark, sf_dir):
+    b = bars.minute_bars(_trades(spark, sf_dir))
+    return serve.latest_day_metrics_from_bars(b, SYMBOL).select(*_metric_cols(with_symbol=False))
