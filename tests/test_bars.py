@@ -109,3 +109,27 @@ def test_latest_bar_and_feed_summary(spark):
     assert f.available and f.latest_received is not None
     long = serve.long_form(serve.gap_segments(serve.latest_day_metrics(m, "VIEW")))
     assert long.count() == 3 * serve.latest_day_metrics(m, "VIEW").count()
+
+
+def test_caption_texts_match_python_formatting(spark):
+    t = trades_from_events(read_events(spark, SF_MID))
+    m = bars.one_minute_metrics(t)
+    for symbol in ("VIEW", "CLICK", "ERROR"):
+        s = serve.latest_bar_summary(serve.latest_day_metrics(m, symbol))
+        (raw,) = s.collect()
+        (txt,) = serve.caption_texts(s).collect()
+        assert txt.caption == "Latest completed minute: " + raw.minute.strftime("%Y-%m-%d %H:%M UTC")
+        assert txt.close == f"${raw.close_price:.2f}"
+        assert txt.change == f"{raw.price_change:.2f}"
+        assert txt.high == f"${raw.high_price:.2f}" and txt.low == f"${raw.low_price:.2f}"
+        assert txt.volume == f"{raw.volume:,.0f}"
+        assert txt.vwap == f"${raw.vwap:.2f}"
+        assert txt.trades == f"{raw.trade_count:,.0f}"
+
+
+def test_format_number_half_even_like_python(spark):
+    vals = [2.5, 3.5, 2.675, 1.005, 1234567.125, 0.125, 1e6 + 0.5]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    for r in df.select("x", F.format_number("x", 2).alias("two"), F.format_number("x", 0).alias("zero")).collect():
+        assert r.two == f"{r.x:,.2f}", r
+        assert r.zero == f"{r.x:,.0f}", r

@@ -83,3 +83,9 @@ def test_offset_spans_round_trip(spark):
     for span, row in zip(spans, parsed.collect()):
         assert [p.partition for p in row.p] == sorted(p.partition for p in row.p)
         assert sum(p.last_offset - p.first_offset + 1 for p in row.p) == span.span_width
+
+
+def test_conditions_text_both_forms(spark):
+    df = spark.createDataFrame([('["@"]',), ("['@', 'T']",), ("[]",), (None,)], "c string")
+    got = [r.a for r in df.select(archive.conditions_array(F.col("c")).alias("a")).collect()]
+    assert got == [["@"], ["@", "T"], [], []]

@@ -133,6 +133,24 @@ def latest_bar_summary(latest_day: DataFrame) -> DataFrame:
     )
 
 
+def caption_texts(summary: DataFrame) -> DataFrame:
+    """Display texts of a :func:`latest_bar_summary` row, formatted the way the
+    metrics page prints them: ``%Y-%m-%d %H:%M UTC`` for the minute, two
+    decimals for prices (half-even on the exact value), thousands separators and
+    no decimals for volume and trade count."""
+    money = lambda c: F.concat(F.lit("$"), F.format_number(F.col(c), 2))
+    return summary.select(
+        F.concat(F.lit("Latest completed minute: "), F.date_format("minute", "yyyy-MM-dd HH:mm"), F.lit(" UTC")).alias("caption"),
+        money("close_price").alias("close"),
+        F.format_number(F.col("price_change"), 2).alias("change"),
+        money("high_price").alias("high"),
+        money("low_price").alias("low"),
+        F.format_number(F.col("volume"), 0).alias("volume"),
+        money("vwap").alias("vwap"),
+        F.format_number(F.col("trade_count").cast("double"), 0).alias("trades"),
+    )
+
+
 def query_dataframe(spark, query: str, **params) -> DataFrame:
     """Run a parameterized SQL text (``:name`` markers) as a DataFrame."""
     return spark.sql(query, args=params or None)

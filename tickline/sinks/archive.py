@@ -88,6 +88,13 @@ def read_archive(
     return df
 
 
+def conditions_array(text: Column) -> Column:
+    """Archive ``conditions`` text → array<string>; accepts JSON (``["@"]``, what
+    we write) and Python list text (``['@']``, what older CSV objects hold)."""
+    as_json = F.when(text.startswith("['"), F.regexp_replace(text, "'", '"')).otherwise(text)
+    return F.coalesce(F.from_json(as_json, "array<string>"), F.array().cast("array<string>"))
+
+
 def list_archive(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """Files under the archive root (path, length, modificationTime); contents
     are not read."""

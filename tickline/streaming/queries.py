@@ -32,12 +32,16 @@ def read_log_stream(
     source: str | dict[str, str],
     max_records_per_trigger: int | None = None,
     max_files_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """The trade log as a stream with the Kafka record columns.
 
     ``source`` is either Kafka options (``{"kafka.bootstrap.servers": ...,
     "subscribe": topic}``; read from the earliest offset, the checkpoint replaces
     consumer-group offsets) or a folder of Parquet files with the same columns.
+    ``min_partitions`` splits large topic partitions into more input tasks per
+    micro-batch (a topic with few partitions would otherwise cap the parallelism
+    of validation at the partition count).
     """
     configure(spark)
     if isinstance(source, dict):
@@ -46,6 +50,8 @@ def read_log_stream(
             reader = reader.option(k, v)
         if max_records_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", str(max_records_per_trigger))
+        if min_partitions:
+            reader = reader.option("minPartitions", str(min_partitions))
         return reader.load()
     reader = spark.readStream.schema(LOG_RECORD)
     if max_files_per_trigger:
