@@ -9,9 +9,8 @@ producer hashes:
 * otherwise ``d[.ddd]e+XX`` / ``d[.ddd]e-XX`` (``1e+16``, ``1.5e-05``).
 
 Java's ``Double.toString`` (what ``cast(double as string)`` and ``to_json`` print)
-uses the same shortest digits but switches to ``1.0E7`` layout outside
-[1e-3, 1e7); the layout is rebuilt from Java's digits here. Known gap: JDK 17
-prints a few values (e.g. the smallest subnormal) with a non-shortest digit string.
+switches to ``1.0E7`` layout outside [1e-3, 1e7) and, on JDK 17, sometimes prints
+one digit more than the shortest; see :func:`python_float_text`.
 """
 
 from __future__ import annotations
@@ -29,22 +28,44 @@ def json_string(text: Column) -> Column:
 def python_float_text(x: Column) -> Column:
     """``repr(float(x))`` for a finite DOUBLE column.
 
-    Java and Python print the same shortest digits; only the layout differs, and
-    only outside [1e-3, 1e7), so the common case is a plain cast.
+    Fast path: between 1e-3 and 1e7 Java prints the same text as Python, and
+    with at most 15 significant digits it is the shortest one. Otherwise the
+    digits are taken from ``%.15e`` (16 digits) when that round-trips, else from
+    ``%.16e`` (17 digits), trailing zeros dropped, and laid out the way Python
+    does (plain between 1e-4 and 1e16, else ``d.ddde±XX``). The round-trip test
+    also corrects JDK 17's occasional 17-digit output (``5.5938493878276624E16``).
+    Known gap: subnormal numbers (below 2.2e-308), whose shortest form can have
+    far fewer digits, keep 16 digits.
     """
     x = x.cast("double")
     java = x.cast("string")
     ax = F.abs(x)
-    # [1e-4, 1e-3) and [1e7, 1e16): plain notation from the exact decimal value.
-    plain = F.rtrim(x.cast("decimal(38,22)").cast("string"), F.lit("0"))
-    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-    # Elsewhere: 1.0E16 -> 1e+16, 1.5E-5 -> 1.5e-05.
-    mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", "")
-    exponent = F.substring_index(java, "E", -1).cast("int")
-    sci = F.format_string("%se%s%02d", mantissa, F.when(exponent < 0, F.lit("-")).otherwise(F.lit("+")), F.abs(exponent))
+    java_digits = F.length(F.regexp_replace(F.substring_index(java, "E", 1), r"[-.]|^-?0\.0*", ""))
+    fast = (ax >= F.lit(1e-3)) & (ax < F.lit(1e7)) & (java_digits <= 15)
+
+    s16 = F.format_string("%.15e", x)
+    text = F.when(s16.cast("double") == x, s16).otherwise(F.format_string("%.16e", x))
+    exp = F.substring_index(text, "e", -1).cast("int")
+    digits = F.rtrim(F.regexp_replace(F.substring_index(text, "e", 1), r"[-.]", ""), F.lit("0"))
+    n = F.length(digits)
+    sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
+    point = exp + 1
+    wide = F.when(
+        n <= point, F.concat(digits, F.repeat(F.lit("0"), point - n), F.lit(".0"))
+    ).otherwise(F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, F.lit(32))))
+    narrow = F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits)
+    plain = F.concat(sign, F.when(exp >= 0, wide).otherwise(narrow))
+    mantissa = F.when(n > 1, F.concat(F.substring(digits, 1, 1), F.lit("."), F.substring(digits, F.lit(2), F.lit(32)))).otherwise(digits)
+    sci = F.concat(
+        sign,
+        mantissa,
+        F.lit("e"),
+        F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
+        F.when(F.abs(exp) < 10, F.lit("0")).otherwise(F.lit("")),
+        F.abs(exp).cast("string"),
+    )
     return (
-        F.when((ax >= F.lit(1e-3)) & (ax < F.lit(1e7)), java)
-        .when(ax == 0, java)
-        .when((ax >= F.lit(1e-4)) & (ax < F.lit(1e16)), plain)
+        F.when(fast | (ax == 0), java)
+        .when((exp >= -4) & (exp < 16), plain)
         .otherwise(sci)
     )
