@@ -31,11 +31,26 @@ def canonical_text(
     source: Column,
 ) -> Column:
     """Canonical text of a normalized trade (doubles for price and volume)."""
+    return canonical_text_rendered(
+        symbol, python_float_text(price), python_float_text(volume), timestamp, trade_timestamp_ms, conditions, source
+    )
+
+
+def canonical_text_rendered(
+    symbol: Column,
+    price_text: Column,
+    volume_text: Column,
+    timestamp: Column,
+    trade_timestamp_ms: Column,
+    conditions: Column,
+    source: Column,
+) -> Column:
+    """:func:`canonical_text` with price and volume already rendered as text."""
     return F.concat(
         F.lit('{"conditions":'),
         F.to_json(conditions),
         F.lit(',"price":'),
-        python_float_text(price),
+        price_text,
         F.lit(',"source":'),
         json_string(source),
         F.lit(',"symbol":'),
@@ -45,7 +60,7 @@ def canonical_text(
         F.lit(',"trade_timestamp_ms":'),
         trade_timestamp_ms.cast("long").cast("string"),
         F.lit(',"volume":'),
-        python_float_text(volume),
+        volume_text,
         F.lit("}"),
     )
 

@@ -40,8 +40,8 @@ def python_float_text(x: Column) -> Column:
     x = x.cast("double")
     java = x.cast("string")
     ax = F.abs(x)
-    java_digits = F.length(F.regexp_replace(F.substring_index(java, "E", 1), r"[-.]|^-?0\.0*", ""))
-    fast = (ax >= F.lit(1e-3)) & (ax < F.lit(1e7)) & (java_digits <= 15)
+    # at most 16 characters leave at most 15 digits (the point takes one)
+    fast = (ax >= F.lit(1e-3)) & (ax < F.lit(1e7)) & (F.length(java) <= 16)
 
     s16 = F.format_string("%.15e", x)
     text = F.when(s16.cast("double") == x, s16).otherwise(F.format_string("%.16e", x))

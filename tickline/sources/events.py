@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.functions.fingerprint import canonical_text, sha256_hex
+from tickline.functions.fingerprint import canonical_text_rendered, sha256_hex
 from tickline.functions.jsontext import json_string, python_float_text
 from tickline.functions.timefmt import iso_from_millis
 from tickline.schemas import SOURCE_NAME
@@ -113,16 +113,20 @@ def _wire_parts(events: DataFrame, squeeze: int) -> DataFrame:
         squeezed_ms("ts", squeeze).alias("_ms"),
         F.pmod(F.col("event_id"), F.lit(FAULT_CYCLE)).alias("_fault"),
     ).withColumn("_iso", iso_from_millis(F.col("_ms")))
-    canon = canonical_text(
-        F.col("_sym"), F.col("_price"), F.col("_vol"), F.col("_iso"), F.col("_ms"), F.array(F.lit("@")), F.lit(SOURCE_NAME)
+    # Numbers rendered once; both the id text and the message use them.
+    staged = staged.select(
+        "*", python_float_text(F.col("_price")).alias("_price_txt"), python_float_text(F.col("_vol")).alias("_vol_txt")
+    )
+    canon = canonical_text_rendered(
+        F.col("_sym"), F.col("_price_txt"), F.col("_vol_txt"), F.col("_iso"), F.col("_ms"), F.array(F.lit("@")), F.lit(SOURCE_NAME)
     )
     staged = staged.withColumn("_eid", sha256_hex(canon))
     # Text pieces used by several fault branches: projected once, not per branch.
     return staged.select(
         "*",
         _kv("symbol", json_string(F.col("_sym"))).alias("_symbol_kv"),
-        _kv("price", python_float_text(F.col("_price"))).alias("_price_kv"),
-        _kv("volume", python_float_text(F.col("_vol"))).alias("_volume_kv"),
+        _kv("price", F.col("_price_txt")).alias("_price_kv"),
+        _kv("volume", F.col("_vol_txt")).alias("_volume_kv"),
         _kv("timestamp", json_string(F.col("_iso"))).alias("_ts_kv"),
     )
 
