@@ -625,3 +625,31 @@ def q_stream_archive(spark, sf_dir):
 def q_latest_day_from_bars(spark, sf_dir):
     b = bars.minute_bars(_trades(spark, sf_dir))
     return serve.latest_day_metrics_from_bars(b, SYMBOL).select(*_metric_cols(with_symbol=False))
+
+
+@register("one_minute_metrics_by_day", O.TBM + "SELECT symbol, " + O.METRIC_SELECT + " FROM metrics")
+def q_metrics_by_day(spark, sf_dir):
+    b = bars.minute_bars(_trades(spark, sf_dir))
+    return bars.indicators_by_day(b).select(*_metric_cols())
+
+
+@register(
+    "one_minute_metrics_by_day_hourly",
+    """WITH trades AS (
+  SELECT CAST(event_id AS VARCHAR) AS event_id, upper(event_type) AS symbol, value AS price,
+         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS volume,
+         make_timestamp((epoch_us(ts)//1000) * 1000) AS trade_time
+  FROM events WHERE value > 0),"""
+    + O.BARS_CTE.replace("'minute'", "'hour'")
+    + ","
+    + O.METRICS_CTE
+    + "\nSELECT symbol, "
+    + O.METRIC_SELECT
+    + " FROM metrics",
+)
+def q_metrics_by_day_hourly(spark, sf_dir):
+    # Unsqueezed events over 30 days: hour bars cross many day boundaries, so
+    # the warm-up bars of each day come from earlier days.
+    configure(spark)
+    t = trades_from_events(read_events(spark, sf_dir), squeeze=1)
+    return bars.indicators_by_day(bars.minute_bars(t, width="hour")).select(*_metric_cols())
