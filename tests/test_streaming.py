@@ -184,3 +184,24 @@ def test_kafka_options_and_reader(spark):
     s = Q.read_log_stream(spark, d, max_files_per_trigger=2)
     assert s.isStreaming
     assert s.columns == ["key", "value", "topic", "partition", "offset", "timestamp"]
+
+
+def test_dedup_within_watermark(spark, workdir):
+    from tickline.sources.events import trades_from_events
+
+    src = os.path.join(workdir, "tr")
+    t = trades_from_events(read_events(spark, SF_SMALL)).select("event_id", "symbol", "price", "volume", "trade_time")
+    t.unionByName(t).coalesce(2).write.parquet(src)
+    stream = spark.readStream.schema(t.schema).parquet(src)
+    out = os.path.join(workdir, "dedup")
+    q = (
+        Q.dedup_within_watermark(stream, "1 hour")
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", os.path.join(workdir, "ck_dedup"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination(300)
+    got = spark.read.parquet(out)
+    assert got.count() == t.count() == got.select("event_id").distinct().count()

@@ -1,6 +1,7 @@
 """Structured Streaming entry points (see ``queries``)."""
 
 from tickline.streaming.queries import (
+    dedup_within_watermark,
     kafka_options,
     read_log_stream,
     start_archive_query,
@@ -11,6 +12,7 @@ from tickline.streaming.queries import (
 )
 
 __all__ = [
+    "dedup_within_watermark",
     "kafka_options",
     "read_log_stream",
     "start_archive_query",

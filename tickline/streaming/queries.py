@@ -219,6 +219,15 @@ def watermarked_bars(trades_stream: DataFrame, delay: str = "1 minute", width: s
     )
 
 
+def dedup_within_watermark(trades_stream: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """Opt-in bounded dedup for a trades stream: drops a repeated ``event_id``
+    seen within ``delay`` of event time, keeping state only for that span. The
+    default path (``start_table_query``) dedups against the whole table instead,
+    with no bound on how late a repeat may arrive."""
+    t = trades_stream.withColumn("trade_time", F.col("trade_time").cast("timestamp"))
+    return t.withWatermark("trade_time", delay).dropDuplicatesWithinWatermark(["event_id"])
+
+
 def start_bars_query(
     trades_stream: DataFrame,
     path: str,
@@ -240,4 +249,5 @@ __all__ = [
     "start_publish_query",
     "start_bars_query",
     "watermarked_bars",
+    "dedup_within_watermark",
 ]
