@@ -89,3 +89,18 @@ def test_conditions_text_both_forms(spark):
     df = spark.createDataFrame([('["@"]',), ("['@', 'T']",), ("[]",), (None,)], "c string")
     got = [r.a for r in df.select(archive.conditions_array(F.col("c")).alias("a")).collect()]
     assert got == [["@"], ["@", "T"], [], []]
+
+
+def test_latest_trades_from_table_prunes_dates(spark, workdir):
+    from tickline.operators import serve
+    from tickline.sources.events import trades_from_events
+
+    # unsqueezed events span 30 days -> 30 trade_date partitions
+    t = trades_from_events(read_events(spark, SF_SMALL), squeeze=1)
+    path = os.path.join(workdir, "trades")
+    trades_table.upsert_trades(t, path)
+    assert len(trades_table.partition_values(spark, path)) == 30
+    for symbol, limit in ((None, 200), ("VIEW", 50), ("VIEW", 10_000)):
+        got = [tuple(r) for r in trades_table.latest_trades(spark, path, symbol, limit).collect()]
+        want = [tuple(r) for r in serve.latest_trades(t, symbol, limit).collect()]
+        assert got == want
