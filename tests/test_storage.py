@@ -104,3 +104,35 @@ def test_latest_trades_from_table_prunes_dates(spark, workdir):
         got = [tuple(r) for r in trades_table.latest_trades(spark, path, symbol, limit).collect()]
         want = [tuple(r) for r in serve.latest_trades(t, symbol, limit).collect()]
         assert got == want
+
+
+def test_compaction_and_date_refresh(spark, workdir):
+    from tickline.operators.bars import minute_bars
+    from tickline.sinks import bars_table
+    from tickline.sources.events import trades_from_events
+
+    t = trades_from_events(read_events(spark, SF_SMALL), squeeze=1)
+    path = os.path.join(workdir, "trades")
+    # many small appends, then compaction of two dates
+    for d in range(1, 6):
+        trades_table.upsert_trades(t.where(F.dayofmonth("trade_time") == d), path)
+    before = spark.read.parquet(path)
+    n = before.count()
+    trades_table.compact_dates(spark, path, ["2024-01-01", "2024-01-02"])
+    after = spark.read.parquet(path)
+    assert after.count() == n
+    files = archive.list_archive(spark, os.path.join(path, "trade_date=2024-01-01"), "*.parquet").count()
+    assert files == 1
+    # whole-date bar refresh equals bars of the stored trades
+    bars_path = os.path.join(workdir, "bars")
+    bars_table.refresh_bars(spark, path, bars_path, trades_table.partition_values(spark, path))
+    got = {(r.symbol, r.minute): r.trade_count for r in bars_table.read_bars(spark, bars_path).collect()}
+    want = {(r.symbol, r.minute): r.trade_count for r in minute_bars(after).collect()}
+    assert got == want
+
+
+def test_query_dataframe_parameters(spark):
+    from tickline.operators import serve
+
+    df = serve.query_dataframe(spark, "SELECT :a + 1 AS x, :s AS s", a=41, s="VIEW")
+    assert df.collect()[0].asDict() == {"x": 42, "s": "VIEW"}
