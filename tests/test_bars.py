@@ -133,3 +133,17 @@ def test_format_number_half_even_like_python(spark):
     for r in df.select("x", F.format_number("x", 2).alias("two"), F.format_number("x", 0).alias("zero")).collect():
         assert r.two == f"{r.x:,.2f}", r
         assert r.zero == f"{r.x:,.0f}", r
+
+
+def test_latest_day_completed_only(spark):
+    t = trades_from_events(read_events(spark, SF_SMALL))
+    m = bars.one_minute_metrics(t)
+    full = serve.latest_day_metrics(m, "VIEW").collect()
+    last = full[-1].minute
+    cut = serve.latest_day_metrics(m, "VIEW", completed_before=last).collect()
+    day = last.replace(hour=0, minute=0)
+    earlier = sorted(r.minute for r in m.where(F.col("symbol") == "VIEW").collect() if day <= r.minute < last)
+    assert [r.minute for r in cut] == earlier[-120:]
+    # indicators of the kept bars are unchanged
+    same = {r.minute: r.moving_average_15 for r in full}
+    assert all(same[r.minute] == r.moving_average_15 for r in cut if r.minute in same)

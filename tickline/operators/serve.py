@@ -36,13 +36,20 @@ def latest_trades(trades: DataFrame, symbol: str | None = None, limit: int = 200
     return _feed(trades, symbol, limit)
 
 
-def latest_day_metrics(metrics: DataFrame, symbol: str, limit: int = 120) -> DataFrame:
+def latest_day_metrics(metrics: DataFrame, symbol: str, limit: int = 120, completed_before=None) -> DataFrame:
     """Up to ``limit`` latest bars of the symbol's latest day, ascending by minute.
 
     The symbol filter is pushed below the Window into the scan; the day filter is
     applied after the Window, since the moving averages need earlier bars.
+    ``completed_before`` (a timestamp) keeps only bars whose minute has ended by
+    then; by default the running minute is shown, as the reference does.
     """
     one = metrics.where(F.col("symbol") == F.lit(symbol))
+    if completed_before is not None:
+        # only bars whose minute has ended by then (drops the running minute);
+        # the indicators of the kept bars do not depend on later bars
+        end = F.col("minute") + F.expr("INTERVAL 1 MINUTE")
+        one = one.where(end <= F.lit(completed_before).cast("timestamp"))
     day_start = one.select(F.date_trunc("day", F.max("minute"))).scalar()
     return (
         one.where(F.col("minute") >= day_start)
