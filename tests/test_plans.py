@@ -1,7 +1,6 @@
 """Plan shape: filters reach the scan, one Window node, no Python on the
 default path, aggregation is partial before the shuffle."""
 
-from pyspark.sql import functions as F
 
 from tickline.operators import bars, ingest, serve, validate
 from tickline.sources.events import log_from_events, read_events, trades_from_events

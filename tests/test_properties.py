@@ -2,7 +2,6 @@
 small Python model of the validation rules."""
 
 import json
-import math
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
