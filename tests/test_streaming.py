@@ -205,3 +205,18 @@ def test_dedup_within_watermark(spark, workdir):
     q.awaitTermination(300)
     got = spark.read.parquet(out)
     assert got.count() == t.count() == got.select("event_id").distinct().count()
+
+
+def test_read_frames_text_and_status(spark, workdir):
+    from tickline.operators import ingest, serve
+    from tickline.sources.frames import read_frames
+    from tickline.sources.events import vendor_frames_from_events
+
+    d = os.path.join(workdir, "frames")
+    vendor_frames_from_events(read_events(spark, SF_SMALL)).write.text(d)
+    frames = read_frames(spark, d, streaming=False)
+    n = ingest.normalize_trades(ingest.decode_frames(frames)).count()
+    assert n == read_events(spark, SF_SMALL).where(F.col("event_type") != "error").count()
+    assert read_frames(spark, d).isStreaming
+    (missing,) = serve.table_status(spark, os.path.join(workdir, "nope")).collect()
+    assert missing.available is False and missing.latest_received is None

@@ -163,6 +163,17 @@ def query_dataframe(spark, query: str, **params) -> DataFrame:
     return spark.sql(query, args=params or None)
 
 
+def table_status(spark, path: str) -> DataFrame:
+    """Availability and latest arrival of the stored trades table; a table that
+    does not exist (yet) gives ``(false, NULL)`` instead of an error."""
+    from pyspark.sql.utils import AnalysisException
+
+    try:
+        return freshness(spark.read.parquet(path))
+    except AnalysisException:
+        return spark.range(1).select(F.lit(False).alias("available"), F.lit(None).cast("timestamp").alias("latest_received"))
+
+
 def freshness(trades: DataFrame, column: str = "received_at") -> DataFrame:
     """One row: whether the table has data and its latest arrival time."""
     return trades.agg(
