@@ -69,3 +69,14 @@ def test_validation_parses_once(spark):
     # the rule chain is not pushed into a Filter below the parse
     assert "Filter" not in p.split("Generate")[0] or "error" not in p.split("Generate")[0].split("Filter")[1][:200]
     assert p.count("parseJson") == 1 or p.count("parse_json") <= 1
+
+
+def test_balance_is_a_noop_on_partitioned_input(spark):
+    from tickline.sources.layout import balance
+
+    wide = spark.range(0, 1000, numPartitions=16)
+    assert balance(wide, min_partitions=8) is wide
+    narrow = spark.range(0, 1000, numPartitions=1)
+    spread = balance(narrow, min_partitions=8)
+    assert spread.rdd.getNumPartitions() == 8
+    assert spread.count() == 1000
