@@ -340,8 +340,10 @@ def _validated(spark: SparkSession, sf_dir: str, table_path: bool = False) -> Da
 )
 def q_validate(spark, sf_dir):
     v = _validated(spark, sf_dir)
-    # event_id only where valid: derived ids need a valid message.
-    return v.select(
+    # event_id only where valid: derived ids need a valid message. Passing the
+    # rows through `route` starts a new generated method after the rule chain.
+    rows = validate.route(v, F.lit(True), F.col("partition"), F.col("offset"), F.col("error"), F.col("msg"))
+    return rows.select(
         "partition", "offset", "error", F.when(F.col("error").isNull(), event_id_for_message(F.col("msg"))).alias("event_id")
     )
 
