@@ -126,3 +126,20 @@ def test_duplicate_keys_last_wins(spark):
     )
     (row,) = validate.valid_messages(validate.validate(log)).collect()
     assert row.price == 2.5
+
+
+def test_dead_letter_messages_shape(spark):
+    from tickline.sinks.dead_letters import dead_letter_messages
+
+    log = spark.createDataFrame(
+        [(b"AAPL", b"[1]", "trades", 2, 7)], "key binary, value binary, topic string, partition int, offset long"
+    )
+    (row,) = dead_letter_messages(validate.dead_letters(validate.validate(log))).collect()
+    assert bytes(row.key) == b"AAPL"
+    assert json.loads(row.value) == {
+        "error": rules.ERR_OBJECT,
+        "source_topic": "trades",
+        "source_partition": 2,
+        "source_offset": 7,
+        "original_value": "[1]",
+    }
