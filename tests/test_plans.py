@@ -80,3 +80,19 @@ def test_balance_is_a_noop_on_partitioned_input(spark):
     spread = balance(narrow, min_partitions=8)
     assert spread.rdd.getNumPartitions() == 8
     assert spread.count() == 1000
+
+
+def test_upsert_probe_broadcasts_only_below_the_checked_size(spark, workdir):
+    import os
+
+    from tickline.sinks import trades_table
+
+    t = trades_from_events(read_events(spark, SF_SMALL))
+    path = os.path.join(workdir, "trades")
+    trades_table.upsert_trades(t, path)
+    stored = spark.read.parquet(path)
+    small = trades_table.new_rows(t, stored, batch_rows=1000, broadcast_keys_limit=250_000)
+    big = trades_table.new_rows(t, stored, batch_rows=10**9, broadcast_keys_limit=250_000)
+    assert "BroadcastExchange" in plan_of(small)
+    assert small.count() == 0
+    assert "LeftAnti" in plan_of(big) and big.count() == 0
