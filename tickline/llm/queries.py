@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import bpe, line_dedup, quality_rules, sharding
+from tickline.llm import bpe, decontaminate, html, line_dedup, mil_quality, quality_rules, secrets, sharding
 from tickline.llm.common import table
 from tickline.llm.oracles import ORACLE
 
@@ -46,3 +46,32 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op4_html_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = mil_quality.fit(documents, table(spark, sf_dir, "labels").where(~held_out))
+    scored = mil_quality.score(documents, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = secrets.corpus(documents)
+    model = secrets.train(secrets.labelled_findings(documents), known)
+    found = secrets.scan(documents, known, model)
+    return found.select("doc_id", "rule", "start", "length", F.sha2("value", 256).alias("value_sha256"), "score", "secret")
