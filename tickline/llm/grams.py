@@ -15,8 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_BASE = 0x9E3779B97F4A7C15
+#: A second base, for keys of 128 bits.
+_OTHER = 0xD6E8FEB86659FD93
 _MUL, _XOR1, _XOR2 = U(0xFF51AFD7ED558CCD), U(33), U(29)
 PIECE = 1 << 20
 
@@ -29,17 +30,24 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 PUNCTUATION = np.zeros(256, bool)
 PUNCTUATION[:128] = [not chr(k).isalnum() for k in range(128)]
 
-_powers = {"up": np.ones(1, U), "down": np.ones(1, U)}
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers["up"]) < n:
+def _power(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of a base and of its inverse, modulo 2**64."""
+    if base not in _powers or len(_powers[base][0]) < n:
         size = max(n, PIECE + 1)
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
-            steps = np.full(size, U(base))
-            steps[0] = 1
-            _powers[name] = np.multiply.accumulate(steps)
-    return _powers["up"][:n], _powers["down"][:n]
+        steps = np.full((2, size), U(base))
+        steps[1] = U(pow(base, -1, 1 << 64))
+        steps[:, 0] = 1
+        _powers[base] = tuple(np.multiply.accumulate(steps, axis=1))
+    up, down = _powers[base]
+    return up[:n], down[:n]
+
+
+def lower(body: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z lower-cased."""
+    return _LOWER[body]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -56,10 +64,15 @@ def _piece_words(body: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray,
     inside[1:-1] = ~separators[body]
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edge[::2], edge[1::2]
-    up, down = _power(len(body) + 1)
+    return span_hashes(body, start, end), start, end
+
+
+def span_hashes(body: np.ndarray, start: np.ndarray, end: np.ndarray, second: bool = False) -> np.ndarray:
+    """Hash of each stretch of bytes; `second` gives independent ones."""
+    up, down = _power(len(body) + 1, _OTHER if second else _BASE)
     total = np.zeros(len(body) + 1, U)
     np.cumsum((body.astype(U) + U(1)) * up[:-1], out=total[1:])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(U)), start, end
+    return mix((total[end] - total[start]) * down[start] + (end - start).astype(U))
 
 
 def words(body: np.ndarray, separators: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import bpe, decontaminate, html, line_dedup, mil_quality, quality_rules, secrets, sharding
+from tickline.llm import bpe, decontaminate, html, line_dedup, mil_quality, ngram_join, quality_rules, secrets, sharding
 from tickline.llm.common import table
 from tickline.llm.oracles import ORACLE
 
@@ -75,3 +75,8 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = secrets.train(secrets.labelled_findings(documents), known)
     found = secrets.scan(documents, known, model)
     return found.select("doc_id", "rule", "start", "length", F.sha2("value", 256).alias("value_sha256"), "score", "secret")
+
+
+@query
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(table(spark, sf_dir, "documents").select("doc_id", "text"), spec=ngram_join.Spec(n=4, percent=85))
