@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import bpe, decontaminate, html, line_dedup, mil_quality, ngram_join, quality_rules, secrets, sharding
+from tickline.llm import bpe, decontaminate, html, line_dedup, mil_quality, ngram_join, quality_rules, secrets, sharding, suffix_dedup
 from tickline.llm.common import table
 from tickline.llm.oracles import ORACLE
 
@@ -80,3 +80,9 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_components(table(spark, sf_dir, "documents").select("doc_id", "text"), spec=ngram_join.Spec(n=4, percent=85))
+
+
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
