@@ -129,3 +129,14 @@ def judge(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) ->
     counts = [m[k].alias(k) for k in ("n_words", "word_chars", "n_symbols", "n_stop_words", "n_lines", "n_dup_lines", "n_unfinished_lines", "n_repeat_words")]
     quality = F.struct(*counts, F.col("__base").alias("base_failed"), F.col("__broken").alias("failed_rules"), (~F.col("__base") & (F.size("__broken") == 0)).alias("kept"))
     return judged.withColumn("quality", quality).drop("__m", "__base", "__broken")
+
+
+def keep(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows of `df` that the rules keep.
+
+    The verdict is tied to a row number that is never negative: Spark moves no filter below a projection
+    that holds one. Moved down, the filter would hold the whole verdict as one expression, with each
+    shared part computed anew wherever it is used, and for each element where that is inside an array.
+    """
+    verdict = judge(df, text, rules).withColumn("__keep", F.col("quality")["kept"] & (F.monotonically_increasing_id() >= 0))
+    return verdict.where("__keep").select(*[f"`{c}`" for c in df.columns])
