@@ -147,7 +147,7 @@ def texts_words(column: pa.Array, separators: np.ndarray = SPACE) -> Iterator[tu
         yield from flush()
 
 
-SLICES = 64
+SLICES = 16
 
 
 def count_table(df: DataFrame, hashes, buckets: int) -> np.ndarray:

@@ -31,7 +31,7 @@ from tickline.llm.common import stored
 
 #: 2**26 bits: 8 MB a filter.
 BITS = 1 << 26
-SLICES = 64
+SLICES = 16
 MIN_CHARS = 20
 MIN_DOCS = 3
 U = np.uint64
