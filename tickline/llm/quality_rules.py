@@ -115,12 +115,12 @@ def failed(rule: Rule, m: Column) -> Column:
     return (m["n_words"] >= rule.least_words) & broken
 
 
-def judge(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """All rows of `df` and, besides `df`'s columns, `quality`: a struct of the counts, `base_failed`,
+def judge(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, out: str = "quality") -> DataFrame:
+    """All rows and columns of `df` and `out`: a struct of the counts, `base_failed`,
     `failed_rules` (names, in table order) and `kept`.
 
     Defined results: null, empty and blank texts have no words and fail the base rule; repeated
-    rows are judged alike; a column named `quality` is replaced; an empty table stays empty.
+    rows are judged alike; a column named like `out` is replaced; an empty table stays empty.
     """
     m = F.col("__m")
     judged = measures(df, text)
@@ -128,7 +128,7 @@ def judge(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) ->
     judged = judged.withColumns({"__base": base_failed(m), "__broken": broken})
     counts = [m[k].alias(k) for k in ("n_words", "word_chars", "n_symbols", "n_stop_words", "n_lines", "n_dup_lines", "n_unfinished_lines", "n_repeat_words")]
     quality = F.struct(*counts, F.col("__base").alias("base_failed"), F.col("__broken").alias("failed_rules"), (~F.col("__base") & (F.size("__broken") == 0)).alias("kept"))
-    return judged.withColumn("quality", quality).drop("__m", "__base", "__broken")
+    return judged.withColumn(out, quality).drop("__m", "__base", "__broken")
 
 
 def keep(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -138,5 +138,5 @@ def keep(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) ->
     that holds one. Moved down, the filter would hold the whole verdict as one expression, with each
     shared part computed anew wherever it is used, and for each element where that is inside an array.
     """
-    verdict = judge(df, text, rules).withColumn("__keep", F.col("quality")["kept"] & (F.monotonically_increasing_id() >= 0))
+    verdict = judge(df, text, rules, "__quality").withColumn("__keep", F.col("__quality")["kept"] & (F.monotonically_increasing_id() >= 0))
     return verdict.where("__keep").select(*[f"`{c}`" for c in df.columns])
