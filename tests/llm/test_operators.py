@@ -1,0 +1,307 @@
+"""The operators on one awkward table: nulls, empty, long and repeated rows, clashing column names."""
+
+import base64
+import hashlib
+import os
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+import brute
+from tickline.llm import bpe, decontaminate, html, line_dedup, mil_quality, ngram_join, quality_rules, secrets, sharding, suffix_dedup
+
+A = "the quick brown fox jumps over a lazy dog and then it was seen by the old man who had not been there for a long time"
+B = " ".join(f"word{k}" for k in range(60))
+LINE = "This Line Is Shared By Several Documents"
+ROWS = [
+    (1, A),
+    (2, A),
+    (3, A.replace("lazy", "busy")),
+    (4, None),
+    (5, ""),
+    (6, " \n\t "),
+    (7, " ".join(f"w{k % 977}x{k % 31}" for k in range(20_000))),
+    (8, "x" * 70_000),
+    (None, A),
+    (None, None),
+    (9, B),
+    (9, B),
+    (10, f"{LINE}\none\n{LINE.lower()}  \nshort"),
+    (11, f"  {LINE.upper()}\t\ntwo\nshort"),
+    (12, f"three\n{LINE}\nshort\n"),
+    (13, "a a a a a a a a a a a a a a a a a a a a"),
+    (14, 'set token = "f33e61083db5dbdf4bd2369d2f80176e57f7fda2" here ünï 🙂'),
+    (15, "###*** $$$ %%% &&& ||| <<< >>> ### *** $$$ %%%"),
+    (16, B.upper().replace("WORD7 ", "")),
+    (17, "ABC " * 300),
+]
+CLASH = "quality n_lines n_dropped kept n_bytes score ids decoded slot shard n_shingles component_id text_2".split()
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASH)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, None, "src", None, *["old"] * len(CLASH)) for i, t in ROWS]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def pairs(df, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in df.select(*columns).collect()), key=repr)
+
+
+def test_quality_rules(docs, none):
+    out = quality_rules.judge(docs)
+    assert out.columns == docs.columns
+    rows = out.select("text", "quality.*").collect()
+    assert len(rows) == len(ROWS)
+    for r in rows:
+        m, base, kept = brute.quality(r["text"], quality_rules.STOP_WORDS, quality_rules.RULES)
+        assert {k: r[k] for k in m} == m
+        assert (r["base_failed"], r["kept"]) == (base, kept)
+        assert kept == (not base and not r["failed_rules"])
+    assert pairs(quality_rules.keep(docs), "doc_id", "text") == sorted(((r["doc_id"], r["text"]) for r in out.where("quality.kept").collect()), key=repr)
+    assert quality_rules.judge(none).count() == 0 and quality_rules.keep(none).columns == none.columns
+    plan = quality_rules.judge(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_line_dedup(docs, none):
+    out = line_dedup.dedup_lines(docs, bits=1 << 12)
+    assert out.columns == [*[c for c in docs.columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped"]
+    want = brute.cut_lines([(i, t) for i, t in dict(ROWS).items() if i is not None])
+    got = pairs(out, "doc_id", "n_lines", "n_dropped", "text")
+    expected = [(i, *(want[i] if i is not None else ((t or "").count("\n") + 1, 0, t or ""))) for i, t in ROWS]
+    assert got == sorted(expected, key=repr)
+    assert want[10][1] == 2 and want[12][1] == 0  # the last of the three keeps its line
+    assert line_dedup.dedup_lines(none).count() == 0
+
+
+def test_line_dedup_keeps_two_and_drops_three(spark):
+    rows = [(k, "a line that is found twice\n" + "a line of three documents") for k in (1, 2)] + [(3, "a line of three documents\n")]
+    out = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {1: "a line that is found twice", 2: "a line that is found twice", 3: "a line of three documents\n"}
+
+
+def want_near(spec):
+    distinct = {i: t for i, t in ROWS if i is not None}
+    found, linked = brute.near(list(distinct.items()), spec.n, spec.percent)
+    first = {}
+    for i, t in distinct.items():
+        first.setdefault(frozenset(brute.shingles(t, spec.n)), found[i][1])
+    rows = [(i, *found[i]) if i is not None else (None, len(brute.shingles(t, spec.n)), first.get(frozenset(brute.shingles(t, spec.n))) if brute.shingles(t, spec.n) else None) for i, t in ROWS]
+    return sorted(rows, key=repr), linked
+
+
+@pytest.mark.parametrize("spec", [ngram_join.Spec(n=4, percent=85), ngram_join.Spec(n=2, percent=60), ngram_join.Spec()])
+def test_ngram_components(docs, spec):
+    assert pairs(ngram_join.similar_components(docs, spec=spec), "doc_id", "n_shingles", "component_id") == want_near(spec)[0]
+
+
+@pytest.fixture(scope="module")
+def copies(spark):
+    """Groups of near copies that hang together by chains, with texts that all share some words."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for group in range(4):
+        words = [f"g{group}w{k}" for k in range(40)] + ["all", "texts", "have", "these", "words"]
+        for _ in range(30):
+            mine = list(words)
+            for k in rng.integers(0, 40, int(rng.integers(0, 5))):
+                mine[k] = f"e{rng.integers(0, 6)}"
+            rows.append((len(rows), " ".join(mine)))
+    return rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+
+@pytest.mark.parametrize("lists", [False, True])
+def test_ngram_components_by_groups_and_by_lists(copies, monkeypatch, lists):
+    rows, df = copies
+    spec = ngram_join.Spec(n=3, percent=70)
+    monkeypatch.setattr(ngram_join, "BLOCK", 7)
+    if lists:
+        monkeypatch.setattr(ngram_join, "SHORT_LIST", 4)
+        make = ngram_join._compact_groups
+        monkeypatch.setattr(ngram_join, "_compact_groups", lambda p: (make(p)[0].limit(0), p))
+    want, _ = brute.near(rows, spec.n, spec.percent)
+    got = ngram_join.similar_components(df, spec=spec)
+    assert pairs(got, "doc_id", "n_shingles", "component_id") == sorted(((i, *v) for i, v in want.items()), key=repr)
+    stay = ngram_join.one_of_each(df, spec=spec)
+    assert pairs(stay, "doc_id") == sorted({(c,) for _, c in want.values()}, key=repr)
+
+
+def test_ngram_pairs(copies):
+    rows, df = copies
+    spec = ngram_join.Spec(n=3, percent=70)
+    found, members = ngram_join.similar_pairs(df, spec=spec)
+    cls = {r["__id"]: r["__class"] for r in members.collect()}
+    linked = brute.near(rows, spec.n, spec.percent)[1]
+    assert {(r["x"], r["y"]) for r in found.collect()} == {tuple(sorted((cls[a], cls[b]))) for a, b in linked if cls[a] != cls[b]}
+
+
+def test_ngram_of_nothing(none):
+    assert ngram_join.similar_components(none).collect() == []
+
+
+def test_byte_bpe(spark, docs, none):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    codec = bpe.Codec(spark, bpe.read_ranks(spark, path), public_tokenizers.PATTERN, piece_chars=50)
+    with open(path, "rb") as f:
+        coder = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, special_tokens={})
+    rows = codec.decode(codec.encode(docs)).select("text", "ids", "decoded", bpe.ids_sha256("ids").alias("h")).collect()
+    assert len(rows) == len(ROWS)
+    for r in rows:
+        want = coder.encode_ordinary(r["text"] or "")
+        assert r["ids"] == want and bytes(r["decoded"]) == (r["text"] or "").encode()
+        assert r["h"] == hashlib.sha256(np.asarray(want, "<u4").tobytes()).hexdigest()
+    assert codec.encode(none).count() == 0
+    part = codec.decode(spark.createDataFrame([([coder.encode_ordinary("🙂")[0]],), (None,)], "ids array<int>")).collect()
+    assert bytes(part[0]["decoded"]) == coder.decode_bytes([coder.encode_ordinary("🙂")[0]]) and bytes(part[1]["decoded"]) == b""
+    with pytest.raises(ValueError):
+        bpe.Codec(spark, {b"a": 0}, public_tokenizers.PATTERN)
+
+
+@pytest.mark.parametrize("length,gram", [(40, 16), (25, 25)])
+def test_suffix_dedup(docs, length, gram):
+    out = suffix_dedup.dedup(docs, length=length, gram=gram, shard_bytes=2000)
+    assert "old" not in [r["kept"] for r in out.collect()]
+    got = sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in out.collect()), key=repr)
+    assert got == sorted(brute.repeated_bytes(ROWS, length), key=repr)
+
+
+def test_suffix_dedup_of_parts(spark):
+    rng = np.random.default_rng(3)
+    parts = ["".join(chr(97 + k) for k in rng.integers(0, 4, 60)) for _ in range(6)] + ["é" * 30, "ab" * 40]
+    rows = [(k, "|".join(parts[j][int(rng.integers(0, 20)) :] for j in rng.integers(0, len(parts), 3))) for k in range(40)]
+    out = suffix_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), length=30, gram=9, shard_bytes=500)
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in out.collect())
+    assert got == sorted(brute.repeated_bytes(rows, 30))
+
+
+def test_suffix_dedup_of_nothing(none):
+    assert suffix_dedup.dedup(none).collect() == []
+
+
+ITEMS = [
+    (1, "What did the old man see when the quick brown fox was jumping over that lazy dog in town"),
+    (2, None),
+    (3, ""),
+    (4, "unheard"),
+    (5, "two rare"),
+    (6, "Seven tiny green turtles quietly crossed a narrow wooden bridge before sunrise"),
+    (None, B),
+    (7, "nothing of this kind stands in any of those documents at all"),
+]
+
+
+def test_decontamination(spark, docs, none):
+    items = spark.createDataFrame([(i, t, "old") for i, t in ITEMS], "item_id long, text string, score string")
+    planted = [
+        (101, f"{B} Seven tiny GREEN turtles, quietly crossed a narrow wooden bridge before sunrise! {B}"),
+        (102, f"{B} seven tiny green frogs quietly crossed a very narrow wooden bridge before the sunrise {A}"),
+        (103, "unheard"),
+        (104, f"{A} two rare {B}"),
+        (105, f"{B} tiny turtles crossed a bridge"),
+        (None, "seven tiny green turtles quietly crossed a narrow wooden bridge before sunrise"),
+    ]
+    more = spark.createDataFrame(planted, "doc_id long, text string")
+    both = docs.select("doc_id", "text").unionByName(more)
+    want = {}
+    for i, t in [*ROWS, *planted]:
+        for k, item in ITEMS:
+            words = brute.alnum_words(item)
+            if i is not None and k is not None and words and len(t or "") < 5000:
+                score = brute.smith_waterman(words, brute.alnum_words(t)) / (2 * len(words))
+                if score >= decontaminate.LEAST:
+                    want[i, k] = score
+    out = decontaminate.leaks(both, items)
+    assert out.columns == ["doc_id", "item_id", "score", "start_word", "end_word"]
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in out.collect()} == pytest.approx(want)
+    assert {(101, 6), (102, 6), (103, 4), (104, 5)} <= set(want)
+    left = decontaminate.decontaminate(both, items)
+    gone = {i for i, _ in want}
+    assert pairs(left, "doc_id", "text") == sorted(((i, t) for i, t in [*ROWS, *planted] if i not in gone), key=repr)
+    assert decontaminate.leaks(none, items).collect() == []
+    assert decontaminate.leaks(both, items.limit(0)).collect() == []
+
+
+def test_html_extraction(spark):
+    bar, foot = "<div><b>Top stories of the day</b></div>", "<section><p>Terms and conditions apply</p></section>"
+    rows = [(k, f"https://a.example.com/{k}", f"<body>{bar}<div><p>Own text number {k}</p></div>{foot}</body>") for k in range(12)]
+    rows += [(k, f"http://b.example.org/{k}", f"<body>{bar}<p>Rare host {k}</p></body>") for k in range(12, 15)]
+    rows += [(20, None, "<p>no url</p>"), (21, "::odd", None), (22, "http://a.example.com", ""), (None, "https://a.example.com/x", f"<body>{bar}<p>no id</p>{foot}"), (23, "HTTPS://user@A.example.com:8080/q", f"{bar}<p>port</p>")]
+    rows += [rows[0]]
+    pages = spark.createDataFrame([(*r, "old") for r in rows], "page_id long, url string, html string, text string").repartition(4)
+    got = pairs(html.extract(pages), "page_id", "text")
+    want = [(k, f"Own text number {k}") for k in range(12)] + [(k, f"Top stories of the day Rare host {k}") for k in range(12, 15)] + [(20, "no url"), (21, ""), (22, ""), (None, "no id"), (23, "port"), (0, "Own text number 0")]
+    assert got == sorted(want, key=repr)
+    assert html.extract(pages.limit(0)).collect() == []
+
+
+def test_quality_classifier(spark, docs, none):
+    good = [(k, " ".join(f"plain word{j % 7} text" for j in range(20 + k)), 1) for k in range(30)]
+    junk = [(100 + k, "### $$$ !!! " * (10 + k), 0) for k in range(30)]
+    known = spark.createDataFrame(good + junk, "doc_id long, text string, quality int")
+    labels = known.select("doc_id", "quality").unionByName(spark.createDataFrame([(None, 1), (5000, 0), (3, None), (4, 7)], "doc_id long, quality int"))
+    model = mil_quality.fit(known.select("doc_id", "text"), labels)
+    rows = mil_quality.score(known, model).collect()
+    assert all((r["score"] >= 0.5) == (r["quality"] == 1) for r in rows)
+    again = mil_quality.fit(known.select("doc_id", "text").repartition(5), labels)
+    assert all(np.array_equal(v, again.weights[k]) for k, v in model.weights.items())
+    odd = mil_quality.score(docs, model)
+    assert odd.columns == [*[c for c in docs.columns if c != "score"][: docs.columns.index("score")], "score", *docs.columns[docs.columns.index("score") + 1 :]]
+    assert odd.count() == len(ROWS) and all(0 <= r["score"] <= 1 for r in odd.collect())
+    assert mil_quality.score(none, mil_quality.fit(none, labels)).collect() == []
+
+
+def test_quality_classifier_on_held_out_rows(spark):
+    from tickline.llm.queries import QUERIES
+
+    out = QUERIES["op6_mil_quality"](spark, brute.SF_MID).join(spark.read.parquet(f"{brute.SF_MID}/labels.parquet"), "doc_id").where("held_out").toPandas()
+    assert len(out) > 50 and (out["predicted"] == out["quality"]).mean() > 0.95
+
+
+def test_secret_scan(spark, docs, none):
+    prose = [(k, " ".join(f"lorem{j}ipsum dolor/{k}/sit amet" for j in range(30))) for k in range(200, 260)]
+    both = docs.select("doc_id", "text").unionByName(spark.createDataFrame(prose, "doc_id long, text string"))
+    known = secrets.corpus(both)
+    assert known.documents == both.count()
+    model = secrets.train(secrets.labelled_findings(both), known, trees=10)
+    found = secrets.scan(both, known, model)
+    rows = found.collect()
+    real = [r for r in rows if r["secret"]]
+    assert [r["value"] for r in real if r["doc_id"] == 14] == ["f33e61083db5dbdf4bd2369d2f80176e57f7fda2"]
+    assert all(r["doc_id"] == 14 for r in real)
+    texts = {}
+    for i, t in [*ROWS, *prose]:
+        texts[i] = t or texts.get(i)
+    assert all(texts[r["doc_id"]][r["start"] : r["start"] + r["length"]] == r["value"] for r in rows)
+    assert secrets.scan(none, secrets.corpus(none), 1.0).collect() == []
+    assert secrets.train(secrets.labelled_findings(none), secrets.corpus(none)) == 1.0
+
+
+def test_sharding(spark, docs, none, workdir):
+    out = sharding.assign(docs, "doc_id")
+    rows = out.collect()
+    assert len(rows) == len(ROWS)
+    owner = sharding.lookup_table()
+    assert all(r["shard"] == sharding.SHARDS[owner[r["slot"]]] for r in rows)
+    by_key = {}
+    for r in rows:
+        if r["doc_id"] is not None:
+            assert by_key.setdefault(r["doc_id"], r["slot"]) == r["slot"]
+    assert len({r["slot"] for r in rows if r["doc_id"] is None}) == 2
+    assert sharding.assign(none, "doc_id").collect() == []
+    path = os.path.join(workdir, "shards")
+    sharding.write_shards(out, path)
+    assert spark.read.parquet(path).count() == len(ROWS)
+    many = sharding.assign(spark.range(20_000).withColumnRenamed("id", "k"), "k").groupBy("shard").count().agg(F.min("count"), F.max("count")).first()
+    assert many[0] > 200 and many[1] < 430
+    with pytest.raises(ValueError):
+        sharding.assign(out, "slot")
