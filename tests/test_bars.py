@@ -46,7 +46,7 @@ def test_moving_averages_count_bars_not_minutes(spark):
     assert m[-1].moving_average_5 == 3.0
     assert m[0].rolling_volatility_15 is None
     assert m[1].moving_average_15 == 1.5
-    seg = serve.gap_segments(bars.minute_bars(trades(spark, rows)), by=("symbol",)).orderBy("minute").collect()
+    seg = serve.gap_segments_by_symbol(bars.minute_bars(trades(spark, rows))).orderBy("minute").collect()
     assert [r.segment for r in seg] == [0, 0, 1, 1, 2]
 
 
@@ -95,12 +95,24 @@ def test_latest_day_from_bars_equals_full_view(spark):
             assert (x.rolling_volatility_15 is None) == (y.rolling_volatility_15 is None)
 
 
+def test_warm_up_follows_the_frames(spark):
+    b = bars.minute_bars(trades_from_events(read_events(spark, SF_SMALL), squeeze=20))
+    for frames in ({"short": 3, "long": 60, "vol": 40}, {"short": 30, "long": 2, "vol": 2}):
+        full = serve.latest_day_metrics(bars.indicators(b, **frames), "VIEW").collect()
+        pruned = serve.latest_day_metrics_from_bars(b, "VIEW", **frames).collect()
+        name = f"moving_average_{max(frames['short'], frames['long'])}"
+        assert [round(r[name], 9) for r in full] == [round(r[name], 9) for r in pruned]
+
+
 def test_latest_bar_and_feed_summary(spark):
     t = trades_from_events(read_events(spark, SF_SMALL))
     m = bars.one_minute_metrics(t)
-    latest = {r.symbol: r.minute for r in serve.latest_bar_per_symbol(m).collect()}
-    expected = {r.symbol: r.m for r in m.groupBy("symbol").agg(F.max("minute").alias("m")).collect()}
+    latest = {r.symbol: (r.minute, round(r.moving_average_15, 9)) for r in serve.latest_bar_per_symbol(bars.minute_bars(t)).collect()}
+    expected = {r.symbol: (r.b.minute, round(r.b.moving_average_15, 9)) for r in m.groupBy("symbol").agg(F.max_by(F.struct("minute", "moving_average_15"), "minute").alias("b")).collect()}
     assert latest == expected
+    texts = serve.feed_caption_texts(serve.feed_summary(t)).first()
+    newest = serve.latest_trades(t).first()
+    assert texts.last_event == newest.trade_time.strftime("%H:%M:%S UTC") and texts.latest_trade == f"{newest.symbol}  ${newest.price:.2f}"
     feed = serve.latest_trades(t).collect()
     (s,) = serve.feed_summary(t).collect()
     assert s.rows_displayed == len(feed) == 200

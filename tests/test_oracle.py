@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from tickline.plans.catalog import ORACLE, QUERIES
 
 TABLES = ["events"]
 
@@ -35,8 +36,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert not missing, missing
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -45,11 +46,11 @@ def test_entry_runs(spark):
     assert "moving_average_15" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     srows, scols = [tuple(r) for r in df.collect()], df.columns
-    res = duck.execute(entry.oracle_sql()[name])
+    res = duck.execute(ORACLE[name])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(scols) == sorted(dcols)

@@ -2,6 +2,8 @@
 default path, aggregation is partial before the shuffle."""
 
 
+from pyspark.sql import functions as F
+
 from tickline.operators import bars, ingest, serve, validate
 from tickline.sources.events import log_from_events, read_events, trades_from_events
 
@@ -31,7 +33,7 @@ def test_symbol_filter_reaches_scan(spark):
 
 def test_one_window_node_for_three_indicators(spark):
     t = trades_from_events(read_events(spark, SF_SMALL))
-    p = optimized(bars.one_minute_metrics(t))
+    p = optimized(bars.indicators(bars.minute_bars(t)))
     assert p.count("Window [") == 1
 
 
@@ -82,17 +84,31 @@ def test_balance_is_a_noop_on_partitioned_input(spark):
     assert spread.count() == 1000
 
 
-def test_upsert_probe_broadcasts_only_below_the_checked_size(spark, workdir):
+def test_upsert_reads_only_the_dates_of_a_batch(spark, workdir):
     import os
 
     from tickline.sinks import trades_table
 
-    t = trades_from_events(read_events(spark, SF_SMALL))
+    t = trades_from_events(read_events(spark, SF_SMALL), squeeze=1).withColumn("id_given", F.lit(False))
     path = os.path.join(workdir, "trades")
     trades_table.upsert_trades(t, path)
-    stored = spark.read.parquet(path)
-    small = trades_table.new_rows(t, stored, batch_rows=1000, broadcast_keys_limit=250_000)
-    big = trades_table.new_rows(t, stored, batch_rows=10**9, broadcast_keys_limit=250_000)
-    assert "BroadcastExchange" in plan_of(small)
-    assert small.count() == 0
-    assert "LeftAnti" in plan_of(big) and big.count() == 0
+    one = trades_table.with_folders(t.where("dayofmonth(trade_time) = 3")).select(*trades_table.TABLE_COLUMNS, *trades_table.FOLDERS)
+    new = trades_table.new_rows(one, spark.read.parquet(path), any_given=False)
+    assert new.count() == 0
+    plan = plan_of(new)
+    assert "dynamicpruning" in plan.lower() and "id_given" in plan
+    assert plan.count("LeftAnti") >= 1
+
+
+def test_no_window_holds_a_symbols_bars(spark):
+    b = bars.minute_bars(trades_from_events(read_events(spark, SF_SMALL)))
+    for df in (bars.one_minute_metrics(trades_from_events(read_events(spark, SF_SMALL))), serve.gap_segments_by_symbol(b), serve.latest_bar_per_symbol(b)):
+        for line in plan_of(df).splitlines():
+            if "Window [" in line and "windowspecdefinition(symbol#" in line and "_day#" not in line.split("windowspecdefinition")[1]:
+                # over days, or over as many bars as the longest frame holds
+                assert "minute#" in line and "_rank" not in line or "_day" in line or "RowFrame" in line
+
+
+def test_json_is_parsed_once(spark):
+    p = optimized(validate.validate(log_from_events(read_events(spark, SF_SMALL))))
+    assert "json_object_keys" not in p

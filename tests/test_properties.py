@@ -1,6 +1,7 @@
 """Property tests (hypothesis): Python float text, and the rule chain against a
 small Python model of the validation rules."""
 
+import hashlib
 import json
 
 from hypothesis import HealthCheck, given, settings
@@ -8,14 +9,15 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tickline.functions import rules
+from tickline.functions.fingerprint import NESTING
 from tickline.functions.jsontext import python_float_text
 from tickline.operators import validate
 
-SETTINGS = dict(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = dict(max_examples=100, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 @settings(**SETTINGS)
-@given(st.lists(st.floats(allow_nan=False, allow_infinity=False, min_value=-1e300, max_value=1e300), min_size=200, max_size=400))
+@given(st.lists(st.floats(allow_nan=False, allow_infinity=False, width=64), min_size=20, max_size=60))
 def test_python_float_text(spark, xs):
     df = spark.createDataFrame([(x,) for x in xs], "x double")
     for r in df.select("x", python_float_text(F.col("x")).alias("t")).collect():
@@ -71,7 +73,7 @@ anything = st.one_of(message, scalar, st.lists(scalar, max_size=2))
 
 
 @settings(**SETTINGS)
-@given(st.lists(anything, min_size=300, max_size=400))
+@given(st.lists(anything, min_size=30, max_size=60))
 def test_rule_chain_matches_model(spark, msgs):
     rows = [(json.dumps(m).encode(), "t", 0, i) for i, m in enumerate(msgs)]
     log = spark.createDataFrame(rows, "value binary, topic string, partition int, offset long")
@@ -80,3 +82,30 @@ def test_rule_chain_matches_model(spark, msgs):
         expected = model_error(m)
         # JSON has no integer/float distinction for 1.0 vs 1 once dumped: json.dumps(1.0) == "1.0" (a float)
         assert got[i] == expected, (m, got[i], expected)
+
+
+wire_value = st.recursive(
+    st.one_of(st.none(), st.booleans(), st.integers(-(10**25), 10**25), st.floats(allow_nan=False, allow_infinity=False).filter(lambda f: not f.is_integer()), st.text(max_size=4)),
+    lambda inner: st.one_of(st.lists(inner, max_size=3), st.dictionaries(st.text(max_size=3), inner, max_size=3)),
+    max_leaves=4,
+).filter(lambda v: depth(v) <= NESTING)
+
+
+def depth(v):
+    if isinstance(v, (list, dict)):
+        return 1 + max(map(depth, v.values() if isinstance(v, dict) else v), default=0)
+    return 0
+
+
+@settings(**{**SETTINGS, "max_examples": 30})
+@given(st.lists(st.tuples(st.text(min_size=1, max_size=6).filter(str.strip), st.floats(1e-320, 1e12).filter(lambda f: not f.is_integer()), wire_value), min_size=10, max_size=30))
+def test_derived_ids_match_python(spark, rows):
+    """Ids of messages without one, for any symbol, price and conditions, against json and hashlib."""
+    msgs = [
+        {"symbol": s, "price": p, "volume": 10**20, "timestamp": "2026-10-07T18:00:00+00:00", "trade_timestamp_ms": 1, "source": "finnhub", "conditions": c}
+        for s, p, c in rows
+    ]
+    log = spark.createDataFrame([(json.dumps(m).encode(), "t", 0, i) for i, m in enumerate(msgs)], "value binary, topic string, partition int, offset long")
+    got = {r.offset: r.event_id for r in validate.valid_messages(validate.validate(log)).select("offset", "event_id").collect()}
+    for i, m in enumerate(msgs):
+        assert got[i] == hashlib.sha256(json.dumps(m, sort_keys=True, separators=(",", ":")).encode()).hexdigest(), m

@@ -42,38 +42,66 @@ def test_upsert_batches_and_replay(spark, workdir):
     assert stored.select("event_id").distinct().count() == stored.count()
     # first copy by (partition, offset) wins inside a batch; the stored copy is the first delivery
     assert stored.where(F.col("conditions").isNull()).count() == 0
-    # broadcast-probe and shuffle anti-join give the same answer
-    path2 = os.path.join(workdir, "trades2")
-    for b in batches:
-        part = rows.where(F.col("batch_id") == b).drop("batch_id")
-        trades_table.upsert_trades(part, path2, broadcast_keys_limit=0, prune_by_date=True)
-    assert spark.read.parquet(path2).count() == len(seen)
-    rows.unpersist()
-
+    # an id given to another trade is found on any date, a hashed one on its own
+    first = rows.where(~F.col("id_given")).limit(1).drop("batch_id")
+    moved = first.withColumns({"trade_time": F.col("trade_time") + F.expr("INTERVAL 400 DAYS"), "id_given": F.lit(True)})
+    assert trades_table.upsert_trades(moved, path).inserted == 0
+    assert trades_table.upsert_trades(first.withColumn("event_id", F.lit("new")), path).inserted == 1
+
+
+def test_archive_keeps_whole_messages_once(spark, workdir):
+    bodies = ['{"a":"line\nbreak","x":1}', '  {"a":" pad "}  ', '{"q":"say \\"hi\\", ok"}', "", "\\N"]
+    rows = [("id%d" % i, 1.5, 2.0, "2024-01-02T03:04:05", 5, None if i else '{"b":[1]}', "finnhub", "k", b, "t", 0, i, "A B", "2024-01-02") for i, b in enumerate(bodies)]
+    from tickline.schemas import ARCHIVE
+
+    df = spark.createDataFrame(rows, ARCHIVE)
+    for fmt in ("parquet", "csv"):
+        root = os.path.join(workdir, fmt)
+        archive.write_archive(df.where("source_offset < 3"), root, fmt)
+        archive.write_archive(df.where("source_offset > 0"), root, fmt)  # another batch, which overlaps
+        archive.write_archive(df, root, fmt)
+        back = archive.read_archive(spark, root, fmt=fmt).orderBy("source_offset").collect()
+        want = [b for b in bodies if fmt == "parquet" or b != "\\N"]
+        assert [r.body for r in back][: len(want)] == want and len(back) == len(rows)
+        assert [r.conditions for r in back] == ['{"b":[1]}', None, None, None, None]
+
+
+def test_files_are_sorted_and_compacted(spark, workdir):
+    from tickline.sources.events import trades_from_events
 
-def test_archive_round_trip_and_batch_overwrite(spark, workdir):
+    path = os.path.join(workdir, "trades")
+    t = trades_from_events(read_events(spark, SF_SMALL))
+    trades_table.upsert_trades(t.where("trade_timestamp_ms % 2 = 0"), path)
+    trades_table.upsert_trades(t.where("trade_timestamp_ms % 2 = 1"), path)
+    trades_table.compact_dates(spark, path, [])
+    trades_table.compact_dates(spark, path, ["2024-01-01"], files_per_date=4)
+    files = trades_table.data_files(spark, path, ["2024-01-01"])
+    assert len(files) == 4 and spark.read.parquet(path).count() == t.count()
+    for f in files:
+        held = [(r.symbol, r.trade_time) for r in spark.read.parquet(f).collect()]
+        assert held == sorted(held)
+
+
+def test_archive_round_trip(spark, workdir):
     log = log_from_events(read_events(spark, SF_SMALL))
-    valid = validate.valid_messages(validate.validate(log), extra=(F.col("batch_id"),))
-    rows = archive.archive_rows(valid)
+    valid = validate.valid_messages(validate.validate(log), extra=(F.col("key"), F.col("value")))
+    rows = archive.archive_rows(valid).persist()
     root = os.path.join(workdir, "archive")
     archive.write_archive(rows, root)
     n = rows.count()
-    assert archive.read_archive(spark, root).count() == n
-    # re-writing one batch replaces it and leaves the others
-    one = rows.where(F.col("batch_id") == 3)
-    archive.write_archive(one, root)
-    archive.write_archive(one, root)
+    # a part of the log again, in another batch
+    archive.write_archive(rows.where("source_offset % 3 = 0"), root)
     back = archive.read_archive(spark, root)
     assert back.count() == n
-    assert back.where(F.col("batch_id") == 3).count() == one.count()
     # partition filters and schema
     sym = archive.read_archive(spark, root, symbol="VIEW", dates=("2024-01-01", "2024-01-01"))
     assert sym.where(F.col("symbol") != "VIEW").count() == 0
     assert dict(sym.dtypes)["date"] == "string"
-    files = archive.list_archive(spark, root, "*.csv")
+    files = archive.list_archive(spark, root, "*.parquet")
     assert files.count() > 0 and files.where(F.col("length") <= 0).count() == 0
-    # conditions survive as JSON text
-    assert back.where(F.col("conditions") == '["@"]').count() > 0
+    # what was archived replays to the same valid messages
+    again = validate.valid_messages(validate.validate(archive.archive_log(back)))
+    assert {tuple(r) for r in again.select("event_id", "conditions", "offset").collect()} == {tuple(r) for r in valid.select("event_id", "conditions", "offset").collect()}
 
 
 def test_offset_spans_round_trip(spark):
@@ -125,7 +153,7 @@ def test_compaction_and_date_refresh(spark, workdir):
     assert files == 1
     # whole-date bar refresh equals bars of the stored trades
     bars_path = os.path.join(workdir, "bars")
-    bars_table.refresh_bars(spark, path, bars_path, trades_table.partition_values(spark, path))
+    bars_table.refresh_bars(spark, path, bars_path, bars_table.touched_dates(after))
     got = {(r.symbol, r.minute): r.trade_count for r in bars_table.read_bars(spark, bars_path).collect()}
     want = {(r.symbol, r.minute): r.trade_count for r in minute_bars(after).collect()}
     assert got == want

@@ -9,17 +9,22 @@ order and no spaces, numbers printed the way Python prints them, e.g.::
 Two builders exist: one for typed columns (a normalized trade, all seven fields
 present) and one for a parsed wire message (VARIANT), which keeps only the fields
 present and prints integers on the wire without ``.0`` as the consumer path does.
-Known limit: non-ASCII characters are hashed as UTF-8, not as ``\\uXXXX`` escapes.
+Limits: integers of more than 38 digits print as floats, and ``conditions`` nested
+deeper than ``NESTING`` levels print the way Spark writes JSON.
 """
 
 from __future__ import annotations
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tickline.functions.jsontext import json_string, python_float_text
 from tickline.schemas import SOURCE_NAME
 
+#: Levels of arrays and objects inside ``conditions`` that are printed in Python's form.
+NESTING = 2
+
 
 def canonical_text(
     symbol: Column,
@@ -30,7 +35,7 @@ def canonical_text(
     conditions: Column,
     source: Column,
 ) -> Column:
-    """Canonical text of a normalized trade (doubles for price and volume)."""
+    """Canonical text of a normalized trade (doubles for price and volume, JSON text for conditions)."""
     return canonical_text_rendered(
         symbol, python_float_text(price), python_float_text(volume), timestamp, trade_timestamp_ms, conditions, source
     )
@@ -48,7 +53,7 @@ def canonical_text_rendered(
     """:func:`canonical_text` with price and volume already rendered as text."""
     return F.concat(
         F.lit('{"conditions":'),
-        F.to_json(conditions),
+        conditions,
         F.lit(',"price":'),
         price_text,
         F.lit(',"source":'),
@@ -75,12 +80,57 @@ def variant_type(msg: Column, field: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(msg, f"$.{field}", "variant"))
 
 
+def _number(kind: Column, value: Column) -> Column:
+    """A VARIANT number the way Python prints it: integers of any width up to 38
+    digits as integers, everything else as a float. (A decimal does not tell 93.0
+    from 93, but an integer that fits 64 bits is a BIGINT; beyond, it counts as one.)"""
+    wide = F.try_variant_get(value, "$", "decimal(38,0)")
+    exact = F.try_variant_get(value, "$", "decimal(38,10)")
+    integer = (kind == "BIGINT") | (kind.startswith("DECIMAL") & (F.abs(wide) > F.lit(2**63 - 1)) & F.coalesce(exact == wide, F.lit(True)))
+    return F.when(integer, wide.cast("string")).otherwise(python_float_text(F.try_variant_get(value, "$", "double")))
+
+
 def _number_text(msg: Column, field: str) -> Column:
-    # An integer on the wire prints as an integer, anything else as a float.
-    return F.when(
-        variant_type(msg, field) == "BIGINT",
-        F.try_variant_get(msg, f"$.{field}", "bigint").cast("string"),
-    ).otherwise(python_float_text(F.try_variant_get(msg, f"$.{field}", "double")))
+    return _number(variant_type(msg, field), F.try_variant_get(msg, f"$.{field}", "variant"))
+
+
+def variant_text(value: Column, levels: int = NESTING) -> Column:
+    """Any JSON value in Python's compact form with sorted keys."""
+    kind = F.schema_of_variant(value)
+    text = (
+        F.when(kind == "STRING", json_string(F.try_variant_get(value, "$", "string")))
+        .when((kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL"), _number(kind, value))
+    )
+    if levels:
+        items = F.try_variant_get(value, "$", "array<variant>")
+        members = F.try_variant_get(value, "$", "map<string,variant>")
+        pairs = F.array_sort(F.transform(F.map_entries(members), lambda e: F.struct(e["key"].alias("k"), variant_text(e["value"], levels - 1).alias("t"))))
+        text = text.when(kind.startswith("ARRAY"), F.concat(F.lit("["), F.array_join(F.transform(items, lambda x: variant_text(x, levels - 1)), ","), F.lit("]")))
+        text = text.when(
+            kind.startswith("OBJECT"),
+            F.concat(F.lit("{"), F.array_join(F.transform(pairs, lambda p: F.concat(json_string(p["k"]), F.lit(":"), p["t"])), ","), F.lit("}")),
+        )
+    return text.otherwise(F.to_json(value))
+
+
+def conditions_text(value: Column) -> Column:
+    """The usual array of strings without a look at each level; anything else in full."""
+    strings = F.try_variant_get(value, "$", "array<string>")
+    listed = F.concat(F.lit("["), F.array_join(F.transform(strings, json_string), ","), F.lit("]"))
+    return F.when(F.schema_of_variant(value) == "ARRAY<STRING>", listed).otherwise(variant_text(value))
+
+
+_built: dict[int, Column] = {}
+
+
+def message_text_column() -> Column:
+    """:func:`canonical_text_from_message` of the column ``msg``, built once per JVM: the expression has many
+    parts, and every micro-batch asks for it."""
+    jvm = id(SparkContext._active_spark_context._gateway)
+    if jvm not in _built:
+        _built.clear()
+        _built[jvm] = canonical_text_from_message(F.col("msg"))
+    return _built[jvm]
 
 
 def canonical_text_from_message(msg: Column) -> Column:
@@ -94,7 +144,7 @@ def canonical_text_from_message(msg: Column) -> Column:
     conditions = F.try_variant_get(msg, "$.conditions", "variant")
     cond_part = F.when(
         variant_type(msg, "conditions").isNotNull(),
-        F.concat(F.lit('"conditions":'), F.to_json(conditions), F.lit(",")),
+        F.concat(F.lit('"conditions":'), conditions_text(conditions), F.lit(",")),
     ).otherwise(F.lit(""))
     return F.concat(
         F.lit("{"),
@@ -113,7 +163,7 @@ def canonical_text_from_message(msg: Column) -> Column:
     )
 
 
-def event_id_for_message(msg: Column) -> Column:
-    """Keep a non-empty ``event_id`` from the wire, else derive it."""
-    given = F.nullif(F.try_variant_get(msg, "$.event_id", "string"), F.lit(""))
-    return F.coalesce(given, sha256_hex(canonical_text_from_message(msg)))
+def event_id_for_message() -> Column:
+    """Of the column ``msg``: a non-empty ``event_id`` from the wire, else the derived one."""
+    given = F.nullif(F.try_variant_get(F.col("msg"), "$.event_id", "string"), F.lit(""))
+    return F.coalesce(given, sha256_hex(message_text_column()))

@@ -19,10 +19,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _escaped_char(c: Column) -> Column:
+    """One character the way Python's ``json.dumps`` writes it: printable ASCII as is, the usual short
+    escapes, everything else as ``\\uXXXX`` (two of them beyond the basic plane)."""
+    units = F.lower(F.hex(F.encode(c, "UTF-16BE")))
+    long = F.concat(F.lit("\\u"), F.substring(units, 1, 4), F.when(F.length(units) > 4, F.concat(F.lit("\\u"), F.substring(units, 5, 4))).otherwise(F.lit("")))
+    out = F.when(c.rlike(r"^[ !#-\[\]-~]$"), c).when(c.isin('"', "\\"), F.concat(F.lit("\\"), c))
+    for raw, short in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\b", "\\b"), ("\f", "\\f")):
+        out = out.when(c == raw, F.lit(short))
+    return out.otherwise(long)
+
+
 def json_string(text: Column) -> Column:
-    """A JSON string literal (quotes and escapes) for ``text``."""
-    arr = F.to_json(F.array(text.cast("string")))  # '["..."]', escaped by the JSON writer
-    return F.substring(arr, F.lit(2), F.length(arr) - 2)
+    """A JSON string literal for ``text`` with Python's (ASCII-only) escapes."""
+    text = text.cast("string")
+    quote = F.lit('"')
+    plain = text.rlike(r"\A[ !#-\[\]-~]*\z")
+    escaped = F.array_join(F.transform(F.split(text, ""), _escaped_char), "")
+    return F.when(plain, F.concat(quote, text, quote)).otherwise(F.concat(quote, escaped, quote))
 
 
 def python_float_text(x: Column) -> Column:
@@ -34,20 +48,39 @@ def python_float_text(x: Column) -> Column:
     ``%.16e`` (17 digits), trailing zeros dropped, and laid out the way Python
     does (plain between 1e-4 and 1e16, else ``d.ddde±XX``). The round-trip test
     also corrects JDK 17's occasional 17-digit output (``5.5938493878276624E16``).
-    Known gap: subnormal numbers (below 2.2e-308), whose shortest form can have
-    far fewer digits, keep 16 digits.
+    Subnormal numbers (below 2.3e-308) have fewer digits than that: theirs are the
+    first of ``%.0e``, ``%.1e``, ... that round-trips.
     """
     x = x.cast("double")
     java = x.cast("string")
     ax = F.abs(x)
     # at most 16 characters leave at most 15 digits (the point takes one)
     fast = (ax >= F.lit(1e-3)) & (ax < F.lit(1e7)) & (F.length(java) <= 16)
+    return F.when(fast | (ax == 0), java).otherwise(bound(x, _exact_text))
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
 
+def _exact_text(x: Column) -> Column:
     s16 = F.format_string("%.15e", x)
     text = F.when(s16.cast("double") == x, s16).otherwise(F.format_string("%.16e", x))
+    shorter = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda d: F.call_function("format_string", F.concat(F.lit("%."), d.cast("string"), F.lit("e")), x))
+    first = F.element_at(F.filter(shorter, lambda t: t.cast("double") == x), 1)
+    text = F.when(F.abs(x) < F.lit(2.3e-308), F.coalesce(first, text)).otherwise(text)
+    return bound(text, lambda t: _layout(t, x))
+
+
+def _layout(text: Column, x: Column) -> Column:
+    """Python's layout of a number in ``d.ddde±XX`` form."""
     exp = F.substring_index(text, "e", -1).cast("int")
     digits = F.rtrim(F.regexp_replace(F.substring_index(text, "e", 1), r"[-.]", ""), F.lit("0"))
-    n = F.length(digits)
+    return bound(F.struct(exp.alias("exp"), digits.alias("digits"), F.length(digits).alias("n")), lambda r: _digits_text(r["exp"], r["digits"], r["n"], x))
+
+
+def _digits_text(exp: Column, digits: Column, n: Column, x: Column) -> Column:
     sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
     point = exp + 1
     wide = F.when(
@@ -64,8 +97,4 @@ def python_float_text(x: Column) -> Column:
         F.when(F.abs(exp) < 10, F.lit("0")).otherwise(F.lit("")),
         F.abs(exp).cast("string"),
     )
-    return (
-        F.when(fast | (ax == 0), java)
-        .when((exp >= -4) & (exp < 16), plain)
-        .otherwise(sci)
-    )
+    return F.when((exp >= -4) & (exp < 16), plain).otherwise(sci)

@@ -70,20 +70,19 @@ def field_kinds(msg: Column) -> list[Column]:
     return [variant_type(msg, f).alias(f"_kind_{f}") for f in REQUIRED_FIELDS]
 
 
-def error_column(value: Column, msg: Column, keys: Column, table_path: bool = False) -> Column:
+def error_column(value: Column, msg: Column, table_path: bool = False) -> Column:
     """First failing rule for a record, NULL when valid.
 
-    ``value`` is the raw body, ``msg`` its :func:`parse_message` result, ``keys``
-    the object's keys (``json_object_keys``), and the ``_kind_<field>`` columns of
-    :func:`field_kinds` must be present.
+    ``value`` is the raw body, ``msg`` its :func:`parse_message` result, and the
+    ``_kind_<field>`` columns of :func:`field_kinds` must be present: they tell a
+    missing field (NULL) from a JSON null (``VOID``), so the text is parsed once.
     """
     text = message_text(value)
-    # REQUIRED_FIELDS is in alphabetical order and array_except keeps the order of
-    # its first argument, so the missing names come out sorted.
-    missing = F.array_except(F.array(*[F.lit(f) for f in REQUIRED_FIELDS]), F.coalesce(keys, F.array().cast("array<string>")))
+    # REQUIRED_FIELDS is in alphabetical order, so the missing names come out sorted.
+    missing = F.array_compact(F.array(*[F.when(F.col(f"_kind_{f}").isNull(), F.lit(f)) for f in REQUIRED_FIELDS]))
 
     def kind(field: str) -> Column:
-        return F.coalesce(F.col(f"_kind_{field}"), F.lit("VOID"))
+        return F.col(f"_kind_{field}")
 
     def num(field: str) -> Column:
         return F.try_variant_get(msg, f"$.{field}", "double")
@@ -102,7 +101,7 @@ def error_column(value: Column, msg: Column, keys: Column, table_path: bool = Fa
         F.when(value.isNull(), F.lit(ERR_OBJECT))
         .when(~F.is_valid_utf8(text), F.lit(ERR_UTF8))
         .when(msg.isNull(), F.lit(ERR_JSON))
-        .when(keys.isNull(), F.lit(ERR_OBJECT))
+        .when(~F.schema_of_variant(msg).startswith("OBJECT"), F.lit(ERR_OBJECT))
         .when(F.size(missing) > 0, F.concat(F.lit(ERR_MISSING), F.array_join(missing, ", ")))
         .when(~_is_true(symbol_ok), F.lit(ERR_SYMBOL))
         .when(~_is_true(price_ok), F.lit(ERR_PRICE))
@@ -112,5 +111,11 @@ def error_column(value: Column, msg: Column, keys: Column, table_path: bool = Fa
         .when(~_is_true(source_ok), F.lit(ERR_SOURCE))
     )
     if table_path:
-        chain = chain.when(F.try_to_timestamp(txt("timestamp")).isNull(), F.lit(ERR_TIMESTAMP_PARSE))
+        chain = chain.when(table_time(txt("timestamp")).isNull(), F.lit(ERR_TIMESTAMP_PARSE))
     return chain
+
+
+def table_time(text: Column) -> Column:
+    """Timestamp text → TIMESTAMP; NULL where it has no full date or cannot be read. (A cast alone takes a
+    time of day for today, and a bare year for its first day.)"""
+    return F.when(text.rlike(r"^\s*\d{4,6}-\d{1,2}-\d{1,2}"), F.try_to_timestamp(text))

@@ -20,12 +20,3 @@ def iso_from_millis(ms: Column) -> Column:
     )
     return F.concat(seconds, fraction, F.lit("+00:00"))
 
-
-def parse_iso(text: Column) -> Column:
-    """ISO-8601 text to TIMESTAMP; text that does not parse gives NULL."""
-    return F.try_to_timestamp(text)
-
-
-def minute_of(ts: Column, width: str = "minute") -> Column:
-    """Start of the bar that holds ``ts`` (``minute``, ``hour`` or ``day``)."""
-    return F.date_trunc(width, ts)

@@ -115,10 +115,6 @@ def indicators_by_day(bars: DataFrame, short: int = 5, long: int = 15, vol: int
 
 
 def one_minute_metrics(trades: DataFrame) -> DataFrame:
-    """The full metrics view: bars plus indicators."""
-    return indicators(minute_bars(trades))
+    """The full metrics view: bars plus indicators (no Window holds a symbol's whole history)."""
+    return indicators_by_day(minute_bars(trades))
 
-
-def affected_minutes(batch: DataFrame, width: str = "minute") -> DataFrame:
-    """Distinct (symbol, minute) keys touched by a batch of trades."""
-    return batch.select("symbol", F.date_trunc(width, "trade_time").alias("minute")).distinct()

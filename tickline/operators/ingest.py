@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickline.functions.fingerprint import canonical_text, sha256_hex
+from tickline.functions.fingerprint import canonical_text, conditions_text, sha256_hex
 from tickline.functions.timefmt import iso_from_millis
 from tickline.schemas import FRAME, SOURCE_NAME, TRADE_WIRE
 
@@ -27,32 +27,46 @@ def decode_frames(frames: DataFrame, column: str = "value") -> DataFrame:
     return parsed.select(F.inline(F.when(F.col("f.type") == "trade", F.col("f.data"))))
 
 
-def normalize_trades(vendor: DataFrame, source: str = SOURCE_NAME, keep_invalid: bool = False) -> DataFrame:
-    """Vendor trades → wire columns with ``event_id``.
-
-    Numbers are cast with ``try_cast`` (numeric text is accepted, as ``float()``
-    and ``int()`` accept it). Elements whose symbol, price, volume or time cannot
-    be read are dropped (``keep_invalid=True`` keeps them with NULLs so a caller
-    can quarantine them); the rest of the frame is kept.
-    """
+def _typed(vendor: DataFrame, source: str) -> DataFrame:
     ms = F.coalesce(F.expr("try_cast(t AS BIGINT)"), F.expr("try_cast(try_cast(t AS DOUBLE) AS BIGINT)"))
-    out = vendor.select(
+    return vendor.select(
         F.col("s").alias("symbol"),
         F.expr("try_cast(p AS DOUBLE)").alias("price"),
         F.expr("try_cast(v AS DOUBLE)").alias("volume"),
         iso_from_millis(ms).alias("timestamp"),
         ms.alias("trade_timestamp_ms"),
-        F.coalesce(F.col("c"), F.array().cast("array<string>")).alias("conditions"),
+        F.coalesce(F.col("c"), F.parse_json(F.lit("[]"))).alias("conditions"),
         F.lit(source).alias("source"),
+        F.struct("s", "p", "v", "t", "c").alias("_vendor"),
     )
-    if not keep_invalid:
-        out = out.where(
-            F.col("symbol").isNotNull()
-            & F.col("price").isNotNull()
-            & F.col("volume").isNotNull()
-            & F.col("trade_timestamp_ms").isNotNull()
-        )
-    return with_event_id(out)
+
+
+def _readable() -> Column:
+    return F.col("symbol").isNotNull() & F.col("price").isNotNull() & F.col("volume").isNotNull() & F.col("trade_timestamp_ms").isNotNull()
+
+
+def normalize_trades(vendor: DataFrame, source: str = SOURCE_NAME) -> DataFrame:
+    """Vendor trades → wire columns with ``event_id``.
+
+    Numbers are cast with ``try_cast`` (numeric text is accepted, as ``float()``
+    and ``int()`` accept it). ``conditions`` is any JSON value (VARIANT), ``[]`` where
+    the element has none. Elements whose symbol, price, volume or time cannot be read
+    are not here but in :func:`normalize_rejects`; the rest of the frame is kept.
+    """
+    return with_event_id(_typed(vendor, source).where(_readable()).drop("_vendor"))
+
+
+def normalize_rejects(vendor: DataFrame, source: str = SOURCE_NAME) -> DataFrame:
+    """The vendor elements that cannot be normalized: ``error`` (the first field that
+    cannot be read) and ``original_value`` (the element as JSON text)."""
+    bad = _typed(vendor, source).where(~_readable())
+    reason = (
+        F.when(F.col("symbol").isNull(), F.lit("s"))
+        .when(F.col("price").isNull(), F.lit("p"))
+        .when(F.col("volume").isNull(), F.lit("v"))
+        .otherwise(F.lit("t"))
+    )
+    return bad.select(F.concat(F.lit("unreadable vendor field: "), reason).alias("error"), F.to_json("_vendor").alias("original_value"))
 
 
 def event_id(df: DataFrame) -> Column:
@@ -63,7 +77,7 @@ def event_id(df: DataFrame) -> Column:
             F.col("volume"),
             F.col("timestamp"),
             F.col("trade_timestamp_ms"),
-            F.col("conditions"),
+            conditions_text(F.col("conditions")),
             F.col("source"),
         )
     )
@@ -97,7 +111,3 @@ def subscribe(trades: DataFrame, symbols: list[str]) -> DataFrame:
     """Keep only subscribed symbols (an IN list; folded into the scan filter)."""
     return trades.where(F.col("symbol").isin(list(symbols)))
 
-
-def configured_symbols(raw: str) -> list[str]:
-    """Driver-side form of :func:`parse_symbols` for a configuration string."""
-    return [s.strip().upper() for s in raw.split(",") if s.strip()]

@@ -61,11 +61,11 @@ def latest_day_metrics(metrics: DataFrame, symbol: str, limit: int = 120, comple
 
 
 def latest_day_metrics_from_bars(
-    bars: DataFrame, symbol: str, limit: int = 120, warmup: int = 14, **indicator_args
+    bars: DataFrame, symbol: str, limit: int = 120, short: int = 5, long: int = 15, vol: int = 15
 ) -> DataFrame:
     """Same result as ``latest_day_metrics(indicators(bars), symbol)`` with the
-    Window run over the latest day plus ``warmup`` earlier bars instead of the
-    symbol's whole history (``warmup`` = longest frame - 1).
+    Window run over the latest day and the bars its longest frame reaches back to,
+    instead of the symbol's whole history.
 
     The earlier bars are found by a top-k on minute (TakeOrderedAndProject), so the
     work outside the latest day is one pass over the symbol's bar minutes.
@@ -75,10 +75,10 @@ def latest_day_metrics_from_bars(
     one = bars.where(F.col("symbol") == F.lit(symbol))
     day_start = one.select(F.date_trunc("day", F.max("minute"))).scalar()
     day = one.where(F.col("minute") >= day_start)
-    before = one.where(F.col("minute") < day_start).orderBy(F.col("minute").desc()).limit(warmup)
+    before = one.where(F.col("minute") < day_start).orderBy(F.col("minute").desc()).limit(max(short, long, vol) - 1)
     window_input = day.unionByName(before)
     return (
-        indicators(window_input, **indicator_args)
+        indicators(window_input, short, long, vol)
         .where(F.col("minute") >= day_start)
         .orderBy(F.col("minute").desc())
         .limit(limit)
@@ -87,14 +87,14 @@ def latest_day_metrics_from_bars(
     )
 
 
-def gap_segments(bars: DataFrame, max_gap_seconds: int = 60, by: tuple[str, ...] = ()) -> DataFrame:
+def gap_segments(bars: DataFrame, max_gap_seconds: int = 60) -> DataFrame:
     """Number runs of bars without a gap: ``segment`` grows by one each time the
     distance to the previous bar exceeds ``max_gap_seconds``; first bar is 0.
 
-    ``by`` partitions the numbering (e.g. ``("symbol",)`` for full history); with
-    no keys it runs over one bounded result such as :func:`latest_day_metrics`.
+    For one bounded result such as :func:`latest_day_metrics`; the numbering of
+    whole histories is :func:`gap_segments_by_symbol`.
     """
-    w = Window.partitionBy(*by).orderBy("minute") if by else Window.orderBy("minute")
+    w = Window.orderBy("minute")
     gap = F.unix_seconds(F.col("minute")) - F.unix_seconds(F.lag("minute").over(w))
     flagged = bars.withColumn("_gap", F.when(gap > max_gap_seconds, 1).otherwise(0))
     return flagged.withColumn(
@@ -102,6 +102,26 @@ def gap_segments(bars: DataFrame, max_gap_seconds: int = 60, by: tuple[str, ...]
     ).drop("_gap")
 
 
+def gap_segments_by_symbol(bars: DataFrame, max_gap_seconds: int = 60) -> DataFrame:
+    """:func:`gap_segments` of each symbol's whole history, in two levels: gaps are
+    counted within each (symbol, day), a running sum over the days (one row each)
+    gives where a day's numbering starts, and the first bar of a day is compared
+    with the last bar before it. No Window holds a symbol's bars."""
+    day = Window.partitionBy("symbol", "_day").orderBy("minute")
+    seconds = F.unix_seconds(F.col("minute"))
+    flagged = bars.withColumn("_day", F.to_date("minute"))
+    flagged = flagged.withColumn("_gap", F.when(seconds - F.lag(seconds).over(day) > max_gap_seconds, 1).otherwise(0))
+    inside = flagged.withColumn("_in_day", F.sum("_gap").over(day.rowsBetween(Window.unboundedPreceding, 0)))
+    days = flagged.groupBy("symbol", "_day").agg(F.min(seconds).alias("_first"), F.max(seconds).alias("_last"), F.sum("_gap").alias("_gaps"))
+    history = Window.partitionBy("symbol").orderBy("_day")
+    opens = F.when(F.col("_first") - F.lag("_last").over(history) > max_gap_seconds, 1).otherwise(0)
+    days = days.withColumn("_opens", opens)
+    before = F.sum(F.col("_gaps") + F.col("_opens")).over(history.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_gaps")
+    offsets = days.select("symbol", "_day", before.alias("_before"))
+    joined = inside.join(offsets, ["symbol", "_day"])
+    return joined.select(*bars.columns, (F.col("_in_day") + F.col("_before")).cast("long").alias("segment"))
+
+
 def long_form(
     segmented: DataFrame,
     values: tuple[str, ...] = ("close_price", "moving_average_5", "moving_average_15"),
@@ -111,11 +131,20 @@ def long_form(
     return segmented.unpivot(ids, list(values), "metric", "price")
 
 
-def latest_bar_per_symbol(metrics: DataFrame) -> DataFrame:
-    """The last bar of every symbol (one row per symbol, no sort of the history)."""
-    cols = [c for c in metrics.columns if c != "symbol"]
+def latest_bar_per_symbol(bars: DataFrame, short: int = 5, long: int = 15, vol: int = 15) -> DataFrame:
+    """The last bar of every symbol with its indicators (one row per symbol).
+
+    Each task keeps a symbol's newest bars only, as many as the longest frame
+    holds (Spark limits the ranking before the shuffle), so the indicator Window
+    never sees a history."""
+    from tickline.operators.bars import indicators
+
+    newest = Window.partitionBy("symbol").orderBy(F.col("minute").desc())
+    tail = bars.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= max(short, long, vol)).drop("_rank")
+    told = indicators(tail, short, long, vol)
+    cols = [c for c in told.columns if c != "symbol"]
     latest = F.max_by(F.struct(*cols), F.col("minute")).alias("b")
-    return metrics.groupBy("symbol").agg(latest).select("symbol", "b.*")
+    return told.groupBy("symbol").agg(latest).select("symbol", "b.*")
 
 
 def feed_summary(trades: DataFrame, symbol: str | None = None, limit: int = 200) -> DataFrame:
@@ -140,24 +169,37 @@ def latest_bar_summary(latest_day: DataFrame) -> DataFrame:
     )
 
 
-def caption_texts(summary: DataFrame) -> DataFrame:
+def caption_texts(summary: DataFrame, *keys: str) -> DataFrame:
     """Display texts of a :func:`latest_bar_summary` row, formatted the way the
     metrics page prints them: ``%Y-%m-%d %H:%M UTC`` for the minute, two
-    decimals for prices (half-even on the exact value), thousands separators and
-    no decimals for volume and trade count."""
-    money = lambda c: F.concat(F.lit("$"), F.format_number(F.col(c), 2))
+    decimals and no separators for prices (half-even on the exact value),
+    thousands separators and no decimals for volume and trade count."""
+    plain = lambda c: F.replace(F.format_number(F.col(c), 2), F.lit(","), F.lit(""))
+    money = lambda c: F.concat(F.lit("$"), plain(c))
     return summary.select(
+        *keys,
         F.concat(F.lit("Latest completed minute: "), F.date_format("minute", "yyyy-MM-dd HH:mm"), F.lit(" UTC")).alias("caption"),
         money("close_price").alias("close"),
-        F.format_number(F.col("price_change"), 2).alias("change"),
+        plain("price_change").alias("change"),
         money("high_price").alias("high"),
         money("low_price").alias("low"),
         F.format_number(F.col("volume"), 0).alias("volume"),
-        money("vwap").alias("vwap"),
+        F.coalesce(money("vwap"), F.lit("$nan")).alias("vwap"),
         F.format_number(F.col("trade_count").cast("double"), 0).alias("trades"),
     )
 
 
+def feed_caption_texts(summary: DataFrame) -> DataFrame:
+    """Display texts of a :func:`feed_summary` row, as the feed page prints them."""
+    price = F.replace(F.format_number("latest_price", 2), F.lit(","), F.lit(""))
+    return summary.select(
+        F.format_number("rows_displayed", 0).alias("rows_displayed"),
+        F.col("symbols").cast("string").alias("symbols"),
+        F.concat("latest_symbol", F.lit("  $"), price).alias("latest_trade"),
+        F.date_format("last_event", "HH:mm:ss 'UTC'").alias("last_event"),
+    )
+
+
 def query_dataframe(spark, query: str, **params) -> DataFrame:
     """Run a parameterized SQL text (``:name`` markers) as a DataFrame."""
     return spark.sql(query, args=params or None)

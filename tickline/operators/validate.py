@@ -11,19 +11,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickline.functions import rules
-from tickline.functions.fingerprint import event_id_for_message
+from tickline.functions.fingerprint import message_text_column, sha256_hex
 
 
 def validate(log: DataFrame, table_path: bool = False, value: str = "value") -> DataFrame:
     """Add ``msg`` and ``error`` to log records (any columns, ``value`` the body)."""
     text = rules.message_text(F.col(value))
-    # Stage 1: parse once. Stage 2: keys and field types. Stage 3: the rule chain.
+    # Stage 1: parse once. Stage 2: field types. Stage 3: the rule chain.
     # Separate projections keep each generated method small.
     staged = log.withColumn("msg", rules.parse_message(text))
-    staged = staged.select("*", F.json_object_keys(text).alias("_keys"), *rules.field_kinds(F.col("msg")))
-    error = rules.error_column(F.col(value), F.col("msg"), F.col("_keys"), table_path)
+    staged = staged.select("*", *rules.field_kinds(F.col("msg")))
+    error = rules.error_column(F.col(value), F.col("msg"), table_path)
     kinds = [c for c in staged.columns if c.startswith("_kind_")]
-    return staged.withColumn("error", error).drop("_keys", *kinds)
+    return staged.withColumn("error", error).drop(*kinds)
 
 
 def route(df: DataFrame, keep: Column, *cols: Column) -> DataFrame:
@@ -42,6 +42,8 @@ def route(df: DataFrame, keep: Column, *cols: Column) -> DataFrame:
 def valid_messages(validated: DataFrame, extra: tuple[Column, ...] = ()) -> DataFrame:
     """Wire fields of valid records, with ``event_id`` kept or derived.
 
+    ``conditions`` is the JSON text of any value, NULL where the message has none.
+    ``id_given`` tells an id that is not the hash of the trade's own fields.
     ``extra`` columns of the log (e.g. ``batch_id``) are carried along. The
     routing step carries only the parsed message; the fields are read from it in
     the projection after, which keeps each generated method small."""
@@ -49,18 +51,21 @@ def valid_messages(validated: DataFrame, extra: tuple[Column, ...] = ()) -> Data
     valid = route(validated, F.col("error").isNull(), *carried)
     m = F.col("msg")
     extra_names = [c for c in valid.columns if c not in ("msg", "topic", "partition", "offset")]
+    given = F.nullif(F.try_variant_get(m, "$.event_id", "string"), F.lit(""))
+    valid = valid.select("*", given.alias("_given"), sha256_hex(message_text_column()).alias("_derived"))
     return valid.select(
-        event_id_for_message(m).alias("event_id"),
+        F.coalesce("_given", "_derived").alias("event_id"),
         F.try_variant_get(m, "$.symbol", "string").alias("symbol"),
         F.try_variant_get(m, "$.price", "double").alias("price"),
         F.try_variant_get(m, "$.volume", "double").alias("volume"),
         F.try_variant_get(m, "$.timestamp", "string").alias("timestamp"),
         F.try_variant_get(m, "$.trade_timestamp_ms", "bigint").alias("trade_timestamp_ms"),
-        F.try_variant_get(m, "$.conditions", "array<string>").alias("conditions"),
+        F.to_json(F.try_variant_get(m, "$.conditions", "variant")).alias("conditions"),
         F.try_variant_get(m, "$.source", "string").alias("source"),
         "topic",
         "partition",
         "offset",
+        F.coalesce(F.col("_given") != F.col("_derived"), F.lit(False)).alias("id_given"),
         *extra_names,
     )
 
@@ -76,12 +81,12 @@ def to_table_rows(valid: DataFrame, received_at=None) -> DataFrame:
         "symbol",
         "price",
         "volume",
-        F.try_to_timestamp("timestamp").alias("trade_time"),
+        rules.table_time(F.col("timestamp")).alias("trade_time"),
         "trade_timestamp_ms",
-        F.coalesce(F.col("conditions"), F.array().cast("array<string>")).alias("conditions"),
+        F.coalesce(F.col("conditions"), F.lit("[]")).alias("conditions"),
         "source",
         (received_at if received_at is not None else F.current_timestamp()).alias("received_at"),
-        *[c for c in ("partition", "offset", "batch_id") if c in valid.columns],
+        *[c for c in ("partition", "offset", "batch_id", "id_given") if c in valid.columns],
     )
 
 

@@ -18,7 +18,7 @@ from tickline.operators import audit, bars, dedup, ingest, serve, validate
 from tickline.plans import oracle_sql as O
 from tickline import streaming
 from tickline.session import configure, scratch_path
-from tickline.sinks import archive
+from tickline.sinks import archive, bars_table, dead_letters
 from tickline.sources.events import log_from_events, read_events, trades_from_events, vendor_frames_from_events
 from tickline.sources.layout import balance
 
@@ -103,18 +103,8 @@ def q_minute_bars(spark, sf_dir):
 
 @register(
     "hour_bars",
-    """WITH trades AS (
-  SELECT CAST(event_id AS VARCHAR) AS event_id, upper(event_type) AS symbol, value AS price,
-         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS volume,
-         make_timestamp((epoch_us(ts)//1000) * 1000) AS trade_time
-  FROM events WHERE value > 0)
-SELECT symbol, date_trunc('hour', trade_time) AS minute,
-       (array_agg(price ORDER BY trade_time, event_id))[1] AS open_price,
-       max(price) AS high_price, min(price) AS low_price,
-       (array_agg(price ORDER BY trade_time DESC, event_id DESC))[1] AS close_price,
-       sum(volume) AS volume, count(*) AS trade_count,
-       round(sum(price * volume) / nullif(sum(volume), 0), 8) AS vwap
-FROM trades GROUP BY symbol, date_trunc('hour', trade_time)""",
+    O.with_ctes(O.trades_cte(1), O.bars_cte("hour"))
+    + "SELECT symbol, minute, open_price, high_price, low_price, close_price, volume, trade_count, round(vwap, 8) AS vwap FROM bars",
 )
 def q_hour_bars(spark, sf_dir):
     configure(spark)
@@ -201,7 +191,7 @@ _LATEST_DAY_SQL = (
 
 
 def _latest_day(spark, sf_dir) -> DataFrame:
-    return serve.latest_day_metrics(_metrics(spark, sf_dir), SYMBOL)
+    return serve.latest_day_metrics_from_bars(bars.minute_bars(_trades(spark, sf_dir)), SYMBOL)
 
 
 @register("latest_day_metrics", _LATEST_DAY_SQL.format(s=SYMBOL) + "SELECT " + O.METRIC_SELECT + " FROM latest")
@@ -222,7 +212,7 @@ SELECT symbol, minute, CAST(sum(gap) OVER (PARTITION BY symbol ORDER BY minute R
 )
 def q_gap_segments(spark, sf_dir):
     b = bars.minute_bars(_trades(spark, sf_dir)).select("symbol", "minute")
-    return serve.gap_segments(b, by=("symbol",)).select("symbol", ntz("minute"), "segment")
+    return serve.gap_segments_by_symbol(b).select("symbol", ntz("minute"), "segment")
 
 
 _LATEST_DAY_SEG = (
@@ -258,7 +248,7 @@ def q_long_form(spark, sf_dir):
     O.TBM + "SELECT symbol, " + O.METRIC_SELECT + " FROM metrics QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY minute DESC) = 1",
 )
 def q_latest_bar(spark, sf_dir):
-    return serve.latest_bar_per_symbol(_metrics(spark, sf_dir)).select(*_metric_cols())
+    return serve.latest_bar_per_symbol(bars.minute_bars(_trades(spark, sf_dir))).select(*_metric_cols())
 
 
 @register(
@@ -344,7 +334,7 @@ def q_validate(spark, sf_dir):
     # rows through `route` starts a new generated method after the rule chain.
     rows = validate.route(v, F.lit(True), F.col("partition"), F.col("offset"), F.col("error"), F.col("msg"))
     return rows.select(
-        "partition", "offset", "error", F.when(F.col("error").isNull(), event_id_for_message(F.col("msg"))).alias("event_id")
+        "partition", "offset", "error", F.when(F.col("error").isNull(), event_id_for_message()).alias("event_id")
     )
 
 
@@ -382,8 +372,8 @@ _TABLE_ROWS_SQL = (
          CAST(json_extract(text, '$.price') AS DOUBLE) AS price, CAST(json_extract(text, '$.volume') AS DOUBLE) AS volume,
          CAST(CAST(json_extract_string(text, '$.timestamp') AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) AS trade_time,
          CAST(json_extract(text, '$.trade_timestamp_ms') AS BIGINT) AS trade_timestamp_ms,
-         coalesce(CAST(json_extract(text, '$.conditions') AS VARCHAR), '[]') AS conditions_json,
-         json_extract_string(text, '$.source') AS source, partition, "offset", batch_id
+         CASE WHEN list_contains(json_keys(text), 'conditions') THEN CASE k WHEN 27 THEN '[1,"é",{"a":null,"b":1000.0},20000000000000000000]' WHEN 24 THEN 'null' ELSE CAST(json_extract(text, '$.conditions') AS VARCHAR) END ELSE '[]' END AS conditions_json,
+         json_extract_string(text, '$.source') AS source, partition, "offset", batch_id, k
   FROM checked_table WHERE table_error IS NULL)
 """
 )
@@ -398,13 +388,13 @@ def _table_rows(spark, sf_dir) -> DataFrame:
 @register(
     "valid_trades",
     _TABLE_ROWS_SQL
-    + "SELECT event_id, symbol, price, volume, trade_time, trade_timestamp_ms, conditions_json, source, partition, \"offset\" FROM tr",
+    + "SELECT event_id, symbol, price, volume, trade_time, trade_timestamp_ms, conditions_json, k BETWEEN 20 AND 25 AS id_given, source, partition, \"offset\" FROM tr",
 )
 def q_valid_trades(spark, sf_dir):
     t = _table_rows(spark, sf_dir)
     return t.select(
         "event_id", "symbol", "price", "volume", ntz("trade_time"), "trade_timestamp_ms",
-        F.to_json("conditions").alias("conditions_json"), "source", "partition", "offset",
+        F.col("conditions").alias("conditions_json"), "id_given", "source", "partition", "offset",
     )
 
 
@@ -442,7 +432,8 @@ FROM checked WHERE error IS NULL GROUP BY ALL""",
 )
 def q_archive_counts(spark, sf_dir):
     v = _validated(spark, sf_dir)
-    rows = archive.archive_rows(validate.valid_messages(v, extra=(F.col("batch_id"),)))
+    valid = validate.valid_messages(v, extra=(F.col("batch_id"),))
+    rows = valid.select("symbol", F.substring("timestamp", 1, 10).alias("date"), "batch_id")
     return rows.groupBy("symbol", "date", "batch_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -462,9 +453,9 @@ def q_offset_spans(spark, sf_dir):
 
 
 _FRAMES_SQL = """WITH n AS (
-  SELECT upper(event_type) AS symbol, value AS price, CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) AS DOUBLE) AS volume,
+  SELECT event_id % 40 AS k, upper(event_type) AS symbol, value AS price, CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) AS DOUBLE) AS volume,
          1704067200000 + (epoch_us(ts)//1000 - 1704067200000)//60 AS trade_timestamp_ms
-  FROM events WHERE event_type <> 'error'),
+  FROM events WHERE event_type <> 'error' AND event_id % 40 NOT IN (5, 6)),
 n2 AS (
   SELECT *, strftime(make_timestamp(trade_timestamp_ms * 1000), '%Y-%m-%dT%H:%M:%S')
             || CASE WHEN trade_timestamp_ms % 1000 = 0 THEN '' ELSE '.' || lpad(CAST((trade_timestamp_ms % 1000) * 1000 AS VARCHAR), 6, '0') END
@@ -476,7 +467,7 @@ n2 AS (
 @register(
     "normalize_trades",
     _FRAMES_SQL
-    + """SELECT sha256('{"conditions":["@"],"price":' || CAST(price AS VARCHAR) || ',"source":"finnhub","symbol":"' || symbol
+    + """SELECT sha256('{"conditions":' || CASE k WHEN 7 THEN 'null' WHEN 8 THEN '[]' ELSE '["@"]' END || ',"price":' || CAST(price AS VARCHAR) || ',"source":"finnhub","symbol":"' || symbol
        || '","timestamp":"' || timestamp || '","trade_timestamp_ms":' || CAST(trade_timestamp_ms AS VARCHAR)
        || ',"volume":' || CAST(volume AS VARCHAR) || '}') AS event_id,
        symbol, price, volume, timestamp, trade_timestamp_ms, 'finnhub' AS source
@@ -499,33 +490,45 @@ def q_decode(spark, sf_dir):
     return v.groupBy("s").agg(F.count(F.lit(1)).alias("trades"))
 
 
-SUBSCRIPTION = " click, view,, "
+@register(
+    "normalize_rejects",
+    """SELECT 'unreadable vendor field: ' || CASE event_id % 40 WHEN 5 THEN 'p' ELSE 'v' END AS error, count(*) AS elements,
+       count(DISTINCT upper(event_type)) AS symbols
+FROM events WHERE event_type <> 'error' AND event_id % 40 IN (5, 6) GROUP BY 1""",
+)
+def q_normalize_rejects(spark, sf_dir):
+    configure(spark)
+    bad = ingest.normalize_rejects(ingest.decode_frames(vendor_frames_from_events(read_events(spark, sf_dir))))
+    symbol = F.get_json_object("original_value", "$.s")
+    return bad.groupBy("error").agg(F.count(F.lit(1)).alias("elements"), F.countDistinct(symbol).alias("symbols"))
+
+
+SUBSCRIPTION = ("CLICK", "VIEW")
 
 
 @register(
     "symbol_subscription",
-    O.T
-    + f""", subs AS (SELECT list_transform(list_filter(string_split('{SUBSCRIPTION}', ','), lambda x: trim(x) <> ''), lambda x: upper(trim(x))) AS l)
-SELECT symbol, count(*) AS trades FROM trades, subs WHERE list_contains(l, symbol) GROUP BY symbol""",
+    O.T + f"SELECT symbol, count(*) AS trades FROM trades WHERE symbol IN {SUBSCRIPTION} GROUP BY symbol",
 )
 def q_subscription(spark, sf_dir):
     t = _trades(spark, sf_dir)
-    symbols = ingest.configured_symbols(SUBSCRIPTION)
-    return ingest.subscribe(t, symbols).groupBy("symbol").agg(F.count(F.lit(1)).alias("trades"))
+    return ingest.subscribe(t, list(SUBSCRIPTION)).groupBy("symbol").agg(F.count(F.lit(1)).alias("trades"))
+
+
+_LISTS = "' ' || event_type || ',, ' || upper(substr(event_type, 1, 2)) || ' x ,' || CASE WHEN event_id % 2 = 0 THEN ' ' ELSE event_id::VARCHAR END"
 
 
 @register(
     "symbol_list_parse",
-    f"SELECT list_transform(list_filter(string_split('{SUBSCRIPTION}', ','), lambda x: trim(x) <> ''), lambda x: upper(trim(x)))::VARCHAR AS symbols, "
-    "count(DISTINCT upper(event_type)) AS known_symbols FROM events",
+    f"""SELECT event_id, array_to_string(list_transform(list_filter(string_split({_LISTS}, ','), lambda x: trim(x) <> ''), lambda x: upper(trim(x))), '|') AS symbols
+FROM events""",
 )
 def q_symbol_list(spark, sf_dir):
     configure(spark)
     ev = read_events(spark, sf_dir)
-    parsed = F.to_json(ingest.parse_symbols(F.lit(SUBSCRIPTION)))
-    # DuckDB prints a list as [CLICK, VIEW]; render the same text.
-    text = F.regexp_replace(F.regexp_replace(parsed, '"', ""), ",", ", ")
-    return ev.agg(F.countDistinct(F.upper("event_type")).alias("known_symbols")).select(text.alias("symbols"), "known_symbols")
+    last = F.when(F.col("event_id") % 2 == 0, F.lit(" ")).otherwise(F.col("event_id").cast("string"))
+    text = F.concat(F.lit(" "), "event_type", F.lit(",, "), F.upper(F.substring("event_type", 1, 2)), F.lit(" x ,"), last)
+    return ev.select("event_id", F.array_join(ingest.parse_symbols(text), "|").alias("symbols"))
 
 
 # ---------------------------------------------------------------- latest-bar summary (dashboard caption)
@@ -543,6 +546,20 @@ def q_latest_bar_summary(spark, sf_dir):
     )
 
 
+_CAPTION_SQL = (
+    "SELECT symbol, strftime(minute, 'Latest completed minute: %Y-%m-%d %H:%M UTC') AS caption, printf('$%.2f', close_price * 1000) AS close, "
+    "printf('%.2f', price_change) AS change, printf('$%.2f', high_price) AS high, printf('$%.2f', low_price) AS low, "
+    "format('{:,}', volume::BIGINT) AS volume, coalesce(printf('$%.2f', vwap), '$nan') AS vwap, format('{:,}', trade_count) AS trades FROM metrics"
+)
+
+
+@register("caption_texts", O.TBM + _CAPTION_SQL)
+def q_captions(spark, sf_dir):
+    """The captions of every bar; close prices are raised a thousandfold to show large ones."""
+    m = _metrics(spark, sf_dir).withColumn("close_price", F.col("close_price") * 1000)
+    return serve.caption_texts(m, "symbol")
+
+
 # ---------------------------------------------------------------- streaming = batch
 #
 # These run the real streaming queries (file source with the log's record
@@ -578,49 +595,128 @@ def _run(query) -> None:
 
 @register(
     "stream_upsert",
-    _TABLE_ROWS_SQL + "SELECT DISTINCT event_id, symbol, price, volume, trade_time, trade_timestamp_ms, source FROM tr",
+    _TABLE_ROWS_SQL
+    + """SELECT event_id, symbol, price, volume, trade_time, trade_timestamp_ms, conditions_json AS conditions, source, count(*) OVER () AS n
+FROM (SELECT DISTINCT event_id, symbol, price, volume, trade_time, trade_timestamp_ms, conditions_json, source FROM tr)""",
 )
 def q_stream_upsert(spark, sf_dir):
+    stored = spark.read.parquet(f"{_table_run(spark, sf_dir)}/trades")
+    n = stored.count()
+    return stored.select(
+        "event_id", "symbol", "price", "volume", ntz("trade_time"), "trade_timestamp_ms", "conditions", "source", F.lit(n).alias("n")
+    )
+
+
+def _table_run(spark, sf_dir, **options) -> str:
     root = _stream_folder(spark, "upsert")
     incoming, per_trigger = _stage_log(spark, sf_dir, root)
     stream = streaming.read_log_stream(spark, incoming, max_files_per_trigger=per_trigger)
-    _run(streaming.start_table_query(stream, f"{root}/trades", f"{root}/ck", {"availableNow": True}))
-    stored = spark.read.parquet(f"{root}/trades")
-    return stored.select("event_id", "symbol", "price", "volume", ntz("trade_time"), "trade_timestamp_ms", "source")
+    options = {k: f"{root}/{v}" for k, v in options.items()}
+    _run(streaming.start_table_query(stream, f"{root}/trades", f"{root}/ck", {"availableNow": True}, **options))
+    return root
+
+
+@register(
+    "stream_bars",
+    _TABLE_ROWS_SQL.replace(", tr AS (", ", tr AS (SELECT DISTINCT ON (event_id) * FROM (").rstrip().removesuffix(")")
+    + ")),\ntrades AS (SELECT * FROM tr),"
+    + O.BARS_CTE
+    + "\nSELECT symbol, minute, open_price, high_price, low_price, close_price, volume, trade_count, round(vwap, 8) AS vwap FROM bars",
+)
+def q_stream_bars(spark, sf_dir):
+    """Bars that each micro-batch refreshed for the minutes it touched."""
+    stored = bars_table.read_bars(spark, f"{_table_run(spark, sf_dir, bars_path='bars')}/bars")
+    return stored.select("symbol", ntz("minute"), "open_price", "high_price", "low_price", "close_price", "volume", "trade_count", rnd("vwap"))
+
+
+@register(
+    "stream_progress",
+    _TABLE_ROWS_SQL
+    + """SELECT count(*) AS received, count(DISTINCT event_id) AS inserted, count(*) - count(DISTINCT event_id) AS duplicates,
+       (SELECT count(*) FROM checked_table WHERE table_error IS NOT NULL) AS rejected FROM tr""",
+)
+def q_stream_progress(spark, sf_dir):
+    """Sums of the progress rows of all micro-batches."""
+    rows = spark.read.parquet(f"{_table_run(spark, sf_dir, progress_path='progress')}/progress")
+    return rows.agg(*[F.sum(c).alias(c) for c in ("received", "inserted", "duplicates", "rejected")])
+
+
+def _archive_query(spark, root: str, incoming: str, per_trigger: int, checkpoint: str, fmt: str = "parquet") -> None:
+    stream = streaming.read_log_stream(spark, incoming, max_files_per_trigger=per_trigger)
+    query = streaming.start_archive_query(stream, f"{root}/archive", f"{root}/dead_letters", f"{root}/{checkpoint}", {"availableNow": True}, fmt)
+    _run(query)
 
 
-def _archive_run(spark, sf_dir) -> str:
+def _archive_run(spark, sf_dir, again: bool = False, fmt: str = "parquet") -> str:
+    """Archive the log; ``again``: and once more by a new query, from the first offset and in other batches."""
     root = _stream_folder(spark, "archive")
     incoming, per_trigger = _stage_log(spark, sf_dir, root)
-    stream = streaming.read_log_stream(spark, incoming, max_files_per_trigger=per_trigger)
-    _run(streaming.start_archive_query(stream, f"{root}/archive", f"{root}/dead_letters", f"{root}/ck", {"availableNow": True}))
+    _archive_query(spark, root, incoming, per_trigger, "ck", fmt)
+    if again:
+        _archive_query(spark, root, incoming, per_trigger + 1, "ck2", fmt)
     return root
 
 
-@register(
-    "stream_dead_letters",
+_DEAD_LETTERS_SQL = (
     O.L
-    + """SELECT error, partition AS source_partition, "offset" AS source_offset,
+    + """SELECT key, error, topic AS source_topic, partition AS source_partition, "offset" AS source_offset,
        CASE WHEN k = 11 THEN '�' || text ELSE text END AS original_value
-FROM checked WHERE error IS NOT NULL""",
+FROM checked WHERE error IS NOT NULL"""
 )
+
+
+def _dead_letters(spark, root) -> DataFrame:
+    dl = dead_letters.read_dead_letters(spark, f"{root}/dead_letters")
+    return dl.select(F.col("key").cast("string").alias("key"), "error", "source_topic", "source_partition", "source_offset", "original_value")
+
+
+@register("stream_dead_letters", _DEAD_LETTERS_SQL)
 def q_stream_dead_letters(spark, sf_dir):
-    root = _archive_run(spark, sf_dir)
-    dl = spark.read.parquet(f"{root}/dead_letters")
-    return dl.select("error", "source_partition", "source_offset", "original_value")
+    return _dead_letters(spark, _archive_run(spark, sf_dir))
 
 
-@register(
-    "stream_archive",
+@register("dead_letters_replay_new_checkpoint", _DEAD_LETTERS_SQL)
+def q_dead_letters_replay(spark, sf_dir):
+    return _dead_letters(spark, _archive_run(spark, sf_dir, again=True))
+
+
+_ARCHIVE_SQL = (
     O.L
-    + """SELECT json_extract_string(text, '$.symbol') AS symbol, substr(json_extract_string(text, '$.timestamp'), 1, 10) AS date,
-       count(*) AS rows, count(DISTINCT eid) AS ids
-FROM checked WHERE error IS NULL GROUP BY ALL""",
+    + """SELECT eid AS event_id, json_extract_string(text, '$.symbol') AS symbol, substr(json_extract_string(text, '$.timestamp'), 1, 10) AS date,
+       CAST(json_extract(text, '$.price') AS DOUBLE) AS price, key, text AS body, topic, partition AS source_partition, "offset" AS source_offset
+FROM checked WHERE error IS NULL"""
 )
+
+
+def _archived(spark, root, fmt: str = "parquet") -> DataFrame:
+    a = archive.read_archive(spark, f"{root}/archive", fmt=fmt)
+    return a.select("event_id", "symbol", "date", "price", "key", "body", "topic", "source_partition", "source_offset")
+
+
+@register("stream_archive", _ARCHIVE_SQL)
 def q_stream_archive(spark, sf_dir):
-    root = _archive_run(spark, sf_dir)
-    a = archive.read_archive(spark, f"{root}/archive")
-    return a.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("event_id").alias("ids"))
+    return _archived(spark, _archive_run(spark, sf_dir))
+
+
+@register("archive_replay_new_checkpoint", _ARCHIVE_SQL)
+def q_archive_replay(spark, sf_dir):
+    return _archived(spark, _archive_run(spark, sf_dir, again=True))
+
+
+@register("archive_csv", _ARCHIVE_SQL)
+def q_archive_csv(spark, sf_dir):
+    return _archived(spark, _archive_run(spark, sf_dir, fmt="csv"), "csv")
+
+
+@register(
+    "archive_round_trip",
+    _TABLE_ROWS_SQL + "SELECT event_id, symbol, price, volume, trade_time, conditions_json AS conditions, partition, \"offset\" FROM tr",
+)
+def q_archive_round_trip(spark, sf_dir):
+    """Table rows made from the archived messages, which are read and validated like the log itself."""
+    log = archive.archive_log(archive.read_archive(spark, f"{_archive_run(spark, sf_dir)}/archive"))
+    rows = validate.to_table_rows(validate.valid_messages(validate.validate(log, table_path=True)))
+    return rows.select("event_id", "symbol", "price", "volume", ntz("trade_time"), "conditions", "partition", "offset")
 
 
 @register("latest_day_metrics_from_bars", _LATEST_DAY_SQL.format(s=SYMBOL) + "SELECT " + O.METRIC_SELECT + " FROM latest")
@@ -637,17 +733,7 @@ def q_metrics_by_day(spark, sf_dir):
 
 @register(
     "one_minute_metrics_by_day_hourly",
-    """WITH trades AS (
-  SELECT CAST(event_id AS VARCHAR) AS event_id, upper(event_type) AS symbol, value AS price,
-         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS volume,
-         make_timestamp((epoch_us(ts)//1000) * 1000) AS trade_time
-  FROM events WHERE value > 0),"""
-    + O.BARS_CTE.replace("'minute'", "'hour'")
-    + ","
-    + O.METRICS_CTE
-    + "\nSELECT symbol, "
-    + O.METRIC_SELECT
-    + " FROM metrics",
+    O.with_ctes(O.trades_cte(1), O.bars_cte("hour"), O.METRICS_CTE) + "SELECT symbol, " + O.METRIC_SELECT + " FROM metrics",
 )
 def q_metrics_by_day_hourly(spark, sf_dir):
     # Unsqueezed events over 30 days: hour bars cross many day boundaries, so

@@ -12,20 +12,12 @@ from pyspark.sql.types import (
     StructField,
     StructType,
     TimestampType,
+    VariantType,
 )
 
 # Fixed values that must equal the reference for equal results.
 SOURCE_NAME = "finnhub"
 REQUIRED_FIELDS = ("price", "source", "symbol", "timestamp", "trade_timestamp_ms", "volume")
-FINGERPRINT_FIELDS = (
-    "conditions",
-    "price",
-    "source",
-    "symbol",
-    "timestamp",
-    "trade_timestamp_ms",
-    "volume",
-)
 
 # One short-named vendor trade inside a frame. Numbers are kept as their JSON text
 # and cast with try_cast, so numeric strings are accepted the way int()/float() do.
@@ -35,7 +27,7 @@ VENDOR_TRADE = StructType(
         StructField("p", StringType()),
         StructField("v", StringType()),
         StructField("t", StringType()),
-        StructField("c", ArrayType(StringType())),
+        StructField("c", VariantType()),  # any JSON value; absent is not the same as null
     ]
 )
 
@@ -55,7 +47,7 @@ TRADE_WIRE = StructType(
         StructField("volume", DoubleType()),
         StructField("timestamp", StringType()),
         StructField("trade_timestamp_ms", LongType()),
-        StructField("conditions", ArrayType(StringType())),
+        StructField("conditions", VariantType()),
         StructField("source", StringType()),
     ]
 )
@@ -74,6 +66,7 @@ LOG_RECORD = StructType(
 
 DEAD_LETTER = StructType(
     [
+        StructField("key", BinaryType()),
         StructField("error", StringType()),
         StructField("source_topic", StringType()),
         StructField("source_partition", IntegerType()),
@@ -90,15 +83,14 @@ TRADES = StructType(
         StructField("volume", DoubleType(), False),
         StructField("trade_time", TimestampType(), False),
         StructField("trade_timestamp_ms", LongType(), False),
-        StructField("conditions", ArrayType(StringType(), False), False),
+        StructField("conditions", StringType(), False),  # JSON text of any value, "[]" by default
         StructField("source", StringType(), False),
         StructField("received_at", TimestampType(), False),
     ]
 )
 
-# Archive rows: the wire columns plus the source coordinates. ``conditions`` is
-# JSON text so that CSV can hold it; ``symbol`` and ``date`` are the partition
-# directories and ``batch_id`` makes a replayed micro-batch overwrite itself.
+# Archive rows: the wire columns, the whole message (``body``) with its key, and the
+# log coordinates. ``symbol`` and ``date`` are the partition directories.
 ARCHIVE = StructType(
     [
         StructField("event_id", StringType()),
@@ -108,11 +100,13 @@ ARCHIVE = StructType(
         StructField("trade_timestamp_ms", LongType()),
         StructField("conditions", StringType()),
         StructField("source", StringType()),
+        StructField("key", StringType()),
+        StructField("body", StringType()),
+        StructField("topic", StringType()),
         StructField("source_partition", IntegerType()),
         StructField("source_offset", LongType()),
         StructField("symbol", StringType()),
         StructField("date", StringType()),
-        StructField("batch_id", LongType()),
     ]
 )
 
@@ -127,10 +121,3 @@ BAR_COLUMNS = (
     "trade_count",
     "vwap",
 )
-
-METRIC_COLUMNS = BAR_COLUMNS + (
-    "price_change",
-    "moving_average_5",
-    "moving_average_15",
-    "rolling_volatility_15",
-)

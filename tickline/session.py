@@ -79,16 +79,19 @@ def get_session(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and lineage cuts.
+    """Shared folder for checkpoints and staged data.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) a fresh scratch folder is created once per session and registered.
+    Uses the cluster's ``spark.checkpoint.dir``. Where it is unset, only a local
+    session (one machine, as in tests) gets a fresh scratch folder; on a cluster the
+    executors could not share one and a restarted driver would lose it.
     """
     global _LOCAL_ROOT
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir, or give the folder, to one that driver and executors share")
         if _LOCAL_ROOT is None:
             _LOCAL_ROOT = tempfile.mkdtemp(prefix="tickline-ckpt-")
         root = _LOCAL_ROOT

@@ -1,11 +1,11 @@
-"""Replay-safe raw archive: one folder per (symbol, date, batch).
-
-Layout ``<root>/symbol=S/date=YYYY-MM-DD/batch_id=N/part-*.csv`` (or parquet).
-A micro-batch is written with dynamic partition overwrite, so replaying batch N
-(after a crash between the write and the checkpoint commit) replaces exactly the
-folders batch N wrote before: the archive stays exactly-once. The Kafka offset
-span that the reference puts into object names is kept per row
-(``source_partition``, ``source_offset``) and summarized by :func:`offset_spans`.
+"""Lossless raw archive, one folder per (symbol, date).
+
+Layout ``<root>/symbol=S/date=YYYY-MM-DD/part-*``. A row holds the whole message as
+it arrived (``body``), its key and log coordinates, and the wire fields as columns.
+Rows are inserted only where their coordinates are absent, so a replayed batch, a
+query that starts again from the first offset, or one with other batch bounds adds
+nothing twice and replaces nothing. The offset span that the reference puts into
+object names is kept per row and summarized by :func:`offset_spans`.
 """
 
 from __future__ import annotations
@@ -14,54 +14,61 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickline.schemas import ARCHIVE
+from tickline.sinks.coordinates import not_stored, read_or_none
 
-PARTITION_COLUMNS = ("symbol", "date", "batch_id")
+PARTITION_COLUMNS = ("symbol", "date")
+COORDINATES = ("topic", "source_partition", "source_offset")
+#: Text may hold line breaks, quotes and blanks at either end; null is not empty text.
+CSV_OPTIONS = {
+    "header": "true", "escape": '"', "quoteAll": "true", "multiLine": "true", "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false", "nullValue": "\\N", "emptyValue": "",
+}
 
 
-def archive_rows(valid: DataFrame, batch_id: int | Column | None = None) -> DataFrame:
-    """Valid wire messages → archive rows.
+def archive_rows(valid: DataFrame) -> DataFrame:
+    """Valid messages (with ``key`` and ``value`` carried along) → archive rows.
 
     ``date`` is the first 10 characters of the ``timestamp`` text (not a parsed
-    date); ``conditions`` becomes JSON text so that CSV can hold it.
+    date); ``conditions`` is its JSON text, NULL where the message has none.
     """
-    if batch_id is None:
-        batch = F.col("batch_id").cast("long")
-    else:
-        batch = (batch_id if isinstance(batch_id, Column) else F.lit(batch_id)).cast("long")
     return valid.select(
         "event_id",
         "price",
         "volume",
         "timestamp",
         "trade_timestamp_ms",
-        F.to_json("conditions").alias("conditions"),
+        "conditions",
         "source",
+        F.col("key").cast("string").alias("key"),
+        F.col("value").cast("string").alias("body"),
+        "topic",
         F.col("partition").cast("int").alias("source_partition"),
         F.col("offset").cast("long").alias("source_offset"),
         "symbol",
         F.substring("timestamp", 1, 10).alias("date"),
-        batch.alias("batch_id"),
     )
 
 
-def write_archive(rows: DataFrame, root: str, fmt: str = "csv") -> None:
-    """Write archive rows; folders of the batches present are replaced, others kept.
+def write_archive(rows: DataFrame, root: str, fmt: str = "parquet") -> None:
+    """Append the rows whose coordinates are not archived yet.
 
-    Rows are clustered by the partition columns (``rebalance``) so each task writes
+    A record always has the same folder, so only the folders of the batch are looked
+    at. Rows are clustered by the partition columns (``rebalance``) so each task writes
     few files; AQE splits a folder that holds a large share of the batch (a hot
     symbol) over several tasks instead of sending it to one writer.
     """
-    writer = (
-        rows.hint("rebalance", *PARTITION_COLUMNS)
-        .sortWithinPartitions("symbol", "trade_timestamp_ms")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+    options = CSV_OPTIONS if fmt == "csv" else {}
+    stored = read_or_none(rows.sparkSession, root, fmt, ARCHIVE, **options)
+    new = not_stored(rows, stored, *COORDINATES, same=PARTITION_COLUMNS)
+    (
+        new.hint("rebalance", *PARTITION_COLUMNS)
+        .sortWithinPartitions(*PARTITION_COLUMNS, "trade_timestamp_ms")  # the writer's own order first
+        .write.mode("append")
+        .options(**options)
+        .format(fmt)
         .partitionBy(*PARTITION_COLUMNS)
+        .save(root)
     )
-    if fmt == "csv":
-        writer.option("header", True).csv(root)
-    else:
-        writer.format(fmt).save(root)
 
 
 def read_archive(
@@ -69,18 +76,14 @@ def read_archive(
     root: str,
     symbol: str | None = None,
     dates: tuple[str, str] | None = None,
-    fmt: str = "csv",
+    fmt: str = "parquet",
 ) -> DataFrame:
     """Archive as a DataFrame with the declared schema (no inference).
 
     ``symbol`` and the inclusive ``dates`` range are partition filters, so only
     the matching folders are listed and read.
     """
-    reader = spark.read.schema(ARCHIVE)
-    if fmt == "csv":
-        df = reader.option("header", True).csv(root)
-    else:
-        df = reader.format(fmt).load(root)
+    df = spark.read.schema(ARCHIVE).format(fmt).options(**(CSV_OPTIONS if fmt == "csv" else {})).load(root)
     if symbol is not None:
         df = df.where(F.col("symbol") == F.lit(symbol))
     if dates is not None:
@@ -88,6 +91,17 @@ def read_archive(
     return df
 
 
+def archive_log(archived: DataFrame) -> DataFrame:
+    """Archived rows back as log records (key, value, topic, partition, offset), to replay them."""
+    return archived.select(
+        F.col("key").cast("binary").alias("key"),
+        F.col("body").cast("binary").alias("value"),
+        "topic",
+        F.col("source_partition").alias("partition"),
+        F.col("source_offset").alias("offset"),
+    )
+
+
 def conditions_array(text: Column) -> Column:
     """Archive ``conditions`` text → array<string>; accepts JSON (``["@"]``, what
     we write) and Python list text (``['@']``, what older CSV objects hold)."""

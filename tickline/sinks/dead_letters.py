@@ -1,8 +1,8 @@
-"""Dead-letter table: rejected records with the reason and source coordinates.
+"""Dead-letter table: rejected records with key, reason and source coordinates.
 
-Written per micro-batch into ``batch_id=N`` folders with dynamic partition
-overwrite, so a replayed batch replaces its own dead letters instead of adding a
-second copy; (source_topic, source_partition, source_offset) stays unique.
+Rows are inserted only where their coordinates are absent, so a replayed batch, or a
+query that starts again from the first offset, adds no second copy and replaces
+nothing; (source_topic, source_partition, source_offset) stays unique.
 """
 
 from __future__ import annotations
@@ -11,24 +11,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickline.schemas import DEAD_LETTER
+from tickline.sinks.coordinates import not_stored, read_or_none
 
+COORDINATES = ("source_topic", "source_partition", "source_offset")
 
-def write_dead_letters(rejected: DataFrame, root: str, batch_id: int) -> None:
+
+def write_dead_letters(rejected: DataFrame, root: str) -> None:
+    rows = rejected.select(*[f.name for f in DEAD_LETTER.fields])
+    stored = read_or_none(rows.sparkSession, root, "parquet", DEAD_LETTER)
     (
-        rejected.select(*[f.name for f in DEAD_LETTER.fields], F.lit(batch_id).cast("long").alias("batch_id"))
+        not_stored(rows, stored, *COORDINATES)
         .hint("rebalance")  # few files per batch; a flood of rejects still spreads over tasks
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
+        .sortWithinPartitions(*COORDINATES)
+        .write.mode("append")
         .parquet(root)
     )
 
 
 def read_dead_letters(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(root)
+    return spark.read.schema(DEAD_LETTER).parquet(root)
 
 
 def dead_letter_messages(rejected: DataFrame) -> DataFrame:
-    """Kafka-sink shape (key, value JSON) for publishing dead letters to a topic."""
-    fields = [f.name for f in DEAD_LETTER.fields]
+    """Kafka-sink shape (key, value JSON) for publishing dead letters to a topic; the record's key is kept."""
+    fields = [f.name for f in DEAD_LETTER.fields if f.name != "key"]
     return rejected.select(F.col("key"), F.to_json(F.struct(*fields)).alias("value"))
+
+
+def publish_dead_letters(rejected: DataFrame, options: dict[str, str]) -> None:
+    """Send a batch's dead letters to the topic of ``options`` (see ``kafka_writer``); at least once."""
+    dead_letter_messages(rejected).write.format("kafka").options(**options).save()

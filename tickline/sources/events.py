@@ -65,7 +65,7 @@ def trades_from_events(events: DataFrame, squeeze: int = DEFAULT_SQUEEZE) -> Dat
             "volume",
             F.timestamp_millis("trade_timestamp_ms").alias("trade_time"),
             "trade_timestamp_ms",
-            F.array().cast("array<string>").alias("conditions"),
+            F.lit("[]").alias("conditions"),
             F.lit(SOURCE_NAME).alias("source"),
             "received_at",
         )
@@ -76,14 +76,16 @@ def vendor_frames_from_events(events: DataFrame, squeeze: int = DEFAULT_SQUEEZE)
     """One vendor frame per event: ``{"type":"trade","data":[{"s","p","v","t","c"}]}``.
 
     Events of type ``error`` become non-trade frames (a vendor status message),
-    which the decoder must skip. Output: one string column ``value``.
+    which the decoder must skip. By ``event_id % 40``: class 5 has a price that is no
+    number, 6 no volume, 7 a null and 8 no ``c``. Output: one string column ``value``.
     """
+    fault = F.pmod(F.col("event_id"), F.lit(FAULT_CYCLE))
     trade = F.struct(
         F.upper("event_type").alias("s"),
-        F.col("value").alias("p"),
-        F.get_json_object("props", "$.k").cast("long").alias("v"),
+        F.when(fault == 5, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("p"),
+        F.when(fault != 6, F.get_json_object("props", "$.k").cast("long")).alias("v"),
         squeezed_ms("ts", squeeze).alias("t"),
-        F.array(F.lit("@")).alias("c"),
+        F.when(fault == 7, F.parse_json(F.lit("null"))).when(fault != 8, F.parse_json(F.lit('["@"]'))).alias("c"),
     )
     frame_type = F.when(F.col("event_type") == "error", F.lit("ping")).otherwise(F.lit("trade"))
     return events.select(
@@ -94,7 +96,6 @@ def vendor_frames_from_events(events: DataFrame, squeeze: int = DEFAULT_SQUEEZE)
 # Fixed values of the test log: fault class per record is ``event_id % FAULT_CYCLE``.
 FAULT_CYCLE = 40
 DUPLICATE_EVERY = 10
-DUPLICATE_OFFSET_BASE = 1_000_000_000
 
 
 def _kv(key: str, value: Column) -> Column:
@@ -118,7 +119,7 @@ def _wire_parts(events: DataFrame, squeeze: int) -> DataFrame:
         "*", python_float_text(F.col("_price")).alias("_price_txt"), python_float_text(F.col("_vol")).alias("_vol_txt")
     )
     canon = canonical_text_rendered(
-        F.col("_sym"), F.col("_price_txt"), F.col("_vol_txt"), F.col("_iso"), F.col("_ms"), F.array(F.lit("@")), F.lit(SOURCE_NAME)
+        F.col("_sym"), F.col("_price_txt"), F.col("_vol_txt"), F.col("_iso"), F.col("_ms"), F.lit('["@"]'), F.lit(SOURCE_NAME)
     )
     staged = staged.withColumn("_eid", sha256_hex(canon))
     # Text pieces used by several fault branches: projected once, not per branch.
@@ -131,6 +132,25 @@ def _wire_parts(events: DataFrame, squeeze: int) -> DataFrame:
     )
 
 
+# JSON of ``conditions`` by fault class; other classes have ["@"].
+CONDITIONS = {
+    21: '"x"',
+    22: '{"a":[1,null,true],"b":1.5}',
+    23: '[1.5,{"b":2}]',
+    24: "null",
+    25: '["a\\nb"," pad ","q\\"é"]',
+    27: '[1.0,"é",{"b":1e3,"a":null},20000000000000000000]',
+}
+
+
+def _conditions_kv(k: Column) -> Column:
+    """Absent (with an extra field) in classes 20 and 28."""
+    out = F.when(k.isin(20, 28), F.lit('"venue": "X"'))
+    for fault, text in CONDITIONS.items():
+        out = out.when(k == fault, F.lit(f'"conditions": {text}'))
+    return out.otherwise(F.lit('"conditions": ["@"]'))
+
+
 def _slots(parts: DataFrame) -> DataFrame:
     """Each key/value slot of the message, with the fault of its class applied."""
     k = F.col("_fault")
@@ -144,11 +164,12 @@ def _slots(parts: DataFrame) -> DataFrame:
         F.when(k.isin(3, 16), F.lit('"price": 0')).when(k == 4, quoted("_price_kv")).when(k == 18, F.lit('"price": null'))
         .otherwise(F.col("_price_kv")).alias("_s2"),
         F.when(k == 5, F.lit('"volume": -1')).when(k == 19, quoted("_volume_kv")).otherwise(F.col("_volume_kv")).alias("_s3"),
-        F.when(k == 6, F.lit('"timestamp": ""')).when(k == 14, F.lit('"timestamp": "garbage"')).otherwise(F.col("_ts_kv")).alias("_s4"),
+        F.when(k == 6, F.lit('"timestamp": ""')).when(k == 14, F.lit('"timestamp": "garbage"')).when(k == 26, F.lit('"timestamp": "10:00"'))
+        .when(k == 29, F.lit('"timestamp": "2024"')).otherwise(F.col("_ts_kv")).alias("_s4"),
         _kv("trade_timestamp_ms", F.concat(F.col("_ms").cast("string"), F.when(k == 7, F.lit(".0")).otherwise(F.lit("")))).alias("_s5"),
-        F.when(k == 20, F.lit('"venue": "X"')).otherwise(F.lit('"conditions": ["@"]')).alias("_s6"),
+        _conditions_kv(k).alias("_s6"),
         F.when(k.isin(8, 16), F.lit('"source": "other"')).otherwise(F.lit(f'"source": "{SOURCE_NAME}"')).alias("_s7"),
-        F.when(k != 13, _kv("event_id", json_string(F.col("_eid")))).alias("_s8"),
+        F.when(~k.isin(13, 27, 28), _kv("event_id", json_string(F.col("_eid")))).alias("_s8"),
     )
 
 
@@ -162,8 +183,10 @@ def wire_text() -> Column:
     9 trailing text, 10 not an object, 11 invalid UTF-8 (see :func:`log_from_events`),
     12 empty body, 13 no event_id (consumer derives it), 14 unparseable
     timestamp, 15 empty object, 16 zero price and other source, 17 numeric
-    symbol, 18 null price, 19 volume as text, 20 extra field and no conditions.
-    Everything else is a valid trade. Reads the columns of :func:`_slots`.
+    symbol, 18 null price, 19 volume as text, 20 extra field and no conditions,
+    21 to 25 other JSON values of ``conditions``, 26 and 29 a time and a year for a
+    timestamp, 27 no event_id and nested ``conditions``, 28 neither event_id nor
+    ``conditions``. Everything else is a valid trade. Reads the columns of :func:`_slots`.
     """
     k = F.col("_fault")
     full = F.concat(F.lit("{"), F.concat_ws(", ", *[F.col(f"_s{i}") for i in range(1, 9)]), F.lit("}"))
@@ -186,12 +209,12 @@ def log_from_events(
     """Kafka-shaped test log built from every event, plus duplicate deliveries.
 
     Columns: key, value (BINARY), topic, partition, offset, timestamp, batch_id.
-    ``partition = event_id % partitions``, ``offset = event_id div partitions``;
-    arrival ``timestamp`` is the original event time and ``batch_id`` its day
-    (0..29), which stands for the micro-batch the record arrives in. Events whose
-    id is a multiple of 10 are delivered a second time one day later (same
-    partition, offset shifted by 10^9), capped at the last day, so duplicates
-    occur both across and inside batches.
+    ``partition = event_id % partitions``, ``offset = 2 * (event_id div partitions)``;
+    arrival ``timestamp`` is the original event time and ``batch_id`` its day,
+    which stands for the micro-batch the record arrives in. Events whose id is a
+    multiple of 10 are delivered a second time: of these, every other one on the
+    same day and the rest a day later (same partition, the odd offset that follows
+    the first delivery's), so duplicates occur both across and inside batches.
     """
     parts = _slots(_wire_parts(events, squeeze)).withColumn("_text", wire_text())
     text = F.col("_text")
@@ -205,20 +228,20 @@ def log_from_events(
         body.alias("value"),
         F.lit(topic).alias("topic"),
         F.pmod(F.col("event_id"), F.lit(partitions)).cast("int").alias("partition"),
-        F.expr(f"event_id div {partitions}").alias("offset"),
+        F.expr(f"2 * (event_id div {partitions})").alias("offset"),
         arrival.alias("timestamp"),
         day.alias("batch_id"),
         F.col("event_id").alias("_eid"),
     )
-    last_day = F.lit(29)
+    later = F.pmod(F.expr(f"_eid div {DUPLICATE_EVERY}"), F.lit(2)).cast("int")
     dups = base.where(F.pmod(F.col("_eid"), F.lit(DUPLICATE_EVERY)) == 0).select(
         "key",
         "value",
         "topic",
         "partition",
-        (F.col("offset") + F.lit(DUPLICATE_OFFSET_BASE)).alias("offset"),
-        (F.col("timestamp") + F.expr("INTERVAL 1 DAY")).alias("timestamp"),
-        F.least(F.col("batch_id") + 1, last_day).alias("batch_id"),
+        (F.col("offset") + 1).alias("offset"),
+        (F.col("timestamp") + F.make_dt_interval(later)).alias("timestamp"),
+        (F.col("batch_id") + later).alias("batch_id"),
         "_eid",
     )
     return base.unionByName(dups).drop("_eid")

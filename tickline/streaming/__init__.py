@@ -2,7 +2,9 @@
 
 from tickline.streaming.queries import (
     dedup_within_watermark,
-    kafka_options,
+    kafka_reader,
+    kafka_writer,
+    start_quarantine_query,
     read_log_stream,
     start_archive_query,
     start_bars_query,
@@ -13,7 +15,9 @@ from tickline.streaming.queries import (
 
 __all__ = [
     "dedup_within_watermark",
-    "kafka_options",
+    "kafka_reader",
+    "kafka_writer",
+    "start_quarantine_query",
     "read_log_stream",
     "start_archive_query",
     "start_bars_query",

@@ -2,14 +2,17 @@
 
 Each query is a source → ``foreachBatch`` pipeline. Spark writes the batch's
 offsets to the checkpoint before the batch runs and the commit after the
-function returns, so a failed batch is re-run with the same ``batch_id`` and the
-same records; every sink below is written so that a re-run replaces or skips its
-own output (exactly-once results from at-least-once delivery).
+function returns, so a failed batch is re-run with the same records. Every sink
+below inserts a record only where it is absent, told by its log coordinates or its
+id and never by the batch number: re-runs, queries that start again from the first
+offset and other batch bounds give the same tables (exactly-once results from
+at-least-once delivery).
 
-* archive query: validate → archive folders + dead letters (both keyed by batch).
+* archive query: validate → archive + dead letters (and, if asked, a dead-letter topic).
 * table query: validate (strict timestamp) → insert-if-absent into ``trades``,
   optional bars refresh and a per-batch progress row.
-* publish query: vendor frames → normalized, id-stamped wire records.
+* publish query: vendor frames → normalized, id-stamped wire records; elements that
+  cannot be normalized go to a quarantine.
 * bars query (opt-in): event-time tumbling bars with a watermark, append mode.
 """
 
@@ -59,16 +62,14 @@ def read_log_stream(
     return reader.parquet(source)
 
 
-def kafka_options(bootstrap: str, topic: str, **extra: str) -> dict[str, str]:
-    """Reader/writer options for a topic; producer side is idempotent, acks=all."""
-    opts = {
-        "kafka.bootstrap.servers": bootstrap,
-        "subscribe": topic,
-        "kafka.acks": "all",
-        "kafka.enable.idempotence": "true",
-    }
-    opts.update(extra)
-    return opts
+def kafka_reader(bootstrap: str, topic: str, **extra: str) -> dict[str, str]:
+    """Source options for a topic (see :func:`read_log_stream`)."""
+    return {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, **extra}
+
+
+def kafka_writer(bootstrap: str, topic: str, **extra: str) -> dict[str, str]:
+    """Sink options for a topic; the producer is idempotent and waits for all replicas."""
+    return {"kafka.bootstrap.servers": bootstrap, "topic": topic, "kafka.acks": "all", "kafka.enable.idempotence": "true", **extra}
 
 
 def _checkpoint(spark: SparkSession, checkpoint: str | None, name: str) -> str:
@@ -79,15 +80,20 @@ def _trigger(writer, trigger: dict | None):
     return writer.trigger(**(trigger or {"processingTime": "5 seconds"}))
 
 
-def archive_batch(archive_root: str, dead_letter_root: str, fmt: str = "csv") -> Callable[[DataFrame, int], None]:
+def archive_batch(
+    archive_root: str, dead_letter_root: str, fmt: str = "parquet", dead_letter_topic: dict[str, str] | None = None
+) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body of the archive query."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         checked = validate.validate(batch).persist()
         try:
-            rows = archive.archive_rows(validate.valid_messages(checked), batch_id)
-            archive.write_archive(rows, archive_root, fmt)
-            dead_letters.write_dead_letters(validate.dead_letters(checked), dead_letter_root, batch_id)
+            valid = validate.valid_messages(checked, extra=(F.col("key"), F.col("value")))
+            archive.write_archive(archive.archive_rows(valid), archive_root, fmt)
+            rejected = validate.dead_letters(checked)
+            dead_letters.write_dead_letters(rejected, dead_letter_root)
+            if dead_letter_topic:
+                dead_letters.publish_dead_letters(rejected, dead_letter_topic)
         finally:
             checked.unpersist()
 
@@ -100,10 +106,12 @@ def start_archive_query(
     dead_letter_root: str,
     checkpoint: str | None = None,
     trigger: dict | None = None,
-    fmt: str = "csv",
+    fmt: str = "parquet",
+    dead_letter_topic: dict[str, str] | None = None,
 ) -> StreamingQuery:
+    """``dead_letter_topic``: :func:`kafka_writer` options of a topic that gets the dead letters as well."""
     spark = log_stream.sparkSession
-    writer = log_stream.writeStream.foreachBatch(archive_batch(archive_root, dead_letter_root, fmt))
+    writer = log_stream.writeStream.foreachBatch(archive_batch(archive_root, dead_letter_root, fmt, dead_letter_topic))
     writer = writer.option("checkpointLocation", _checkpoint(spark, checkpoint, "archive"))
     return _trigger(writer, trigger).queryName("trade_archive").start()
 
@@ -112,45 +120,52 @@ def table_batch(
     trades_path: str,
     progress_path: str | None = None,
     bars_path: str | None = None,
-    prune_by_date: bool = False,
     bars_mode: str = "touched",
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body of the table query.
 
     ``bars_mode``: ``"touched"`` re-aggregates only the (symbol, minute) bars the
-    batch touched; ``"dates"`` recomputes whole touched dates.
+    batch touched; ``"dates"`` recomputes whole touched dates. A progress row is told
+    by its first record's coordinates, so that a replayed batch replaces its own row.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        checked = validate.validate(batch, table_path=True).persist()
+        checked = validate.validate(batch, table_path=True)
+        if progress_path:
+            checked = checked.persist()  # read twice
+        rows = validate.to_table_rows(validate.valid_messages(checked)).persist()
         try:
-            rows = validate.to_table_rows(validate.valid_messages(checked)).persist()
-            result = trades_table.upsert_trades(rows, trades_path, prune_by_date=prune_by_date)
-            if bars_path and bars_mode == "touched":
+            result = trades_table.upsert_trades(rows, trades_path)
+            if result.received and bars_path and bars_mode == "touched":
                 bars_table.refresh_touched_bars(spark, trades_path, bars_path, rows)
-            elif bars_path:
+            elif result.received and bars_path:
                 bars_table.refresh_bars(spark, trades_path, bars_path, bars_table.touched_dates(rows))
             if progress_path:
-                rejected = checked.agg(F.count_if(F.col("error").isNotNull())).first()[0]
-                progress = spark.createDataFrame(
-                    [(batch_id, result.received, result.inserted, result.duplicates, int(rejected))],
-                    "batch_id long, received long, inserted long, duplicates long, rejected long",
-                ).withColumn("written_at", F.current_timestamp())
-                (
-                    progress.coalesce(1)
-                    .write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy("batch_id")
-                    .parquet(progress_path)
-                )
-            rows.unpersist()
+                _write_progress(checked, result, batch_id, progress_path)
         finally:
+            rows.unpersist()
             checked.unpersist()
 
     return run
 
 
+def _write_progress(checked: DataFrame, result: trades_table.UpsertResult, batch_id: int, path: str) -> None:
+    first, rejected = checked.agg(F.min(F.struct("topic", "partition", "offset")), F.count_if(F.col("error").isNotNull())).first()
+    if first is None:
+        return
+    row = (batch_id, result.received, result.inserted, result.duplicates, int(rejected), f"{first['topic']}-{first['partition']}-{first['offset']}")
+    (
+        checked.sparkSession.createDataFrame([row], "batch_id long, received long, inserted long, duplicates long, rejected long, first_record string")
+        .withColumn("written_at", F.current_timestamp())
+        .coalesce(1)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("first_record")
+        .parquet(path)
+    )
+
+
 def start_table_query(
     log_stream: DataFrame,
     trades_path: str,
@@ -158,11 +173,10 @@ def start_table_query(
     trigger: dict | None = None,
     progress_path: str | None = None,
     bars_path: str | None = None,
-    prune_by_date: bool = False,
     bars_mode: str = "touched",
 ) -> StreamingQuery:
     spark = log_stream.sparkSession
-    body = table_batch(trades_path, progress_path, bars_path, prune_by_date, bars_mode)
+    body = table_batch(trades_path, progress_path, bars_path, bars_mode)
     writer = log_stream.writeStream.foreachBatch(body)
     writer = writer.option("checkpointLocation", _checkpoint(spark, checkpoint, "table"))
     return _trigger(writer, trigger).queryName("trade_table").start()
@@ -177,22 +191,40 @@ def start_publish_query(
 ) -> StreamingQuery:
     """Vendor frames → normalized trades with ids → keyed wire records.
 
-    ``sink`` is Kafka options (topic in ``"topic"``) or a folder (Parquet file
+    ``sink`` is Kafka options (:func:`kafka_writer`) or a folder (Parquet file
     sink, exactly-once). Spark's Kafka sink is at-least-once; the table query's
-    insert-if-absent removes repeats downstream.
+    insert-if-absent removes repeats downstream. Elements that cannot be normalized
+    are the output of :func:`start_quarantine_query`.
     """
     spark = frames_stream.sparkSession
     records = ingest.to_wire(ingest.normalize_trades(ingest.decode_frames(frames_stream, column)))
-    if isinstance(sink, dict):
-        writer = records.writeStream.format("kafka")
-        for k, v in sink.items():
-            writer = writer.option(k, v)
-    else:
-        writer = records.writeStream.format("parquet").option("path", sink)
-    writer = writer.option("checkpointLocation", _checkpoint(spark, checkpoint, "publish"))
+    writer = _to(records, sink).option("checkpointLocation", _checkpoint(spark, checkpoint, "publish"))
     return _trigger(writer, trigger).queryName("trade_publish").start()
 
 
+def start_quarantine_query(
+    frames_stream: DataFrame,
+    sink: str | dict[str, str],
+    checkpoint: str | None = None,
+    trigger: dict | None = None,
+    column: str = "value",
+) -> StreamingQuery:
+    """The vendor elements that :func:`start_publish_query` cannot normalize, with the reason: a folder of
+    (error, original_value), or JSON messages on a topic."""
+    spark = frames_stream.sparkSession
+    rejects = ingest.normalize_rejects(ingest.decode_frames(frames_stream, column))
+    if isinstance(sink, dict):
+        rejects = rejects.select(F.to_json(F.struct("error", "original_value")).alias("value"))
+    writer = _to(rejects, sink).option("checkpointLocation", _checkpoint(spark, checkpoint, "quarantine"))
+    return _trigger(writer, trigger).queryName("trade_quarantine").start()
+
+
+def _to(rows: DataFrame, sink: str | dict[str, str]):
+    if isinstance(sink, dict):
+        return rows.writeStream.format("kafka").options(**sink)
+    return rows.writeStream.format("parquet").option("path", sink)
+
+
 def watermarked_bars(trades_stream: DataFrame, delay: str = "1 minute", width: str = "1 minute") -> DataFrame:
     """Event-time tumbling bars for a trades stream (opt-in mode).
 
@@ -243,7 +275,9 @@ def start_bars_query(
 
 __all__ = [
     "read_log_stream",
-    "kafka_options",
+    "kafka_reader",
+    "kafka_writer",
+    "start_quarantine_query",
     "start_archive_query",
     "start_table_query",
     "start_publish_query",
