@@ -98,6 +98,7 @@ def test_suffix_array_is_the_sorted_suffixes(monkeypatch):
             body = np.tile(body[: max(1, n // 5)], 6)[:n]
         text = np.append(body, 0).astype(np.uint8 if turn % 2 else np.int32)
         monkeypatch.setattr(suffix_sort, "CHUNK", int(rng.integers(1, 30)))
+        monkeypatch.setattr(suffix_sort, "DIRECT", 0 if turn % 5 else 1 << 20)  # recursion or doubling
         with suffix_sort.Scratch(in_memory=16 if turn % 4 == 0 else 1 << 20) as scratch:  # files or memory
             order, shared = suffix_sort.suffix_array(text, 9, scratch)
             tails = [text[i:].tolist() for i in range(len(text))]

@@ -10,7 +10,9 @@ of a pass share one array of known size, in a file if it is large, and are read
 thousand entries at a time.
 
 Seeds are sorted by the same two passes: sorting the stretches between seeds names them, and if names
-repeat, the names are a text of a third of the length at most, which is sorted by recursion.
+repeat, the names are a text of about a third of the length, which is sorted by recursion. A text of
+names that is short enough for memory is sorted there by doubling: many symbols, each of which occurs a
+few times only, leave the queues little to do at once.
 
 An entry carries the length of the prefix that it shares with the entry scanned before it, up to a
 limit. Two neighbours in a queue were put there by two scanned entries; they share one symbol more
@@ -26,6 +28,8 @@ import numpy as np
 CHUNK = 1 << 16
 #: Arrays of more bytes are kept in files.
 IN_MEMORY = 32 << 20
+#: Recursion ends at texts of so many symbols, which are sorted in memory.
+DIRECT = 1 << 20
 
 
 class Scratch:
@@ -140,10 +144,16 @@ class _Pass:
     def scan(self, visit, seam) -> None:
         """Give all entries to `visit(pos, lcp)` in order, chunk by chunk, each as soon as all before it are there.
         `seam` compares the last entry of a queue with the first known one of the same symbol."""
-        k, read, total = 0, 0, int(self.start[-1])
+        k, read, total, look = 0, 0, int(self.start[-1]), 64
         while read < total:
-            far = min(int(np.searchsorted(self.start, read + CHUNK, side="right")), len(self.own))
-            waiting = self.got[k:far] < self.own[k:far]
+            # with many symbols, a queue that waits is near: no need to look at all that a chunk could hold
+            while True:
+                far = min(k + look, len(self.own))
+                waiting = self.got[k:far] < self.own[k:far]
+                if waiting.any() or far == len(self.own) or self.start[far] >= read + CHUNK:
+                    break
+                look *= 4
+            look = max(64, min(look, 2 * (int(np.argmax(waiting)) if waiting.any() else look)))
             stop = k + int(np.argmax(waiting)) if waiting.any() else far
             end = int(self.start[stop] + self.got[stop]) if stop < len(self.own) else total
             end = min(end, read + CHUNK)
@@ -173,6 +183,29 @@ class _Pass:
         return pos, lcp
 
 
+def _by_doubling(names: np.ndarray) -> np.ndarray:
+    """Suffixes in order, in memory. A rank is the place of the first suffix that is still equal; ranks of
+    twice as many symbols follow from those of the suffixes that far on. Only ties are sorted again."""
+    n = len(names)
+    order = np.argsort(names, kind="stable")
+    live, rank, key, far = order, np.zeros(n + 1, np.int64), names[order], 1
+    base = np.zeros(n, np.int64)  # where the group of equal suffixes began that each live one comes from
+    while True:
+        first = np.concatenate([[True], key[1:] != key[:-1]])
+        group = np.concatenate([[True], base[1:] != base[:-1]])
+        at = np.arange(len(live))
+        inside = at - np.maximum.accumulate(np.where(group, at, 0))
+        rank[live] = np.maximum.accumulate(np.where(first, base + inside, 0))
+        tied = ~(first & np.append(first[1:], True))
+        live = live[tied]
+        if not len(live):
+            return np.argsort(rank[:n], kind="stable")
+        base = rank[live]
+        key = base * (n + 1) + rank[np.minimum(live + far, n)]
+        order = np.argsort(key, kind="stable")
+        live, base, key, far = live[order], base[order], key[order], 2 * far
+
+
 class _Text:
     """A text with what its passes ask for."""
 
@@ -292,6 +325,8 @@ class _Text:
         reduced = scratch.array(len(seeds), np.int32 if len(seeds) < 1 << 31 else np.int64)
         reduced[at] = names
         del down, number, parts
+        if len(reduced) <= DIRECT:
+            return seeds[_by_doubling(np.asarray(reduced, np.int64))]
         inner = _Text(reduced, scratch)
         return seeds[inner.suffixes(0)[0]]
 
