@@ -68,7 +68,7 @@ def _exact_text(x: Column) -> Column:
     s16 = F.format_string("%.15e", x)
     text = F.when(s16.cast("double") == x, s16).otherwise(F.format_string("%.16e", x))
     shorter = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda d: F.call_function("format_string", F.concat(F.lit("%."), d.cast("string"), F.lit("e")), x))
-    first = F.element_at(F.filter(shorter, lambda t: t.cast("double") == x), 1)
+    first = F.get(F.filter(shorter, lambda t: t.cast("double") == x), 0)
     text = F.when(F.abs(x) < F.lit(2.3e-308), F.coalesce(first, text)).otherwise(text)
     return bound(text, lambda t: _layout(t, x))
 
