@@ -10,37 +10,40 @@ verify since m common shingles are asked for; the estimate of both comes from th
 verified if it shares the smaller m of the two.
 
 `similar_pairs` gives every similar pair of classes. `similar_components` gives the components of those
-links without making the pairs of a group: star rounds first link each posting list's documents to one
-of them; then only pairs of different components matter. Short lists give these as rows; long lists are
-cut into blocks, and each pair of blocks is verified inside one task, which returns no more links than
-join its components. No pair that could link two components is left out.
+links without making the pairs of a group. Candidate pairs are told from prefixes alone: documents that
+posting lists connect go in blocks, and each pair of blocks of such a group is looked at inside one task,
+which returns no more candidates than join the block's documents. (Where lists connect so much that this
+would cost more rows than going list by list, each list is such a group, and short lists give their pairs
+as rows.) Documents that candidates connect are then verified with their whole sets, in blocks again, and
+the tasks return no more links than join the components. No pair that could link two documents is left out.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickline.llm import grams
 from tickline.llm.common import stored
 from tickline.llm.components import components
 
-#: Buckets of the shingle count table: 16 MB, whatever the input.
-BUCKETS = 1 << 22
+#: Buckets of the shingle count table: 32 MB, whatever the input.
+BUCKETS = 1 << 23
 #: Buckets of the table of ids that are asked for.
 ID_BUCKETS = 1 << 22
 MOST_MATCHES = 8
 #: Cost of verifying a pair, in postings, for each shingle of the document, and as a constant.
 VERIFY_PER_SHINGLE, VERIFY = 0.02, 4.0
-STAR_ROUNDS = 2
-#: Posting lists of more documents are verified in blocks of so many.
+#: Posting lists of more documents go in blocks of so many.
 SHORT_LIST, BLOCK = 16, 256
 U = np.uint64
 
@@ -166,11 +169,12 @@ def _shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 @dataclass
 class Prepared:
-    """Tables of the join: rows with their classes; postings (token, id, size, m); sets (id, size, m, prefix, tokens)."""
+    """Tables of the join: rows with their classes; postings (token, id, size, m); and a function from ids to
+    their sets (id, size, m, prefix, tokens)."""
 
     members: DataFrame
     postings: DataFrame
-    sets: DataFrame
+    sets: Callable[[DataFrame], DataFrame]
 
 
 def prepare(documents: DataFrame, id_col: str, text: str, spec: Spec) -> Prepared:
@@ -193,7 +197,7 @@ def prepare(documents: DataFrame, id_col: str, text: str, spec: Spec) -> Prepare
     lists = every.repartition("token").sortWithinPartitions("token", "id").mapInArrow(_shared_lists, schema)
     lists = stored(lists.join(heads, F.col("id") == F.col("__id"), "left_semi"), "postings")
 
-    def sets(ids: pa.Array, found: list) -> Iterator[pa.RecordBatch]:
+    def whole(ids: pa.Array, found: list) -> Iterator[pa.RecordBatch]:
         have = [(k, x) for k, x in enumerate(found) if x is not None]
         yield pa.record_batch(
             {
@@ -205,10 +209,10 @@ def prepare(documents: DataFrame, id_col: str, text: str, spec: Spec) -> Prepare
             }
         )
 
-    wanted = lists.select("id").distinct()
-    whole = _pass(documents, id_col, text, wanted, counts, spec, sets, f"id {kind}, size long, m int, prefix long, tokens binary")
-    one = whole.groupBy("id").agg(F.max(F.struct("size", "m", "prefix", "tokens")).alias("s")).select("id", "s.*")
-    return Prepared(who, lists, stored(one, "sets"))
+    def sets(wanted: DataFrame) -> DataFrame:
+        return stored(_pass(documents, id_col, text, wanted, counts, spec, whole, f"id {kind}, size long, m int, prefix long, tokens binary"), "sets")
+
+    return Prepared(who, lists, sets)
 
 
 def _close(spec: Spec):
@@ -244,43 +248,27 @@ def similar_pairs(documents: DataFrame, id_col: str = "doc_id", text: str = "tex
     x = ready.postings.select("token", F.col("id").alias("x"), F.col("size").alias("x_size"), F.col("m").alias("x_m"))
     y = ready.postings.select("token", F.col("id").alias("y"), F.col("size").alias("y_size"), F.col("m").alias("y_m"))
     shared = x.join(y, "token").where((F.col("x") < F.col("y")) & _close(spec)).groupBy("x", "y").agg(F.count("*").alias("n"), F.first(F.least("x_m", "y_m")).alias("least"))
-    return verify(shared.where(F.col("n") >= F.col("least")).select("x", "y"), ready.sets, spec), ready.members
-
-
-def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Postings with their component so far, in lists that have two components at least."""
-    if labels is None:
-        known = postings.withColumn("component", F.col("id"))
-    else:
-        known = postings.join(labels, postings["id"] == labels["node"], "left").withColumn("component", F.coalesce("component", "id")).drop("node")
-    mixed = known.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("list")).where(F.col("lo") != F.col("hi")).select("token", "list")
-    return stored(known.join(mixed, "token"), "mixed-lists")
-
-
-def _stars(known: DataFrame, turn: int, spec: Spec) -> DataFrame:
-    """Pairs of each list's hub (a document of the list's largest component) with its other components' documents."""
-    each = known.groupBy("token", "component").agg(F.count("*").alias("n"), F.min_by(F.struct("id", "size"), F.xxhash64("id", F.lit(turn))).alias("hub"))
-    hubs = each.groupBy("token").agg(F.max_by(F.struct("component", "hub"), F.struct("n", "component")).alias("h"))
-    hubs = hubs.select("token", F.col("h.component").alias("own"), F.col("h.hub.id").alias("x"), F.col("h.hub.size").alias("x_size"))
-    rays = known.select("token", F.col("id").alias("y"), F.col("size").alias("y_size"), "component").join(hubs, "token").where((F.col("component") != F.col("own")) & _close(spec))
-    return rays.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    pairs = stored(shared.where(F.col("n") >= F.col("least")).select("x", "y"), "candidate-pairs")
+    sets = ready.sets(pairs.select("x").union(pairs.select("y")).distinct())
+    return verify(pairs, sets, spec).distinct(), ready.members
 
 
-def _short(known: DataFrame, spec: Spec) -> DataFrame:
-    """Pairs of different components in lists of SHORT_LIST documents at most; both must share the smaller m
-    of their shingles, but shingles with long lists are not seen here and so are taken as shared."""
-    few = known.where(F.col("list") <= SHORT_LIST)
-    far = known.where(F.col("list") > SHORT_LIST).groupBy("id").agg(F.count("*").alias("unseen"))
+def _short(postings: DataFrame, spec: Spec) -> DataFrame:
+    """Candidate pairs of lists of SHORT_LIST documents at most (token, id, size, m, list); both must share the
+    smaller m of their shingles, but shingles with long lists are not seen here and so are taken as shared."""
+    few = postings.where(F.col("list") <= SHORT_LIST)
+    far = postings.where(F.col("list") > SHORT_LIST).groupBy("id").agg(F.count("*").alias("unseen"))
     few = few.join(far, "id", "left").withColumn("unseen", F.coalesce("unseen", F.lit(0)))
-    x = few.select("token", F.col("id").alias("x"), F.col("size").alias("x_size"), F.col("m").alias("x_m"), F.col("component").alias("x_c"), F.col("unseen").alias("x_u"))
-    y = few.select("token", F.col("id").alias("y"), F.col("size").alias("y_size"), F.col("m").alias("y_m"), F.col("component").alias("y_c"), F.col("unseen").alias("y_u"))
-    shared = x.join(y, "token").where((F.col("x") < F.col("y")) & (F.col("x_c") != F.col("y_c")) & _close(spec))
+    x = few.select("token", F.col("id").alias("x"), F.col("size").alias("x_size"), F.col("m").alias("x_m"), F.col("unseen").alias("x_u"))
+    y = few.select("token", F.col("id").alias("y"), F.col("size").alias("y_size"), F.col("m").alias("y_m"), F.col("unseen").alias("y_u"))
+    shared = x.join(y, "token").where((F.col("x") < F.col("y")) & _close(spec))
     shared = shared.groupBy("x", "y").agg(F.count("*").alias("n"), F.first(F.least("x_m", "y_m") - F.least("x_u", "y_u")).alias("least"))
     return shared.where(F.col("n") >= F.col("least")).select("x", "y")
 
 
-def _block_links(spec: Spec):
-    """Links between components within one pair of blocks of a list."""
+def _block_links(spec: Spec, verified: bool):
+    """Links between components within one pair of blocks of a group, no more than join the components: of
+    similar documents, or (not `verified`, `tokens` hold prefixes) of documents that may be similar."""
 
     def run(rows: pa.Table) -> pa.Table:
         side = rows.column("side").to_numpy()
@@ -298,10 +286,11 @@ def _block_links(spec: Spec):
             may &= _common(heads, left, right) >= np.minimum(m[left][:, None], m[right][None, :])
         # documents of no candidate pair need no verifying
         rows_, cols = np.flatnonzero(may.any(1)), np.flatnonzero(may.any(0))
-        out = []
+        out, linked = [], set()
         if len(rows_):
-            common = _common(tokens, left[rows_], right[cols])
-            good = may[np.ix_(rows_, cols)] & spec.linked(common, size[left[rows_]][:, None], size[right[cols]][None, :])
+            good = may[np.ix_(rows_, cols)]
+            if verified:
+                good &= spec.linked(_common(tokens, left[rows_], right[cols]), size[left[rows_]][:, None], size[right[cols]][None, :])
             parent = list(range(int(component.max()) + 1))
 
             def top(c: int) -> int:
@@ -315,9 +304,12 @@ def _block_links(spec: Spec):
                 a, b = top(component[p]), top(component[q])
                 if a != b:
                     parent[a] = b
-                    out.append((p, q, int(common[i, j])))
+                linked.update((p, q))
+            first: dict[int, int] = {}  # every linked document is given with one of its component's, as a star
+            for p in sorted(linked):
+                out.append((first.setdefault(top(component[p]), p), p))
         at = lambda k: ids.take(pa.array([o[k] for o in out], pa.int64()))
-        return pa.table({"x": at(0), "y": at(1), "common": pa.array([o[2] for o in out], pa.int64())})
+        return pa.table({"x": at(0), "y": at(1)})
 
     return run
 
@@ -342,16 +334,50 @@ def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, chunk:
     return total
 
 
-def _long(known: DataFrame, sets: DataFrame, spec: Spec) -> DataFrame:
-    """Links between components in long lists: each pair of blocks of a list in a task of its own."""
-    much = known.where(F.col("list") > SHORT_LIST).select("token", "id", "component", F.ceil(F.col("list") / BLOCK).cast("int").alias("blocks"))
+def _blocks(known: DataFrame, sets: DataFrame, spec: Spec, verified: bool = True) -> DataFrame:
+    """Links between components among the documents of each group (token, id, component, list: the group's
+    size): each pair of blocks of a group in a task of its own."""
+    much = known.select("token", "id", "component", F.ceil(F.col("list") / BLOCK).cast("int").alias("blocks"))
     much = much.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     # block i meets blocks i..blocks-1 on the left and 0..i on the right; side 2: it meets itself
     ways = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j"), F.when(k == F.col("block"), 2).when(k > F.col("block"), 0).otherwise(1).alias("side")))
     dealt = much.withColumn("way", F.explode(ways)).select("token", "id", "component", "way.i", "way.j", "way.side")
     kind = dict(known.dtypes)["id"]
     whole = dealt.join(sets.select("id", "size", "m", "prefix", "tokens"), "id")
-    return whole.groupBy("token", "i", "j").applyInArrow(_block_links(spec), f"x {kind}, y {kind}, common long")
+    return whole.groupBy("token", "i", "j").applyInArrow(_block_links(spec, verified), f"x {kind}, y {kind}")
+
+
+@F.pandas_udf(T.BinaryType())
+def _packed(lists: pd.Series) -> pd.Series:
+    return lists.map(lambda x: x.astype(np.int64).tobytes())
+
+
+def _candidate_groups(compact: DataFrame, others: DataFrame, postings: DataFrame, spec: Spec) -> DataFrame:
+    """Documents that candidate pairs connect (token: the group, id, component: each its own, list: the
+    group's size), told from prefixes alone, so that whole sets are fetched for few documents."""
+    heads = postings.groupBy("id").agg(F.collect_set("token").alias("t"), F.max("size").alias("size"), F.min("m").alias("m"))
+    heads = stored(heads.select("id", "size", "m", F.size("t").cast("long").alias("prefix"), _packed("t").alias("tokens")), "prefixes")
+    lists = stored(others.join(others.groupBy("token").agg(F.count("*").alias("list")), "token"), "lists")
+    long = lists.where(F.col("list") > SHORT_LIST).select(F.col("token").cast("string").alias("token"), "id", F.col("id").alias("component"), "list")
+    blocks = compact.withColumn("token", F.concat(F.lit("group "), F.col("token").cast("string"))).unionByName(long)
+    near = _blocks(blocks, heads, spec, verified=False).unionByName(_short(lists, spec))
+    groups = components(near, "x", "y")
+    size = groups.groupBy("component").agg(F.count("*").alias("list"))
+    return stored(groups.join(size, "component").select(F.col("component").alias("token"), F.col("node").alias("id"), F.col("node").alias("component"), "list"), "candidate-groups")
+
+
+def _compact_groups(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups of documents that posting lists connect, where a group in blocks makes no more rows than its
+    lists in blocks (token: the group, id, component, list); and the postings of all other groups."""
+    hubs = postings.groupBy("token").agg(F.min("id").alias("hub"))
+    groups = components(postings.join(hubs, "token").select("hub", "id").distinct(), "hub", "id")
+    named = groups.select(F.col("node").alias("id"), F.col("component").alias("group"))
+    lists = postings.join(named, "id").groupBy("group", "token").agg(F.count("*").alias("n"))
+    by_list = lists.groupBy("group").agg(F.sum(F.col("n") * F.ceil(F.col("n") / BLOCK)).alias("by_list"))
+    size = named.groupBy("group").agg(F.count("*").alias("list"))
+    compact = size.join(by_list, "group").where(F.col("list") * F.ceil(F.col("list") / BLOCK) <= F.col("by_list")).select("group", "list")
+    inside = stored(named.join(compact, "group").select(F.col("group").alias("token"), "id", F.col("id").alias("component"), "list"), "compact-groups")
+    return inside, stored(postings.join(inside.select("id"), "id", "left_anti"), "other-postings")
 
 
 def similar_components(documents: DataFrame, id_col: str = "doc_id", text: str = "text", spec: Spec = Spec()) -> DataFrame:
@@ -360,21 +386,15 @@ def similar_components(documents: DataFrame, id_col: str = "doc_id", text: str =
 
     Null and empty texts and texts without words have no shingles and link with nothing; their component
     is their own id. A row without an id belongs to the class of its text, and to none (null) where no row
-    of that class has an id. Rows that repeat an id have the size and class of their own text; if the texts
-    differ, the links of that id are those of its largest set. An empty table stays empty.
+    of that class has an id. Rows that repeat an id have the size and class of their own text, and that id
+    has the links of all its texts. An empty table stays empty.
     """
     ready = prepare(documents, id_col, text, spec)
     kind = dict(ready.members.dtypes)["__id"]
-    links, labels = None, None
-    for turn in range(STAR_ROUNDS + 1):
-        known = _labelled(ready.postings, labels)
-        if turn < STAR_ROUNDS:
-            found = verify(_stars(known, turn, spec), ready.sets, spec)
-        else:
-            found = verify(_short(known, spec), ready.sets, spec).unionByName(_long(known, ready.sets, spec))
-        found = stored(found.select("x", "y"), "links")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links, "x", "y")
+    compact, others = _compact_groups(ready.postings)
+    groups = _candidate_groups(compact, others, ready.postings, spec)
+    links = stored(_blocks(groups, ready.sets(groups.select("id").distinct()), spec), "links")
+    labels = components(links, "x", "y")
     joined = ready.members.join(labels, F.col("__class") == F.col("node"), "left")
     return joined.select(F.col("__id").cast(kind).alias(id_col), F.col("__size").alias("n_shingles"), F.coalesce("component", "__class", "__id").alias("component_id"))
 
