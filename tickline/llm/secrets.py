@@ -14,7 +14,7 @@ document counts by word hash; a dictionary word is one that a share of all docum
 
 from __future__ import annotations
 
-import hashlib
+import bisect
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,17 +38,22 @@ COMMON = 0.002
 LEAST = 0.5
 
 # Public formats of keys.
-_FORMATS = {
-    "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}?-----END [A-Z ]*PRIVATE KEY-----",
-    "access_key_id": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
-    "host_token": r"\bgh[pousr]_[A-Za-z0-9]{36,}\b",
-    "web_token": r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
-    "url_password": r"(?<=://)[^\s/:@]{1,64}:[^\s/@]{4,}(?=@)",
-}
+# Name, a string that every such key has, and its form.
+_FORMATS = (
+    ("private_key", "PRIVATE KEY-----", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}?-----END [A-Z ]*PRIVATE KEY-----"),
+    ("access_key_id", "AKIA", r"\bAKIA[0-9A-Z]{16}\b"),
+    ("access_key_id", "ASIA", r"\bASIA[0-9A-Z]{16}\b"),
+    ("host_token", "gh", r"\bgh[pousr]_[A-Za-z0-9]{36,}\b"),
+    ("web_token", "eyJ", r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    ("url_password", "://", r"(?<=://)[^\s/:@]{1,64}:[^\s/@]{4,}(?=@)"),
+)
 _NAMES = r"token|passw(?:or)?d|pwd|passphrase|secret|api[_-]?key|access[_-]?key|auth[_-]?key|private[_-]?key|client[_-]?secret|credentials?"
-_ASSIGNED = rf"(?i:(?:{_NAMES})[\w-]{{0,24}})[\"']?[ \t]{{0,4}}(?:[:=]|=>|:=)[ \t]{{0,4}}[\"']?(?P<value>[^\s\"',;<>]{{6,}})"
-_LONG = r"(?<![A-Za-z0-9+/_=.~-])[A-Za-z0-9+/_=.~-]{20,}"
-_SCAN = re.compile("|".join([*(f"(?P<{k}>{v})" for k, v in _FORMATS.items()), f"(?P<assigned>{_ASSIGNED})", f"(?P<long>{_LONG})"]))
+_NAME_BEFORE = re.compile(rf"(?i)(?:{_NAMES})[\w-]{{0,24}}[\"']?[ \t]{{0,4}}:?$")
+_VALUE_AFTER = re.compile(r">?[ \t]{0,4}[\"']?([^\s\"',;<>]{6,})")
+_LONG = re.compile(r"(?<![A-Za-z0-9+/_=.~-])[A-Za-z0-9+/_=.~-]{20,}")
+_FORMS = [(name, mark, re.compile(form)) for name, mark, form in _FORMATS]
+_SIGN = re.compile(r"[:=]")
+_WORD = re.compile(r"\S{20,}")
 _SECRET_WORD = re.compile(rf"(?i){_NAMES}|bearer|key\b")
 _HARMLESS_WORD = re.compile(r"(?i)commit|sha\d*|md5|checksum|digest|hash|etag|uuid|version|example|sample|placeholder|dummy|path|file|dir|href|src|image|http|import|class|test")
 _PLACEHOLDER = re.compile(r"(?i)x{4,}|\*{3,}|\.{3,}|change.?me|your[_-]|example|placeholder|dummy|redacted|<[a-z_ ]+>|\$\{|1234|abcd|password|secret")
@@ -110,12 +115,23 @@ def corpus(documents: DataFrame, text: str = "text") -> Corpus:
     return Corpus(np.log2(table / table.sum(1, keepdims=True)).astype(np.float32), words, int(found.get(-1, 0)))
 
 
-def candidates(text: str) -> Iterator[tuple[str, int, int]]:
-    """(rule, start, end) of each candidate value, in code points."""
-    for m in _SCAN.finditer(text):
-        rule = m.lastgroup if m.lastgroup != "value" else "assigned"
-        start, end = m.span("value") if m["value"] is not None else m.span()
-        yield rule, start, end
+def candidates(text: str) -> list[tuple[str, int, int]]:
+    """(rule, start, end) of each candidate value, in code points, by place. Of overlapping ones the format
+    wins over the assignment and both over the long string; of the same rank, the first."""
+    found = [(0, m.start(), m.end(), name) for name, mark, form in _FORMS if mark in text for m in form.finditer(text)]
+    if ":" in text or "=" in text:
+        for m in _SIGN.finditer(text):
+            if _NAME_BEFORE.search(text, max(0, m.start() - 64), m.start()) and (v := _VALUE_AFTER.match(text, m.end())):
+                found.append((1, *v.span(1), "assigned"))
+    # only words of so many characters can hold a long string; most texts have none
+    if len(max(text.split(), key=len, default="")) >= 20:
+        found += [(2, m.start(), m.end(), "long") for w in _WORD.finditer(text) for m in _LONG.finditer(text, w.start(), w.end())]
+    taken: list[tuple[int, int, str]] = []
+    for _, start, end, name in sorted(found):
+        k = bisect.bisect_left(taken, (start, end, ""))
+        if (k == len(taken) or taken[k][0] >= end) and (k == 0 or taken[k - 1][1] <= start):
+            taken.insert(k, (start, end, name))
+    return [(name, start, end) for start, end, name in taken]
 
 
 def _words(part: str) -> tuple[np.ndarray, np.ndarray]:
