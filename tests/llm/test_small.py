@@ -232,6 +232,22 @@ def test_template_goes_but_not_from_articles():
     assert box not in html.subtree_hashes(f"<article>{bar}</article>")
 
 
+def test_template_in_articles_goes_and_shared_articles_stay():
+    box = "<div class=x1><span>Share this site</span></div>"
+    page = lambda k: f"<main><h1>Head {k}</h1><p>Lead {k}</p><article>{box}<p>{f'own words {k} ' * 5}<b>not</b> so</p></article></main>"
+    seen = [html.subtrees(page(k))[1] for k in range(5)]
+    around = {}
+    for h, p in set.union(*seen):
+        around.setdefault(h, set()).add(p)
+    often = [h for h, p in around.items() if len(p) == 5]
+    assert len(often) == 1  # the box, not the word in a sentence nor the span, which goes with the box
+    assert html.main_text(page(3), frozenset(often)) == "Head 3 Lead 3 " + "own words 3 " * 5 + "not so"
+    shared = "<article>" + "".join(f"<p>part {j} of a story</p>" for j in range(4)) + "<p>read {k} times</p></article>"
+    known = frozenset(h for h, _ in html.subtrees(shared.format(k=1))[1])
+    assert html.main_text(shared.format(k=2), known).startswith("part 0 of a story part 1")
+    assert html.main_text("<article></article><p>elsewhere</p>") == "elsewhere"
+
+
 def test_candidates_of_secrets():
     found = lambda t: [(r, t[s:e]) for r, s, e in secrets.candidates(t)]
     key = "f33e61083db5dbdf4bd2369d2f80176e57f7fda2"

@@ -1,12 +1,15 @@
 """Main text of web pages: site templates are found by counting element subtrees per host.
 
-Pass 1 parses each page, hashes every element's subtree (tags, classes and text) once a page and
-counts the pages of a host that hold it. A subtree on at least `SHARE` of a host's pages, and on
-`LEAST_PAGES` of them, is template. Pass 2 parses the page again, deletes the template subtrees and
-those that HTML itself declares to be no content (menus, headers, footers, asides, forms, scripts,
-notices, adverts, comments: by tag, role or class word), and reads the text of what is left.
-A subtree inside the page's own <article> or <main> is never deleted for recurring: an article that
-several pages carry is still those pages' article.
+Pass 1 parses each page, hashes every element's subtree (tags, classes and text), inside <article> and
+<main> too, and counts in how many different parents a host's pages hold it. A subtree in parents as many
+as `SHARE` of the host's different pages, and in `LEAST_PAGES` of them, is template; what stands always in
+the same parent goes with that one or stays with it. Pass 2 parses the page again, deletes the template
+subtrees and those that HTML itself declares to be no content (menus, headers, footers, asides, forms,
+scripts, notices, adverts, comments: by tag, role or class word), and reads the text of what is left, in
+the page's <article> and <main> where they have any.
+An article that several pages carry is still those pages' article: an element with half of the text in
+<article> and <main> is never template, and if the template subtrees in there hold half of that text
+together, they stay.
 
 A host's list of template subtrees is bounded: each is on `SHARE` of the host's pages at least, so
 there are at most 1 / SHARE times the subtrees of an average page, whatever the number of pages.
@@ -28,6 +31,8 @@ from tickline.llm.common import stored
 SHARE = 0.5
 LEAST_PAGES = 10
 SALTS = 16
+#: On a page without <article> and <main>, an element with this share of the text is no template.
+NEARLY = 0.9
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)[^>]*(?:>|$)", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([^\s=/\"'>]+)")
@@ -59,10 +64,14 @@ _NAMES = frozenset(
     sponsored subscribe toolbar widget""".split()
 )
 _OWN = frozenset(("article", "main"))
+#: Their text is never the page's.
+_NEVER = _RAW | frozenset("template head object embed svg canvas button input select menu audio video map".split())
+#: Parts of a table, which say nothing alone.
+_PARTS = frozenset("caption colgroup tbody td tfoot th thead tr".split())
 
 
 class _Node:
-    __slots__ = ("tag", "names", "role", "hidden", "kids", "holds", "_hash")
+    __slots__ = ("tag", "names", "role", "hidden", "kids", "size", "own", "inside", "_hash")
 
     def __init__(self, tag: str, names: str = "", role: str = "", hidden: bool = False):
         self.tag, self.names, self.role, self.hidden, self.kids = tag, names, role, hidden, []
@@ -138,46 +147,65 @@ def _walk(root: _Node) -> list[_Node]:
     return out
 
 
-def hash_subtrees(root: _Node) -> None:
-    """Give every element outside <article> and <main> the hash of its subtree; 0 where it has no text
-    or holds an <article> or <main>."""
-    elements, wait = [], [root]
+def measure(root: _Node) -> None:
+    """Give every element the size of its text, that of its text in <article> and <main>, and whether it lies in one."""
+    wait: list = [(root, False)]
+    elements = []
     while wait:
-        node = wait.pop()
+        node, inside = wait.pop()
+        node.inside = inside or node.tag in _OWN
         elements.append(node)
-        if node.tag not in _OWN:
-            wait.extend(k for k in node.kids if not isinstance(k, str))
+        wait.extend((k, node.inside) for k in node.kids if not isinstance(k, str))
     for node in reversed(elements):
-        node._hash, node.holds = 0, node.tag in _OWN
-        if node.holds or node.tag in _RAW:
+        node.size = node.own = 0
+        if node.tag in _NEVER:
             continue
-        parts, text = [node.tag, node.names, node.role], False
+        for k in node.kids:
+            if isinstance(k, str):
+                node.size += sum(map(len, k.split()))
+            else:
+                node.size += k.size
+                node.own += k.own
+        if node.inside:
+            node.own = node.size
+
+
+def hash_subtrees(root: _Node) -> None:
+    """Give every element the hash of its subtree; 0 where it has no text."""
+    measure(root)
+    for node in reversed(_walk(root)):
+        node._hash = 0
+        if not node.size:
+            continue
+        parts = [node.tag, node.names, node.role]
         for k in node.kids:
             if isinstance(k, str):
                 if words := k.split():
-                    text = True
                     parts.append("t" + " ".join(words))
             else:
-                node.holds |= k.holds
-                text |= k._hash != 0
                 parts.append(f"{k.tag} {k._hash}")
-        if text and not node.holds:
-            node._hash = int.from_bytes(hashlib.blake2b("\0".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+        node._hash = int.from_bytes(hashlib.blake2b("\0".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True) or 1
 
 
-def subtree_hashes(page: str) -> set[int]:
-    """Hashes of the elements outside <article> and <main> that have text."""
+def _counted(node: _Node, parent: _Node, root: _Node) -> bool:
+    """Whether an element can be template: not the page itself, not most of its text, not a piece of a sentence or table."""
+    if not node._hash or node.tag in ("html", "body") or node.tag in _PARTS:
+        return False
+    if 2 * node.own >= root.own if root.own else node.size >= NEARLY * root.size:
+        return False
+    return node.tag in _BLOCK or not any(isinstance(k, str) and not k.isspace() for k in parent.kids)
+
+
+def subtrees(page: str) -> tuple[int, set[tuple[int, int]]]:
+    """The page's hash, and (hash, hash of the parent) of the elements that can be template."""
     root = parse(page)
     hash_subtrees(root)
-    out, wait = set(), [k for k in root.kids if not isinstance(k, str)]
-    while wait:
-        node = wait.pop()
-        if node.tag in _OWN:
-            continue
-        if node._hash:
-            out.add(node._hash)
-        wait.extend(k for k in node.kids if not isinstance(k, str))
-    return out
+    return root._hash, {(k._hash, node._hash) for node in _walk(root) for k in node.kids if not isinstance(k, str) and _counted(k, node, root)}
+
+
+def subtree_hashes(page: str) -> set[int]:
+    """Hashes of the elements that can be template."""
+    return {h for h, _ in subtrees(page)[1]}
 
 
 def _no_content(node: _Node) -> bool:
@@ -191,36 +219,50 @@ def _no_content(node: _Node) -> bool:
 def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
     """The text of a page without its template subtrees and those that are no content."""
     root = parse(page)
+    measure(root)
     if template:
         hash_subtrees(root)
-    elements = _walk(root)
-    articles = [n for n in elements if n.tag == "article"]
-    mains = [n for n in elements if n.tag == "main"]
-    tops = _outermost(root, "article") if articles else _outermost(root, "main") if mains else [root]
+    tops = (_outermost(root) if root.own else []) or [root]
+    gone = _recurring(root, tops, template) if template else frozenset()
     parts: list[str] = []
-    wait: list = [(n, n.tag in _OWN) for n in reversed(tops)]
+    wait: list = list(reversed(tops))
     while wait:
-        item, own = wait.pop()
+        item = wait.pop()
         if isinstance(item, str):
             parts.append(item)
             continue
-        if _no_content(item) or (template and not own and item._hash in template):
+        if _no_content(item) or item in gone:
             parts.append(" ")
             continue
-        block = item.tag in _BLOCK
-        if block:
+        if item.tag in _BLOCK:
             parts.append(" ")
-            wait.append((" ", own))
-        wait.extend((k, own or item.tag in _OWN) for k in reversed(item.kids))
+            wait.append(" ")
+        wait.extend(reversed(item.kids))
     return _SPACE.sub(" ", "".join(parts)).strip()
 
 
-def _outermost(root: _Node, tag: str) -> list[_Node]:
-    """Elements of a kind that lie in no other of that kind and in nothing that is no content."""
+def _recurring(root: _Node, tops: list[_Node], template: frozenset[int]) -> set[_Node]:
+    """The outermost template elements. Where they hold most of the text of <article> and <main> together,
+    the article itself is on several pages, with small changes: then none of it goes."""
+    out, wait = set(), list(tops)
+    while wait:
+        node = wait.pop()
+        for k in node.kids:
+            if isinstance(k, str):
+                continue
+            if k._hash in template and _counted(k, node, root):
+                out.add(k)
+            else:
+                wait.append(k)
+    return set() if root.own and 2 * sum(k.own for k in out) >= root.own else out
+
+
+def _outermost(root: _Node) -> list[_Node]:
+    """Each <article> and <main> that lies in no other and in nothing that is no content."""
     out, wait = [], [root]
     while wait:
         node = wait.pop()
-        if node.tag == tag:
+        if node.tag in _OWN:
             out.append(node)
         elif not _no_content(node):
             wait.extend(k for k in reversed(node.kids) if not isinstance(k, str))
@@ -238,14 +280,17 @@ def templates(pages: DataFrame, url: str = "url", html: str = "html", share: flo
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, out = [], []
+            owner, out, around = [], [], []
             for k, page in enumerate(batch.column(1)):
-                found = [0, *subtree_hashes(page.as_py())]  # 0 counts the page
+                whole, found = subtrees(page.as_py())
+                found = [(0, whole), *found]  # 0 counts the page
                 owner += [k] * len(found)
-                out += found
-            yield pa.record_batch({"__host": batch.column(0).take(pa.array(owner, pa.int64())), "__hash": pa.array(out, pa.int64())})
+                out += [h for h, _ in found]
+                around += [p for _, p in found]
+            yield pa.record_batch({"__host": batch.column(0).take(pa.array(owner, pa.int64())), "__hash": pa.array(out, pa.int64()), "__parent": pa.array(around, pa.int64())})
 
-    counts = stored(named.mapInArrow(hashes, "__host string, __hash long").groupBy("__host", "__hash").agg(F.count("*").alias("__n")).where(F.col("__n") >= least_pages), "subtree-counts")
+    places = named.mapInArrow(hashes, "__host string, __hash long, __parent long").distinct()
+    counts = stored(places.groupBy("__host", "__hash").agg(F.count("*").alias("__n")).where(F.col("__n") >= least_pages), "subtree-counts")
     size = counts.where(F.col("__hash") == 0).select("__host", F.col("__n").alias("__pages"))
     often = counts.where(F.col("__hash") != 0).join(size, "__host").where(F.col("__n") >= share * F.col("__pages"))
     return often.groupBy("__host").agg(F.collect_list("__hash").alias("__template"))
@@ -255,8 +300,8 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", share: float
     """All rows and columns of `pages` and `out`, the main text (empty if there is none).
 
     Blocks are joined in page order by one space, white space is turned into one space. Null or empty
-    html gives empty text; a null or odd URL only goes without template removal. Repeated rows count
-    as pages of their own. A column named like `out` is replaced. An empty table stays empty.
+    html gives empty text; a null or odd URL only goes without template removal. Equal pages of a host
+    count once. A column named like `out` is replaced. An empty table stays empty.
     """
     by_host = stored(templates(pages, url, html, share, least_pages), "templates")
     salted = by_host.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))  # a hot host's pages go to SALTS tasks
