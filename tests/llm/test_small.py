@@ -248,6 +248,25 @@ def test_template_in_articles_goes_and_shared_articles_stay():
     assert html.main_text("<article></article><p>elsewhere</p>") == "elsewhere"
 
 
+STORY = "<p>" + "the whole story " * 9 + "</p>"
+LAYOUTS = [
+    f"<div class='page has-sidebar'><article>{STORY}</article></div>",
+    f"<div id=header-and-content><main>{STORY}</main></div>",
+    f"<body><form id=aspnetForm><nav>menu</nav><article>{STORY}</article></form>",
+    f"<div class=sidebar><aside class=x><article>{STORY}</article></aside></div>",
+    f"<div class='page has-sidebar'>{STORY}</div>",
+    f"<form><div class=widget>{STORY}</div><footer>f</footer></form>",
+    f"<div style='display:none'>{STORY}</div><div class='main-nav ad-slot-300x250'>n</div>",
+    f"<article><div class=widget>{STORY}</div><div class=site-header>h</div></article>",
+    f"<main>{STORY}<aside><article>card</article></aside></main><aside><article>other</article></aside>",
+]
+
+
+@pytest.mark.parametrize("page", LAYOUTS)
+def test_wrappers_of_the_text_are_content(page):
+    assert html.main_text(page) == " ".join(["the whole story"] * 9)
+
+
 def test_candidates_of_secrets():
     found = lambda t: [(r, t[s:e]) for r, s, e in secrets.candidates(t)]
     key = "f33e61083db5dbdf4bd2369d2f80176e57f7fda2"

@@ -55,14 +55,21 @@ _ENDS = {
 #: Elements that such an ending does not reach beyond.
 _WALLS = frozenset("table td th ul ol dl article section div main aside body html button select".split())
 
-_NO_CONTENT = frozenset("nav header footer aside form script style noscript template head iframe object embed svg canvas button input select textarea menu dialog audio video map title".split())
-_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-_NAMES = frozenset(
-    """ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist
-    cookie cookies consent disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice
-    notices popup promo promoted recommended related reply replies respond share sharing sidebar signup social sponsor
+_NO_CONTENT = frozenset("nav footer aside menu".split())
+_ROLES = frozenset("navigation banner contentinfo complementary search alertdialog alert menu menubar toolbar".split())
+#: Class and id words of what is no content, whatever its size.
+_SURE = frozenset("breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr menu nav navbar navigation replies respond".split())
+_NAMES = _SURE | frozenset(
+    """ad ads advert adverts advertisement advertising adsense banner header login masthead modal newsletter notice
+    notices popup promo promoted recommended related reply share sharing sidebar signup social sponsor
     sponsored subscribe toolbar widget""".split()
 )
+#: Words that may stand beside one of those in a class or id, as in "main-nav" or "ad-slot-300x250".
+_BESIDE = frozenset(
+    """area bar block bottom box button buttons center column container desktop fixed form global group horizontal icons
+    inline inner item items js left link links list main mobile outer page panel popup posts primary right row secondary
+    site slot small sticky top unit vertical wrap wrapper x""".split()
+)
 _OWN = frozenset(("article", "main"))
 #: Their text is never the page's.
 _NEVER = _RAW | frozenset("template head object embed svg canvas button input select menu audio video map".split())
@@ -71,7 +78,7 @@ _PARTS = frozenset("caption colgroup tbody td tfoot th thead tr".split())
 
 
 class _Node:
-    __slots__ = ("tag", "names", "role", "hidden", "kids", "size", "own", "inside", "_hash")
+    __slots__ = ("tag", "names", "role", "hidden", "kids", "size", "own", "inside", "holds", "most", "_hash")
 
     def __init__(self, tag: str, names: str = "", role: str = "", hidden: bool = False):
         self.tag, self.names, self.role, self.hidden, self.kids = tag, names, role, hidden, []
@@ -148,7 +155,8 @@ def _walk(root: _Node) -> list[_Node]:
 
 
 def measure(root: _Node) -> None:
-    """Give every element the size of its text, that of its text in <article> and <main>, and whether it lies in one."""
+    """Give every element the size of its text, that of its text in <article> and <main>, and whether it lies in
+    one, whether it lies around half of the text in them, and whether it has most of the page's text."""
     wait: list = [(root, False)]
     elements = []
     while wait:
@@ -168,6 +176,10 @@ def measure(root: _Node) -> None:
                 node.own += k.own
         if node.inside:
             node.own = node.size
+    for node in elements:
+        base = root.own or root.size
+        node.holds = not node.inside and root.own > 0 and 2 * node.own >= base
+        node.most = node.holds or 2 * (node.own if root.own else node.size) > base
 
 
 def hash_subtrees(root: _Node) -> None:
@@ -208,12 +220,28 @@ def subtree_hashes(page: str) -> set[int]:
     return {h for h, _ in subtrees(page)[1]}
 
 
+def _named(names: str, words: frozenset[str]) -> bool:
+    """Whether a class or id is one of the words, alone or beside others of its kind: "has-sidebar" is none."""
+    for name in names.split():
+        parts = [p for p in re.split(r"[^a-z]+", name) if p]
+        if not words.isdisjoint(parts) and all(p in _NAMES or p in _BESIDE for p in parts):
+            return True
+    return False
+
+
 def _no_content(node: _Node) -> bool:
+    """Declared to be no content. What lies around the page's articles is content; so is a form, header, hidden
+    part or one with a name of less certain meaning, if it has most of the text."""
     if node.tag in _OWN or node.tag in ("html", "body"):
         return False
-    if node.tag in _NO_CONTENT or node.hidden or node.role in _ROLES:
+    if node.tag in _NEVER:
+        return True
+    if node.holds:
+        return False
+    if node.tag in _NO_CONTENT or node.role in _ROLES or _named(node.names, _SURE):
         return True
-    return bool(node.names) and not _NAMES.isdisjoint(re.split(r"[^a-z]+", node.names))
+    unsure = node.tag in ("form", "header", "dialog") or node.hidden or node.role in ("form", "dialog") or _named(node.names, _NAMES)
+    return unsure and not node.most
 
 
 def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
