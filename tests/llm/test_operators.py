@@ -244,6 +244,16 @@ def test_html_extraction(spark):
     assert html.extract(pages.limit(0)).collect() == []
 
 
+def test_html_templates_of_sections_and_small_hosts(spark):
+    bars = [f"<div><b>Section {s} of the site</b></div>" for s in range(3)]
+    rows = [(k, f"http://big.example.org/{k}", f"<body>{bars[k % 3]}<p>Own text number {k}</p></body>") for k in range(36)]
+    rows += [(k, f"http://few.example.org/{k}", f"<body>{bars[0]}<article><p>Own text number {k}</p><div>Share this</div></article></body>") for k in range(40, 45)]
+    rows += [(k, f"http://one.example.org/{k}", "<body><p>The same page</p><p>each time</p></body>") for k in range(50, 62)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = dict(pairs(html.extract(pages), "page_id", "text"))
+    assert got == {k: f"Own text number {k}" if k < 50 else "The same page each time" for k, _, _ in rows}
+
+
 def test_quality_classifier(spark, docs, none):
     good = [(k, " ".join(f"plain word{j % 7} text" for j in range(20 + k)), 1) for k in range(30)]
     junk = [(100 + k, "### $$$ !!! " * (10 + k), 0) for k in range(30)]

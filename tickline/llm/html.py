@@ -2,7 +2,8 @@
 
 Pass 1 parses each page, hashes every element's subtree (tags, classes and text), inside <article> and
 <main> too, and counts in how many different parents a host's pages hold it. A subtree in parents as many
-as `SHARE` of the host's different pages, and in `LEAST_PAGES` of them, is template; what stands always in
+as `SHARE` of the host's different pages, and in `LEAST_PAGES` of them (on small hosts half of the pages,
+`SMALL_LEAST` at least), is template; what stands always in
 the same parent goes with that one or stays with it. Pass 2 parses the page again, deletes the template
 subtrees and those that HTML itself declares to be no content (menus, headers, footers, asides, forms,
 scripts, notices, adverts, comments: by tag, role or class word), and reads the text of what is left, in
@@ -11,8 +12,8 @@ An article that several pages carry is still those pages' article: an element wi
 <article> and <main> is never template, and if the template subtrees in there hold half of that text
 together, they stay.
 
-A host's list of template subtrees is bounded: each is on `SHARE` of the host's pages at least, so
-there are at most 1 / SHARE times the subtrees of an average page, whatever the number of pages.
+A page's template subtrees come from a join of its own subtrees with the host's by (host, hash), so a page
+carries a list no longer than itself, however many templates the host has.
 """
 
 from __future__ import annotations
@@ -28,8 +29,10 @@ from pyspark.sql import functions as F
 
 from tickline.llm.common import stored
 
-SHARE = 0.5
+SHARE = 0.001
 LEAST_PAGES = 10
+#: On hosts of few pages half of them is enough, but no fewer than this.
+SMALL_LEAST = 4
 SALTS = 16
 #: On a page without <article> and <main>, an element with this share of the text is no template.
 NEARLY = 0.9
@@ -302,26 +305,45 @@ def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def templates(pages: DataFrame, url: str = "url", html: str = "html", share: float = SHARE, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """(__host, __template): each host's template subtrees by hash. Pages without a host have no template."""
+def _least(pages, share: float, least_pages: int):
+    """How many different parents make a subtree template, by the number of the host's pages."""
+    return F.greatest(F.least(F.lit(least_pages), F.greatest(F.lit(SMALL_LEAST), F.ceil(pages / 2))), pages * share)
+
+
+def _places(pages: DataFrame, url: str, html: str) -> DataFrame:
+    """(__host, __page, __hash, __parent): the subtrees of each page that has a host; hash 0 stands for the page."""
     named = pages.select(host_of(F.col(f"`{url}`")).alias("__host"), F.coalesce(F.col(f"`{html}`"), F.lit("")).alias("__html")).where(F.col("__host") != "")
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owner, out, around = [], [], []
-            for k, page in enumerate(batch.column(1)):
+            for k, page in enumerate(batch.column(2)):
                 whole, found = subtrees(page.as_py())
-                found = [(0, whole), *found]  # 0 counts the page
+                found = [(0, whole), *found]
                 owner += [k] * len(found)
                 out += [h for h, _ in found]
                 around += [p for _, p in found]
-            yield pa.record_batch({"__host": batch.column(0).take(pa.array(owner, pa.int64())), "__hash": pa.array(out, pa.int64()), "__parent": pa.array(around, pa.int64())})
+            at = pa.array(owner, pa.int64())
+            yield pa.record_batch({"__host": batch.column(0).take(at), "__page": batch.column(1).take(at), "__hash": pa.array(out, pa.int64()), "__parent": pa.array(around, pa.int64())})
+
+    return named.select("__host", F.xxhash64("__html").alias("__page"), "__html").mapInArrow(hashes, "__host string, __page long, __hash long, __parent long")
 
-    places = named.mapInArrow(hashes, "__host string, __hash long, __parent long").distinct()
-    counts = stored(places.groupBy("__host", "__hash").agg(F.count("*").alias("__n")).where(F.col("__n") >= least_pages), "subtree-counts")
+
+def _often(places: DataFrame, share: float, least_pages: int) -> DataFrame:
+    """(__host, __hash): each host's template subtrees."""
+    counts = places.select("__host", "__hash", "__parent").distinct().groupBy("__host", "__hash").agg(F.count("*").alias("__n")).where(F.col("__n") >= min(SMALL_LEAST, least_pages))
+    counts = stored(counts, "subtree-counts")
     size = counts.where(F.col("__hash") == 0).select("__host", F.col("__n").alias("__pages"))
-    often = counts.where(F.col("__hash") != 0).join(size, "__host").where(F.col("__n") >= share * F.col("__pages"))
-    return often.groupBy("__host").agg(F.collect_list("__hash").alias("__template"))
+    return counts.where(F.col("__hash") != 0).join(size, "__host").where(F.col("__n") >= _least(F.col("__pages"), share, least_pages)).select("__host", "__hash")
+
+
+def templates(pages: DataFrame, url: str = "url", html: str = "html", share: float = SHARE, least_pages: int = LEAST_PAGES) -> DataFrame:
+    """(__host, __page, __template): the template subtrees of each page that has some, by hash. `__page` is the
+    hash of its html. Pages without a host have no template."""
+    places = stored(_places(pages, url, html), "subtrees")
+    own = places.where(F.col("__hash") != 0).select("__host", "__page", "__hash").withColumn("__salt", F.pmod("__page", F.lit(SALTS)).cast("int"))
+    salted = _often(places, share, least_pages).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))  # a menu of a hot host goes to SALTS tasks
+    return own.join(salted, ["__host", "__hash", "__salt"]).groupBy("__host", "__page").agg(F.collect_set("__hash").alias("__template"))
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html", share: float = SHARE, least_pages: int = LEAST_PAGES, out: str = "text") -> DataFrame:
@@ -331,24 +353,19 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", share: float
     html gives empty text; a null or odd URL only goes without template removal. Equal pages of a host
     count once. A column named like `out` is replaced. An empty table stays empty.
     """
-    by_host = stored(templates(pages, url, html, share, least_pages), "templates")
-    salted = by_host.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))  # a hot host's pages go to SALTS tasks
+    by_page = stored(templates(pages, url, html, share, least_pages), "templates")
+    # copies of one page would be dealt to one task: the salt comes from the URL
+    salted = by_page.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     own = [c for c in pages.columns if c != out]
     # only Python sees "__html"; the salt hangs on the row, so a task that runs again places it alike
     named = pages.withColumns({"__html": F.coalesce(F.col(f"`{html}`"), F.lit("")), "__host": host_of(F.col(f"`{url}`"))})
-    named = named.withColumn("__salt", F.pmod(F.xxhash64("__html"), F.lit(SALTS)).cast("int"))
-    joined = named.join(salted, ["__host", "__salt"], "left")
+    named = named.withColumns({"__page": F.xxhash64("__html"), "__salt": F.pmod(F.xxhash64(F.col(f"`{url}`")), F.lit(SALTS)).cast("int")})
+    joined = named.join(salted, ["__host", "__page", "__salt"], "left")
 
     @F.pandas_udf("string")
     def text_of(htmls, lists):
         import pandas as pd
 
-        last, known, texts = None, frozenset(), []
-        for page, listed in zip(htmls, lists, strict=True):
-            key = None if listed is None else listed.tobytes()
-            if key != last:
-                last, known = key, frozenset(() if listed is None else listed.tolist())
-            texts.append(main_text(page, known))
-        return pd.Series(texts, dtype=object)
+        return pd.Series([main_text(page, frozenset(() if listed is None else listed.tolist())) for page, listed in zip(htmls, lists, strict=True)], dtype=object)
 
     return joined.withColumn("__out", text_of("__html", "__template")).select(*[f"`{c}`" for c in own], F.col("__out").alias(out))
