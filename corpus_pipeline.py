@@ -20,7 +20,7 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return quality_rules.keep(docs)
+    return quality_rules.keep(docs, rules=quality_rules.CORPUS_RULES)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

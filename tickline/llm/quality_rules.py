@@ -44,6 +44,10 @@ RULES = (
     Rule("unfinished_lines", "n_unfinished_lines", "n_lines", high=30),
 )
 
+#: For choosing documents: repeated lines by the characters in them, so a short line said twice weighs little.
+#: `RULES` counts lines, as the SQL of op7_quality_rules does.
+CORPUS_RULES = tuple(Rule("repeated_lines", "n_dup_line_chars", "n_line_chars", high=30, least_words=50) if r.name == "repeated_lines" else r for r in RULES)
+
 
 def _bound(value: Column, use) -> Column:
     """Let `use` refer to a value many times while it is computed once a row."""
@@ -93,6 +97,8 @@ def measures(df: DataFrame, text: str = "text", names: dict[str, str] | None = N
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
         "n_unfinished_lines": F.size(F.filter(lines, lambda x: F.rtrim(x).endswith("...") | F.rtrim(x).endswith("…"))),
         "n_repeat_words": _repeated(words),
+        "n_line_chars": F.length(F.array_join(lines, "")),
+        "n_dup_line_chars": F.length(F.array_join(lines, "")) - F.length(F.array_join(F.array_distinct(lines), "")),
     }
     return parts.withColumn("__m", F.struct(*[c.cast("long").alias(k) for k, c in counts.items()])).drop("__text", "__words", "__lines")
 
@@ -126,7 +132,7 @@ def judge(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, ou
     judged = measures(df, text)
     broken = F.array_compact(F.array(*[F.when(failed(r, m), F.lit(r.name)) for r in rules])) if rules else F.array().cast("array<string>")
     judged = judged.withColumns({"__base": base_failed(m), "__broken": broken})
-    counts = [m[k].alias(k) for k in ("n_words", "word_chars", "n_symbols", "n_stop_words", "n_lines", "n_dup_lines", "n_unfinished_lines", "n_repeat_words")]
+    counts = [m[k].alias(k) for k in ("n_words", "word_chars", "n_symbols", "n_stop_words", "n_lines", "n_dup_lines", "n_unfinished_lines", "n_repeat_words", "n_line_chars", "n_dup_line_chars")]
     quality = F.struct(*counts, F.col("__base").alias("base_failed"), F.col("__broken").alias("failed_rules"), (~F.col("__base") & (F.size("__broken") == 0)).alias("kept"))
     return judged.withColumn(out, quality).drop("__m", "__base", "__broken")
 
