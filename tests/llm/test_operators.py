@@ -231,6 +231,16 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.leaks(both, items.limit(0)).collect() == []
 
 
+def test_decontamination_of_frequent_words(spark):
+    rng = np.random.default_rng(5)
+    often = [f"w{k}" for k in range(20)]
+    item = " ".join([*rng.choice(often, 20), "unheard", *rng.choice(often, 19)])
+    rows = [(k, " ".join(rng.choice(often, 300))) for k in range(60)] + [(100, " ".join(rng.choice(often, 50)) + f" {item} " + " ".join(rng.choice(often, 50)))]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = {r["doc_id"]: r["score"] for r in decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert found[100] == 1.0
+
+
 def test_html_extraction(spark):
     bar, foot = "<div><b>Top stories of the day</b></div>", "<section><p>Terms and conditions apply</p></section>"
     rows = [(k, f"https://a.example.com/{k}", f"<body>{bar}<div><p>Own text number {k}</p></div>{foot}</body>") for k in range(12)]

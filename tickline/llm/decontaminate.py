@@ -38,7 +38,8 @@ def _grams_of(body: np.ndarray, n: int) -> np.ndarray:
 
 
 def seeds(items: DataFrame, documents: DataFrame, item_id: str, item_text: str, text: str, n: int = N, chance: float = CHANCE) -> DataFrame:
-    """(__item, __words, __gram, __at): the rare n-grams of each item; an item without one keeps all of its own."""
+    """(__item, __words, __gram, __at): the rare n-grams of each item. An item whose rare ones touch
+    less than half of its words keeps all of its own: a copy must touch `cover` of the words to be looked at."""
     spark = documents.sparkSession
     table = grams.count_table(documents.select(text), lambda b: (h for h, _, _ in grams.texts_words(b.column(0), grams.PUNCTUATION)), WORD_BUCKETS)
     share = spark.sparkContext.broadcast((table / max(int(table.sum(dtype=np.int64)), 1)).astype(np.float32))
@@ -52,7 +53,8 @@ def seeds(items: DataFrame, documents: DataFrame, item_id: str, item_text: str,
                 width = min(n, len(h))
                 expected = sum((p[i : i + len(g)] for i in range(width)), np.zeros(len(g))) + 6
                 keep = np.flatnonzero(expected <= np.log10(chance))
-                if not len(keep):
+                # an n-gram at k touches words k .. k+width-1
+                if 2 * len(np.unique(keep[:, None] + np.arange(width))) < len(h):
                     keep = np.arange(len(g))
                 for column, values in zip(out, (np.full(len(keep), k), np.full(len(keep), len(h)), g[keep].view(np.int64), keep), strict=True):
                     column.append(values)
