@@ -69,7 +69,7 @@ _SYMBOLS[65:91] = np.arange(26) + 1
 _SYMBOLS[48:58] = np.arange(10) + 27
 _SYMBOLS[[ord(c) for c in "+/=_-."]] = np.arange(6) + 37
 PAIRS = 64
-FEATURES = 26
+FEATURES = 28
 
 
 @dataclass
@@ -178,6 +178,8 @@ def features(before: str, value: str, after: str, known: Corpus) -> list[float]:
         float(np.mean(known.common(near))) if len(near) else 0.0,
         float(left[-1:].isspace() or not left),
         float(right[:1].isspace() or not right),
+        float(right[:1] == "@" and ":" in value),
+        float(value.startswith("-----BEGIN")),
     ]
 
 
@@ -193,10 +195,34 @@ def _made(rng: np.random.Generator, words: list[str]) -> list[tuple[str, str, st
     equals = str(rng.choice(["=", " = ", ": ", ":", "=>"]))
     quote = str(rng.choice(["", '"', "'"]))
     word = lambda: str(rng.choice(words)) if words else "name"
-    secret = [
-        take(_HEX, int(rng.integers(16, 65))), take(_ALNUM, int(rng.integers(12, 49))), take(_ALNUM + "!#%^&*-_+", int(rng.integers(10, 30))),
-        take(_ALNUM + "+/", int(rng.integers(24, 64))) + "=", f"AKIA{take('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 16)}", f"ghp_{take(_ALNUM, 36)}", f"eyJ{take(_ALNUM, 20)}.{take(_ALNUM, 40)}.{take(_ALNUM + '_-', 30)}",
-    ][int(rng.integers(0, 7))]
+    kind = int(rng.integers(0, 11))
+    plain = [take(_HEX, int(rng.integers(16, 65))), take(_ALNUM, int(rng.integers(12, 49))), take(_ALNUM + "!#%^&*-_+", int(rng.integers(10, 30))), take(_ALNUM + "+/", int(rng.integers(24, 64))) + "="]
+    web = f"eyJ{take(_ALNUM, 20)}.{take(_ALNUM, 40)}.{take(_ALNUM + '_-', 30)}"
+    before, after = f"{name}{equals}{quote}", quote
+    bare = rng.integers(0, 2) == 0
+    if kind < 4:
+        secret, bare = plain[kind], False
+    elif kind == 4:
+        secret = str(rng.choice(["AKIA", "ASIA"])) + take("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16)
+    elif kind == 5:
+        secret = f"gh{rng.choice(list('pousr'))}_{take(_ALNUM, 36)}"
+    elif kind == 6:
+        secret = web
+    elif kind == 7:
+        secret, bare = f"{rng.choice(['root', 'admin', 'user', 'app', word().lower()])}:{take(_ALNUM, int(rng.integers(8, 25)))}", False
+        before, after = str(rng.choice(["postgres", "mysql", "https", "redis", "amqp", "ftp"])) + "://", "@" + str(rng.choice(["db", "host", "example.com", "localhost:5432"])) + "/" + word()
+    elif kind == 8:
+        which, line = str(rng.choice(["", "RSA ", "EC ", "OPENSSH "])), str(rng.choice(["\n", "\n", " "]))
+        body = line.join(take(_ALNUM + "+/", 64) for _ in range(int(rng.integers(1, 27))))
+        secret = f"-----BEGIN {which}PRIVATE KEY-----{line}{body}={line}-----END {which}PRIVATE KEY-----"
+    elif kind == 9:
+        secret, bare = [take(_HEX, int(rng.integers(32, 65))), take(_ALNUM, int(rng.integers(20, 49))), plain[3], web][int(rng.integers(0, 4))], False
+        before, after = str(rng.choice(["Authorization: Bearer ", "authorization: bearer ", "Bearer ", "-H 'Authorization: Bearer "])), str(rng.choice(["", "'", '"']))
+    else:
+        secret, bare = [take(_ALNUM, int(rng.integers(20, 49))), plain[3]][int(rng.integers(0, 2))], False
+        before, after = str(rng.choice(["", "", "key ", "use ", "the key is ", "my token "])), str(rng.choice(["", " ", "."]))
+    if bare:
+        before, after = "", ""
     harmless = [
         (str(rng.choice(["commit ", "sha256: ", "md5=", "checksum ", "etag: "])), take(_HEX, int(rng.choice([32, 40, 64]))), ""),
         (f"{name}{equals}{quote}", str(rng.choice(["changeme", "your_token_here", "xxxxxxxxxxxx", "********", "<password>", "example-secret", "${SECRET}", "REDACTED_VALUE", "placeholder_key"])), quote),
@@ -207,16 +233,24 @@ def _made(rng: np.random.Generator, words: list[str]) -> list[tuple[str, str, st
         ("", "-".join(word().strip(".,") for _ in range(int(rng.integers(4, 7)))), ""),
         ("uuid ", "-".join(take(_HEX, k) for k in (8, 4, 4, 4, 12)), ""),
         ("", str(rng.choice(["=", "-", "_", "."])) * int(rng.integers(20, 60)), ""),
-    ][int(rng.integers(0, 9))]
-    bare = secret[:4] in ("AKIA", "ghp_") or secret.startswith("eyJ")
-    return [("" if bare and rng.integers(0, 2) else f"{name}{equals}{quote}", secret, quote, 1), (*harmless, 0)]
+        (str(rng.choice(["https://", "postgres://"])), str(rng.choice(["user:password", "username:changeme", "user:xxxxxxxx", "${USER}:${PASSWORD}", "user:your_password"])), "@example.com/"),
+        ("Authorization: Bearer ", str(rng.choice(["<your_token_here>", "xxxxxxxxxxxxxxxxxxxxxxxx", "your_access_token_goes_here", "example-token-example-token"])), ""),
+    ][int(rng.integers(0, 11))]
+    return [(before, secret, after, 1), (*harmless, 0)]
+
+
+def _harmless(before: str, value: str) -> bool:
+    """Whether a string of the prose is known to be no key: words, short numbers and signs, with no word for a secret before it."""
+    parts = [p for p in re.split(r"[^A-Za-z0-9]+", value) if p]
+    return not _SECRET_WORD.search(before[-24:]) and all(len(set(p)) == 1 or re.fullmatch(r"[A-Z]?[a-z]{1,19}|[A-Z]{1,12}|[0-9]{1,8}", p) for p in parts)
 
 
 def labelled_findings(documents: DataFrame, id_col: str = "doc_id", text: str = "text", train_docs: int = TRAIN_DOCS) -> DataFrame:
     """(before, value, after, label) from the `train_docs` documents of the smallest hash of their id.
 
     Each gives one made secret, one made look-alike, and as false findings the strings of its own
-    that stand in no assignment and have no key's format (at most four).
+    that stand in no assignment and are made of words, short numbers and signs (at most four). Other
+    strings of its own may be keys and get no label.
     """
     sample = documents.where(F.col(f"`{id_col}`").isNotNull()).select(F.xxhash64(F.col(f"`{id_col}`").cast("string")).alias("h"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
     chosen = documents.where(F.col(f"`{id_col}`").isNotNull()).select(F.xxhash64(F.col(f"`{id_col}`").cast("string")).alias("h")).distinct().orderBy("h").limit(train_docs)
@@ -231,8 +265,8 @@ def labelled_findings(documents: DataFrame, id_col: str = "doc_id", text: str =
                 words = [w for w in t[:4000].split() if w.isalpha()]
                 for before, value, after, label in _made(rng, words):
                     at = int(rng.choice(spaces)) if spaces else 0
-                    rows.append((t[max(0, at - AROUND) : at] + " " + before, value, after + t[at : at + AROUND], label))
-                own = [(t[max(0, s - AROUND) : s], t[s:e], t[e : e + AROUND], 0) for rule, s, e in candidates(t) if rule == "long" and not re.search(r"[=:]\s*[\"']?$", t[max(0, s - 4) : s]) and not re.fullmatch(r"[0-9a-fA-F]+", t[s:e])]
+                    rows.append(((t[max(0, at - AROUND) : at] + " " + before)[-AROUND:], value, after + t[at : at + AROUND], label))
+                own = [(t[max(0, s - AROUND) : s], t[s:e], t[e : e + AROUND], 0) for rule, s, e in candidates(t) if rule == "long" and not re.search(r"[=:]\s*[\"']?$", t[max(0, s - 4) : s]) and _harmless(t[max(0, s - AROUND) : s], t[s:e])]
                 rows += own[:4]
             yield pa.record_batch({k: pa.array([r[i] for r in rows], pa.string() if i < 3 else pa.int32()) for i, k in enumerate(("before", "value", "after", "label"))})
 
