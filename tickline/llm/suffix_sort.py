@@ -26,7 +26,7 @@ import tempfile
 import numpy as np
 
 CHUNK = 1 << 16
-#: Arrays of more bytes are kept in files.
+#: Arrays of more bytes are kept in files, except those of the size of the seeds (places, order, names, prefixes).
 IN_MEMORY = 32 << 20
 #: Recursion ends at texts of so many symbols, which are sorted in memory.
 DIRECT = 1 << 20
