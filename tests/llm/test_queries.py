@@ -111,10 +111,10 @@ def test_stages_return_the_columns_of_documents(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "ngram_join", "decontamination", "byte_bpe"]
 
 
-def test_quality_stage_keeps_clean_documents(spark):
+def test_corpus_rules_keep_clean_documents(spark):
     line, prose = "Shared line of a site", " ".join(f"the word{k} of" for k in range(200))
     made = spark.createDataFrame([(1, f"{line}\n{prose}\n{line}"), (2, "\n".join(f"{k % 5} the same long line of many words is said and said again {k % 5}" for k in range(20)))], "doc_id long, text string")
-    assert [r["doc_id"] for r in corpus_pipeline.quality(spark, made, SF_SMALL).collect()] == [1]
+    assert [r["doc_id"] for r in quality_rules.keep(made, rules=quality_rules.CORPUS_RULES).collect()] == [1]
     clean = (30, 3314, 3723, 9916)  # labelled 1, of sf0.1
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where(f"doc_id IN {clean}")
-    assert {r["doc_id"] for r in corpus_pipeline.quality(spark, docs, SF_SMALL).collect()} == set(clean)
+    assert {r["doc_id"] for r in quality_rules.keep(docs, rules=quality_rules.CORPUS_RULES).collect()} == set(clean)
