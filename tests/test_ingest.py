@@ -30,7 +30,7 @@ def checked(spark, *wires, table_path=False):
 
 @pytest.mark.parametrize(
     "change,conditions",
-    [({}, ["@"]), ({"c": None}, None), ({"c": "x"}, "x"), ({"c": [1.0, {"b": 1, "a": "\u00e9"}]}, [1.0, {"b": 1, "a": "\u00e9"}]), ({"s": "\u00c5\x7f\U0001f642"}, ["@"]), ({"p": 1e-7}, ["@"]), ({"p": "251.5"}, ["@"])],
+    [({}, ["@"]), ({"c": None}, None), ({"c": "x"}, "x"), ({"c": ["a", None, ""]}, ["a", None, ""]), ({"c": [[[{"z": 1.0, "a": {"b": [None]}}]]]}, [[[{"z": 1.0, "a": {"b": [None]}}]]]), ({"c": [1.0, {"b": 1, "a": "\u00e9"}]}, [1.0, {"b": 1, "a": "\u00e9"}]), ({"s": "\u00c5\x7f\U0001f642"}, ["@"]), ({"p": 1e-7}, ["@"]), ({"p": "251.5"}, ["@"])],
 )
 def test_normalized_ids(spark, change, conditions):
     element = {**ELEMENT, **change}
@@ -56,6 +56,13 @@ def test_unreadable_elements_go_to_the_rejects(spark):
     assert {json.loads(r.original_value).get("p") for r in bad} == {"abc", "250.5"}
 
 
+@pytest.mark.parametrize("field,value", [("t", 99999999999999999), ("t", 10**18), ("t", 2**63 - 1), ("t", 253402300800000), ("p", "NaN"), ("p", "-Infinity"), ("v", "Infinity"), ("v", "1e999")])
+def test_numbers_out_of_range_are_rejects(spark, field, value):
+    vendor = frames(spark, {"type": "trade", "data": [ELEMENT, {**ELEMENT, field: value}]})
+    assert [r.event_id for r in ingest.normalize_trades(vendor).collect()] == [WORKED_ID]
+    assert [r.error[-1] for r in ingest.normalize_rejects(vendor).collect()] == [field]
+
+
 def test_wire_records_validate_to_the_same_trade(spark):
     wire = ingest.to_wire(ingest.normalize_trades(frames(spark, {"type": "trade", "data": [ELEMENT, {**ELEMENT, "c": None}]})))
     bodies = [json.loads(bytes(r.value)) for r in wire.collect()]

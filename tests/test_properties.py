@@ -9,7 +9,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tickline.functions import rules
-from tickline.functions.fingerprint import NESTING
 from tickline.functions.jsontext import python_float_text
 from tickline.operators import validate
 
@@ -87,18 +86,29 @@ def test_rule_chain_matches_model(spark, msgs):
 wire_value = st.recursive(
     st.one_of(st.none(), st.booleans(), st.integers(-(10**25), 10**25), st.floats(allow_nan=False, allow_infinity=False).filter(lambda f: not f.is_integer()), st.text(max_size=4)),
     lambda inner: st.one_of(st.lists(inner, max_size=3), st.dictionaries(st.text(max_size=3), inner, max_size=3)),
-    max_leaves=4,
-).filter(lambda v: depth(v) <= NESTING)
+    max_leaves=6,
+)
 
 
-def depth(v):
-    if isinstance(v, (list, dict)):
-        return 1 + max(map(depth, v.values() if isinstance(v, dict) else v), default=0)
-    return 0
+def nested(value, levels):
+    """The value inside `levels` arrays and objects by turns, beside a null and a whole float."""
+    for k in range(levels):
+        value = [value, None, 1.0] if k % 2 else {"z": value, "a": None, "é": [1.0]}
+    return value
 
 
 @settings(**{**SETTINGS, "max_examples": 30})
-@given(st.lists(st.tuples(st.text(min_size=1, max_size=6).filter(str.strip), st.floats(1e-320, 1e12).filter(lambda f: not f.is_integer()), wire_value), min_size=10, max_size=30))
+@given(
+    st.lists(
+        st.tuples(
+            st.text(min_size=1, max_size=6).filter(str.strip),
+            st.floats(1e-320, 1e12).filter(lambda f: not f.is_integer()),
+            st.one_of(wire_value, st.builds(nested, wire_value, st.integers(3, 6)), st.lists(st.one_of(st.none(), st.text(max_size=2)), max_size=3)),
+        ),
+        min_size=10,
+        max_size=30,
+    )
+)
 def test_derived_ids_match_python(spark, rows):
     """Ids of messages without one, for any symbol, price and conditions, against json and hashlib."""
     msgs = [

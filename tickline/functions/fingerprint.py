@@ -9,8 +9,7 @@ order and no spaces, numbers printed the way Python prints them, e.g.::
 Two builders exist: one for typed columns (a normalized trade, all seven fields
 present) and one for a parsed wire message (VARIANT), which keeps only the fields
 present and prints integers on the wire without ``.0`` as the consumer path does.
-Limits: integers of more than 38 digits print as floats, and ``conditions`` nested
-deeper than ``NESTING`` levels print the way Spark writes JSON.
+Limit: integers of more than 38 digits print as floats.
 """
 
 from __future__ import annotations
@@ -22,10 +21,6 @@ from pyspark.sql import functions as F
 from tickline.functions.jsontext import json_string, python_float_text
 from tickline.schemas import SOURCE_NAME
 
-#: Levels of arrays and objects inside ``conditions`` that are printed in Python's form.
-NESTING = 2
-
-
 def canonical_text(
     symbol: Column,
     price: Column,
@@ -94,30 +89,62 @@ def _number_text(msg: Column, field: str) -> Column:
     return _number(variant_type(msg, field), F.try_variant_get(msg, f"$.{field}", "variant"))
 
 
-def variant_text(value: Column, levels: int = NESTING) -> Column:
-    """Any JSON value in Python's compact form with sorted keys."""
-    kind = F.schema_of_variant(value)
-    text = (
-        F.when(kind == "STRING", json_string(F.try_variant_get(value, "$", "string")))
-        .when((kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL"), _number(kind, value))
+def _step(state: Column) -> Column:
+    """Print the value on top of the stack, or put its items there in its place.
+
+    An item of the stack is the text that goes before it and, unless that is all (a closing bracket), a value.
+    """
+    top = F.element_at(state["stack"], -1)
+    rest = F.slice(state["stack"], 1, F.size(state["stack"]) - 1)
+    kind = F.schema_of_variant(top["value"])
+    items = F.try_variant_get(top["value"], "$", "array<variant>")
+    members = F.try_variant_get(top["value"], "$", "map<string,variant>")
+    names = F.array_sort(F.map_keys(members))
+
+    def item(before: Column, value: Column) -> Column:
+        return F.struct(before.alias("before"), value.alias("value"))
+
+    def comma(i: Column, opening: str) -> Column:
+        return F.when(i == 0, F.lit(opening)).otherwise(F.lit(","))
+
+    nothing = F.lit(None).cast("variant")
+    listed = F.transform(items, lambda x, i: item(comma(i, "["), x))
+    named = F.transform(names, lambda n, i: item(F.concat(comma(i, "{"), json_string(n), F.lit(":")), F.element_at(members, n)))
+    pushed = (
+        F.when(kind.startswith("ARRAY") & (F.size(items) > 0), F.concat(F.array(item(F.lit("]"), nothing)), F.reverse(listed)))
+        .when(kind.startswith("OBJECT") & (F.size(names) > 0), F.concat(F.array(item(F.lit("}"), nothing)), F.reverse(named)))
+    )
+    printed = (
+        F.when(kind == "STRING", json_string(F.try_variant_get(top["value"], "$", "string")))
+        .when((kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL"), _number(kind, top["value"]))
+        .when(pushed.isNotNull() | top["value"].isNull(), F.lit(""))
+        .otherwise(F.to_json(top["value"]))
     )
-    if levels:
-        items = F.try_variant_get(value, "$", "array<variant>")
-        members = F.try_variant_get(value, "$", "map<string,variant>")
-        pairs = F.array_sort(F.transform(F.map_entries(members), lambda e: F.struct(e["key"].alias("k"), variant_text(e["value"], levels - 1).alias("t"))))
-        text = text.when(kind.startswith("ARRAY"), F.concat(F.lit("["), F.array_join(F.transform(items, lambda x: variant_text(x, levels - 1)), ","), F.lit("]")))
-        text = text.when(
-            kind.startswith("OBJECT"),
-            F.concat(F.lit("{"), F.array_join(F.transform(pairs, lambda p: F.concat(json_string(p["k"]), F.lit(":"), p["t"])), ","), F.lit("}")),
-        )
-    return text.otherwise(F.to_json(value))
+    return F.struct(
+        F.concat(state["text"], top["before"], printed).alias("text"),
+        F.when(pushed.isNotNull(), F.concat(rest, pushed)).otherwise(rest).alias("stack"),
+    )
+
+
+def variant_text(value: Column) -> Column:
+    """Any JSON value, of any depth, in Python's compact form with sorted keys.
+
+    A fold with a stack of the values still to print. It takes as many steps as the value has items and
+    closing brackets; the brackets and commas of its JSON text bound them, and steps beyond the end do nothing.
+    """
+    marks = F.length(F.regexp_replace(F.to_json(value), r"[^\[{,]", ""))
+    first = F.struct(F.lit("").alias("before"), value.alias("value"))
+    start = F.struct(F.lit("").alias("text"), F.array(first).alias("stack"))
+    steps = F.sequence(F.lit(0), 2 * marks)
+    return F.aggregate(steps, start, lambda state, _: F.when(F.size(state["stack"]) > 0, _step(state)).otherwise(state), lambda state: state["text"])
 
 
 def conditions_text(value: Column) -> Column:
-    """The usual array of strings without a look at each level; anything else in full."""
+    """The usual array of strings in one pass; anything else, arrays with a null included, in full."""
     strings = F.try_variant_get(value, "$", "array<string>")
     listed = F.concat(F.lit("["), F.array_join(F.transform(strings, json_string), ","), F.lit("]"))
-    return F.when(F.schema_of_variant(value) == "ARRAY<STRING>", listed).otherwise(variant_text(value))
+    usual = (F.schema_of_variant(value) == "ARRAY<STRING>") & ~F.exists(strings, F.isnull)
+    return F.when(usual, listed).otherwise(variant_text(value))
 
 
 _built: dict[int, Column] = {}

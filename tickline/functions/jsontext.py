@@ -40,7 +40,7 @@ def json_string(text: Column) -> Column:
 
 
 def python_float_text(x: Column) -> Column:
-    """``repr(float(x))`` for a finite DOUBLE column.
+    """``repr(float(x))`` for a finite DOUBLE column; ``NaN``, ``Infinity`` and ``-Infinity`` for others.
 
     Fast path: between 1e-3 and 1e7 Java prints the same text as Python, and
     with at most 15 significant digits it is the shortest one. Otherwise the
@@ -56,7 +56,8 @@ def python_float_text(x: Column) -> Column:
     ax = F.abs(x)
     # at most 16 characters leave at most 15 digits (the point takes one)
     fast = (ax >= F.lit(1e-3)) & (ax < F.lit(1e7)) & (F.length(java) <= 16)
-    return F.when(fast | (ax == 0), java).otherwise(bound(x, _exact_text))
+    special = F.isnan(x) | (ax == F.lit(float("inf")))  # NaN is greater than any number in Spark
+    return F.when(fast | (ax == 0) | special, java).otherwise(bound(x, _exact_text))
 
 
 def bound(value: Column, use) -> Column:

@@ -27,12 +27,23 @@ def decode_frames(frames: DataFrame, column: str = "value") -> DataFrame:
     return parsed.select(F.inline(F.when(F.col("f.type") == "trade", F.col("f.data"))))
 
 
+# The first and last millisecond of the years 1 to 9999, which ISO text can name.
+FIRST_MS, LAST_MS = -62135596800000, 253402300799999
+
+
+def _finite(text: str) -> Column:
+    """A number; none for text that is no number, not a number or infinite."""
+    x = F.expr(f"try_cast({text} AS DOUBLE)")
+    return F.when(F.abs(x) < F.lit(float("inf")), x)  # NaN is greater than any number in Spark
+
+
 def _typed(vendor: DataFrame, source: str) -> DataFrame:
     ms = F.coalesce(F.expr("try_cast(t AS BIGINT)"), F.expr("try_cast(try_cast(t AS DOUBLE) AS BIGINT)"))
+    ms = F.when(ms.between(FIRST_MS, LAST_MS), ms)
     return vendor.select(
         F.col("s").alias("symbol"),
-        F.expr("try_cast(p AS DOUBLE)").alias("price"),
-        F.expr("try_cast(v AS DOUBLE)").alias("volume"),
+        _finite("p").alias("price"),
+        _finite("v").alias("volume"),
         iso_from_millis(ms).alias("timestamp"),
         ms.alias("trade_timestamp_ms"),
         F.coalesce(F.col("c"), F.parse_json(F.lit("[]"))).alias("conditions"),
@@ -51,7 +62,8 @@ def normalize_trades(vendor: DataFrame, source: str = SOURCE_NAME) -> DataFrame:
     Numbers are cast with ``try_cast`` (numeric text is accepted, as ``float()``
     and ``int()`` accept it). ``conditions`` is any JSON value (VARIANT), ``[]`` where
     the element has none. Elements whose symbol, price, volume or time cannot be read
-    are not here but in :func:`normalize_rejects`; the rest of the frame is kept.
+    (no finite number, or a time outside the years 1 to 9999) are not here but in
+    :func:`normalize_rejects`; the rest of the frame is kept.
     """
     return with_event_id(_typed(vendor, source).where(_readable()).drop("_vendor"))
 

@@ -52,7 +52,10 @@ def valid_messages(validated: DataFrame, extra: tuple[Column, ...] = ()) -> Data
     m = F.col("msg")
     extra_names = [c for c in valid.columns if c not in ("msg", "topic", "partition", "offset")]
     given = F.nullif(F.try_variant_get(m, "$.event_id", "string"), F.lit(""))
-    valid = valid.select("*", given.alias("_given"), sha256_hex(message_text_column()).alias("_derived"))
+    valid = valid.select("*", given.alias("_given"))
+    # only an id that looks like a hash can be the trade's own
+    own = F.col("_given").isNull() | F.col("_given").rlike(r"\A[0-9a-f]{64}\z")
+    valid = valid.select("*", F.when(own, sha256_hex(message_text_column())).alias("_derived"))
     return valid.select(
         F.coalesce("_given", "_derived").alias("event_id"),
         F.try_variant_get(m, "$.symbol", "string").alias("symbol"),
@@ -65,7 +68,7 @@ def valid_messages(validated: DataFrame, extra: tuple[Column, ...] = ()) -> Data
         "topic",
         "partition",
         "offset",
-        F.coalesce(F.col("_given") != F.col("_derived"), F.lit(False)).alias("id_given"),
+        (F.col("_given").isNotNull() & ~F.col("_given").eqNullSafe(F.col("_derived"))).alias("id_given"),
         *extra_names,
     )
 

@@ -372,7 +372,7 @@ _TABLE_ROWS_SQL = (
          CAST(json_extract(text, '$.price') AS DOUBLE) AS price, CAST(json_extract(text, '$.volume') AS DOUBLE) AS volume,
          CAST(CAST(json_extract_string(text, '$.timestamp') AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) AS trade_time,
          CAST(json_extract(text, '$.trade_timestamp_ms') AS BIGINT) AS trade_timestamp_ms,
-         CASE WHEN list_contains(json_keys(text), 'conditions') THEN CASE k WHEN 27 THEN '[1,"é",{"a":null,"b":1000.0},20000000000000000000]' WHEN 24 THEN 'null' ELSE CAST(json_extract(text, '$.conditions') AS VARCHAR) END ELSE '[]' END AS conditions_json,
+         CASE WHEN list_contains(json_keys(text), 'conditions') THEN CASE k WHEN 27 THEN '[1,"é",{"a":null,"b":1000.0},20000000000000000000]' WHEN 24 THEN 'null' WHEN 31 THEN '{"z":[{"y":{"a":null,"b":[1,2]}}]}' ELSE CAST(json_extract(text, '$.conditions') AS VARCHAR) END ELSE '[]' END AS conditions_json,
          json_extract_string(text, '$.source') AS source, partition, "offset", batch_id, k
   FROM checked_table WHERE table_error IS NULL)
 """
@@ -406,7 +406,7 @@ FROM tr GROUP BY event_id""",
 )
 def q_dedup_first(spark, sf_dir):
     t = _table_rows(spark, sf_dir)
-    first = dedup.dedup_first(t, key="event_id", order=("partition", "offset"), count_as="copies")
+    first = dedup.dedup_first(t.select("event_id", "partition", "offset"), key="event_id", order=("partition", "offset"), count_as="copies")
     return first.select("event_id", "partition", "offset", "copies")
 
 
@@ -455,7 +455,7 @@ def q_offset_spans(spark, sf_dir):
 _FRAMES_SQL = """WITH n AS (
   SELECT event_id % 40 AS k, upper(event_type) AS symbol, value AS price, CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) AS DOUBLE) AS volume,
          1704067200000 + (epoch_us(ts)//1000 - 1704067200000)//60 AS trade_timestamp_ms
-  FROM events WHERE event_type <> 'error' AND event_id % 40 NOT IN (5, 6)),
+  FROM events WHERE event_type <> 'error' AND event_id % 40 NOT IN (5, 6, 9, 10, 11, 12)),
 n2 AS (
   SELECT *, strftime(make_timestamp(trade_timestamp_ms * 1000), '%Y-%m-%dT%H:%M:%S')
             || CASE WHEN trade_timestamp_ms % 1000 = 0 THEN '' ELSE '.' || lpad(CAST((trade_timestamp_ms % 1000) * 1000 AS VARCHAR), 6, '0') END
@@ -467,7 +467,7 @@ n2 AS (
 @register(
     "normalize_trades",
     _FRAMES_SQL
-    + """SELECT sha256('{"conditions":' || CASE k WHEN 7 THEN 'null' WHEN 8 THEN '[]' ELSE '["@"]' END || ',"price":' || CAST(price AS VARCHAR) || ',"source":"finnhub","symbol":"' || symbol
+    + """SELECT sha256('{"conditions":' || CASE k WHEN 7 THEN 'null' WHEN 8 THEN '[]' WHEN 13 THEN '["a",null,"b"]' WHEN 14 THEN '{"z":[{"y":{"a":null,"b":[1,2]}}]}' ELSE '["@"]' END || ',"price":' || CAST(price AS VARCHAR) || ',"source":"finnhub","symbol":"' || symbol
        || '","timestamp":"' || timestamp || '","trade_timestamp_ms":' || CAST(trade_timestamp_ms AS VARCHAR)
        || ',"volume":' || CAST(volume AS VARCHAR) || '}') AS event_id,
        symbol, price, volume, timestamp, trade_timestamp_ms, 'finnhub' AS source
@@ -492,9 +492,9 @@ def q_decode(spark, sf_dir):
 
 @register(
     "normalize_rejects",
-    """SELECT 'unreadable vendor field: ' || CASE event_id % 40 WHEN 5 THEN 'p' ELSE 'v' END AS error, count(*) AS elements,
+    """SELECT 'unreadable vendor field: ' || CASE WHEN event_id % 40 IN (5, 11) THEN 'p' WHEN event_id % 40 IN (6, 12) THEN 'v' ELSE 't' END AS error, count(*) AS elements,
        count(DISTINCT upper(event_type)) AS symbols
-FROM events WHERE event_type <> 'error' AND event_id % 40 IN (5, 6) GROUP BY 1""",
+FROM events WHERE event_type <> 'error' AND event_id % 40 IN (5, 6, 9, 10, 11, 12) GROUP BY 1""",
 )
 def q_normalize_rejects(spark, sf_dir):
     configure(spark)

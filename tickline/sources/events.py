@@ -77,15 +77,21 @@ def vendor_frames_from_events(events: DataFrame, squeeze: int = DEFAULT_SQUEEZE)
 
     Events of type ``error`` become non-trade frames (a vendor status message),
     which the decoder must skip. By ``event_id % 40``: class 5 has a price that is no
-    number, 6 no volume, 7 a null and 8 no ``c``. Output: one string column ``value``.
+    number, 6 no volume, 7 a null and 8 no ``c``, 9 and 10 a time that no timestamp
+    holds, 11 a price of ``NaN``, 12 an infinite volume, 13 a null among the strings of
+    ``c`` and 14 a ``c`` of five levels. Output: one string column ``value``.
     """
     fault = F.pmod(F.col("event_id"), F.lit(FAULT_CYCLE))
     trade = F.struct(
         F.upper("event_type").alias("s"),
-        F.when(fault == 5, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("p"),
-        F.when(fault != 6, F.get_json_object("props", "$.k").cast("long")).alias("v"),
-        squeezed_ms("ts", squeeze).alias("t"),
-        F.when(fault == 7, F.parse_json(F.lit("null"))).when(fault != 8, F.parse_json(F.lit('["@"]'))).alias("c"),
+        F.when(fault == 5, F.lit("n/a")).when(fault == 11, F.lit("NaN")).otherwise(F.col("value").cast("string")).alias("p"),
+        F.when(fault == 12, F.lit("Infinity")).when(fault != 6, F.get_json_object("props", "$.k")).alias("v"),
+        F.when(fault == 9, F.lit(99999999999999999)).when(fault == 10, F.lit(2**63 - 1)).otherwise(squeezed_ms("ts", squeeze)).alias("t"),
+        F.when(fault == 7, F.parse_json(F.lit("null")))
+        .when(fault == 13, F.parse_json(F.lit(CONDITIONS[30])))
+        .when(fault == 14, F.parse_json(F.lit(CONDITIONS[31])))
+        .when(fault != 8, F.parse_json(F.lit('["@"]')))
+        .alias("c"),
     )
     frame_type = F.when(F.col("event_type") == "error", F.lit("ping")).otherwise(F.lit("trade"))
     return events.select(
@@ -140,6 +146,8 @@ CONDITIONS = {
     24: "null",
     25: '["a\\nb"," pad ","q\\"é"]',
     27: '[1.0,"é",{"b":1e3,"a":null},20000000000000000000]',
+    30: '["a",null,"b"]',
+    31: '{"z":[{"y":{"b":[1.0,2],"a":null}}]}',
 }
 
 
@@ -169,7 +177,7 @@ def _slots(parts: DataFrame) -> DataFrame:
         _kv("trade_timestamp_ms", F.concat(F.col("_ms").cast("string"), F.when(k == 7, F.lit(".0")).otherwise(F.lit("")))).alias("_s5"),
         _conditions_kv(k).alias("_s6"),
         F.when(k.isin(8, 16), F.lit('"source": "other"')).otherwise(F.lit(f'"source": "{SOURCE_NAME}"')).alias("_s7"),
-        F.when(~k.isin(13, 27, 28), _kv("event_id", json_string(F.col("_eid")))).alias("_s8"),
+        F.when(~k.isin(13, 27, 28, 30, 31), _kv("event_id", json_string(F.col("_eid")))).alias("_s8"),
     )
 
 
@@ -185,8 +193,8 @@ def wire_text() -> Column:
     timestamp, 15 empty object, 16 zero price and other source, 17 numeric
     symbol, 18 null price, 19 volume as text, 20 extra field and no conditions,
     21 to 25 other JSON values of ``conditions``, 26 and 29 a time and a year for a
-    timestamp, 27 no event_id and nested ``conditions``, 28 neither event_id nor
-    ``conditions``. Everything else is a valid trade. Reads the columns of :func:`_slots`.
+    timestamp, 27, 30 and 31 no event_id and nested ``conditions`` or a null among
+    them, 28 neither event_id nor ``conditions``. Everything else is a valid trade. Reads the columns of :func:`_slots`.
     """
     k = F.col("_fault")
     full = F.concat(F.lit("{"), F.concat_ws(", ", *[F.col(f"_s{i}") for i in range(1, 9)]), F.lit("}"))
