@@ -164,3 +164,106 @@ def test_query_dataframe_parameters(spark):
 
     df = serve.query_dataframe(spark, "SELECT :a + 1 AS x, :s AS s", a=41, s="VIEW")
     assert df.collect()[0].asDict() == {"x": 42, "s": "VIEW"}
+
+
+def _numbered(spark, ids, day="2024-01-05", given=True):
+    rows = spark.createDataFrame([(i,) for i in ids], "event_id string")
+    return rows.selectExpr(
+        "event_id", "'A' AS symbol", "1.0D AS price", "1.0D AS volume", f"TIMESTAMP '{day} 10:00:00' AS trade_time", "0L AS trade_timestamp_ms",
+        "'[]' AS conditions", "'s' AS source", "TIMESTAMP '2024-01-09 00:00:00' AS received_at", f"{str(given).lower()} AS id_given",
+    )
+
+
+def test_given_ids_read_their_buckets_only(spark, workdir):
+    from tickline.sinks import folders, id_index
+
+    path = os.path.join(workdir, "trades")
+    known = [f"id {k}" for k in range(3000)]
+    assert trades_table.upsert_trades(_numbered(spark, known), path).inserted == 3000
+    hexes = ["ab" * 32, "cd" * 32]
+    assert trades_table.upsert_trades(_numbered(spark, hexes[:1], given=False), path).inserted == 1
+    id_index.compact(spark, path)
+    assert not folders.files(spark, [f"{id_index.root_of(path)}/kind=free/bucket=new"])
+    # found on another date than the batch's, new ids beside them
+    again = trades_table.upsert_trades(_numbered(spark, ["id 7", "id 2999", "id x"], day="2025-06-01"), path)
+    assert (again.received, again.inserted) == (3, 1)
+    # a given id that is the hash of another trade, and a hash that was given to another trade
+    assert trades_table.upsert_trades(_numbered(spark, hexes, day="2025-06-02"), path).inserted == 1
+    assert trades_table.upsert_trades(_numbered(spark, hexes[1:], day="2025-06-03", given=False), path).inserted == 0
+    id_index.compact(spark, path)
+    firsts = trades_table.with_folders(_numbered(spark, ["id 5", "id 6"])).withColumn("id_kind", id_index.kind())
+    free, hexed, hashed = firsts.agg(*id_index.asked_buckets(firsts)).first()
+    hits = id_index.lookup(firsts, path, free, hexed, hashed)
+    assert hits.count() == 2
+    read = {f.split("/")[-2] for f in hits.inputFiles()}
+    assert read == {f"bucket={b}" for b in free} and 1 <= len(read) <= 2
+    # an index that is lost is made again
+    folders.delete(spark, [id_index.root_of(path)])
+    assert trades_table.upsert_trades(_numbered(spark, ["id 7", "id y"], day="2025-06-01"), path).inserted == 1
+
+
+def test_an_index_entry_without_its_trade_hides_nothing(spark, workdir):
+    from tickline.sinks import id_index
+
+    path = os.path.join(workdir, "trades")
+    trades_table.upsert_trades(_numbered(spark, ["a"]), path)
+    lost = trades_table.with_folders(_numbered(spark, ["b", "c"]))
+    id_index.append(lost, path)  # a crash before the trades were written
+    assert trades_table.upsert_trades(_numbered(spark, ["a", "b", "c"]), path).inserted == 2
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_wide_topics_and_blocks(spark, workdir):
+    from tickline.sinks import coordinates, dead_letters
+
+    log = spark.range(20000).selectExpr("'k' AS key", "'e' AS error", "'t' AS source_topic", "cast(id % 5000 AS int) AS source_partition", "id div 5000 + 999998 AS source_offset", "'v' AS original_value")
+    log = log.withColumn("key", F.col("key").cast("binary"))
+    root = os.path.join(workdir, "dead")
+    dead_letters.write_dead_letters(log.where("source_offset < 1000000"), root)
+    dead_letters.write_dead_letters(log, root)
+    dead_letters.write_dead_letters(log.where("source_partition % 2 = 0"), root)
+    back = dead_letters.read_dead_letters(spark, root)
+    assert back.count() == 20000 == back.select("source_partition", "source_offset").distinct().count()
+    assert sorted(os.listdir(root))[-2:] == ["offset_block=0", "offset_block=1"]
+    assert coordinates.not_stored(log, back, *dead_letters.COORDINATES).count() == 0
+
+
+def test_a_batch_lists_its_own_folders(spark, workdir):
+    from tickline.sinks import folders
+
+    path = os.path.join(workdir, "trades")
+    for d in range(1, 6):
+        trades_table.upsert_trades(_numbered(spark, [f"id {d}"], day=f"2024-01-0{d}"), path)
+    part = trades_table.read_dates(spark, path, ["2024-01-02", "2030-01-01"])
+    assert len(part.inputFiles()) == 1 and "trade_date=2024-01-02" in part.inputFiles()[0]
+    assert trades_table.read_dates(spark, path, ["2030-01-01"]) is None and trades_table.read_trades(spark, path + "-none") is None
+    assert folders.folder_name(spark, "symbol", "A/B") == "symbol=A%2FB" and folders.folder_name(spark, "symbol", None).endswith("HIVE_DEFAULT_PARTITION__")
+
+
+def test_faults_other_than_no_table_are_errors(spark, workdir):
+    import pytest
+
+    bad = os.path.join(workdir, "bad")
+    os.makedirs(bad)
+    with open(os.path.join(bad, "part-0.parquet"), "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        trades_table.read_trades(spark, bad).count()
+
+
+def test_bar_versions(spark, workdir):
+    from tickline.sinks import bars_table
+
+    path, bars_path = os.path.join(workdir, "trades"), os.path.join(workdir, "bars")
+    for n, ids in enumerate((["a", "b"], ["c"], ["c", "d"])):
+        batch = _numbered(spark, ids)
+        trades_table.upsert_trades(batch, path)
+        assert bars_table.refresh_touched_bars(spark, path, bars_path, batch) == 1
+        # a reader that started before, or that starts now, sees the whole date
+        assert [r.trade_count for r in bars_table.read_bars(spark, bars_path).collect()] == [2 + n]
+    open_reader = bars_table.read_bars(spark, bars_path, ["2024-01-05"])
+    assert len(open_reader.inputFiles()) == 3
+    bars_table.compact_bars(spark, bars_path, ["2024-01-05", "2024-01-06"])
+    after = bars_table.read_bars(spark, bars_path, ["2024-01-05"])
+    assert len(after.inputFiles()) == 1 and [r.trade_count for r in after.collect()] == [4]
+    assert bars_table.read_bars(spark, bars_path, ["1999-01-01"]).count() == 0

@@ -208,12 +208,12 @@ def query_dataframe(spark, query: str, **params) -> DataFrame:
 def table_status(spark, path: str) -> DataFrame:
     """Availability and latest arrival of the stored trades table; a table that
     does not exist (yet) gives ``(false, NULL)`` instead of an error."""
-    from pyspark.sql.utils import AnalysisException
+    from tickline.sinks.trades_table import read_trades
 
-    try:
-        return freshness(spark.read.parquet(path))
-    except AnalysisException:
-        return spark.range(1).select(F.lit(False).alias("available"), F.lit(None).cast("timestamp").alias("latest_received"))
+    stored = read_trades(spark, path)
+    if stored is not None:
+        return freshness(stored)
+    return spark.range(1).select(F.lit(False).alias("available"), F.lit(None).cast("timestamp").alias("latest_received"))
 
 
 def freshness(trades: DataFrame, column: str = "received_at") -> DataFrame:

@@ -17,10 +17,13 @@ from tickline.functions.fingerprint import event_id_for_message
 from tickline.operators import audit, bars, dedup, ingest, serve, validate
 from tickline.plans import oracle_sql as O
 from tickline import streaming
+from tickline.schemas import LOG_RECORD, TRADE_WIRE
 from tickline.session import configure, scratch_path
-from tickline.sinks import archive, bars_table, dead_letters
+from tickline.sinks import archive, bars_table, dead_letters, trades_table
 from tickline.sources.events import log_from_events, read_events, trades_from_events, vendor_frames_from_events
+from tickline.sources.frames import read_frames
 from tickline.sources.layout import balance
+from tickline.streaming.queries import table_batch
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -266,6 +269,18 @@ def q_feed_summary(spark, sf_dir):
     )
 
 
+@register(
+    "feed_captions",
+    O.T
+    + """, feed AS (SELECT * FROM trades ORDER BY trade_time DESC, event_id DESC LIMIT 200)
+SELECT count(*)::VARCHAR AS rows_displayed, count(DISTINCT symbol)::VARCHAR AS symbols,
+       arg_max(symbol || printf('  $%.2f', price), (trade_time, event_id)) AS latest_trade,
+       strftime(max(trade_time), '%H:%M:%S UTC') AS last_event FROM feed""",
+)
+def q_feed_captions(spark, sf_dir):
+    return serve.feed_caption_texts(serve.feed_summary(_trades(spark, sf_dir)))
+
+
 @register("freshness", O.T + "SELECT count(*) > 0 AS available, max(received_at) AS latest_received FROM trades")
 def q_freshness(spark, sf_dir):
     return serve.freshness(_trades(spark, sf_dir)).select("available", ntz("latest_received"))
@@ -577,11 +592,11 @@ def _stream_folder(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"stream-checks/{name}-{uuid.uuid4().hex}")
 
 
-def _stage_log(spark: SparkSession, sf_dir: str, root: str) -> tuple[str, int]:
+def _stage_log(spark: SparkSession, sf_dir: str, root: str, change: Callable[[DataFrame], DataFrame] = lambda log: log) -> tuple[str, int]:
     """Write the log as it is partitioned (no funnel into a few writers) and
     return the files-per-trigger that splits it into about STREAM_FILES batches."""
     incoming = f"{root}/incoming"
-    log = _log(spark, sf_dir).select(*LOG_COLUMNS)
+    log = change(_log(spark, sf_dir).select(*LOG_COLUMNS))
     files = log.rdd.getNumPartitions()
     log.write.parquet(incoming)
     return incoming, max(1, -(-files // STREAM_FILES))
@@ -593,29 +608,86 @@ def _run(query) -> None:
         raise RuntimeError(str(query.exception()))
 
 
-@register(
-    "stream_upsert",
-    _TABLE_ROWS_SQL
-    + """SELECT event_id, symbol, price, volume, trade_time, trade_timestamp_ms, conditions_json AS conditions, source, count(*) OVER () AS n
-FROM (SELECT DISTINCT event_id, symbol, price, volume, trade_time, trade_timestamp_ms, conditions_json, source FROM tr)""",
-)
-def q_stream_upsert(spark, sf_dir):
-    stored = spark.read.parquet(f"{_table_run(spark, sf_dir)}/trades")
+_STORED_SQL = """SELECT event_id, symbol, price, volume, trade_time, trade_timestamp_ms, conditions_json AS conditions, source, count(*) OVER () AS n
+FROM (SELECT DISTINCT event_id, symbol, price, volume, trade_time, trade_timestamp_ms, conditions_json, source FROM tr)"""
+
+
+def _stored(spark, root: str) -> DataFrame:
+    stored = trades_table.read_trades(spark, f"{root}/trades")
     n = stored.count()
     return stored.select(
         "event_id", "symbol", "price", "volume", ntz("trade_time"), "trade_timestamp_ms", "conditions", "source", F.lit(n).alias("n")
     )
 
 
-def _table_run(spark, sf_dir, **options) -> str:
+@register("stream_upsert", _TABLE_ROWS_SQL + _STORED_SQL)
+def q_stream_upsert(spark, sf_dir):
+    return _stored(spark, _table_run(spark, sf_dir))
+
+
+def _table_run(spark, sf_dir, again: bool = False, change: Callable[[DataFrame], DataFrame] = lambda log: log, **options) -> str:
+    """Run the table query; ``again``: and once more with a new checkpoint, from the first offset and in other batches."""
     root = _stream_folder(spark, "upsert")
-    incoming, per_trigger = _stage_log(spark, sf_dir, root)
-    stream = streaming.read_log_stream(spark, incoming, max_files_per_trigger=per_trigger)
+    incoming, per_trigger = _stage_log(spark, sf_dir, root, change)
     options = {k: f"{root}/{v}" for k, v in options.items()}
-    _run(streaming.start_table_query(stream, f"{root}/trades", f"{root}/ck", {"availableNow": True}, **options))
+    for n in range(2 if again else 1):
+        stream = streaming.read_log_stream(spark, incoming, max_files_per_trigger=per_trigger + n)
+        _run(streaming.start_table_query(stream, f"{root}/trades", f"{root}/ck{n}", {"availableNow": True}, **options))
     return root
 
 
+@register("table_replay_new_checkpoint", _TABLE_ROWS_SQL + _STORED_SQL)
+def q_table_replay(spark, sf_dir):
+    return _stored(spark, _table_run(spark, sf_dir, again=True))
+
+
+def _with_given_ids(log: DataFrame) -> DataFrame:
+    """The log with ids that are not hashes of their trades: free text in partition 0, other hex text in partition 1."""
+    text = F.coalesce(F.col("value").cast("string"), F.lit(""))
+    own = F.regexp_extract(text, '"event_id": "([0-9a-f]{64})"', 1)
+    other = F.when(F.col("partition") == 0, F.concat(F.lit("t-"), own)).when(F.col("partition") == 1, F.reverse(own)).otherwise(own)
+    change = F.is_valid_utf8(text) & (own != "")
+    return log.withColumn("value", F.when(change, F.replace(text, own, other).cast("binary")).otherwise(F.col("value")))
+
+
+@register(
+    "stream_upsert_given_ids",
+    _TABLE_ROWS_SQL.replace("SELECT eid AS event_id, json_extract_string(text, '$.symbol') AS symbol,", "SELECT CASE WHEN k IN (13, 27, 28, 30, 31) OR partition = 2 THEN eid WHEN partition = 0 THEN 't-' || eid ELSE reverse(eid) END AS event_id, json_extract_string(text, '$.symbol') AS symbol,")
+    + _STORED_SQL,
+)
+def q_stream_upsert_given(spark, sf_dir):
+    """Most ids are given: told apart through the id index, replayed once."""
+    return _stored(spark, _table_run(spark, sf_dir, again=True, change=_with_given_ids))
+
+
+@register("stream_dedup_state", _TABLE_ROWS_SQL + _STORED_SQL)
+def q_stream_dedup_state(spark, sf_dir):
+    """First copies by keyed state, with a restart of the query between the two halves of the log."""
+    root = _stream_folder(spark, "state")
+    log = _log(spark, sf_dir)
+    for half in (F.col("batch_id") < 15, F.col("batch_id") >= 15):
+        log.where(half).select(*LOG_COLUMNS).write.mode("append").parquet(f"{root}/incoming")
+        stream = streaming.read_log_stream(spark, f"{root}/incoming", max_files_per_trigger=4)
+        _run(streaming.start_state_table_query(stream, f"{root}/trades", f"{root}/ck", {"availableNow": True}))
+    return _stored(spark, root)
+
+
+@register(
+    "publish_wire_records",
+    _FRAMES_SQL
+    + """SELECT symbol AS key, symbol, price, volume, timestamp, trade_timestamp_ms, 'finnhub' AS source,
+       CASE k WHEN 7 THEN 'null' WHEN 8 THEN '[]' WHEN 13 THEN '["a",null,"b"]' WHEN 14 THEN '{"z":[{"y":{"a":null,"b":[1,2]}}]}' ELSE '["@"]' END AS conditions FROM n2""",
+)
+def q_publish(spark, sf_dir):
+    """Wire records that the publish query wrote, read back from their keys and JSON."""
+    root = _stream_folder(spark, "publish")
+    vendor_frames_from_events(balance(read_events(spark, sf_dir))).write.text(f"{root}/frames")
+    _run(streaming.start_publish_query(read_frames(spark, f"{root}/frames"), f"{root}/records", f"{root}/ck", {"availableNow": True}))
+    wire = spark.read.parquet(f"{root}/records")
+    read = wire.select(F.col("key").cast("string").alias("key"), F.from_json(F.col("value").cast("string"), TRADE_WIRE).alias("w"))
+    return read.select("key", "w.symbol", "w.price", "w.volume", "w.timestamp", "w.trade_timestamp_ms", "w.source", F.to_json("w.conditions").alias("conditions"))
+
+
 @register(
     "stream_bars",
     _TABLE_ROWS_SQL.replace(", tr AS (", ", tr AS (SELECT DISTINCT ON (event_id) * FROM (").rstrip().removesuffix(")")
@@ -641,6 +713,25 @@ def q_stream_progress(spark, sf_dir):
     return rows.agg(*[F.sum(c).alias(c) for c in ("received", "inserted", "duplicates", "rejected")])
 
 
+@register(
+    "stream_progress_rerun",
+    _TABLE_ROWS_SQL
+    + """SELECT count(*) AS received, count(DISTINCT event_id) AS inserted, count(*) - count(DISTINCT event_id) AS duplicates,
+       (SELECT count(*) FROM checked_table WHERE table_error IS NOT NULL) AS rejected FROM tr""",
+)
+def q_progress_rerun(spark, sf_dir):
+    """Sums of the progress rows where every batch is run again, as after a crash before the checkpoint's commit."""
+    root = _stream_folder(spark, "rerun")
+    incoming, _ = _stage_log(spark, sf_dir, root)
+    body = table_batch(f"{root}/trades", f"{root}/progress")
+    log = spark.read.schema(LOG_RECORD).parquet(incoming)
+    for number in range(3):
+        for _ in range(2):
+            body(log.where(F.col("partition") == number), number)
+    rows = spark.read.parquet(f"{root}/progress")
+    return rows.agg(*[F.sum(c).alias(c) for c in ("received", "inserted", "duplicates", "rejected")])
+
+
 def _archive_query(spark, root: str, incoming: str, per_trigger: int, checkpoint: str, fmt: str = "parquet") -> None:
     stream = streaming.read_log_stream(spark, incoming, max_files_per_trigger=per_trigger)
     query = streaming.start_archive_query(stream, f"{root}/archive", f"{root}/dead_letters", f"{root}/{checkpoint}", {"availableNow": True}, fmt)
@@ -703,6 +794,29 @@ def q_archive_replay(spark, sf_dir):
     return _archived(spark, _archive_run(spark, sf_dir, again=True))
 
 
+@register(
+    "archive_listing",
+    O.L
+    + """SELECT json_extract_string(text, '$.symbol') AS symbol, substr(json_extract_string(text, '$.timestamp'), 1, 10) AS date, true AS listed
+FROM checked WHERE error IS NULL GROUP BY ALL""",
+)
+def q_archive_listing(spark, sf_dir):
+    """The folders of the archive, from its listing."""
+    files = archive.list_archive(spark, f"{_archive_run(spark, sf_dir)}/archive", "*.parquet")
+    part = lambda name: F.url_decode(F.replace(F.regexp_extract("path", f"/{name}=([^/]+)/", 1), F.lit("+"), F.lit("%2B"))).alias(name)
+    return files.groupBy(part("symbol"), part("date")).agg((F.min("length") > 0).alias("listed"))
+
+
+@register(
+    "offset_span_parse",
+    O.L + """SELECT batch_id, partition, min("offset") AS first_offset, max("offset") AS last_offset FROM log GROUP BY ALL""",
+)
+def q_offset_span_parse(spark, sf_dir):
+    """The spans read back from their text."""
+    spans = archive.offset_spans(_log(spark, sf_dir), batch="batch_id")
+    return spans.select("batch_id", F.inline(archive.parse_offset_span(F.col("offset_span"))))
+
+
 @register("archive_csv", _ARCHIVE_SQL)
 def q_archive_csv(spark, sf_dir):
     return _archived(spark, _archive_run(spark, sf_dir, fmt="csv"), "csv")

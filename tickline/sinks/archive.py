@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickline.schemas import ARCHIVE
-from tickline.sinks.coordinates import not_stored, read_or_none
+from tickline.sinks import folders
+from tickline.sinks.coordinates import not_stored
 
 PARTITION_COLUMNS = ("symbol", "date")
 COORDINATES = ("topic", "source_partition", "source_offset")
@@ -52,13 +53,15 @@ def archive_rows(valid: DataFrame) -> DataFrame:
 def write_archive(rows: DataFrame, root: str, fmt: str = "parquet") -> None:
     """Append the rows whose coordinates are not archived yet.
 
-    A record always has the same folder, so only the folders of the batch are looked
-    at. Rows are clustered by the partition columns (``rebalance``) so each task writes
+    A record always has the same folder, so only the folders of the batch are listed
+    and read (their names go through the driver, which lists them for the write anyway). Rows are clustered by the partition columns (``rebalance``) so each task writes
     few files; AQE splits a folder that holds a large share of the batch (a hot
     symbol) over several tasks instead of sending it to one writer.
     """
     options = CSV_OPTIONS if fmt == "csv" else {}
-    stored = read_or_none(rows.sparkSession, root, fmt, ARCHIVE, **options)
+    spark = rows.sparkSession
+    names = ["/".join(folders.folder_name(spark, c, r[c]) for c in PARTITION_COLUMNS) for r in rows.select(*PARTITION_COLUMNS).distinct().collect()]
+    stored = folders.read_folders(spark, root, names, ARCHIVE, fmt, **options) if folders.exists(spark, root) else None
     new = not_stored(rows, stored, *COORDINATES, same=PARTITION_COLUMNS)
     (
         new.hint("rebalance", *PARTITION_COLUMNS)

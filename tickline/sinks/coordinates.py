@@ -8,38 +8,30 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
-
-
-def read_or_none(spark: SparkSession, path: str, fmt: str, schema: StructType, **options) -> DataFrame | None:
-    """A stored folder, or None where there is none yet."""
-    try:
-        return spark.read.schema(schema).format(fmt).options(**options).load(path)
-    except AnalysisException:
-        return None
 
 
 def not_stored(rows: DataFrame, stored: DataFrame | None, topic: str, partition: str, offset: str, same: tuple[str, ...] = ()) -> DataFrame:
     """Rows whose coordinates ``stored`` does not hold.
 
     Only the offsets between the batch's first and last of each log partition are
-    looked at (one row per log partition goes to the driver): the range reaches the
-    scan, where row groups outside it are skipped. ``same`` names columns that follow
-    from the record, such as partition folders, which narrow the scan further.
+    looked at: one row per log partition goes through the driver and is joined with the
+    stored rows, and the range over all of them reaches the scan, where row groups
+    outside it are skipped. ``same`` names columns that follow from the record, such as
+    partition folders, which narrow the scan further.
     """
     if stored is None:
         return rows
-    spans = rows.groupBy(topic, partition).agg(F.min(offset).alias("lo"), F.max(offset).alias("hi")).collect()
-    if not spans:
+    spans = rows.groupBy(topic, partition).agg(F.min(offset).alias("_lo"), F.max(offset).alias("_hi"))
+    found = spans.collect()
+    if not found:
         return rows
-    within = [
-        F.col(topic).eqNullSafe(F.lit(s[topic])) & (F.col(partition) == s[partition]) & F.col(offset).between(s["lo"], s["hi"])
-        for s in spans
-    ]
+    spans = rows.sparkSession.createDataFrame(found, spans.schema).withColumnsRenamed({topic: "_topic", partition: "_partition"})
     cols = [*same, topic, partition, offset]
-    known = stored.where(reduce(lambda a, b: a | b, within)).select(*[F.col(c).alias(f"_{c}") for c in cols])
+    held = stored.where(F.col(offset).between(min(s["_lo"] for s in found), max(s["_hi"] for s in found))).select(*cols)
+    inside = F.col(topic).eqNullSafe(F.col("_topic")) & (F.col(partition) == F.col("_partition")) & F.col(offset).between(F.col("_lo"), F.col("_hi"))
+    # one row per partition of the log: bounded, whatever the batch holds
+    known = held.join(F.broadcast(spans), inside, "left_semi").select(*[F.col(c).alias(f"_{c}") for c in cols])
     match = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(known[f"_{c}"]) for c in cols])
     return rows.join(known, match, "left_anti")

@@ -2,6 +2,7 @@
 
 from tickline.streaming.queries import (
     dedup_within_watermark,
+    first_trades,
     kafka_reader,
     kafka_writer,
     start_quarantine_query,
@@ -9,12 +10,14 @@ from tickline.streaming.queries import (
     start_archive_query,
     start_bars_query,
     start_publish_query,
+    start_state_table_query,
     start_table_query,
     watermarked_bars,
 )
 
 __all__ = [
     "dedup_within_watermark",
+    "first_trades",
     "kafka_reader",
     "kafka_writer",
     "start_quarantine_query",
@@ -22,6 +25,7 @@ __all__ = [
     "start_archive_query",
     "start_bars_query",
     "start_publish_query",
+    "start_state_table_query",
     "start_table_query",
     "watermarked_bars",
 ]

@@ -19,15 +19,17 @@ at-least-once delivery).
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from tickline.operators import ingest, validate
 from tickline.schemas import BAR_COLUMNS, LOG_RECORD
 from tickline.session import configure, scratch_path
-from tickline.sinks import archive, bars_table, dead_letters, trades_table
+from tickline.sinks import archive, bars_table, dead_letters, folders, trades_table
 
 
 def read_log_stream(
@@ -127,6 +129,8 @@ def table_batch(
     ``bars_mode``: ``"touched"`` re-aggregates only the (symbol, minute) bars the
     batch touched; ``"dates"`` recomputes whole touched dates. A progress row is told
     by its first record's coordinates, so that a replayed batch replaces its own row.
+    It is written before the trades: a batch that is run again after a crash anywhere
+    in between counts the same new trades, or finds the row of its first run.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -136,13 +140,12 @@ def table_batch(
             checked = checked.persist()  # read twice
         rows = validate.to_table_rows(validate.valid_messages(checked)).persist()
         try:
-            result = trades_table.upsert_trades(rows, trades_path)
+            progress = (lambda result: _write_progress(checked, result, batch_id, progress_path)) if progress_path else None
+            result = trades_table.upsert_trades(rows, trades_path, progress)
             if result.received and bars_path and bars_mode == "touched":
                 bars_table.refresh_touched_bars(spark, trades_path, bars_path, rows)
             elif result.received and bars_path:
                 bars_table.refresh_bars(spark, trades_path, bars_path, bars_table.touched_dates(rows))
-            if progress_path:
-                _write_progress(checked, result, batch_id, progress_path)
         finally:
             rows.unpersist()
             checked.unpersist()
@@ -150,14 +153,27 @@ def table_batch(
     return run
 
 
+PROGRESS = StructType(
+    [StructField(c, LongType()) for c in ("batch_id", "received", "inserted", "duplicates", "rejected")]
+    + [StructField("written_at", TimestampType()), StructField("first_record", StringType())]
+)
+
+
 def _write_progress(checked: DataFrame, result: trades_table.UpsertResult, batch_id: int, path: str) -> None:
+    spark = checked.sparkSession
     first, rejected = checked.agg(F.min(F.struct("topic", "partition", "offset")), F.count_if(F.col("error").isNotNull())).first()
     if first is None:
         return
-    row = (batch_id, result.received, result.inserted, result.duplicates, int(rejected), f"{first['topic']}-{first['partition']}-{first['offset']}")
+    name = f"{first['topic']}-{first['partition']}-{first['offset']}"
+    before = folders.read_folders(spark, path, [folders.folder_name(spark, "first_record", name)], PROGRESS)
+    earlier = before.collect() if before is not None else []
+    # an earlier run of this batch may have inserted its trades already
+    inserted = max([result.inserted, *[r.inserted for r in earlier]])
+    if any((r.received, r.inserted, r.rejected) == (result.received, inserted, rejected) for r in earlier):
+        return
+    row = (batch_id, result.received, inserted, result.received - inserted, int(rejected), datetime.now(timezone.utc), name)
     (
-        checked.sparkSession.createDataFrame([row], "batch_id long, received long, inserted long, duplicates long, rejected long, first_record string")
-        .withColumn("written_at", F.current_timestamp())
+        spark.createDataFrame([row], PROGRESS)
         .coalesce(1)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -251,6 +267,48 @@ def watermarked_bars(trades_stream: DataFrame, delay: str = "1 minute", width: s
     )
 
 
+def first_trades(log_stream: DataFrame) -> DataFrame:
+    """Table rows of a log stream, the first of each ``event_id`` over the whole life of the query.
+
+    The ids seen are keyed state (no watermark, so a repeat may come any time later);
+    the table is not looked at. Which of several copies inside one micro-batch stays is
+    not defined: copies of a hashed id are equal, those of a given id may differ.
+    """
+    rows = validate.to_table_rows(validate.valid_messages(validate.validate(log_stream, table_path=True)))
+    return trades_table.with_folders(rows).select(*trades_table.TABLE_COLUMNS, *trades_table.FOLDERS).dropDuplicates(["event_id"])
+
+
+def start_state_table_query(log_stream: DataFrame, trades_path: str, checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """The trades table by keyed state instead of table probes, in an exactly-once file sink.
+
+    State lives in the RocksDB state store (on executors' disks, with changelogs in the
+    checkpoint), so it may grow far beyond memory; it is spread over
+    ``spark.sql.shuffle.partitions`` of the first start, which a checkpoint keeps. To be
+    used where probing the table per batch costs more than keeping its ids, and the
+    checkpoint lives as long as the table does. Only this query may write the table.
+    """
+    spark = log_stream.sparkSession
+    writer = first_trades(log_stream).writeStream.outputMode("append").format("parquet").option("path", trades_path).partitionBy(*trades_table.FOLDERS)
+    writer = _trigger(writer.option("checkpointLocation", _checkpoint(spark, checkpoint, "table-state")), trigger).queryName("trade_table_state")
+    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
+    for key, value in STATE_CONF.items():
+        spark.conf.set(key, value)
+    try:
+        return writer.start()  # takes a copy of the session's settings
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def dedup_within_watermark(trades_stream: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Opt-in bounded dedup for a trades stream: drops a repeated ``event_id``
     seen within ``delay`` of event time, keeping state only for that span. The
@@ -284,4 +342,6 @@ __all__ = [
     "start_bars_query",
     "watermarked_bars",
     "dedup_within_watermark",
+    "first_trades",
+    "start_state_table_query",
 ]
