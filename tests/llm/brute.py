@@ -122,3 +122,63 @@ def quality(text, stop, rules):
     base = len(w) < 10 or 100 * len(hit) > 20 * len(w)
     good = all(len(w) < r.least_words or ((r.low is None or 100 * m[r.part] >= r.low * m[r.whole]) and (r.high is None or 100 * m[r.part] <= r.high * m[r.whole])) for r in rules)
     return m, base, not base and good
+
+
+def luhn(digits):
+    return sum(sum(divmod(2 * int(c), 10)) if k % 2 else int(c) for k, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def personal(text):
+    """Base spans (kind, start, end), by the patterns as they are stated."""
+    t, out = text or "", []
+    out += [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m.group().split("."))]
+    for kind, pattern, low, high in (("card", r"[0-9]([\x20-]?[0-9])+", 16, 19), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 8, 15)):
+        for m in re.finditer(pattern, t):
+            digits = re.sub(r"[^0-9]", "", m.group())
+            if low <= len(digits) <= high and (kind == "phone" or luhn(digits)):
+                out.append((kind, *m.span()))
+    return out
+
+
+def merkle(rows, tampered):
+    """rows (doc_id, source, lang, n_chars, text) -> sorted (doc_id, leaf, subroot, root, proof, folded root)."""
+
+    def leaf(values):
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values).encode())
+
+    def tree(digests):
+        """Levels of digests, the first the given ones, the last the root alone."""
+        levels = [digests]
+        while len(levels[-1]) > 1:
+            d = levels[-1]
+            levels.append([sha("".join(d[k : k + 8]).encode()) for k in range(0, len(d), 8)])
+        return levels
+
+    def siblings(levels, k):
+        out = []
+        for d in levels[:-1]:
+            run = d[k // 8 * 8 : k // 8 * 8 + 8]
+            out.append((run[: k % 8], run[k % 8 + 1 :]))
+            k //= 8
+        return out
+
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[2], []).append(r)
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {}
+    for g in names:
+        groups[g].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+        trees[g] = tree([leaf(r) for r in groups[g]])
+    top = tree([trees[g][-1][0] for g in names])
+    out = []
+    for place, g in enumerate(names):
+        for k, r in enumerate(groups[g]):
+            path = siblings(trees[g], k) + siblings(top, place)
+            now = leaf([*r[:4], r[4] and r[4].translate(LOWER)]) if tampered(r[0]) else leaf(r)
+            for before, after in path:
+                now = sha("".join([*before, now, *after]).encode())
+            proof = sha("".join(x for before, after in path for x in (*before, *after)).encode())
+            out.append((r[0], leaf(r), trees[g][-1][0], top[-1][0], proof, now))
+    return sorted(out, key=repr)

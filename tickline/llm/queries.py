@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import bpe, decontaminate, html, line_dedup, mil_quality, ngram_join, quality_rules, secrets, sharding, suffix_dedup
+from tickline.llm import bpe, decontaminate, html, line_dedup, manifest, mil_quality, ngram_join, pii, quality_rules, secrets, sharding, suffix_dedup, whitening
 from tickline.llm.common import table
 from tickline.llm.oracles import ORACLE
 
@@ -86,3 +86,24 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(documents, pii.train(pii.labelled(documents)))
+    base = F.sha2(pii.span_text(pii.base_of(F.col("spans"))), 256)
+    return found.select("doc_id", *[pii.count_of(F.col("spans"), k).alias(f"n_{k}") for k in pii.KINDS], base.alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select(*manifest.FIELDS)
+    checked = manifest.verify(documents, tampered=F.crc32(F.col("doc_id").cast("string")) % 3 == 0)
+    return checked.select("doc_id", "leaf", "subroot", "root", F.sha2(manifest.proof_text(F.col("path")), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(embeddings, whitening.fit(embeddings))
