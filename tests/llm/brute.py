@@ -117,7 +117,7 @@ def quality(text, stop, rules):
     lines = [x for x in t.split("\n") if WORD.search(x)]
     m = {
         "n_words": len(w), "word_chars": sum(map(len, w)), "n_symbols": sum(c in "#*$%&|<>" for c in t), "n_stop_words": sum(x.lower() in stop for x in w),
-        "n_lines": len(lines), "n_dup_lines": len(lines) - len(set(lines)), "n_unfinished_lines": sum(x.rstrip(" ").endswith(("...", "…")) for x in lines), "n_repeat_words": len(hit),
+        "n_line_chars": sum(map(len, lines)), "n_dup_line_chars": sum(map(len, lines)) - sum(map(len, set(lines))), "n_lines": len(lines), "n_dup_lines": len(lines) - len(set(lines)), "n_unfinished_lines": sum(x.rstrip(" ").endswith(("...", "…")) for x in lines), "n_repeat_words": len(hit),
     }
     base = len(w) < 10 or 100 * len(hit) > 20 * len(w)
     good = all(len(w) < r.least_words or ((r.low is None or 100 * m[r.part] >= r.low * m[r.whole]) and (r.high is None or 100 * m[r.part] <= r.high * m[r.whole])) for r in rules)

@@ -19,7 +19,8 @@ rep AS (SELECT r, count(DISTINCT i + k) AS n FROM again, (SELECT unnest(range(5)
 m AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
              length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
              len(list_filter(ws, lambda x: lower(x) IN ({_STOP}))) AS n_stop,
-             len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+             len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, length(array_to_string(ls, '')) AS n_line_chars,
+             length(array_to_string(ls, '')) - length(array_to_string(list_distinct(ls), '')) AS n_dup_line_chars,
              len(list_filter(ls, lambda x: rtrim(x, ' ') LIKE '%...' OR rtrim(x, ' ') LIKE '%…')) AS n_open,
              coalesce(n, 0) AS n_repeat_words
       FROM w LEFT JOIN rep USING (r)),
@@ -30,7 +31,7 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        AND 100 * word_chars BETWEEN 250 * n_words AND 1500 * n_words
        AND 100 * n_symbols <= 10 * n_words
        AND (n_words < 50 OR 100 * n_stop >= 2 * n_words)
-       AND (n_words < 50 OR 100 * n_dup_lines <= 30 * n_lines)
+       AND (n_words < 50 OR 100 * n_dup_line_chars <= 30 * n_line_chars)
        AND 100 * n_open <= 30 * n_lines AS kept
 FROM b
 """

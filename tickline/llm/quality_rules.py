@@ -40,13 +40,13 @@ RULES = (
     Rule("word_length", "word_chars", "n_words", 250, 1500),
     Rule("symbols", "n_symbols", "n_words", high=10),
     Rule("stop_words", "n_stop_words", "n_words", low=2, least_words=50),
-    Rule("repeated_lines", "n_dup_lines", "n_lines", high=30, least_words=50),
+    # by the characters in them: a short line that is said twice weighs little
+    Rule("repeated_lines", "n_dup_line_chars", "n_line_chars", high=30, least_words=50),
     Rule("unfinished_lines", "n_unfinished_lines", "n_lines", high=30),
 )
 
-#: For choosing documents: repeated lines by the characters in them, so a short line said twice weighs little.
-#: `RULES` counts lines, as the SQL of op7_quality_rules does.
-CORPUS_RULES = tuple(Rule("repeated_lines", "n_dup_line_chars", "n_line_chars", high=30, least_words=50) if r.name == "repeated_lines" else r for r in RULES)
+#: The rules that choose documents for a corpus.
+CORPUS_RULES = RULES
 
 
 def _bound(value: Column, use) -> Column:
@@ -127,22 +127,20 @@ def judge(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, ou
 
     Defined results: null, empty and blank texts have no words and fail the base rule; repeated
     rows are judged alike; a column named like `out` is replaced; an empty table stays empty.
+
+    The verdict is tied to a row number that is never negative: Spark moves no filter below a projection
+    that holds one. Moved down, the filter would hold the whole verdict as one expression, with each
+    shared part computed anew wherever it is used, and for each element where that is inside an array.
     """
     m = F.col("__m")
     judged = measures(df, text)
     broken = F.array_compact(F.array(*[F.when(failed(r, m), F.lit(r.name)) for r in rules])) if rules else F.array().cast("array<string>")
     judged = judged.withColumns({"__base": base_failed(m), "__broken": broken})
     counts = [m[k].alias(k) for k in ("n_words", "word_chars", "n_symbols", "n_stop_words", "n_lines", "n_dup_lines", "n_unfinished_lines", "n_repeat_words", "n_line_chars", "n_dup_line_chars")]
-    quality = F.struct(*counts, F.col("__base").alias("base_failed"), F.col("__broken").alias("failed_rules"), (~F.col("__base") & (F.size("__broken") == 0)).alias("kept"))
+    quality = F.struct(*counts, F.col("__base").alias("base_failed"), F.col("__broken").alias("failed_rules"), (~F.col("__base") & (F.size("__broken") == 0) & (F.monotonically_increasing_id() >= 0)).alias("kept"))
     return judged.withColumn(out, quality).drop("__m", "__base", "__broken")
 
 
 def keep(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of `df` that the rules keep.
-
-    The verdict is tied to a row number that is never negative: Spark moves no filter below a projection
-    that holds one. Moved down, the filter would hold the whole verdict as one expression, with each
-    shared part computed anew wherever it is used, and for each element where that is inside an array.
-    """
-    verdict = judge(df, text, rules, "__quality").withColumn("__keep", F.col("__quality")["kept"] & (F.monotonically_increasing_id() >= 0))
-    return verdict.where("__keep").select(*[f"`{c}`" for c in df.columns])
+    """The rows of `df` that the rules keep."""
+    return judge(df, text, rules, "__quality").where(F.col("__quality")["kept"]).select(*[f"`{c}`" for c in df.columns])
