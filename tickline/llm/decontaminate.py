@@ -9,6 +9,10 @@
    exactly. A document and an item that share seeds over `cover` of the item's words are a candidate.
 3. Candidates are aligned: Smith-Waterman over words, linear gaps, the whole item against the whole
    text. The score is the share of the best possible score; `least` of it is a leak.
+
+A leak is thus a text that shares seeds over `cover` of an item's words and aligns with it to `least`. An item
+of fewer than n words has one seed, the whole of it, and only a whole copy of it (score 1) is a leak: a word or
+two in common with so short an item say nothing.
 """
 
 from __future__ import annotations
@@ -155,8 +159,9 @@ def leaks(
                 for _ in range(width[k]):
                     item = next(asked)[0]
                     best, start, end = align(item, h)
+                    share = best / (MATCH * len(item)) if len(item) else 0.0
                     owner.append(k)
-                    values.append(best / (MATCH * len(item)) if len(item) else 0.0)
+                    values.append(share if len(item) >= n or share == 1 else 0.0)
                     spans.append((start, end))
             yield pa.record_batch(
                 {
