@@ -39,7 +39,7 @@ def leaks(documents, items):
     for i, t in documents:
         mine = words(t)
         for k, w in asked:
-            if len(w) and (s := decontaminate.align(w, mine)[0] / (2 * len(w))) >= decontaminate.LEAST:
+            if len(w) and (s := decontaminate.align(w, mine)[0] / (2 * len(w))) >= (decontaminate.LEAST if len(w) >= decontaminate.N else 1):
                 out[i, k] = s
     return out
 
@@ -118,3 +118,35 @@ def test_corpus_rules_keep_clean_documents(spark):
     clean = (30, 3314, 3723, 9916)  # labelled 1, of sf0.1
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where(f"doc_id IN {clean}")
     assert {r["doc_id"] for r in quality_rules.keep(docs, rules=quality_rules.CORPUS_RULES).collect()} == set(clean)
+
+
+def test_templates_are_counted_by_pages(spark):
+    """Templates and texts of the given pages, and of some that repeat a block, against counts in Python."""
+    from collections import defaultdict
+
+    from tickline.llm import html
+
+    pages = duckdb.sql(f"SELECT url, html FROM '{os.path.join('/root/testdata/sf0.01', 'pages.parquet')}'").fetchall()
+    step = "<div><p>Wait for ten minutes.</p></div>"
+    pages += [(f"http://five.example/{k}", f"<article><h1>Bread {k}</h1>{''.join(f'<p>Step {k} {j}</p>{step if k == 0 else str()}' for j in range(5))}</article>") for k in range(5)]
+    pages += [(f"http://big.example/{k}", f"<body><b>Menu</b><article><h2>Often said</h2><p>Story {k} of its own, long enough</p>{'<p>Then they slept.</p>' if k % 3 == 0 else ''}<div>Share</div></article></body>") for k in range(40)]
+    parents, whole = defaultdict(set), defaultdict(set)
+    host = lambda u: u.split("//", 1)[1].split("/")[0].lower()
+    for u, h in dict.fromkeys(pages):
+        page, found = html.subtrees(h)
+        whole[host(u)].add(page)
+        for x, p in found:
+            parents[host(u), x].add(p)
+    least = lambda n: max(min(html.LEAST_PAGES, max(html.SMALL_LEAST, -(-n // 2))), n * html.SHARE)
+    want = []
+    for u, h in pages:
+        n = len(whole[host(u)])
+        seen = {x: len(parents[host(u), x]) for x, _ in html.subtrees(h)[1]}
+        often = frozenset(x for x, k in seen.items() if k >= least(n))
+        inside = frozenset(x for x in often if seen[x] >= max(html.SMALL_LEAST, -(-n // 2)))
+        want.append((u, html.text_of(html.blocks(h), often, inside)))
+    got = html.extract(spark.createDataFrame(pages, "url string, html string").repartition(3))
+    assert sorted((r["url"], r["text"]) for r in got.collect()) == sorted(want)
+    text = dict(want)
+    assert text["http://five.example/0"].count("Wait for ten minutes.") == 5
+    assert text["http://big.example/3"] == "Story 3 of its own, long enough Then they slept."

@@ -1,13 +1,15 @@
 """Main text of web pages: site templates are found by counting element subtrees per host.
 
 Pass 1 parses each page, hashes every element's subtree (tags, classes and text), inside <article> and
-<main> too, and counts in how many different parents a host's pages hold it. A subtree in parents as many
-as `SHARE` of the host's different pages, and in `LEAST_PAGES` of them (on small hosts half of the pages,
-`SMALL_LEAST` at least), is template; what stands always in
-the same parent goes with that one or stays with it. Pass 2 parses the page again, deletes the template
-subtrees and those that HTML itself declares to be no content (menus, headers, footers, asides, forms,
-scripts, notices, adverts, comments: by tag, role or class word), and reads the text of what is left, in
-the page's <article> and <main> where they have any.
+<main> too, and counts on how many pages of the host it stands, each time in a different parent: what stands
+always in the same parent goes with that one or stays with it, and what one page repeats counts once. A
+subtree is template if it is so often there as `SHARE` of the host's different pages, and on `LEAST_PAGES` of
+them (on small hosts half of the pages, `SMALL_LEAST` at least). Inside <article> and <main> chance and custom
+repeat headings and sentences, so there it takes half of the host's pages.
+Pass 2 parses the page again, drops what HTML itself declares to be no content (menus, headers, footers, asides,
+forms, scripts, notices, adverts, comments: by tag, role or class word), and keeps the text that is left, in
+the page's <article> and <main> where they have any, with the hashes of the elements around it. These blocks,
+not the html, meet the host's templates in a join; the text is read from them without the template subtrees.
 An article that several pages carry is still those pages' article: an element with half of the text in
 <article> and <main> is never template, and if the template subtrees in there hold half of that text
 together, they stay.
@@ -19,6 +21,7 @@ carries a list no longer than itself, however many templates the host has.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 from html import unescape
@@ -212,10 +215,16 @@ def _counted(node: _Node, parent: _Node, root: _Node) -> bool:
 
 
 def subtrees(page: str) -> tuple[int, set[tuple[int, int]]]:
-    """The page's hash, and (hash, hash of the parent) of the elements that can be template."""
+    """The page's hash, and (hash, hash of the parent) of the elements that can be template: each hash once, with
+    the least of its parents."""
     root = parse(page)
     hash_subtrees(root)
-    return root._hash, {(k._hash, node._hash) for node in _walk(root) for k in node.kids if not isinstance(k, str) and _counted(k, node, root)}
+    found: dict[int, int] = {}
+    for node in _walk(root):
+        for k in node.kids:
+            if not isinstance(k, str) and _counted(k, node, root):
+                found[k._hash] = min(node._hash, found.get(k._hash, node._hash))
+    return root._hash, set(found.items())
 
 
 def subtree_hashes(page: str) -> set[int]:
@@ -247,45 +256,64 @@ def _no_content(node: _Node) -> bool:
     return unsure and not node.most
 
 
-def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
-    """The text of a page without its template subtrees and those that are no content."""
+def blocks(page: str) -> str:
+    """What is left of a page without what is no content, as JSON: the size of the text in <article> and <main>,
+    then text pieces, elements that can be template (hash, size of their text in there, whether they lie in there)
+    and 0 for their ends."""
     root = parse(page)
-    measure(root)
-    if template:
-        hash_subtrees(root)
+    hash_subtrees(root)
     tops = (_outermost(root) if root.own else []) or [root]
-    gone = _recurring(root, tops, template) if template else frozenset()
-    parts: list[str] = []
-    wait: list = list(reversed(tops))
+    out: list = [root.own]
+    wait: list = [(t, None, False) for t in reversed(tops)]
     while wait:
-        item = wait.pop()
-        if isinstance(item, str):
-            parts.append(item)
+        item, parent, hidden = wait.pop()
+        if item == 0 or isinstance(item, str):
+            if item == 0 or not hidden:
+                out.append(item)
             continue
-        if _no_content(item) or item in gone:
-            parts.append(" ")
-            continue
-        if item.tag in _BLOCK:
-            parts.append(" ")
-            wait.append(" ")
-        wait.extend(reversed(item.kids))
+        if counted := parent is not None and _counted(item, parent, root):
+            out.append([item._hash, item.own, int(item.inside)])
+        gone = hidden or _no_content(item)
+        if gone or item.tag in _BLOCK:
+            out.append(" ")
+        if counted:
+            wait.append((0, None, False))
+        if not gone and item.tag in _BLOCK:
+            wait.append((" ", None, False))
+        wait.extend((k, item, gone) for k in reversed(item.kids))
+    return json.dumps(out, ensure_ascii=False, separators=(",", ":"))
+
+
+def text_of(held: str, template: frozenset[int] = frozenset(), strong: frozenset[int] = frozenset()) -> str:
+    """The text of a page's :func:`blocks` without the outermost template elements (inside <article> and <main>
+    those of `strong`). Where they hold most of the text of <article> and <main> together, the article itself is
+    on several pages, with small changes: then none of it goes."""
+    own, *items = json.loads(held)
+
+    def read(delete: bool) -> tuple[list[str], int]:
+        parts, deep, size = [], 0, 0  # deep: open elements of one that goes, itself included
+        for item in items:
+            if isinstance(item, str):
+                if not deep:
+                    parts.append(item)
+            elif item == 0:
+                deep -= deep > 0
+            elif deep:
+                deep += 1
+            elif delete and item[0] in (strong if item[2] else template):
+                deep, size = 1, size + item[1]
+                parts.append(" ")
+        return parts, size
+
+    parts, size = read(True)
+    if own and 2 * size >= own:
+        parts, _ = read(False)
     return _SPACE.sub(" ", "".join(parts)).strip()
 
 
-def _recurring(root: _Node, tops: list[_Node], template: frozenset[int]) -> set[_Node]:
-    """The outermost template elements. Where they hold most of the text of <article> and <main> together,
-    the article itself is on several pages, with small changes: then none of it goes."""
-    out, wait = set(), list(tops)
-    while wait:
-        node = wait.pop()
-        for k in node.kids:
-            if isinstance(k, str):
-                continue
-            if k._hash in template and _counted(k, node, root):
-                out.add(k)
-            else:
-                wait.append(k)
-    return set() if root.own and 2 * sum(k.own for k in out) >= root.own else out
+def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
+    """The text of a page without its template subtrees and those that are no content."""
+    return text_of(blocks(page), template, template)
 
 
 def _outermost(root: _Node) -> list[_Node]:
@@ -330,20 +358,21 @@ def _places(pages: DataFrame, url: str, html: str) -> DataFrame:
 
 
 def _often(places: DataFrame, share: float, least_pages: int) -> DataFrame:
-    """(__host, __hash): each host's template subtrees."""
+    """(__host, __hash, __strong): each host's template subtrees, and whether they are so inside <article> and <main>."""
     counts = places.select("__host", "__hash", "__parent").distinct().groupBy("__host", "__hash").agg(F.count("*").alias("__n")).where(F.col("__n") >= min(SMALL_LEAST, least_pages))
     counts = stored(counts, "subtree-counts")
     size = counts.where(F.col("__hash") == 0).select("__host", F.col("__n").alias("__pages"))
-    return counts.where(F.col("__hash") != 0).join(size, "__host").where(F.col("__n") >= _least(F.col("__pages"), share, least_pages)).select("__host", "__hash")
+    told = counts.where(F.col("__hash") != 0).join(size, "__host").where(F.col("__n") >= _least(F.col("__pages"), share, least_pages))
+    return told.select("__host", "__hash", (F.col("__n") >= F.greatest(F.lit(SMALL_LEAST), F.ceil(F.col("__pages") / 2))).alias("__strong"))
 
 
 def templates(pages: DataFrame, url: str = "url", html: str = "html", share: float = SHARE, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """(__host, __page, __template): the template subtrees of each page that has some, by hash. `__page` is the
-    hash of its html. Pages without a host have no template."""
+    """(__host, __page, __template, __inside): the template subtrees of each page that has some, by hash, and those of
+    them that are so inside <article> and <main>. `__page` is the hash of its html. Pages without a host have no template."""
     places = stored(_places(pages, url, html), "subtrees")
     own = places.where(F.col("__hash") != 0).select("__host", "__page", "__hash").withColumn("__salt", F.pmod("__page", F.lit(SALTS)).cast("int"))
     salted = _often(places, share, least_pages).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))  # a menu of a hot host goes to SALTS tasks
-    return own.join(salted, ["__host", "__hash", "__salt"]).groupBy("__host", "__page").agg(F.collect_set("__hash").alias("__template"))
+    return own.join(salted, ["__host", "__hash", "__salt"]).groupBy("__host", "__page").agg(F.collect_set("__hash").alias("__template"), F.collect_set(F.when(F.col("__strong"), F.col("__hash"))).alias("__inside"))
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html", share: float = SHARE, least_pages: int = LEAST_PAGES, out: str = "text") -> DataFrame:
@@ -357,15 +386,23 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", share: float
     # copies of one page would be dealt to one task: the salt comes from the URL
     salted = by_page.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     own = [c for c in pages.columns if c != out]
-    # only Python sees "__html"; the salt hangs on the row, so a task that runs again places it alike
-    named = pages.withColumns({"__html": F.coalesce(F.col(f"`{html}`"), F.lit("")), "__host": host_of(F.col(f"`{url}`"))})
-    named = named.withColumns({"__page": F.xxhash64("__html"), "__salt": F.pmod(F.xxhash64(F.col(f"`{url}`")), F.lit(SALTS)).cast("int")})
-    joined = named.join(salted, ["__host", "__page", "__salt"], "left")
 
     @F.pandas_udf("string")
-    def text_of(htmls, lists):
+    def blocks_of(htmls):
+        import pandas as pd
+
+        return pd.Series([blocks(page) for page in htmls], dtype=object)
+
+    @F.pandas_udf("string")
+    def joined_text(helds, lists, insides):
         import pandas as pd
 
-        return pd.Series([main_text(page, frozenset(() if listed is None else listed.tolist())) for page, listed in zip(htmls, lists, strict=True)], dtype=object)
+        sets = lambda x: frozenset(() if x is None else x.tolist())
+        return pd.Series([text_of(held, sets(a), sets(b)) for held, a, b in zip(helds, lists, insides, strict=True)], dtype=object)
 
-    return joined.withColumn("__out", text_of("__html", "__template")).select(*[f"`{c}`" for c in own], F.col("__out").alias(out))
+    # the salt hangs on the row, so a task that runs again places it alike
+    body = F.coalesce(F.col(f"`{html}`"), F.lit(""))
+    named = pages.withColumns({"__host": host_of(F.col(f"`{url}`")), "__page": F.xxhash64(body), "__salt": F.pmod(F.xxhash64(F.col(f"`{url}`")), F.lit(SALTS)).cast("int"), "__blocks": blocks_of(body)})
+    # both sides are dealt, however small the lists are: one plan for every size
+    joined = named.join(salted.hint("shuffle_merge"), ["__host", "__page", "__salt"], "left")
+    return joined.withColumn("__out", joined_text("__blocks", "__template", "__inside")).select(*[f"`{c}`" for c in own], F.col("__out").alias(out))
