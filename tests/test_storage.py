@@ -267,3 +267,26 @@ def test_bar_versions(spark, workdir):
     after = bars_table.read_bars(spark, bars_path, ["2024-01-05"])
     assert len(after.inputFiles()) == 1 and [r.trade_count for r in after.collect()] == [4]
     assert bars_table.read_bars(spark, bars_path, ["1999-01-01"]).count() == 0
+
+
+def test_stored_metrics_follow_late_trades(spark, workdir):
+    from tickline.operators.bars import one_minute_metrics
+    from tickline.sinks import bars_table, metrics_table
+    from tickline.sources.events import trades_from_events
+
+    # sparse bars over 30 dates, of which later batches touch single ones, in the middle too
+    t = trades_from_events(read_events(spark, SF_SMALL), squeeze=1).persist()
+    path, bars_path, root = (os.path.join(workdir, n) for n in ("trades", "bars", "metrics"))
+    late = F.dayofmonth("trade_time").isin(9, 20) & (F.minute("trade_time") % 2 == 0)
+    for batch in (t.where(~late & (F.dayofmonth("trade_time") < 25)), t.where(late & (F.dayofmonth("trade_time") == 9)), t.where((F.dayofmonth("trade_time") >= 25)), t.where(late & (F.dayofmonth("trade_time") == 20))):
+        trades_table.upsert_trades(batch, path)
+        bars_table.refresh_touched_bars(spark, path, bars_path, batch)
+        metrics_table.refresh_metrics(spark, bars_path, root, batch)
+    names = ("symbol", "minute", "close_price", "moving_average_5", "moving_average_15", "rolling_volatility_15", "trade_count")
+    rounded = lambda df: {tuple(round(r[c], 6) if isinstance(r[c], float) else r[c] for c in names) for r in df.collect()}
+    want = rounded(one_minute_metrics(t))
+    assert rounded(metrics_table.read_metrics(spark, root)) == want
+    first, last = (spark.read.parquet(f"{root}/refresh={n}").count() for n in (1, 4))
+    assert last < first / 2  # a late day rewrites its own rows and the few after them
+    metrics_table.compact_metrics(spark, root)
+    assert rounded(metrics_table.read_metrics(spark, root)) == want and os.listdir(f"{root}/refresh=4")

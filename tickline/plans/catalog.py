@@ -19,7 +19,7 @@ from tickline.plans import oracle_sql as O
 from tickline import streaming
 from tickline.schemas import LOG_RECORD, TRADE_WIRE
 from tickline.session import configure, scratch_path
-from tickline.sinks import archive, bars_table, dead_letters, trades_table
+from tickline.sinks import archive, bars_table, dead_letters, metrics_table, trades_table
 from tickline.sources.events import log_from_events, read_events, trades_from_events, vendor_frames_from_events
 from tickline.sources.frames import read_frames
 from tickline.sources.layout import balance
@@ -701,6 +701,23 @@ def q_stream_bars(spark, sf_dir):
     return stored.select("symbol", ntz("minute"), "open_price", "high_price", "low_price", "close_price", "volume", "trade_count", rnd("vwap"))
 
 
+@register(
+    "stream_metrics",
+    _TABLE_ROWS_SQL.replace(", tr AS (", ", tr AS (SELECT DISTINCT ON (event_id) * FROM (").rstrip().removesuffix(")")
+    + ")),\ntrades AS (SELECT * FROM tr),"
+    + O.BARS_CTE
+    + ","
+    + O.METRICS_CTE
+    + "\nSELECT symbol, "
+    + O.METRIC_SELECT
+    + " FROM metrics",
+)
+def q_stream_metrics(spark, sf_dir):
+    """Bars and indicators that each micro-batch brought up to date, late trades included."""
+    root = _table_run(spark, sf_dir, bars_path="bars", metrics_path="metrics")
+    return metrics_table.read_metrics(spark, f"{root}/metrics").select(*_metric_cols())
+
+
 @register(
     "stream_progress",
     _TABLE_ROWS_SQL

@@ -29,7 +29,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 from tickline.operators import ingest, validate
 from tickline.schemas import BAR_COLUMNS, LOG_RECORD
 from tickline.session import configure, scratch_path
-from tickline.sinks import archive, bars_table, dead_letters, folders, trades_table
+from tickline.sinks import archive, bars_table, dead_letters, folders, metrics_table, trades_table
 
 
 def read_log_stream(
@@ -123,9 +123,13 @@ def table_batch(
     progress_path: str | None = None,
     bars_path: str | None = None,
     bars_mode: str = "touched",
+    metrics_path: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body of the table query.
 
+    ``metrics_path`` (with ``bars_path``): a table of bars with their indicators that
+    follows the bars, see :mod:`tickline.sinks.metrics_table`.
+
     ``bars_mode``: ``"touched"`` re-aggregates only the (symbol, minute) bars the
     batch touched; ``"dates"`` recomputes whole touched dates. A progress row is told
     by its first record's coordinates, so that a replayed batch replaces its own row.
@@ -146,6 +150,8 @@ def table_batch(
                 bars_table.refresh_touched_bars(spark, trades_path, bars_path, rows)
             elif result.received and bars_path:
                 bars_table.refresh_bars(spark, trades_path, bars_path, bars_table.touched_dates(rows))
+            if result.received and bars_path and metrics_path:
+                metrics_table.refresh_metrics(spark, bars_path, metrics_path, rows)
         finally:
             rows.unpersist()
             checked.unpersist()
@@ -190,9 +196,10 @@ def start_table_query(
     progress_path: str | None = None,
     bars_path: str | None = None,
     bars_mode: str = "touched",
+    metrics_path: str | None = None,
 ) -> StreamingQuery:
     spark = log_stream.sparkSession
-    body = table_batch(trades_path, progress_path, bars_path, bars_mode)
+    body = table_batch(trades_path, progress_path, bars_path, bars_mode, metrics_path)
     writer = log_stream.writeStream.foreachBatch(body)
     writer = writer.option("checkpointLocation", _checkpoint(spark, checkpoint, "table"))
     return _trigger(writer, trigger).queryName("trade_table").start()
