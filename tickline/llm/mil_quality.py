@@ -5,8 +5,8 @@ word and repetition statistics and hashed word counts; a learned layer encodes i
     a_k  ~  exp( w . ( tanh(V h_k) * sigmoid(U h_k) ) )
 weighs the passages of a document, and the weighted sum of their encodings is scored. Weights of
 encoder, gate and scorer are learned together from document labels alone, on a sample of at most
-`TRAIN_DOCS` labelled documents (those of the smallest hash of their id) with at most
-`TRAIN_PASSAGES` evenly spread passages each; scoring reads every passage of every document.
+`TRAIN_DOCS` labelled documents (those of the smallest hash of their id); training and scoring read every
+passage of a document.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from tickline.llm import grams
 
 PASSAGE = 64
 TRAIN_DOCS = 6000
-TRAIN_PASSAGES = 64
 HASHED = 32
 HIDDEN, GATE = 24, 12
 EPOCHS, BATCH, RATE, DECAY = 30, 128, 0.01, 1e-4
@@ -192,7 +191,9 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
     """Learn from the `train_docs` labelled documents of the smallest hash of their id.
 
     Rows without an id or label, or with another label than 0 or 1, are left out. Only the ids and labels
-    of the sample (`train_docs` rows at most), then their passages, go to the driver.
+    of the sample (`train_docs` rows at most), then all their passages (about half the size of their texts), go
+    to the driver. Documents that repeat an id count with each of their texts, up to twice the sample. Empty
+    tables, or labels of one kind, give a constant.
     """
     known = labels.where(F.col(f"`{id_col}`").isNotNull() & F.col(f"`{label}`").isin(0, 1)).select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{label}`").cast("int").alias("__y"))
     sample = known.orderBy(F.xxhash64("__id"), "__id", "__y").limit(train_docs)
@@ -201,22 +202,19 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for rows in bags(batch.column(1)):
-                if len(rows) > TRAIN_PASSAGES:
-                    rows = rows[np.linspace(0, len(rows) - 1, TRAIN_PASSAGES).astype(int)]
-                out.append(rows.tobytes())
-            yield pa.record_batch({"id": batch.column(0), "y": batch.column(2), "bag": pa.array(out, pa.binary())})
+            out = [rows.tobytes() for rows in bags(batch.column(1))]
+            yield pa.record_batch({"id": batch.column(0), "y": batch.column(2), "bag": pa.array(out, pa.large_binary()).cast(pa.binary())})
 
     kind = dict(documents.dtypes)[id_col]
-    rows = joined.select("__id", "__text", "__y").mapInArrow(encode, f"id {kind}, y int, bag binary").limit(2 * train_docs).collect()  # repeated ids count, at most twice the sample
-    rows.sort(key=lambda r: (r["id"], r["y"], r["bag"]))  # the same model however the tasks ran
+    described = joined.select("__id", "__text", "__y").mapInArrow(encode, f"id {kind}, y int, bag binary")
+    # repeated ids count, at most twice the sample; in one order, so the same model however the tasks ran
+    rows = described.orderBy("id", "y", F.xxhash64("bag")).limit(2 * train_docs).collect()
     return train([np.frombuffer(r["bag"], np.float32).reshape(-1, WIDTH) for r in rows], np.array([r["y"] for r in rows], float))
 
 
 def score(documents: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """All rows and columns and `out`, the probability of label 1. Null and empty texts are scored as one
-    empty passage; a column named like `out` is replaced."""
+    empty passage; repeated rows are scored alike; a column named like `out` is replaced; an empty table stays empty."""
     shared = documents.sparkSession.sparkContext.broadcast(model)  # some thousand numbers
 
     @F.pandas_udf("double")
