@@ -11,7 +11,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import brute
-from tickline.llm import bpe, decontaminate, html, line_dedup, mil_quality, ngram_join, quality_rules, secrets, sharding, suffix_dedup
+from tickline.llm import bpe, decontaminate, grams, html, line_dedup, mil_quality, ngram_join, quality_rules, secrets, sharding, suffix_dedup
 
 A = "the quick brown fox jumps over a lazy dog and then it was seen by the old man who had not been there for a long time"
 B = " ".join(f"word{k}" for k in range(60))
@@ -145,6 +145,14 @@ def test_ngram_pairs(copies):
     assert {(r["x"], r["y"]) for r in found.collect()} == {tuple(sorted((cls[a], cls[b]))) for a, b in linked if cls[a] != cls[b]}
 
 
+def test_bit_table(spark):
+    hashes = lambda b: [b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)]
+    for n in (0, 5, 60_000):
+        bits = grams.bit_table(spark.range(0, 3 * n, 3, 4), hashes, 1 << 17)
+        found = grams.has_bits(bits, np.arange(1 << 17, dtype=np.uint64))
+        assert set(np.flatnonzero(found).tolist()) == {x % (1 << 17) for x in range(0, 3 * n, 3)}
+
+
 def test_ngram_of_nothing(none):
     assert ngram_join.similar_components(none).collect() == []
 

@@ -2,6 +2,7 @@
 
 import base64
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -140,16 +141,35 @@ def test_alignment_scores():
 def test_prefixes_share_the_matches_asked_for():
     rng = np.random.default_rng(6)
     spec = ngram_join.Spec(n=4, percent=80)
-    counts = rng.integers(0, 50, 1 << 10).astype(np.uint32)
-    order = ngram_join._Order(counts, spec)
     for _ in range(300):
         base = np.unique(rng.integers(0, 1 << 60, int(rng.integers(1, 60))).astype(np.uint64))
         other = np.unique(np.concatenate([base[rng.random(len(base)) > 0.1], rng.integers(0, 1 << 60, int(rng.integers(0, 5))).astype(np.uint64)]))
         if not len(other):
             continue
-        (p, pn, pm), (q, qn, qm) = order(base), order(other)
+        held = {int(x): int(rng.integers(2, 50)) for x in np.intersect1d(base, other)}  # further sets hold some
+        held |= {int(x): int(rng.integers(2, 50)) for x in np.union1d(base, other) if rng.random() < 0.3}
+        heads = []
+        for values in (base, other):
+            shared = sorted((held[int(x)], int(x)) for x in values if int(x) in held)
+            length, m = ngram_join._prefix(np.array([c for c, _ in shared], np.int64), len(values), spec)
+            heads.append((m, {x for _, x in shared[: max(length - (len(values) - len(shared)), 0)]}))
         if spec.linked(len(np.intersect1d(base, other)), len(base), len(other)):
-            assert len(np.intersect1d(p[:pn], q[:qn])) >= min(pm, qm)
+            assert len(heads[0][1] & heads[1][1]) >= min(heads[0][0], heads[1][0])
+
+
+def test_counts_of_parts(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 62, 40).astype(np.uint64) >> np.uint64(50) << np.uint64(52)) for _ in range(60)]
+    monkeypatch.setattr(ngram_join, "FLUSH", 90)
+    monkeypatch.setattr(ngram_join, "PART", 10)
+    shift = 26
+    rows = [r for b in ngram_join._part_rows(shift)(iter([(None, sets[:20] + [sets[0][:0]]), (None, sets[20:])])) for r in b.to_pylist()]
+    rows.sort(key=lambda r: r["part"])
+    batches = pa.Table.from_pylist(rows, pa.schema([("part", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])).to_batches(7)
+    got = {r["token"]: r["n"] for b in ngram_join._shared_of_parts(iter(batches)) for r in b.to_pylist()}
+    want = Counter(int(x) >> shift for s in sets for x in s)
+    assert got == {t: n for t, n in want.items() if n > 1} and len(got) > 100
+    assert list(ngram_join._part_rows(shift)(iter([]))) == [] and list(ngram_join._shared_of_parts(iter([]))) == []
 
 
 def test_shared_lists_across_batches():

@@ -42,3 +42,11 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what `stored` wrote for these frames, once later tables no longer need them."""
+    for df in frames:
+        hadoop = df.sparkSession._jvm.org.apache.hadoop.fs
+        for file in df.inputFiles()[:1]:
+            folder = hadoop.Path(file).getParent()
+            folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

@@ -190,3 +190,57 @@ def count_table(df: DataFrame, hashes, buckets: int) -> np.ndarray:
     for r in parts.toLocalIterator():
         total[r["k"] * wide : (r["k"] + 1) * wide] += np.frombuffer(r["n"], np.uint32)
     return total
+
+
+def bit_table(df: DataFrame, hashes, bits: int) -> np.ndarray:
+    """A table of bits (hash modulo `bits`), packed in bytes: those of all hashes of all rows are set.
+
+    `hashes` turns an Arrow batch of `df` into arrays of uint64. A task gives out the places it has set, or
+    a slice's bytes where that is shorter; slices are united by slice, and the driver gets `bits` / 8 bytes.
+    """
+    wide = bits // (8 * SLICES)
+    if wide * 8 * SLICES != bits:
+        raise ValueError(f"the number of bits must be a multiple of {8 * SLICES}")
+    schema = "k int, places binary, dense binary"
+
+    def row(k: int, part: np.ndarray) -> pa.RecordBatch:
+        dense = np.count_nonzero(part) > wide // 8
+        places = b"" if dense else np.flatnonzero(np.unpackbits(part, bitorder="little")).astype(np.uint32).tobytes()
+        return pa.record_batch({"k": pa.array([k], pa.int32()), "places": pa.array([places], pa.binary()), "dense": pa.array([part.tobytes() if dense else b""], pa.binary())})
+
+    def mark(part: np.ndarray, places: np.ndarray) -> None:
+        np.bitwise_or.at(part, places >> 3, (1 << (places & 7)).astype(np.uint8))
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(bits // 8, np.uint8)
+        for batch in batches:
+            for h in hashes(batch):
+                mark(table, (h % U(bits)).astype(np.int64))
+        for k in range(SLICES):
+            if (part := table[k * wide : (k + 1) * wide]).any():
+                yield row(k, part)
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, places, dense in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                part = held.setdefault(k, np.zeros(wide, np.uint8))
+                if dense:
+                    part |= np.frombuffer(dense, np.uint8)
+                mark(part, np.frombuffer(places, np.uint32).astype(np.int64))
+        for k, part in held.items():
+            yield row(k, part)
+
+    total = np.zeros(bits // 8, np.uint8)
+    for r in df.mapInArrow(collect, schema).repartition(SLICES, "k").mapInArrow(unite, schema).toLocalIterator():
+        part = total[r["k"] * wide : (r["k"] + 1) * wide]
+        if r["dense"]:
+            part |= np.frombuffer(r["dense"], np.uint8)
+        mark(part, np.frombuffer(r["places"], np.uint32).astype(np.int64))
+    return total
+
+
+def has_bits(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes have their bit set in a `bit_table`."""
+    place = (hashes % U(8 * len(table))).astype(np.int64)
+    return ((table[place >> 3] >> (place & 7).astype(np.uint8)) & 1).astype(bool)

@@ -1,13 +1,16 @@
 """N-gram Jaccard join with adaptive multi-match prefixes.
 
 A document is the set of its n-word shingles (64-bit hashes). Documents of equal sets are one class,
-told by a 128-bit hash of the set and named by the smallest id. Shingles are ordered by how many
-documents hold them, by a count table of fixed size (any order is right; rare first is fast).
+told by a 128-bit hash of the set and named by the smallest id. Shingles are ordered by how many classes
+hold them, rare first, by exact counts: shingles are cut into parts of some million (the leading bits name
+the part, 32 further bits the shingle), each task sums its own part by part, and only shingles that are
+counted twice go on. A table of bits (fixed size) tells most others apart before they are joined with
+their counts; where it fills up, more rows are joined and the result is the same.
 
 If two sets are similar enough, their prefixes of size - ceil(t * size) + m shingles share m of them, for
 any m. Each document picks its own m: a longer prefix costs more postings, and leaves fewer candidates to
-verify since m common shingles are asked for; the estimate of both comes from the count table. A pair is
-verified if it shares the smaller m of the two.
+verify since m common shingles are asked for; both costs come from the counts. Shingles of one document
+only head each prefix and need no postings. A pair is verified if it shares the smaller m of the two.
 
 `similar_pairs` gives every similar pair of classes. `similar_components` gives the components of those
 links without making the pairs of a group. Candidate pairs are told from prefixes alone: documents that
@@ -15,7 +18,9 @@ posting lists connect go in blocks, and each pair of blocks of such a group is l
 which returns no more candidates than join the block's documents. (Where lists connect so much that this
 would cost more rows than going list by list, each list is such a group, and short lists give their pairs
 as rows.) Documents that candidates connect are then verified with their whole sets, in blocks again, and
-the tasks return no more links than join the components. No pair that could link two documents is left out.
+the tasks return no more links than join the components. A group of several blocks is first held against
+a few of its own documents; those that link with one are in one component and meet only the documents of
+others. No pair that could link two documents is left out.
 """
 
 from __future__ import annotations
@@ -25,26 +30,26 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tickline.llm import grams
-from tickline.llm.common import stored
+from tickline.llm.common import discard, stored
 from tickline.llm.components import components
 
-#: Buckets of the shingle count table: 32 MB, whatever the input.
-BUCKETS = 1 << 23
-#: Buckets of the table of ids that are asked for.
-ID_BUCKETS = 1 << 22
+#: Shingles of a part on average, and those that a task sums before it gives them out.
+PART, FLUSH = 1 << 20, 1 << 20
+#: Bits of the table of shared shingles (16 MB) and of that of ids that are asked for (2 MB), whatever the input.
+SHARED_BITS, ID_BITS = 1 << 27, 1 << 24
 MOST_MATCHES = 8
 #: Cost of verifying a pair, in postings, for each shingle of the document, and as a constant.
 VERIFY_PER_SHINGLE, VERIFY = 0.02, 4.0
 #: Posting lists of more documents go in blocks of so many.
 SHORT_LIST, BLOCK = 16, 256
+#: Documents of a group of several blocks that all others are held against first.
+HUBS = 3
 U = np.uint64
 
 
@@ -89,7 +94,9 @@ def members(documents: DataFrame, id_col: str, text: str, n: int) -> DataFrame:
     rows = stored(rows, "set-keys")
     # written, so that a class of a third of all rows is a skewed key of a plain join, which Spark splits
     classes = stored(rows.where(F.col("__size") > 0).groupBy("a", "b").agg(F.min("__id").alias("__class")), "classes")
-    return stored(rows.join(classes, ["a", "b"], "left").select("__id", "__size", "__class"), "members")
+    out = stored(rows.join(classes, ["a", "b"], "left").select("__id", "__size", "__class"), "members")
+    discard(rows, classes)
+    return out
 
 
 def _id_hash(ids: pa.Array) -> np.ndarray:
@@ -98,48 +105,124 @@ def _id_hash(ids: pa.Array) -> np.ndarray:
     return np.array([int.from_bytes(hashlib.blake2b(str(x).encode(), digest_size=8).digest(), "big") for x in ids.to_pylist()], U)
 
 
-def _asked(ids: DataFrame) -> np.ndarray:
-    """A table that knows all of these ids, and perhaps others."""
-    return grams.count_table(ids, lambda b: [_id_hash(b.column(0))], ID_BUCKETS) > 0
+def _prefix(counts: np.ndarray, size: int, spec: Spec) -> tuple[int, int]:
+    """Prefix length and matches to ask for, of a set of `size` shingles, from the ascending counts of those
+    that other sets share; all its others come before them."""
+    base = size - spec.least_overlap(size)
+    m = np.arange(1, min(spec.most_matches, size - base) + 1)
+    inside = np.maximum(base + m - (size - len(counts)), 0)
+    postings = np.concatenate([[0], np.cumsum(counts)])[inside].astype(float)
+    cost = postings + postings / m * (VERIFY + VERIFY_PER_SHINGLE * size) + 0.01 * m  # ties go to the shorter prefix
+    best = int(m[cost.argmin()])
+    return base + best, best
 
 
-class _Order:
-    """Shingles of a set in order of their document counts, and the prefix its costs ask for."""
+def _pass(documents: DataFrame, id_col: str, text: str, wanted: DataFrame, n: int, rows, schema: str) -> DataFrame:
+    """One pass over the texts of the asked ids (and perhaps others); `rows` makes batches of (ids, sets)."""
+    asked = documents.sparkSession.sparkContext.broadcast(grams.bit_table(wanted, lambda b: [_id_hash(b.column(0))], ID_BITS))
 
-    def __init__(self, counts: np.ndarray, spec: Spec):
-        self.counts, self.spec = counts, spec
-        self.noise = float(counts.mean())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def each() -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+            for batch in batches:
+                pick = pa.array(np.flatnonzero(grams.has_bits(asked.value, _id_hash(batch.column(0)))))
+                yield batch.column(0).take(pick), list(shingle_sets(batch.column(1).take(pick), n))
 
-    def __call__(self, values: np.ndarray) -> tuple[np.ndarray, int, int]:
-        """Ordered shingles, prefix length, matches to ask for."""
-        seen = self.counts[(values % U(len(self.counts))).astype(np.int64)]
-        order = np.argsort(seen, kind="stable")  # `values` are sorted, which breaks ties
-        values, size = values[order], len(values)
-        base = size - self.spec.least_overlap(size)
-        most = min(self.spec.most_matches, size - base)
-        lists = np.cumsum(np.maximum(seen[order][: base + most].astype(float) - self.noise, 0))
-        m = np.arange(1, most + 1)
-        postings = lists[base + m - 1]
-        cost = postings + postings / m * (VERIFY + VERIFY_PER_SHINGLE * size) + 0.01 * m  # ties go to the shorter prefix
-        best = int(m[cost.argmin()])
-        return values, base + best, best
+        yield from rows(each())
 
+    named = documents.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`"), F.col(f"`{text}`"))
+    return named.mapInArrow(run, schema)
 
-def _pass(documents: DataFrame, id_col: str, text: str, wanted: DataFrame, counts, spec: Spec, rows, schema: str) -> DataFrame:
-    """One pass over the texts of the asked ids (and perhaps others); `rows` makes a batch of them."""
-    spark = documents.sparkSession
-    table = spark.sparkContext.broadcast(np.packbits(_asked(wanted), bitorder="little"))
+
+def _sums(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, ascending, with the sum of its counts."""
+    key, count = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(count[order], first) if len(key) else count
+
+
+def _part_rows(shift: int):
+    """Shingles of a task summed some million at a time: (part, keys, counts) as bytes."""
+
+    def flush(held: list[np.ndarray]) -> pa.RecordBatch:
+        key, count = np.unique(np.concatenate(held) >> U(shift), return_counts=True)
+        part = (key >> U(32)).astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        ends = pa.py_buffer((np.concatenate([first, [len(key)]]) * 4).astype(np.int32))
+        packed = lambda x: pa.Array.from_buffers(pa.binary(), len(first), [None, ends, pa.py_buffer(x.astype(np.uint32))])
+        return pa.record_batch({"part": pa.array(part[first], pa.int64()), "keys": packed(key), "counts": packed(count)})
+
+    def run(sets: Iterator[tuple[pa.Array, list[np.ndarray]]]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for _, found in sets:
+            for s in found:
+                if len(s):
+                    held.append(s)
+                    size += len(s)
+                if size >= FLUSH:
+                    yield flush(held)
+                    held, size = [], 0
+        if held:
+            yield flush(held)
+
+    return run
+
+
+def _shared_of_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by part: (token, n) of the shingles that are counted twice. One part is held at a time."""
+    now, keys, counts, size = None, [], [], 0
+
+    def flush() -> pa.RecordBatch:
+        key, count = _sums(keys, counts)
+        key, count = key[count > 1], count[count > 1]
+        return pa.record_batch({"token": pa.array((now << 32) + key.astype(np.int64)), "n": pa.array(count)})
+
+    for batch in batches:
+        for part, k, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            if part != now:
+                if keys:
+                    yield flush()
+                now, keys, counts, size = part, [], [], 0
+            keys.append(np.frombuffer(k.as_buffer(), np.uint32))
+            counts.append(np.frombuffer(n.as_buffer(), np.uint32))
+            size += len(keys[-1])
+            if size > 8 * PART:  # shingles that come from every task take their room once
+                key, count = _sums(keys, counts)
+                keys, counts, size = [key], [count], 0
+    if keys:
+        yield flush()
+
+
+def _mark(values: np.ndarray) -> int:
+    """Tells the texts of one id apart: the set's size and 31 bits of its hash."""
+    return (len(values) << 31) | (_halves(values)[0] & 0x7FFFFFFF)
+
+
+def _heads(spec: Spec):
+    """From rows (id, mark, shared: ascending (n, token) of the shared shingles) to (id, mark, size, m, head:
+    the prefix's shared shingles as bytes); none for a prefix without any, which links with nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = _Order(counts.value, spec)
         for batch in batches:
-            spot = (_id_hash(batch.column(0)) % U(ID_BUCKETS)).astype(np.int64)
-            pick = pa.array(np.flatnonzero((table.value[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1))
-            ids = batch.column(0).take(pick)
-            yield from rows(ids, [order(s) if len(s) else None for s in shingle_sets(batch.column(1).take(pick), spec.n)])
+            keep, out = [], []
+            shared = batch.column(2)
+            ends, each = shared.offsets.to_numpy(), shared.values
+            count, token = each.field(0).to_numpy(), each.field(1).to_numpy()
+            for k, mark in enumerate(batch.column(1).to_pylist()):
+                size, here = mark >> 31, slice(ends[k], ends[k + 1])
+                length, m = _prefix(count[here], size, spec)
+                inside = token[here][: max(length - (size - (ends[k + 1] - ends[k])), 0)]
+                if len(inside):
+                    head = np.unique(inside)
+                    keep.append(k)
+                    # two shingles of one token share it once only
+                    out.append((size, max(m - (len(inside) - len(head)), 1), head.tobytes()))
+            at = pa.array(keep, pa.int64())
+            size, m, head = zip(*out, strict=True) if out else ((), (), ())
+            yield pa.record_batch({"id": batch.column(0).take(at), "mark": batch.column(1).take(at), "size": pa.array(size, pa.int64()), "m": pa.array(m, pa.int32()), "head": pa.array(head, pa.binary())})
 
-    named = documents.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`"), F.col(f"`{text}`"))
-    return named.mapInArrow(run, schema)
+    return run
 
 
 def _shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,10 +252,11 @@ def _shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 @dataclass
 class Prepared:
-    """Tables of the join: rows with their classes; postings (token, id, size, m); and a function from ids to
-    their sets (id, size, m, prefix, tokens)."""
+    """Tables of the join: rows with their classes; heads (id, mark, size, m, head); postings (token, id, size,
+    m); and a function from ids to their sets (id, mark, size, m, head, tokens)."""
 
     members: DataFrame
+    heads: DataFrame
     postings: DataFrame
     sets: Callable[[DataFrame], DataFrame]
 
@@ -181,38 +265,49 @@ def prepare(documents: DataFrame, id_col: str, text: str, spec: Spec) -> Prepare
     spark = documents.sparkSession
     who = members(documents, id_col, text, spec.n)
     kind = dict(who.dtypes)["__id"]
-    heads = stored(who.where(F.col("__id") == F.col("__class")).select("__id").distinct(), "class-heads")
-    named = documents.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{text}`"))
-    counts = spark.sparkContext.broadcast(grams.count_table(named, lambda b: shingle_sets(b.column(0), spec.n), BUCKETS))
-
-    def postings(ids: pa.Array, sets: list) -> Iterator[pa.RecordBatch]:
-        parts = [(k, x) for k, x in enumerate(sets) if x is not None]
-        width = [x[1] for _, x in parts]
-        each = lambda values, kind: pa.array(np.repeat(np.asarray(values, kind), width))
-        tokens = np.concatenate([np.zeros(0, U), *(x[0][: x[1]] for _, x in parts)])
-        yield pa.record_batch({"token": pa.array(tokens.view(np.int64)), "id": ids.take(each([k for k, _ in parts], np.int64)), "size": each([len(x[0]) for _, x in parts], np.int64), "m": each([x[2] for _, x in parts], np.int32)})
+    firsts = who.where(F.col("__id") == F.col("__class"))
+    total = firsts.agg(F.sum("__size")).first()[0] or 0
+    firsts = stored(firsts.select("__id").distinct(), "class-heads")
+    # leading bits that name the part, which leave 32 for the shingle
+    shift = 32 - min(max(int(total // PART).bit_length(), 6), 31)
+
+    parts = _pass(documents, id_col, text, firsts, spec.n, _part_rows(shift), "part long, keys binary, counts binary")
+    counts = stored(parts.repartition("part").sortWithinPartitions("part").mapInArrow(_shared_of_parts, "token long, n long"), "shared-shingles")
+    bits = spark.sparkContext.broadcast(grams.bit_table(counts.select("token"), lambda b: [grams.mix(b.column(0).to_numpy(zero_copy_only=False).view(U))], SHARED_BITS))
+
+    def likely(sets: Iterator[tuple[pa.Array, list[np.ndarray]]]) -> Iterator[pa.RecordBatch]:
+        for ids, found in sets:
+            tokens = [s >> U(shift) for s in found]
+            tokens = [t[grams.has_bits(bits.value, grams.mix(t))] for t in tokens]
+            at = np.repeat(np.arange(len(found)), [len(t) for t in tokens])
+            marks = np.array([_mark(s) for s in found], np.int64)
+            yield pa.record_batch({"token": pa.array(np.concatenate([np.zeros(0, U), *tokens]).view(np.int64)), "id": ids.take(pa.array(at, pa.int64())), "mark": pa.array(marks[at], pa.int64())})
+
+    rows = _pass(documents, id_col, text, firsts, spec.n, likely, f"token long, id {kind}, mark long").join(counts, "token")
+    rows = rows.select("id", "mark", "n", "token").repartition("id").groupBy("id", "mark").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("shared"))
+    heads = rows.mapInArrow(_heads(spec), f"id {kind}, mark long, size long, m int, head binary")
+    heads = stored(heads.join(firsts, F.col("id") == F.col("__id"), "left_semi"), "prefixes")
+    discard(counts)
+
+    def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            head = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(3)]
+            at = pa.array(np.repeat(np.arange(len(head)), [len(h) for h in head]), pa.int64())
+            yield pa.record_batch({"token": pa.array(np.concatenate([np.zeros(0, np.int64), *head])), **{c: batch.column(k).take(at) for k, c in enumerate(("id", "size", "m"))}})
 
     schema = f"token long, id {kind}, size long, m int"
-    every = _pass(documents, id_col, text, heads, counts, spec, postings, schema)
-    lists = every.repartition("token").sortWithinPartitions("token", "id").mapInArrow(_shared_lists, schema)
-    lists = stored(lists.join(heads, F.col("id") == F.col("__id"), "left_semi"), "postings")
-
-    def whole(ids: pa.Array, found: list) -> Iterator[pa.RecordBatch]:
-        have = [(k, x) for k, x in enumerate(found) if x is not None]
-        yield pa.record_batch(
-            {
-                "id": ids.take(pa.array([k for k, _ in have], pa.int64())),
-                "size": pa.array([len(x[0]) for _, x in have], pa.int64()),
-                "m": pa.array([x[2] for _, x in have], pa.int32()),
-                "prefix": pa.array([x[1] for _, x in have], pa.int64()),
-                "tokens": pa.array([x[0].tobytes() for _, x in have], pa.binary()),
-            }
-        )
+    every = heads.select("id", "size", "m", "head").mapInArrow(postings, schema)
+    lists = stored(every.repartition("token").sortWithinPartitions("token", "id").mapInArrow(_shared_lists, schema), "postings")
+
+    def whole(sets: Iterator[tuple[pa.Array, list[np.ndarray]]]) -> Iterator[pa.RecordBatch]:
+        for ids, found in sets:
+            yield pa.record_batch({"id": ids, "mark": pa.array([_mark(s) for s in found], pa.int64()), "tokens": pa.array([s.tobytes() for s in found], pa.binary())})
 
     def sets(wanted: DataFrame) -> DataFrame:
-        return stored(_pass(documents, id_col, text, wanted, counts, spec, whole, f"id {kind}, size long, m int, prefix long, tokens binary"), "sets")
+        found = _pass(documents, id_col, text, wanted, spec.n, whole, f"id {kind}, mark long, tokens binary")
+        return stored(heads.join(wanted.select("id"), "id", "left_semi").join(found, ["id", "mark"]), "sets")
 
-    return Prepared(who, lists, sets)
+    return Prepared(who, heads, lists, sets)
 
 
 def _close(spec: Spec):
@@ -249,7 +344,7 @@ def similar_pairs(documents: DataFrame, id_col: str = "doc_id", text: str = "tex
     y = ready.postings.select("token", F.col("id").alias("y"), F.col("size").alias("y_size"), F.col("m").alias("y_m"))
     shared = x.join(y, "token").where((F.col("x") < F.col("y")) & _close(spec)).groupBy("x", "y").agg(F.count("*").alias("n"), F.first(F.least("x_m", "y_m")).alias("least"))
     pairs = stored(shared.where(F.col("n") >= F.col("least")).select("x", "y"), "candidate-pairs")
-    sets = ready.sets(pairs.select("x").union(pairs.select("y")).distinct())
+    sets = ready.sets(pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct())
     return verify(pairs, sets, spec).distinct(), ready.members
 
 
@@ -268,7 +363,7 @@ def _short(postings: DataFrame, spec: Spec) -> DataFrame:
 
 def _block_links(spec: Spec, verified: bool):
     """Links between components within one pair of blocks of a group, no more than join the components: of
-    similar documents, or (not `verified`, `tokens` hold prefixes) of documents that may be similar."""
+    similar documents, or (not `verified`) of documents whose prefixes let them be similar."""
 
     def run(rows: pa.Table) -> pa.Table:
         side = rows.column("side").to_numpy()
@@ -276,13 +371,11 @@ def _block_links(spec: Spec, verified: bool):
         m = rows.column("m").to_numpy()
         _, component = np.unique(rows.column("component").to_numpy(zero_copy_only=False), return_inverse=True)
         ids = rows.column("id").combine_chunks()
-        tokens = [np.frombuffer(x.as_buffer(), U) for x in rows.column("tokens")]
-        prefix = rows.column("prefix").to_numpy()
+        heads = [np.frombuffer(x.as_buffer(), U) for x in rows.column("head")]
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         may = component[left][:, None] != component[right][None, :]
         may &= 100 * np.minimum(size[left][:, None], size[right][None, :]) >= spec.percent * np.maximum(size[left][:, None], size[right][None, :])
         if may.any():
-            heads = [t[:p] for t, p in zip(tokens, prefix, strict=True)]
             may &= _common(heads, left, right) >= np.minimum(m[left][:, None], m[right][None, :])
         # documents of no candidate pair need no verifying
         rows_, cols = np.flatnonzero(may.any(1)), np.flatnonzero(may.any(0))
@@ -290,6 +383,7 @@ def _block_links(spec: Spec, verified: bool):
         if len(rows_):
             good = may[np.ix_(rows_, cols)]
             if verified:
+                tokens = [np.frombuffer(x.as_buffer(), U) for x in rows.column("tokens")]
                 good &= spec.linked(_common(tokens, left[rows_], right[cols]), size[left[rows_]][:, None], size[right[cols]][None, :])
             parent = list(range(int(component.max()) + 1))
 
@@ -334,29 +428,79 @@ def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, chunk:
     return total
 
 
-def _blocks(known: DataFrame, sets: DataFrame, spec: Spec, verified: bool = True) -> DataFrame:
-    """Links between components among the documents of each group (token, id, component, list: the group's
-    size): each pair of blocks of a group in a task of its own."""
-    much = known.select("token", "id", "component", F.ceil(F.col("list") / BLOCK).cast("int").alias("blocks"))
-    much = much.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    # block i meets blocks i..blocks-1 on the left and 0..i on the right; side 2: it meets itself
-    ways = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j"), F.when(k == F.col("block"), 2).when(k > F.col("block"), 0).otherwise(1).alias("side")))
-    dealt = much.withColumn("way", F.explode(ways)).select("token", "id", "component", "way.i", "way.j", "way.side")
-    kind = dict(known.dtypes)["id"]
-    whole = dealt.join(sets.select("id", "size", "m", "prefix", "tokens"), "id")
-    return whole.groupBy("token", "i", "j").applyInArrow(_block_links(spec, verified), f"x {kind}, y {kind}")
+def _star_links(spec: Spec, verified: bool, kind: str):
+    """Rows (hub, id, and both sides' size, m, head and, if `verified`, tokens) to the links among them."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = lambda a, b: len(np.intersect1d(np.frombuffer(a.as_buffer(), U), np.frombuffer(b.as_buffer(), U), assume_unique=True))
+        for batch in batches:
+            of = dict(zip(batch.schema.names, batch.columns, strict=True))
+            size, hub_size, m, hub_m = (of[c].to_numpy(zero_copy_only=False) for c in ("size", "hub_size", "m", "hub_m"))
+            keep = []
+            for k in np.flatnonzero(100 * np.minimum(size, hub_size) >= spec.percent * np.maximum(size, hub_size)).tolist():
+                if common(of["head"][k], of["hub_head"][k]) >= min(m[k], hub_m[k]) and (not verified or spec.linked(common(of["tokens"][k], of["hub_tokens"][k]), size[k], hub_size[k])):
+                    keep.append(k)
+            at = pa.array(keep, pa.int64())
+            yield pa.record_batch({"x": of["hub"].take(at), "y": of["id"].take(at)})
+
+    return run, f"x {kind}, y {kind}"
+
+
+def _ways(known: DataFrame, blocks, block, i, j, side) -> DataFrame:
+    """Each row once for each of `blocks` blocks k that it meets, by functions of (k, its own block)."""
+    ways = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(i(k, block).alias("i"), j(k, block).alias("j"), side(k, block).cast("int").alias("side")))
+    return known.where(blocks > 0).withColumn("way", F.explode(ways)).select("token", "id", "component", "way.i", "way.j", "way.side")
 
-@F.pandas_udf(T.BinaryType())
-def _packed(lists: pd.Series) -> pd.Series:
-    return lists.map(lambda x: x.astype(np.int64).tobytes())
 
+def _within(known: DataFrame, size: str) -> DataFrame:
+    """All pairs of blocks of a group of `size` documents: block i meets blocks i.. on the left and ..i on the
+    right; side 2: it meets itself."""
+    blocks = F.ceil(F.col(size) / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    return _ways(known, blocks, block, F.least, F.greatest, lambda k, own: F.when(k == own, 2).when(k > own, 0).otherwise(1))
 
-def _candidate_groups(compact: DataFrame, others: DataFrame, postings: DataFrame, spec: Spec) -> DataFrame:
+
+def _blocks(known: DataFrame, sets: DataFrame, spec: Spec, verified: bool = True) -> DataFrame:
+    """Links between components among the documents of each group (token, id, component, list: the group's
+    size): each pair of blocks of a group in a task of its own. Of a group of several blocks, documents that
+    link with one of HUBS documents are told first; the largest component is then held against the rest only."""
+    kind = dict(known.dtypes)["id"]
+    sides = ["size", "m", "head", *(["tokens"] if verified else [])]
+    run, schema = _star_links(spec, verified, kind)
+    dealt, stars = _within(known.where(F.col("list") <= BLOCK), "list"), None
+    big = stored(known.where(F.col("list") > BLOCK).drop("component"), "big-groups")
+    left = big
+    for turn in range(HUBS):
+        if left.isEmpty():
+            break
+        hubs = left.groupBy("token").agg(F.min("id").alias("hub")).join(sets.select(F.col("id").alias("hub"), *(F.col(c).alias(f"hub_{c}") for c in sides)), "hub")
+        pairs = left.select("token", "id").join(hubs, "token").where(F.col("id") != F.col("hub")).join(sets.select("id", *sides), "id")
+        found = stored(pairs.drop("token").mapInArrow(run, schema), "stars")
+        stars = found if stars is None else stars.unionByName(found)
+        if turn + 1 < HUBS:
+            near = found.select(F.col("x").alias("id")).union(found.select("y")).distinct()
+            left = stored(left.join(hubs.select("token", F.col("hub").alias("id")).distinct(), ["token", "id"], "left_anti").join(near, "id", "left_anti"), "left-documents")
+    if stars is not None:
+        labels = components(stars, "x", "y")
+        big = stored(big.join(labels, F.col("id") == F.col("node"), "left").select("token", "id", F.coalesce("component", "id").alias("component"), "list"), "starred-groups")
+        most = big.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(F.max(F.struct("n", "component")).alias("main"))
+        both = big.join(most.select("token", F.col("main.n").alias("main_n"), F.col("main.component").alias("main")), "token")
+        both = both.withColumn("rest", F.col("list") - F.col("main_n"))
+        main, rest = both.where(F.col("component") == F.col("main")), both.where(F.col("component") != F.col("main"))
+        wide, tall = F.ceil(F.col("main_n") / BLOCK).cast("int"), F.ceil(F.col("rest") / BLOCK).cast("int")
+        # blocks of the main component are numbered -1, -2, ...
+        mine = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+        dealt = dealt.unionByName(_within(rest, "rest"))
+        dealt = dealt.unionByName(_ways(main, tall, mine(F.greatest(wide, F.lit(1))), lambda k, own: -1 - own, lambda k, own: k, lambda k, own: F.lit(0)))
+        dealt = dealt.unionByName(_ways(rest, wide, mine(F.greatest(tall, F.lit(1))), lambda k, own: -1 - k, lambda k, own: own, lambda k, own: F.lit(1)))
+    whole = dealt.join(sets.select("id", *sides), "id")
+    links = whole.groupBy("token", "i", "j").applyInArrow(_block_links(spec, verified), schema)
+    return links if stars is None else links.unionByName(stars)
+
+
+def _candidate_groups(compact: DataFrame, others: DataFrame, heads: DataFrame, spec: Spec) -> DataFrame:
     """Documents that candidate pairs connect (token: the group, id, component: each its own, list: the
     group's size), told from prefixes alone, so that whole sets are fetched for few documents."""
-    heads = postings.groupBy("id").agg(F.collect_set("token").alias("t"), F.max("size").alias("size"), F.min("m").alias("m"))
-    heads = stored(heads.select("id", "size", "m", F.size("t").cast("long").alias("prefix"), _packed("t").alias("tokens")), "prefixes")
     lists = stored(others.join(others.groupBy("token").agg(F.count("*").alias("list")), "token"), "lists")
     long = lists.where(F.col("list") > SHORT_LIST).select(F.col("token").cast("string").alias("token"), "id", F.col("id").alias("component"), "list")
     blocks = compact.withColumn("token", F.concat(F.lit("group "), F.col("token").cast("string"))).unionByName(long)
@@ -392,7 +536,7 @@ def similar_components(documents: DataFrame, id_col: str = "doc_id", text: str =
     ready = prepare(documents, id_col, text, spec)
     kind = dict(ready.members.dtypes)["__id"]
     compact, others = _compact_groups(ready.postings)
-    groups = _candidate_groups(compact, others, ready.postings, spec)
+    groups = _candidate_groups(compact, others, ready.heads, spec)
     links = stored(_blocks(groups, ready.sets(groups.select("id").distinct()), spec), "links")
     labels = components(links, "x", "y")
     joined = ready.members.join(labels, F.col("__class") == F.col("node"), "left")
