@@ -50,6 +50,8 @@ VERIFY_PER_SHINGLE, VERIFY = 0.02, 4.0
 SHORT_LIST, BLOCK = 16, 256
 #: Documents of a group of several blocks that all others are held against first.
 HUBS = 3
+#: Texts whose sets a task holds at once.
+TEXTS = 1024
 U = np.uint64
 
 
@@ -85,9 +87,8 @@ def members(documents: DataFrame, id_col: str, text: str, n: int) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = list(shingle_sets(batch.column(1), n))
-            keys = [_halves(s) for s in sets]
-            yield pa.record_batch({"__id": batch.column(0), "__size": pa.array([len(s) for s in sets], pa.int64()), "a": pa.array([k[0] for k in keys], pa.int64()), "b": pa.array([k[1] for k in keys], pa.int64())})
+            keys = [(len(s), *_halves(s)) for s in shingle_sets(batch.column(1), n)]
+            yield pa.record_batch({"__id": batch.column(0), **{c: pa.array([x[k] for x in keys], pa.int64()) for k, c in enumerate(("__size", "a", "b"))}})
 
     kind = dict(documents.dtypes)[id_col]
     rows = documents.select(F.col(f"`{id_col}`"), F.col(f"`{text}`")).mapInArrow(describe, f"__id {kind}, __size long, a long, b long")
@@ -125,7 +126,9 @@ def _pass(documents: DataFrame, id_col: str, text: str, wanted: DataFrame, n: in
         def each() -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
             for batch in batches:
                 pick = pa.array(np.flatnonzero(grams.has_bits(asked.value, _id_hash(batch.column(0)))))
-                yield batch.column(0).take(pick), list(shingle_sets(batch.column(1).take(pick), n))
+                for at in range(0, len(pick), TEXTS):
+                    some = pick.slice(at, TEXTS)
+                    yield batch.column(0).take(some), list(shingle_sets(batch.column(1).take(some), n))
 
         yield from rows(each())
 
@@ -194,14 +197,19 @@ def _shared_of_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield flush()
 
 
-def _mark(values: np.ndarray) -> int:
-    """Tells the texts of one id apart: the set's size and 31 bits of its hash."""
-    return (len(values) << 31) | (_halves(values)[0] & 0x7FFFFFFF)
+def _two_bits(tokens: np.ndarray) -> list[np.ndarray]:
+    """A shingle's two places in the table of shared ones."""
+    once = grams.mix(tokens)
+    return [once, grams.mix(once + U(1))]
 
 
 def _heads(spec: Spec):
-    """From rows (id, mark, shared: ascending (n, token) of the shared shingles) to (id, mark, size, m, head:
-    the prefix's shared shingles as bytes); none for a prefix without any, which links with nothing."""
+    """From rows (id, size, shared: ascending (n, token) of the shared shingles) to (id, size, m, head: the
+    prefix's shared shingles as bytes); none for a prefix without any, which links with nothing.
+
+    Different texts of one id and size come as one row. Its first entries hold the prefix of each: they are as
+    many as one text's prefix and all shared shingles of the others together.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,18 +217,18 @@ def _heads(spec: Spec):
             shared = batch.column(2)
             ends, each = shared.offsets.to_numpy(), shared.values
             count, token = each.field(0).to_numpy(), each.field(1).to_numpy()
-            for k, mark in enumerate(batch.column(1).to_pylist()):
-                size, here = mark >> 31, slice(ends[k], ends[k + 1])
+            for k, size in enumerate(batch.column(1).to_pylist()):
+                here = slice(ends[k], ends[k + 1])
                 length, m = _prefix(count[here], size, spec)
                 inside = token[here][: max(length - (size - (ends[k + 1] - ends[k])), 0)]
                 if len(inside):
                     head = np.unique(inside)
                     keep.append(k)
                     # two shingles of one token share it once only
-                    out.append((size, max(m - (len(inside) - len(head)), 1), head.tobytes()))
+                    out.append((max(m - (len(inside) - len(head)), 1), head.tobytes()))
             at = pa.array(keep, pa.int64())
-            size, m, head = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.record_batch({"id": batch.column(0).take(at), "mark": batch.column(1).take(at), "size": pa.array(size, pa.int64()), "m": pa.array(m, pa.int32()), "head": pa.array(head, pa.binary())})
+            m, head = zip(*out, strict=True) if out else ((), ())
+            yield pa.record_batch({"id": batch.column(0).take(at), "size": batch.column(1).take(at), "m": pa.array(m, pa.int32()), "head": pa.array(head, pa.binary())})
 
     return run
 
@@ -252,8 +260,8 @@ def _shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 @dataclass
 class Prepared:
-    """Tables of the join: rows with their classes; heads (id, mark, size, m, head); postings (token, id, size,
-    m); and a function from ids to their sets (id, mark, size, m, head, tokens)."""
+    """Tables of the join: rows with their classes; heads (id, size, m, head); postings (token, id, size, m);
+    and a function from ids to their sets (id, size, m, head, tokens)."""
 
     members: DataFrame
     heads: DataFrame
@@ -273,19 +281,19 @@ def prepare(documents: DataFrame, id_col: str, text: str, spec: Spec) -> Prepare
 
     parts = _pass(documents, id_col, text, firsts, spec.n, _part_rows(shift), "part long, keys binary, counts binary")
     counts = stored(parts.repartition("part").sortWithinPartitions("part").mapInArrow(_shared_of_parts, "token long, n long"), "shared-shingles")
-    bits = spark.sparkContext.broadcast(grams.bit_table(counts.select("token"), lambda b: [grams.mix(b.column(0).to_numpy(zero_copy_only=False).view(U))], SHARED_BITS))
+    bits = spark.sparkContext.broadcast(grams.bit_table(counts.select("token"), lambda b: _two_bits(b.column(0).to_numpy(zero_copy_only=False).view(U)), SHARED_BITS))
 
     def likely(sets: Iterator[tuple[pa.Array, list[np.ndarray]]]) -> Iterator[pa.RecordBatch]:
         for ids, found in sets:
             tokens = [s >> U(shift) for s in found]
-            tokens = [t[grams.has_bits(bits.value, grams.mix(t))] for t in tokens]
+            tokens = [t[np.logical_and(*(grams.has_bits(bits.value, h) for h in _two_bits(t)))] for t in tokens]
             at = np.repeat(np.arange(len(found)), [len(t) for t in tokens])
-            marks = np.array([_mark(s) for s in found], np.int64)
-            yield pa.record_batch({"token": pa.array(np.concatenate([np.zeros(0, U), *tokens]).view(np.int64)), "id": ids.take(pa.array(at, pa.int64())), "mark": pa.array(marks[at], pa.int64())})
+            sizes = np.array([len(s) for s in found], np.int64)
+            yield pa.record_batch({"token": pa.array(np.concatenate([np.zeros(0, U), *tokens]).view(np.int64)), "id": ids.take(pa.array(at, pa.int64())), "size": pa.array(sizes[at], pa.int64())})
 
-    rows = _pass(documents, id_col, text, firsts, spec.n, likely, f"token long, id {kind}, mark long").join(counts, "token")
-    rows = rows.select("id", "mark", "n", "token").repartition("id").groupBy("id", "mark").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("shared"))
-    heads = rows.mapInArrow(_heads(spec), f"id {kind}, mark long, size long, m int, head binary")
+    rows = _pass(documents, id_col, text, firsts, spec.n, likely, f"token long, id {kind}, size long").join(counts, "token")
+    rows = rows.select("id", "size", "n", "token").repartition("id").groupBy("id", "size").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("shared"))
+    heads = rows.mapInArrow(_heads(spec), f"id {kind}, size long, m int, head binary")
     heads = stored(heads.join(firsts, F.col("id") == F.col("__id"), "left_semi"), "prefixes")
     discard(counts)
 
@@ -301,11 +309,11 @@ def prepare(documents: DataFrame, id_col: str, text: str, spec: Spec) -> Prepare
 
     def whole(sets: Iterator[tuple[pa.Array, list[np.ndarray]]]) -> Iterator[pa.RecordBatch]:
         for ids, found in sets:
-            yield pa.record_batch({"id": ids, "mark": pa.array([_mark(s) for s in found], pa.int64()), "tokens": pa.array([s.tobytes() for s in found], pa.binary())})
+            yield pa.record_batch({"id": ids, "size": pa.array([len(s) for s in found], pa.int64()), "tokens": pa.array([s.tobytes() for s in found], pa.binary())})
 
     def sets(wanted: DataFrame) -> DataFrame:
-        found = _pass(documents, id_col, text, wanted, spec.n, whole, f"id {kind}, mark long, tokens binary")
-        return stored(heads.join(wanted.select("id"), "id", "left_semi").join(found, ["id", "mark"]), "sets")
+        found = _pass(documents, id_col, text, wanted, spec.n, whole, f"id {kind}, size long, tokens binary")
+        return stored(heads.join(wanted.select("id"), "id", "left_semi").join(found, ["id", "size"]), "sets")
 
     return Prepared(who, heads, lists, sets)
 
@@ -429,7 +437,7 @@ def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, chunk:
 
 
 def _star_links(spec: Spec, verified: bool, kind: str):
-    """Rows (hub, id, and both sides' size, m, head and, if `verified`, tokens) to the links among them."""
+    """Rows (token, hub, id, and both sides' size, m, head and, if `verified`, tokens) to the links among them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = lambda a, b: len(np.intersect1d(np.frombuffer(a.as_buffer(), U), np.frombuffer(b.as_buffer(), U), assume_unique=True))
@@ -441,9 +449,9 @@ def _star_links(spec: Spec, verified: bool, kind: str):
                 if common(of["head"][k], of["hub_head"][k]) >= min(m[k], hub_m[k]) and (not verified or spec.linked(common(of["tokens"][k], of["hub_tokens"][k]), size[k], hub_size[k])):
                     keep.append(k)
             at = pa.array(keep, pa.int64())
-            yield pa.record_batch({"x": of["hub"].take(at), "y": of["id"].take(at)})
+            yield pa.record_batch({"token": of["token"].take(at), "x": of["hub"].take(at), "y": of["id"].take(at)})
 
-    return run, f"x {kind}, y {kind}"
+    return run, f"token string, x {kind}, y {kind}"
 
 
 def _ways(known: DataFrame, blocks, block, i, j, side) -> DataFrame:
@@ -466,23 +474,21 @@ def _blocks(known: DataFrame, sets: DataFrame, spec: Spec, verified: bool = True
     link with one of HUBS documents are told first; the largest component is then held against the rest only."""
     kind = dict(known.dtypes)["id"]
     sides = ["size", "m", "head", *(["tokens"] if verified else [])]
-    run, schema = _star_links(spec, verified, kind)
+    known = known.withColumn("token", F.col("token").cast("string"))
     dealt, stars = _within(known.where(F.col("list") <= BLOCK), "list"), None
-    big = stored(known.where(F.col("list") > BLOCK).drop("component"), "big-groups")
-    left = big
-    for turn in range(HUBS):
-        if left.isEmpty():
-            break
-        hubs = left.groupBy("token").agg(F.min("id").alias("hub")).join(sets.select(F.col("id").alias("hub"), *(F.col(c).alias(f"hub_{c}") for c in sides)), "hub")
-        pairs = left.select("token", "id").join(hubs, "token").where(F.col("id") != F.col("hub")).join(sets.select("id", *sides), "id")
-        found = stored(pairs.drop("token").mapInArrow(run, schema), "stars")
-        stars = found if stars is None else stars.unionByName(found)
-        if turn + 1 < HUBS:
-            near = found.select(F.col("x").alias("id")).union(found.select("y")).distinct()
-            left = stored(left.join(hubs.select("token", F.col("hub").alias("id")).distinct(), ["token", "id"], "left_anti").join(near, "id", "left_anti"), "left-documents")
-    if stars is not None:
-        labels = components(stars, "x", "y")
-        big = stored(big.join(labels, F.col("id") == F.col("node"), "left").select("token", "id", F.coalesce("component", "id").alias("component"), "list"), "starred-groups")
+    big = known.where(F.col("list") > BLOCK).drop("component")
+    if not big.isEmpty():
+        run, schema = _star_links(spec, verified, kind)
+        hubs = big.groupBy("token", F.pmod(F.xxhash64("id"), F.lit(HUBS))).agg(F.min("id").alias("hub")).select("token", "hub")
+        hubs = hubs.join(sets.select(F.col("id").alias("hub"), *(F.col(c).alias(f"hub_{c}") for c in sides)), "hub")
+        pairs = big.select("token", "id").join(sets.select("id", *sides), "id").join(hubs, "token").where(F.col("id") != F.col("hub"))
+        stars = stored(pairs.mapInArrow(run, schema), "stars")
+        # the least of the hubs that a document links with names its component so far, a lower one than its own if it is a hub
+        named = stars.groupBy("token", F.col("y").alias("id")).agg(F.min("x").alias("component"))
+        hub = hubs.select("token", F.col("hub").alias("id"), F.lit(True).alias("is_hub")).distinct()
+        big = big.join(named, ["token", "id"], "left").join(hub, ["token", "id"], "left")
+        own = F.col("component").isNull() | (F.col("is_hub") & (F.col("id") < F.col("component")))
+        big = stored(big.select("token", "id", F.when(own, F.col("id")).otherwise(F.col("component")).alias("component"), "list"), "starred-groups")
         most = big.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(F.max(F.struct("n", "component")).alias("main"))
         both = big.join(most.select("token", F.col("main.n").alias("main_n"), F.col("main.component").alias("main")), "token")
         both = both.withColumn("rest", F.col("list") - F.col("main_n"))
@@ -494,8 +500,8 @@ def _blocks(known: DataFrame, sets: DataFrame, spec: Spec, verified: bool = True
         dealt = dealt.unionByName(_ways(main, tall, mine(F.greatest(wide, F.lit(1))), lambda k, own: -1 - own, lambda k, own: k, lambda k, own: F.lit(0)))
         dealt = dealt.unionByName(_ways(rest, wide, mine(F.greatest(tall, F.lit(1))), lambda k, own: -1 - k, lambda k, own: own, lambda k, own: F.lit(1)))
     whole = dealt.join(sets.select("id", *sides), "id")
-    links = whole.groupBy("token", "i", "j").applyInArrow(_block_links(spec, verified), schema)
-    return links if stars is None else links.unionByName(stars)
+    links = whole.groupBy("token", "i", "j").applyInArrow(_block_links(spec, verified), f"x {kind}, y {kind}")
+    return links if stars is None else links.unionByName(stars.select("x", "y"))
 
 
 def _candidate_groups(compact: DataFrame, others: DataFrame, heads: DataFrame, spec: Spec) -> DataFrame:
