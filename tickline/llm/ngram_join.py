@@ -13,12 +13,12 @@ verify since m common shingles are asked for; both costs come from the counts. S
 only head each prefix and need no postings. A pair is verified if it shares the smaller m of the two.
 
 `similar_pairs` gives every similar pair of classes. `similar_components` gives the components of those
-links without making the pairs of a group. Candidate pairs are told from prefixes alone: documents that
-posting lists connect go in blocks, and each pair of blocks of such a group is looked at inside one task,
-which returns no more candidates than join the block's documents. (Where lists connect so much that this
-would cost more rows than going list by list, each list is such a group, and short lists give their pairs
-as rows.) Documents that candidates connect are then verified with their whole sets, in blocks again, and
-the tasks return no more links than join the components. A group of several blocks is first held against
+links without making the pairs of a group. Documents that posting lists connect are a group, and go in
+blocks: each pair of blocks of a group is looked at inside one task, which tells candidates from prefixes,
+verifies them with their whole sets, and returns no more links than join the components. Where lists connect
+so much that this would cost more rows than going list by list, candidates are told from prefixes alone
+first, list by list in blocks (short lists give their pairs as rows), and the documents that candidates
+connect are the groups. A group of several blocks is first held against
 a few of its own documents; those that link with one are in one component and meet only the documents of
 others. No pair that could link two documents is left out.
 """
@@ -275,7 +275,7 @@ def prepare(documents: DataFrame, id_col: str, text: str, spec: Spec) -> Prepare
     kind = dict(who.dtypes)["__id"]
     firsts = who.where(F.col("__id") == F.col("__class"))
     total = firsts.agg(F.sum("__size")).first()[0] or 0
-    firsts = stored(firsts.select("__id").distinct(), "class-heads")
+    firsts = firsts.select("__id")
     # leading bits that name the part, which leave 32 for the shingle
     shift = 32 - min(max(int(total // PART).bit_length(), 6), 31)
 
@@ -504,13 +504,12 @@ def _blocks(known: DataFrame, sets: DataFrame, spec: Spec, verified: bool = True
     return links if stars is None else links.unionByName(stars.select("x", "y"))
 
 
-def _candidate_groups(compact: DataFrame, others: DataFrame, heads: DataFrame, spec: Spec) -> DataFrame:
+def _candidate_groups(postings: DataFrame, heads: DataFrame, spec: Spec) -> DataFrame:
     """Documents that candidate pairs connect (token: the group, id, component: each its own, list: the
     group's size), told from prefixes alone, so that whole sets are fetched for few documents."""
-    lists = stored(others.join(others.groupBy("token").agg(F.count("*").alias("list")), "token"), "lists")
-    long = lists.where(F.col("list") > SHORT_LIST).select(F.col("token").cast("string").alias("token"), "id", F.col("id").alias("component"), "list")
-    blocks = compact.withColumn("token", F.concat(F.lit("group "), F.col("token").cast("string"))).unionByName(long)
-    near = _blocks(blocks, heads, spec, verified=False).unionByName(_short(lists, spec))
+    lists = stored(postings.join(postings.groupBy("token").agg(F.count("*").alias("list")), "token"), "lists")
+    long = lists.where(F.col("list") > SHORT_LIST).select("token", "id", F.col("id").alias("component"), "list")
+    near = _blocks(long, heads, spec, verified=False).unionByName(_short(lists, spec))
     groups = components(near, "x", "y")
     size = groups.groupBy("component").agg(F.count("*").alias("list"))
     return stored(groups.join(size, "component").select(F.col("component").alias("token"), F.col("node").alias("id"), F.col("node").alias("component"), "list"), "candidate-groups")
@@ -530,6 +529,10 @@ def _compact_groups(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     return inside, stored(postings.join(inside.select("id"), "id", "left_anti"), "other-postings")
 
 
+def _named(groups: DataFrame, by: str) -> DataFrame:
+    return groups.withColumn("token", F.concat_ws(" ", F.lit(by), F.col("token").cast("string")))
+
+
 def similar_components(documents: DataFrame, id_col: str = "doc_id", text: str = "text", spec: Spec = Spec()) -> DataFrame:
     """(id, `n_shingles`, `component_id`) for every row: the size of its set, and the smallest id that it
     reaches by links, itself included.
@@ -542,7 +545,9 @@ def similar_components(documents: DataFrame, id_col: str = "doc_id", text: str =
     ready = prepare(documents, id_col, text, spec)
     kind = dict(ready.members.dtypes)["__id"]
     compact, others = _compact_groups(ready.postings)
-    groups = _candidate_groups(compact, others, ready.heads, spec)
+    groups = _named(compact, "lists")
+    if not others.isEmpty():
+        groups = groups.unionByName(_named(_candidate_groups(others, ready.heads, spec), "candidates"))
     links = stored(_blocks(groups, ready.sets(groups.select("id").distinct()), spec), "links")
     labels = components(links, "x", "y")
     joined = ready.members.join(labels, F.col("__class") == F.col("node"), "left")
