@@ -84,6 +84,24 @@ def test_balance_is_a_noop_on_partitioned_input(spark):
     assert spread.count() == 1000
 
 
+def test_balance_spreads_rows_that_lie_in_few_or_large_partitions(spark):
+    from tickline.sources.layout import balance
+
+    def sizes(df):
+        return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+    # as of a file of one row group that is cut into 16 splits
+    one = spark.range(0, 16_000, numPartitions=16).where("id < 1000")
+    assert one.rdd.getNumPartitions() == 16 and sizes(one) == [1000]
+    spread = balance(one, min_partitions=8)
+    assert len(sizes(spread)) == 8 and max(sizes(spread)) <= 150
+    assert spread.distinct().count() == 1000
+    # partitions stay as large as they are when the table grows
+    large = balance(spark.range(0, 5000, numPartitions=16), min_partitions=8, rows=100)
+    assert len(sizes(large)) == 56 and max(sizes(large)) <= 150
+    assert balance(spark.range(0), min_partitions=3).count() == 0
+
+
 def test_upsert_reads_only_the_dates_of_a_batch(spark, workdir):
     import os
 
