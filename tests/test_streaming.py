@@ -228,3 +228,17 @@ def test_read_frames_text_and_status(spark, workdir):
     assert read_frames(spark, d).isStreaming
     (missing,) = serve.table_status(spark, os.path.join(workdir, "nope")).collect()
     assert missing.available is False and missing.latest_received is None
+
+
+def test_staged_log_files_and_their_splits_stay_small(spark, workdir, monkeypatch):
+    """A larger log has more files of the same size and as many batches, and no task reads many of the files at once."""
+    from tickline.plans import catalog
+    from tickline.sources import layout
+
+    monkeypatch.setattr(catalog, "balance", lambda df: layout.balance(df, rows=50))
+    incoming, per_trigger = catalog._stage_log(spark, SF_SMALL, os.path.join(workdir, "staged"))
+    staged = spark.read.parquet(incoming)
+    held = [r["count"] for r in staged.groupBy(F.input_file_name()).count().collect()]
+    assert len(held) >= 20 and max(held) <= 100
+    assert 3 <= -(-len(held) // per_trigger) <= catalog.STREAM_FILES
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
