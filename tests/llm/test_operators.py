@@ -350,3 +350,28 @@ def test_sharding(spark, docs, none, workdir):
     assert many[0] > 200 and many[1] < 430
     with pytest.raises(ValueError):
         sharding.assign(out, "slot")
+
+
+def test_few_texts_go_to_a_python_worker_at_once(spark):
+    """An executor has a worker a core, and each holds a batch several times over."""
+    from tickline.llm.common import BATCH_CONF
+
+    docs = spark.range(0, 12_000, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 200).alias("text"))
+
+    @F.pandas_udf("long")
+    def rows(text):
+        return text.str.len() * 0 + len(text)
+
+    before = spark.conf.get(BATCH_CONF, None)
+    try:
+        spark.conf.unset(BATCH_CONF)
+        bpe.Codec(spark, {bytes([b]): b for b in range(256)}, r"[a-z]+|[^a-z]+")
+        assert docs.agg(F.max(rows("text"))).first()[0] <= 2000
+        spark.conf.unset(BATCH_CONF)
+        line_dedup.dedup_lines(docs.limit(5))
+        assert docs.agg(F.max(rows("text"))).first()[0] <= 2000
+        spark.conf.set(BATCH_CONF, "1m")  # the caller's own bound stays
+        line_dedup.dedup_lines(docs.limit(5))
+        assert spark.conf.get(BATCH_CONF) == "1m"
+    finally:
+        spark.conf.unset(BATCH_CONF) if before is None else spark.conf.set(BATCH_CONF, before)

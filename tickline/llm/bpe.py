@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickline.llm.common import small_batches
+
 MAX_RANK_BYTES = 64 << 20
 #: Characters a piece may have before it is cut, at the next safe place.
 PIECE_CHARS = 1 << 16
@@ -57,6 +59,7 @@ class Codec:
             raise ValueError("ranks must be distinct")
         if missing := [b for b in range(256) if bytes([b]) not in ranks]:
             raise ValueError(f"bytes without a rank: {missing[:5]}")
+        small_batches(spark)
         self.ranks: Broadcast = spark.sparkContext.broadcast(ranks)
         self.pattern, self.piece_chars = pattern, piece_chars
 

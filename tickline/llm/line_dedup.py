@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickline.llm import grams
-from tickline.llm.common import stored
+from tickline.llm.common import small_batches, stored
 
 #: 2**26 bits: 8 MB a filter.
 BITS = 1 << 26
@@ -231,6 +231,7 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", min_c
     lines. Rows that repeat an id count as one document; each is cut alike. Columns named `n_lines`
     or `n_dropped` are replaced. An empty table stays empty.
     """
+    small_batches(df.sparkSession)
     lost = repeated_lines(df, id_col, text, min_chars, min_docs, bits)
     own = [c for c in df.columns if c not in ("n_lines", "n_dropped")]
     joined = df.select(*[f"`{c}`" for c in own]).join(lost, F.col(f"`{id_col}`") == F.col("__id"), "left")
