@@ -375,3 +375,16 @@ def test_few_texts_go_to_a_python_worker_at_once(spark):
         assert spark.conf.get(BATCH_CONF) == "1m"
     finally:
         spark.conf.unset(BATCH_CONF) if before is None else spark.conf.set(BATCH_CONF, before)
+
+
+def test_few_texts_go_to_a_worker_of_the_ngram_join(spark):
+    from tickline.llm.common import BATCH_BYTES, BATCH_CONF
+
+    before = spark.conf.get(BATCH_CONF, None)
+    try:
+        spark.conf.unset(BATCH_CONF)
+        few = spark.createDataFrame([(1, "one two three")], "doc_id long, text string")
+        assert ngram_join.similar_components(few).count() == 1
+        assert spark.conf.get(BATCH_CONF) == str(BATCH_BYTES)
+    finally:
+        spark.conf.unset(BATCH_CONF) if before is None else spark.conf.set(BATCH_CONF, before)

@@ -2,6 +2,7 @@
 
 import base64
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -181,6 +182,41 @@ def test_shared_lists_across_batches():
     assert list(ngram_join._shared_lists(iter([]))) == []
 
 
+def test_prefixes_across_batches():
+    rng = np.random.default_rng(8)
+    spec = ngram_join.Spec(n=4, percent=80)
+    rows, want = [], {}
+    for i in "aabbccddeeffgghhiijj":
+        shared = sorted((int(rng.integers(2, 9)), int(rng.integers(0, 1 << 60))) for _ in range(int(rng.integers(1, 12))))
+        size = len(shared) + int(rng.integers(0, 4))
+        if (i, size) in {r[:2] for r in rows}:
+            continue
+        rows += [(i, size, n, t) for n, t in shared]
+        length, m = ngram_join._prefix(np.array([n for n, _ in shared], np.int64), size, spec)
+        if inside := sorted(t for _, t in shared[: max(length - (size - len(shared)), 0)]):
+            want[i, size] = (m, np.array(inside).tobytes())
+    rows.sort()
+    table = pa.table({c: pa.array([r[k] for r in rows]) for k, c in enumerate(("id", "size", "n", "token"))})
+    for batch in (1, 2, 5, len(rows)):
+        got = [r for b in ngram_join._heads(spec)(iter(table.to_batches(batch))) for r in b.to_pylist()]
+        assert {(r["id"], r["size"]): (r["m"], r["head"]) for r in got} == want and len(got) == len(want) > 5
+    assert list(ngram_join._heads(spec)(iter([]))) == []
+
+
+def test_common_shingles_of_large_sets_in_bounded_memory():
+    rng = np.random.default_rng(9)
+    every = np.unique(rng.integers(0, 1 << 63, 200_000).astype(np.uint64) * np.uint64(2))
+    sets = [every[rng.random(len(every)) < share] for share in (0.9, 0.5, 0.1, 0) for _ in range(10)]
+    left, right = np.arange(0, 40, 3), np.arange(1, 40, 2)
+    want = [[len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for j in right] for i in left]
+    tracemalloc.start()
+    got = ngram_join._common(sets, left, right)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.tolist() == want
+    assert peak < 4 * sum(len(sets[k]) * 8 for k in {*left, *right})  # told apart at once: 6 times their bytes
+
+
 def test_attention_gradients():
     rng = np.random.default_rng(1)
     lists = [rng.normal(size=(k, mil_quality.WIDTH)).astype(np.float32) for k in (1, 3, 2)]

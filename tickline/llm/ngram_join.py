@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickline.llm import grams
-from tickline.llm.common import discard, stored
+from tickline.llm.common import discard, small_batches, stored
 from tickline.llm.components import components
 
 #: Shingles of a part on average, and those that a task sums before it gives them out.
@@ -52,6 +52,8 @@ SHORT_LIST, BLOCK = 16, 256
 HUBS = 3
 #: Texts whose sets a task holds at once.
 TEXTS = 1024
+#: Shingles of a block's sets that are told apart at once.
+TOLD = 1 << 19
 U = np.uint64
 
 
@@ -203,32 +205,52 @@ def _two_bits(tokens: np.ndarray) -> list[np.ndarray]:
     return [once, grams.mix(once + U(1))]
 
 
+def _starts(rows: pa.RecordBatch) -> np.ndarray:
+    """Where id or size differ from the row before; the first row is none."""
+    same = [pc.equal(rows.column(k).slice(1), rows.column(k).slice(0, rows.num_rows - 1)).to_numpy(zero_copy_only=False).astype(bool) for k in (0, 1)]
+    return np.flatnonzero(~(same[0] & same[1])) + 1
+
+
 def _heads(spec: Spec):
-    """From rows (id, size, shared: ascending (n, token) of the shared shingles) to (id, size, m, head: the
+    """From rows (id, size, n, token) of the shared shingles, sorted by all four, to (id, size, m, head: the
     prefix's shared shingles as bytes); none for a prefix without any, which links with nothing.
 
-    Different texts of one id and size come as one row. Its first entries hold the prefix of each: they are as
+    Different texts of one id and size come as one. The first rows hold the prefix of each: they are as
     many as one text's prefix and all shared shingles of the others together.
     """
 
+    def heads(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        count, token = (rows.column(k).to_numpy() for k in (2, 3))
+        ends = np.concatenate([[0], _starts(rows), [rows.num_rows]])
+        keep, out = [], []
+        for size, at, end in zip(rows.column(1).to_numpy()[ends[:-1]].tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            length, m = _prefix(count[at:end], size, spec)
+            inside = token[at:end][: max(length - (size - (end - at)), 0)]
+            if len(inside):
+                head = np.unique(inside)
+                keep.append(at)
+                # two shingles of one token share it once only
+                out.append((max(m - (len(inside) - len(head)), 1), head.tobytes()))
+        at = pa.array(keep, pa.int64())
+        m, head = zip(*out, strict=True) if out else ((), ())
+        return pa.record_batch({"id": rows.column(0).take(at), "size": rows.column(1).take(at), "m": pa.array(m, pa.int32()), "head": pa.array(head, pa.binary())})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # of the last id and size, which the next batch may go on with
         for batch in batches:
-            keep, out = [], []
-            shared = batch.column(2)
-            ends, each = shared.offsets.to_numpy(), shared.values
-            count, token = each.field(0).to_numpy(), each.field(1).to_numpy()
-            for k, size in enumerate(batch.column(1).to_pylist()):
-                here = slice(ends[k], ends[k + 1])
-                length, m = _prefix(count[here], size, spec)
-                inside = token[here][: max(length - (size - (ends[k + 1] - ends[k])), 0)]
-                if len(inside):
-                    head = np.unique(inside)
-                    keep.append(k)
-                    # two shingles of one token share it once only
-                    out.append((max(m - (len(inside) - len(head)), 1), head.tobytes()))
-            at = pa.array(keep, pa.int64())
-            m, head = zip(*out, strict=True) if out else ((), ())
-            yield pa.record_batch({"id": batch.column(0).take(at), "size": batch.column(1).take(at), "m": pa.array(m, pa.int32()), "head": pa.array(head, pa.binary())})
+            if batch.num_rows == 0:
+                continue
+            starts = _starts(batch)
+            if held and not all(held[-1].column(k)[-1].equals(batch.column(k)[0]) for k in (0, 1)):
+                yield heads(held)
+                held = []
+            if len(starts):
+                yield heads([*held, batch.slice(0, starts[-1])])
+                held = []
+            held.append(batch.slice(starts[-1]) if len(starts) else batch)
+        if held:
+            yield heads(held)
 
     return run
 
@@ -271,6 +293,7 @@ class Prepared:
 
 def prepare(documents: DataFrame, id_col: str, text: str, spec: Spec) -> Prepared:
     spark = documents.sparkSession
+    small_batches(spark)
     who = members(documents, id_col, text, spec.n)
     kind = dict(who.dtypes)["__id"]
     firsts = who.where(F.col("__id") == F.col("__class"))
@@ -292,7 +315,7 @@ def prepare(documents: DataFrame, id_col: str, text: str, spec: Spec) -> Prepare
             yield pa.record_batch({"token": pa.array(np.concatenate([np.zeros(0, U), *tokens]).view(np.int64)), "id": ids.take(pa.array(at, pa.int64())), "size": pa.array(sizes[at], pa.int64())})
 
     rows = _pass(documents, id_col, text, firsts, spec.n, likely, f"token long, id {kind}, size long").join(counts, "token")
-    rows = rows.select("id", "size", "n", "token").repartition("id").groupBy("id", "size").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("shared"))
+    rows = rows.select("id", "size", "n", "token").repartition("id").sortWithinPartitions("id", "size", "n", "token")
     heads = rows.mapInArrow(_heads(spec), f"id {kind}, size long, m int, head binary")
     heads = stored(heads.join(firsts, F.col("id") == F.col("__id"), "left_semi"), "prefixes")
     discard(counts)
@@ -417,22 +440,30 @@ def _block_links(spec: Spec, verified: bool):
 
 
 def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, chunk: int = 4096) -> np.ndarray:
-    """Sizes of the intersections of left and right sets: products of 0/1 matrices, some thousand shingles at a time."""
+    """Sizes of the intersections of left and right sets, which are ascending: products of 0/1 matrices, some
+    thousand shingles at a time. Shingles are told apart in ranges of about TOLD, whatever the sets' sizes."""
     used, place = np.unique(np.concatenate([left, right]), return_inverse=True)
-    values, column = np.unique(np.concatenate([sets[k] for k in used]), return_inverse=True)
-    row = np.repeat(np.arange(len(used)), [len(sets[k]) for k in used])
-    often = np.bincount(column, minlength=len(values)) > 1
-    new = np.cumsum(often) - 1
-    keep = often[column]
-    row, column = row[keep], new[column[keep]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
+    sets = [sets[k] for k in used]
+    ranges = max(-(-sum(map(len, sets)) // TOLD), 1)
+    some = np.sort(np.concatenate([s[::ranges] for s in sets]))
+    edges = some[len(some) * np.arange(1, ranges) // ranges]
+    cuts = [np.concatenate([[0], np.searchsorted(s, edges), [len(s)]]) for s in sets]
     total = np.zeros((len(left), len(right)), np.int64)
-    for at in range(0, int(often.sum()), chunk):
-        i, j = np.searchsorted(column, [at, at + chunk])
-        matrix = np.zeros((len(used), chunk), np.float32)
-        matrix[row[i:j], column[i:j] - at] = 1
-        total += np.rint(matrix[place[: len(left)]] @ matrix[place[len(left) :]].T).astype(np.int64)
+    for k in range(ranges):
+        parts = [s[c[k] : c[k + 1]] for s, c in zip(sets, cuts, strict=True)]
+        values, column = np.unique(np.concatenate(parts), return_inverse=True)
+        row = np.repeat(np.arange(len(used)), [len(p) for p in parts])
+        often = np.bincount(column, minlength=len(values)) > 1
+        new = np.cumsum(often) - 1
+        keep = often[column]
+        row, column = row[keep], new[column[keep]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for at in range(0, int(often.sum()), chunk):
+            i, j = np.searchsorted(column, [at, at + chunk])
+            matrix = np.zeros((len(used), chunk), np.float32)
+            matrix[row[i:j], column[i:j] - at] = 1
+            total += np.rint(matrix[place[: len(left)]] @ matrix[place[len(left) :]].T).astype(np.int64)
     return total
 
 
