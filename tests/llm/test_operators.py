@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import os
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -388,3 +389,29 @@ def test_few_texts_go_to_a_worker_of_the_ngram_join(spark):
         assert spark.conf.get(BATCH_CONF) == str(BATCH_BYTES)
     finally:
         spark.conf.unset(BATCH_CONF) if before is None else spark.conf.set(BATCH_CONF, before)
+
+
+def test_few_texts_go_to_a_worker_of_the_suffix_dedup(spark):
+    from tickline.llm.common import BATCH_BYTES, BATCH_CONF
+
+    before = spark.conf.get(BATCH_CONF, None)
+    try:
+        spark.conf.unset(BATCH_CONF)
+        few = spark.createDataFrame([(1, "one two three")], "doc_id long, text string")
+        assert suffix_dedup.dedup(few).count() == 1
+        assert spark.conf.get(BATCH_CONF) == str(BATCH_BYTES)
+    finally:
+        spark.conf.unset(BATCH_CONF) if before is None else spark.conf.set(BATCH_CONF, before)
+
+
+def test_suffix_dedup_sends_no_wide_tables(spark):
+    rows = [(k, f"{k} " + "the same passage of both texts, long enough to count " * 2) for k in range(2)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    tracemalloc.start()
+    try:
+        out = suffix_dedup.dedup(texts, length=60, gram=20)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert all(r["n_removed"] > 60 for r in out.collect())
+    assert peak < 16 << 20  # a count for each of 2^24 buckets: 64 MB
